@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, sharding, simhash
+from . import mixing, packing, sharding, simhash
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer that the packing query is fixed to."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +24,10 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[i % 3] for i in range(len(names))]).plan
     shards = F.transform("units", lambda u: u.shard).alias("shards")
@@ -31,6 +42,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op6_mix_sources": op6_mix_sources,
     "op10_byte_shards": op10_byte_shards,
 }

@@ -31,10 +31,10 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     #: Copies without number, even of one id, can still be dealt to many tasks: the row number parts them.
     narrow = narrow.withColumn("row", F.monotonically_increasing_id()).withColumn("one", F.lit(1).cast("long"))
     placed = stage(running_total(narrow, [], ["text_hash", "doc_id", "row"], {"start": "size", "rank": "one"}))
-    total = placed.agg(F.sum("size").alias("all_bytes"))  # one row
+    total = placed.agg(F.sum("size")).first()[0] or 1
     middle = (2 * F.col("start") + F.col("size")).cast("decimal(38,0)")
-    shard = F.least(F.lit(shards - 1), F.floor(middle * shards / (2 * F.col("all_bytes"))).cast("int"))
-    cut = placed.crossJoin(F.broadcast(total)).withColumn("shard", shard)
+    shard = F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2 * total)).cast("int"))
+    cut = placed.withColumn("shard", shard)
     first = cut.groupBy("shard").agg(F.min("rank").alias("first_rank"))  # one row a shard
     return cut.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", "shard", (F.col("rank") - F.col("first_rank")).alias("slot"), "start"
