@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, sharding, simhash
+from . import langid, mixing, packing, sharding, simhash
 
 
 def tokenizer_path() -> str:
@@ -34,6 +34,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", shards)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(_table(spark, sf_dir, "documents"))
+
+
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.assign_shards(_table(spark, sf_dir, "documents"), 40)
     law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
@@ -44,6 +48,7 @@ QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_mix_sources": op6_mix_sources,
+    "op7_language_id": op7_language_id,
     "op10_byte_shards": op10_byte_shards,
 }
 
