@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, sharding, simhash
+from . import langid, mixing, packing, quality, sharding, simhash
 
 
 def tokenizer_path() -> str:
@@ -19,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "quality.*")
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -45,6 +50,7 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_mix_sources": op6_mix_sources,
