@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, quality, sharding, simhash
+from . import hnsw, langid, mixing, packing, quality, sharding, simhash, topk
 
 
 def tokenizer_path() -> str:
@@ -24,6 +24,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "quality.*")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -33,6 +38,11 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[i % 3] for i in range(len(names))]).plan
     shards = F.transform("units", lambda u: u.shard).alias("shards")
@@ -51,11 +61,26 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_hnsw_neighbours": op5_hnsw_neighbours,
     "op6_mix_sources": op6_mix_sources,
     "op7_language_id": op7_language_id,
     "op10_byte_shards": op10_byte_shards,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
+        )
+        SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+}
