@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hnsw, langid, mixing, packing, quality, sharding, simhash, topk
+from . import chat, hnsw, langid, lm, mixing, packing, quality, sharding, simhash, topk
 
 
 def tokenizer_path() -> str:
@@ -53,6 +53,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(_table(spark, sf_dir, "documents"))
 
 
+def op8_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_quotation_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = chat.link_quotations(_table(spark, sf_dir, "conversations"))
     return found.withColumnRenamed("conversation_id", "conv_id")
@@ -72,6 +76,7 @@ QUERIES = {
     "op5_hnsw_neighbours": op5_hnsw_neighbours,
     "op6_mix_sources": op6_mix_sources,
     "op7_language_id": op7_language_id,
+    "op8_recurrent_lm": op8_recurrent_lm,
     "op9_quotation_chat": op9_quotation_chat,
     "op10_byte_shards": op10_byte_shards,
 }
