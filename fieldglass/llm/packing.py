@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import types
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,8 +17,11 @@ from pyspark.sql import types as T
 
 from .common import running_total, stage
 
-#: Words whose ids a worker keeps at once; beyond it they are made anew, so this bounds memory and nothing else.
-KEPT_WORDS = 300_000
+#: Words whose ids a worker keeps at once; beyond it they are made anew, so this bounds memory and
+#: nothing else.
+KEPT_WORDS = 500_000
+#: The apostrophe is none of these marks: with letters after it, it can be a token of its own.
+MARKS = b".,;:!?%$&*#|"
 #: Documents turned into ids at a time.
 AT_ONCE = 256
 
@@ -93,32 +98,55 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> np.ndarray:
 
 
 def _ids_of(words: list[list[bytes]], path: str) -> dict[bytes, bytes]:
-    """The ids of each word, packed as little-endian 32-bit numbers; kept from task to task in the worker process."""
+    """A table with the ids of each lower-cased word, packed as little-endian 32-bit numbers.
+
+    A word with a tail of marks after a letter is put together from those two, as the tokenizer always cuts between a
+    letter and a mark; so it sees few of the words. The table stays from task to task in the worker. When it is full,
+    it gives way to a new one, which takes over the words that still come up.
+    """
     kept = sys.modules.setdefault("_fieldglass_words", types.ModuleType("_fieldglass_words")).__dict__
     if kept.get("path") != path:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # an executor's cores are taken by its tasks
         from tokenizers import Tokenizer
 
-        kept |= {"path": path, "tokenizer": Tokenizer.from_file(path), "ids": {}}
-    ids = kept["ids"]
-    new = list(set().union(*words).difference(ids))
-    if len(ids) + len(new) > KEPT_WORDS:
-        ids.clear()
-        new = list(set().union(*words))
-    for i in range(0, len(new), 4096):
-        part = new[i : i + 4096]
-        made = kept["tokenizer"].encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-        ids.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, made, strict=True))
+        kept |= {"path": path, "tokenizer": Tokenizer.from_file(path), "ids": {}, "old": {}}
+    if len(kept["ids"]) > KEPT_WORDS:
+        kept["old"], kept["ids"] = kept["ids"], {}
+    ids, old = kept["ids"], kept["old"]
+    missing, tails = set(), []
+    for word in set().union(*words).difference(ids):
+        if (found := old.get(word)) is not None:
+            ids[word] = found
+            continue
+        stem = word.rstrip(MARKS)
+        if len(stem) < len(word) and stem and (97 <= stem[-1] <= 122 or (stem[-1] > 127 and stem.decode()[-1].isalpha())):
+            tail = word[len(stem) :]
+            tails.append((word, stem, tail))
+            for part in (stem, tail):
+                if part not in ids:
+                    if (found := old.get(part)) is not None:
+                        ids[part] = found
+                    else:
+                        missing.add(part)
+        else:
+            missing.add(word)
+    missing = list(missing)
+    for i in range(0, len(missing), 4096):
+        some = missing[i : i + 4096]
+        made = kept["tokenizer"].encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+        ids.update((w, array("I", e.ids).tobytes()) for w, e in zip(some, made, strict=True))
+    ids.update([(word, ids[stem] + ids[tail]) for word, stem, tail in tails])
     return ids
 
 
 def token_bytes(texts: Iterable[str | None], path: str, end_id: int | None) -> Iterator[bytes]:
     """For each text the ids of its words, then `end_id`, as little-endian 32-bit numbers.
 
-    A tokenizer that drops white space and looks at nothing across it gives the same ids word by word as for the
-    whole text; words repeat, so most are looked up.
+    A tokenizer that ignores case, drops white space and looks at nothing across it gives the same ids word by word as for
+    the whole text; words repeat, so most are looked up.
     """
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
-    words = [(t or "").encode("utf-8", "replace").split() for t in texts]
+    words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
     ids = _ids_of(words, path)
     for own in words:
         yield b"".join(map(ids.__getitem__, own)) + end
@@ -128,7 +156,7 @@ def cut_pieces(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int
     """Each document's ids, cut where they are longer than `capacity`: doc_id, piece, start, length, ids_crc32 and, with
     `keep_ids`, ids (array of int). A document without ids makes no piece.
 
-    `path` is the tokenizer's file; it must be one that drops white space.
+    `path` is the tokenizer's file; it must be one that ignores case and drops white space.
     """
     ids_type = [T.StructField("ids", T.ArrayType(T.IntegerType()))] if keep_ids else []
     id_type = docs.schema[id_col].dataType
