@@ -160,7 +160,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     Documents are summed to paths and paths to hosts; hosts shrink towards the mean of all documents and paths towards
     their host, the more the fewer documents they have. All rows count.
     """
-    paths = scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s"))
+    paths = stage(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s")))  # read several times
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     prior = (whole["s"] or 0) / whole["n"] if whole["n"] else 0.5
