@@ -1,35 +1,9 @@
-"""The registered queries over the driver's tables, with DuckDB SQL for each."""
+"""All registered queries over the driver's tables, with DuckDB SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from fieldglass.plans import flows, identity, indicators, tournament
 
-from fieldglass.session import table
+QUERIES = flows.QUERIES | tournament.QUERIES | indicators.QUERIES | identity.QUERIES
 
-
-def flow_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    origin = nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("origin"))
-    destination = nation.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("destination"))
-    return (
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
-        .join(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-        .join(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
-        .join(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
-        .where(F.col("c_nationkey") != F.col("s_nationkey"))
-        .join(origin, "c_nationkey").join(destination, "s_nationkey")
-        .groupBy("origin", "destination").agg(F.count("*").alias("n_items"))
-    )
-
-
-QUERIES = {"flow_counts": flow_counts}
-
-ORACLE_SQL = {
-    "flow_counts": """
-        SELECT a.n_name AS origin, b.n_name AS destination, count(*) AS n_items
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-        JOIN supplier ON l_suppkey = s_suppkey JOIN nation a ON c_nationkey = a.n_nationkey
-        JOIN nation b ON s_nationkey = b.n_nationkey
-        WHERE c_nationkey <> s_nationkey GROUP BY ALL""",
-}
+ORACLE_SQL = flows.ORACLE_SQL | tournament.ORACLE_SQL | indicators.ORACLE_SQL | identity.ORACLE_SQL
