@@ -10,6 +10,7 @@ from functools import cache, reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Administrative qualifiers around a city's name, tried in this order; the group is the name.
 QUALIFIERS = (
@@ -135,7 +136,7 @@ def tail_compatible(a: Column, b: Column) -> Column:
     return F.forall(F.zip_with(F.reverse(a), F.reverse(b), lambda x, y: x.isNull() | y.isNull() | compatible(x, y)), lambda ok: ok)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def metaphone(names: pd.Series) -> pd.Series:
     """A phonetic key of English consonants; vowels count at the start only."""
     return names.map(_metaphone, na_action="ignore")
@@ -194,7 +195,7 @@ def _metaphone(name: str) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matching characters over all characters of two strings."""
     return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
