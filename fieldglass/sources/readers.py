@@ -23,23 +23,32 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_json_map(spark: SparkSession, path: str, value_schema: str, key: str = "key") -> DataFrame:
     """A file that is one JSON object: a row for each of its keys, with the value's fields."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     entries = F.from_json("value", f"map<string, struct<{value_schema}>>")
     return text.select(F.explode(entries).alias(key, "entry")).select(key, "entry.*")
 
 
 def read_nested_map(spark: SparkSession, path: str, outer: str, inner: str, value: str, value_type: str = "double") -> DataFrame:
     """A JSON object of objects: a row for each pair of keys."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     first = text.select(F.explode(F.from_json("value", f"map<string, map<string, {value_type}>>")).alias(outer, "inner map"))
     return first.select(outer, F.explode("inner map").alias(inner, value))
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None, separator: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """A file with a header; a byte-order mark before the first name is dropped. Without a schema all columns are text."""
+    """A file with a header; a byte-order mark before the first name is dropped. Without a schema all columns are text.
+
+    Encodings are those that Spark reads, and windows-1252: as Latin-1, whose controls stand for its further characters.
+    """
+    windows = encoding.lower() in ("cp1252", "windows-1252")
+    encoding = "ISO-8859-1" if windows else encoding
     reader = spark.read.option("header", True).option("sep", separator).option("encoding", encoding).option("quote", '"').option("escape", '"').option("multiLine", True)
     df = (reader.schema(schema) if schema else reader).option("enforceSchema", True).csv(path)
-    return df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    df = df.toDF(*(c.lstrip("﻿") for c in df.columns))
+    if windows:
+        pairs = [(chr(i), bytes([i]).decode("cp1252", "replace")) for i in range(0x80, 0xA0)]
+        df = df.withColumns({c: F.translate(c, "".join(a for a, _ in pairs), "".join(b for _, b in pairs)) for c, kind in df.dtypes if kind == "string"})
+    return df
 
 
 def read_positions(spark: SparkSession, path: str, columns: dict[int, tuple[str, str]], separator: str = "\t") -> DataFrame:
@@ -55,7 +64,7 @@ def read_population_points(spark: SparkSession, path: str) -> DataFrame:
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """The lines of a text with their numbers from 0, in the order of the file: (line_no, value)."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.posexplode(F.split("value", "\r\n|\r|\n")).alias("line_no", "value"))
 
 
@@ -93,7 +102,7 @@ def with_proxy(rows: DataFrame, indicator: str, proxy_for: str) -> DataFrame:
 def read_jsonstat(spark: SparkSession, path: str) -> DataFrame:
     """A JSON-stat cube: a row for each value with `at`, a map from dimension to category code, and value. A value's flat
     index is taken apart by the sizes of the dimensions; zeros are values too."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     schema = "id array<string>, size array<int>, dimension map<string, struct<category: struct<index: map<string, int>>>>, value map<string, double>"
     cube = text.select(F.from_json("value", schema).alias("c")).select("c.*")
     cells = cube.select("id", "size", "dimension", F.explode("value").alias("flat", "value")).where("value is not null")
