@@ -1,75 +1,33 @@
-"""What the operators of this subpackage share: staging, column names, prefix sums, connected components."""
+"""What the operators of this subpackage share: words, memory of workers, connected components."""
 
 from __future__ import annotations
 
-import tempfile
-from collections.abc import Sequence
-from uuid import uuid4
+import ctypes
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A word: a run of characters other than ASCII white space. bytes.split() cuts at the same six characters.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors reach; only where that is unset, a folder of our own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="fieldglass-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+from fieldglass.staging import fresh, running_total, shared_folder, shuffle_partitions, stage
 
+__all__ = ["WORD", "components", "fresh", "give_back", "running_total", "shared_folder", "shuffle_partitions", "stage"]
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back.
-
-    This cuts the lineage: what an executor had computed survives its loss, and rows that depend on how they were
-    dealt out stay as they are. The files go when the JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid4().hex}"
-    df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def fresh(df: DataFrame, *names: str) -> list[str]:
-    """For each name, the name itself or with underscores added until `df` has no such column (letter case aside)."""
-    taken, out = {c.lower() for c in df.columns}, []
-    for name in names:
-        while name.lower() in taken:
-            name += "_"
-        taken.add(name.lower())
-        out.append(name)
-    return out
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: A word: a run of characters other than ASCII white space. bytes.split() cuts at the same six characters.
+WORD = r"[^\x20\x09-\x0D]+"
 
+T = TypeVar("T")
 
-def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, str]) -> DataFrame:
-    """Add for each (out, value) of `sums` the sum of `value` over the rows before, within `keys`, in the order `order`.
 
-    Rows are dealt out by ranges of (keys, order), so that a key of any size lies over many tasks. Each task's total
-    for each key (there are at most as many as tasks and keys together) gives the sum at which it starts; the rest
-    is a window within the task. `df` should be narrow and staged, as it is read twice; keys and values hold no null.
-    Rows that tie in `order` get their sums in any order; give a total order to fix them.
-    """
-    part, = fresh(df, "part")
-    dealt = df.repartitionByRange(shuffle_partitions(df.sparkSession), *keys, *order)
-    dealt = stage(dealt.withColumn(part, F.spark_partition_id()))
-    totals = dealt.groupBy(part, *keys).agg(*(F.sum(v).alias(f"{out} total") for out, v in sums.items()))
-    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, 0)
-    starts = totals.select(part, *keys, *((F.sum(f"{out} total").over(before) - F.col(f"{out} total")).alias(f"{out} start") for out in sums))
-    within = Window.partitionBy(part, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = dealt.select("*", *((F.sum(v).over(within) - F.col(v)).alias(f"{out} within") for out, v in sums.items()))
-    return summed.join(starts, [part, *keys]).select(
-        *df.columns, *((F.col(f"{out} start") + F.col(f"{out} within")).alias(out) for out in sums)
-    )
+def give_back(batches: Iterable[T]) -> Iterator[T]:
+    """The batches; after the last, freed memory goes back to the system. Workers stay for the next stage, and an executor's
+    memory must hold those that wait as well."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import give_back
+
 #: N-grams are hashed to 2 ** BUCKET_BITS buckets, so a model has a fixed size for each language.
 BUCKET_BITS = 16
 #: A model of more languages than this is refused: its table is held by the driver and sent to all executors.
@@ -69,7 +71,7 @@ def train(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sm
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in give_back(batches):
             for at in range(0, batch.num_rows, AT_ONCE):
                 part = batch.slice(at, AT_ONCE)
                 langs = part.column(0).to_pylist()
@@ -153,7 +155,7 @@ def identify(text: Column, model: Model, **options) -> Column:
 
     @F.pandas_udf("lang string, score double, langs array<string>, shares array<double>")
     def infer(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in give_back(parts):
             rows = []
             for at in range(0, len(part), AT_ONCE):
                 shares, known = mixtures(list(part.iloc[at : at + AT_ONCE]), table.value, **options)

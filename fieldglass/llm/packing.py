@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import running_total, stage
+from .common import give_back, running_total, stage
 
 #: Words whose ids a worker keeps at once; beyond it they are made anew, so this bounds memory and
 #: nothing else.
@@ -97,7 +97,7 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
-def _ids_of(words: list[list[bytes]], path: str) -> dict[bytes, bytes]:
+def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes, bytes]:
     """A table with the ids of each lower-cased word, packed as little-endian 32-bit numbers.
 
     A word with a tail of marks after a letter is put together from those two, as the tokenizer always cuts between a
@@ -110,7 +110,7 @@ def _ids_of(words: list[list[bytes]], path: str) -> dict[bytes, bytes]:
         from tokenizers import Tokenizer
 
         kept |= {"path": path, "tokenizer": Tokenizer.from_file(path), "ids": {}, "old": {}}
-    if len(kept["ids"]) > KEPT_WORDS:
+    if len(kept["ids"]) > kept_words:
         kept["old"], kept["ids"] = kept["ids"], {}
     ids, old = kept["ids"], kept["old"]
     missing, tails = set(), []
@@ -139,7 +139,7 @@ def _ids_of(words: list[list[bytes]], path: str) -> dict[bytes, bytes]:
     return ids
 
 
-def token_bytes(texts: Iterable[str | None], path: str, end_id: int | None) -> Iterator[bytes]:
+def token_bytes(texts: Iterable[str | None], path: str, end_id: int | None, kept_words: int = KEPT_WORDS) -> Iterator[bytes]:
     """For each text the ids of its words, then `end_id`, as little-endian 32-bit numbers.
 
     A tokenizer that ignores case, drops white space and looks at nothing across it gives the same ids word by word as for
@@ -147,12 +147,12 @@ def token_bytes(texts: Iterable[str | None], path: str, end_id: int | None) -> I
     """
     end = b"" if end_id is None else end_id.to_bytes(4, "little")
     words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
-    ids = _ids_of(words, path)
+    ids = _ids_of(words, path, kept_words)
     for own in words:
         yield b"".join(map(ids.__getitem__, own)) + end
 
 
-def cut_pieces(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int | None = 1, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int | None = 1, keep_ids: bool = False, kept_words: int = KEPT_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document's ids, cut where they are longer than `capacity`: doc_id, piece, start, length, ids_crc32 and, with
     `keep_ids`, ids (array of int). A document without ids makes no piece.
 
@@ -164,11 +164,11 @@ def cut_pieces(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int
     size = 4 * capacity
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in give_back(batches):
             for at in range(0, batch.num_rows, AT_ONCE):
                 own = batch.slice(at, AT_ONCE)
                 which, rows, ids = [], [], []
-                for i, packed in enumerate(token_bytes(own.column(1).to_pylist(), path, end_id)):
+                for i, packed in enumerate(token_bytes(own.column(1).to_pylist(), path, end_id, kept_words)):
                     for k, a in enumerate(range(0, len(packed), size)):
                         part = packed[a : a + size]
                         which.append(i)
@@ -184,19 +184,20 @@ def cut_pieces(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(pieces, schema)
 
 
-def pack(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int | None = 1, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, path: str, *, capacity: int = 4096, end_id: int | None = 1, keep_ids: bool = False, kept_words: int = KEPT_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack all documents into sequences of at most `capacity` ids: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset and, with `keep_ids`, ids.
 
     Only the number of pieces of each length goes to the driver (at most `capacity` numbers), where best-fit decreasing
-    packs all pieces of the corpus at once. A piece's rank among those of its length then tells its place.
+    packs all pieces of the corpus at once. A piece's rank among those of its length then tells its place. `kept_words`
+    trades a worker's memory (about 250 bytes a word, twice) for time.
 
     Nulls: a null text counts as an empty one, which has only the end id; a null id is kept. Repeated rows are packed
     each. Ties between pieces of one length go by id, piece and place in the input. An empty table gives no rows. Other
     columns, whatever their names, are not looked at.
     """
     spark = docs.sparkSession
-    cut = cut_pieces(docs, path, capacity=capacity, end_id=end_id, keep_ids=keep_ids, id_col=id_col, text_col=text_col)
+    cut = cut_pieces(docs, path, capacity=capacity, end_id=end_id, keep_ids=keep_ids, kept_words=kept_words, id_col=id_col, text_col=text_col)
     cut = stage(cut.withColumn("row", F.monotonically_increasing_id()))
     counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
     rows = best_fit_decreasing(counts, capacity)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage
+from .common import fresh, give_back, stage
 
 #: At most this many labelled rows, those of the least hashed ids, fit the document classifier.
 MAX_LABELLED = 20_000
@@ -83,7 +83,7 @@ def toxic_lexicon(rows: DataFrame, least: int = 3, ratio: float = 20.0, most: in
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter(), Counter()
-        for batch in batches:
+        for batch in give_back(batches):
             for text, bad in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found[bad > 0].update(set(LETTERS.findall((text or "").lower())))
         for bad, own in enumerate(found):
@@ -130,7 +130,7 @@ def document_score(text: Column, classifier: Classifier) -> Column:
 
     @F.pandas_udf("good double, toxic double")
     def scores(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in give_back(parts):
             good, toxic = classifier(part.tolist()) if len(part) else ([], [])
             yield pd.DataFrame({"good": good, "toxic": toxic})
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, fresh, shuffle_partitions, stage
+from .common import components, fresh, give_back, shuffle_partitions, stage
 
 BITS = 64
 #: An odd multiplier that spreads wide keys; those that meet by chance fail the check of the links.
@@ -47,7 +47,7 @@ def with_fingerprint(docs: DataFrame, out: str, text_col: str = "text", shingle:
 
     @F.pandas_udf(T.LongType())
     def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
+        for part in give_back(texts):
             yield pd.Series([fingerprint(t, shingle) for t in part], dtype="int64")
 
     return docs.withColumn(out, fingerprints(F.col(text_col)))
