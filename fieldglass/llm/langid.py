@@ -51,7 +51,7 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
     which = np.repeat(np.arange(len(texts)), np.fromiter(map(len, lowered), np.int64, len(texts)))
     letter = _is_letter(points)
-    kept = letter | np.r_[True, letter[:-1]]
+    kept = letter | np.r_[True, letter[:-1] | (which[1:] != which[:-1])]
     points, which = np.where(letter, points, 32)[kept].astype(np.uint32), which[kept]
     has = np.bincount(which[points != 32], minlength=len(texts)) > 0
     if len(points) < 3:
