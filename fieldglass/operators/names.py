@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+from collections import defaultdict
 from collections.abc import Callable
 
 import pandas as pd
@@ -69,6 +70,34 @@ def match_kind(a: list[str], b: list[str]) -> tuple[str, int] | None:
     return next(((kind, rank) for kind, rank, rule in RULES if short and rule(short, long)), None)
 
 
+class _Index:
+    """Finds the names that a name can match at all. By every rule the last part of the shorter name agrees with a part of
+    the longer one, or sounds like its last part; a name is filed under all that this can be."""
+
+    def __init__(self, names: list[tuple[str, list[str]]]):
+        self.files: dict[tuple[str, str], set[int]] = defaultdict(set)
+        for i, (folded, parts) in enumerate(names):
+            self.files["folded", folded].add(i)
+            for part in parts:
+                self.files["part", part].add(i)
+                self.files["starts", part[:1]].add(i)
+            for last in parts[-1:]:
+                self.files["last", last].add(i)
+                self.files["last starts", last[:1]].add(i)
+                self.files["sound", _metaphone(last)].add(i)
+                self.files["code", _soundex(last)].add(i)
+
+    def candidates(self, folded: str, parts: list[str]) -> list[int]:
+        keys = [("folded", folded)]
+        for last in parts[-1:]:
+            keys += [("part", last), ("part", last[:1]), ("sound", _metaphone(last)), ("code", _soundex(last))]
+            keys += [("starts", last)] if len(last) == 1 else []
+        for part in parts:
+            keys += [("last", part), ("last", part[:1])]
+            keys += [("last starts", part)] if len(part) == 1 else []
+        return sorted(set().union(*(self.files[k] for k in keys if k in self.files)))
+
+
 def match_names(left: DataFrame, right: DataFrame, block: str, left_name: str, right_id: str, right_name: str, confirmed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Match names of `left` (block, name) to rows of `right` (block, id, name), one to one within a block.
 
@@ -89,10 +118,12 @@ def match_names(left: DataFrame, right: DataFrame, block: str, left_name: str, r
     open_names = open_names.join(equal, ["block", "left_name"], "left_anti")
 
     def greedy(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values("left_name"), b.sort_values("id")
+        a, b = list(a.sort_values("left_name").itertuples()), list(b.sort_values("id").itertuples())
+        index = _Index([(y.folded, list(y.parts)) for y in b])
         found = []
-        for i, x in enumerate(a.itertuples()):
-            for j, y in enumerate(b.itertuples()):
+        for i, x in enumerate(a):
+            for j in index.candidates(x.folded, list(x.parts)):
+                y = b[j]
                 kind = ("folded", 5) if x.folded == y.folded else match_kind(list(x.parts), list(y.parts))
                 if kind:
                     found.append((-kind[1], -difflib.SequenceMatcher(None, x.normal, y.normal).ratio(), i, j, kind[0]))
@@ -101,7 +132,7 @@ def match_names(left: DataFrame, right: DataFrame, block: str, left_name: str, r
             if i not in used_a and j not in used_b:
                 used_a.add(i)
                 used_b.add(j)
-                rows.append((a.iloc[i].block, b.iloc[j].id, a.iloc[i].left_name, b.iloc[j].right_name, kind))
+                rows.append((a[i].block, b[j].id, a[i].left_name, b[j].right_name, kind))
         return pd.DataFrame(rows, columns=["block", "id", "left_name", "right_name", "kind"])
 
     def parts(df: DataFrame, name: str) -> DataFrame:

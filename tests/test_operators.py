@@ -224,3 +224,14 @@ def test_nested(spark):
     assert R.array_by_key(df.where("false"), "pid", "title").first()[0] == []
     by = {r["nation"]: r["entries"] for r in R.nested_map(df, "nation", "pid", ["title"]).collect()}
     assert by["fr"]["0"]["title"] == "x" and by["fr"]["2"]["title"] is None
+
+
+def test_index_misses_no_match():
+    import itertools
+
+    pool = ["ana", "a", "maria", "m", "diaz", "d", "dias", "smith", "smyth", "jon", "robert", "rupert"]
+    every = [list(p) for n in (1, 2, 3) for p in itertools.permutations(pool, n)][::7]
+    index = names._Index([(" ".join(p), p) for p in every])
+    for p in every[::11]:
+        found = set(index.candidates(" ".join(p), p))
+        assert {j for j, q in enumerate(every) if names.match_kind(p, q)} <= found
