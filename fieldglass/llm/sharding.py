@@ -25,15 +25,15 @@ def assign_shards(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     narrow = stage(
         docs.select(
             F.col(id_col).alias("doc_id"), (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
-            F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("text_hash"),
+            F.crc32(text).alias("text_crc32"), F.md5(text.cast("binary")).alias("text_hash"),
         )
     )
     #: Copies without number, even of one id, can still be dealt to many tasks: the row number parts them.
     narrow = narrow.withColumn("row", F.monotonically_increasing_id()).withColumn("one", F.lit(1).cast("long"))
     placed = stage(running_total(narrow, [], ["text_hash", "doc_id", "row"], {"start": "size", "rank": "one"}))
     total = placed.agg(F.sum("size")).first()[0] or 1
-    middle = (2 * F.col("start") + F.col("size")).cast("decimal(38,0)")
-    shard = F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(2 * total)).cast("int"))
+    share = F.expr(f"(CAST(2 * start + size AS DECIMAL(38, 0)) * {shards}) DIV CAST({2 * total} AS DECIMAL(38, 0))")
+    shard = F.least(F.lit(shards - 1), share.cast("int"))
     cut = placed.withColumn("shard", shard)
     first = cut.groupBy("shard").agg(F.min("rank").alias("first_rank"))  # one row a shard
     return cut.join(F.broadcast(first), "shard").select(
