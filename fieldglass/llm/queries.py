@@ -94,4 +94,43 @@ ORACLE_SQL: dict[str, str] = {
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
         )
         SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op9_quotation_chat": r"""
+        WITH RECURSIVE m AS (
+            SELECT row_number() OVER () AS row, conv_id, turn, role, list_transform(regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n'), lambda x: {
+                'level': length(regexp_extract(x, '^((?:[ \t]*>)+)', 1)) - length(replace(regexp_extract(x, '^((?:[ \t]*>)+)', 1), '>', '')),
+                'content': CASE WHEN regexp_matches(x, '^(?:[ \t]*>)+') THEN trim(regexp_replace(x, '^(?:[ \t]*>)+', '')) ELSE x END}) AS lines
+            FROM conversations),
+        t AS (
+            SELECT row, conv_id, turn, role, regexp_replace(array_to_string(list_transform(list_filter(lines, lambda x, i:
+                x.level = 0 AND NOT (regexp_matches(x.content, '(?i)\b(?:wrote|writes|said)\s*:\s*$') AND coalesce(lines[i + 1].level > 0, false))),
+                lambda x: x.content), chr(10)), '^\s+|\s+$', '', 'g') AS text FROM m),
+        v AS (SELECT row, conv_id, turn, lines, unnest(list_distinct(list_transform(lines, lambda x: x.level))) AS level FROM m),
+        w AS (SELECT row, conv_id, turn, level, array_to_string(list_transform(lines, lambda x: CASE WHEN x.level = level THEN x.content ELSE '' END), chr(10)) AS own FROM v),
+        p AS (
+            SELECT DISTINCT row, conv_id, turn, level, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS passage
+            FROM (SELECT *, unnest(list_concat([own], list_concat(regexp_split_to_array(own, '\n\s*\n'), string_split(own, chr(10))))) AS part FROM w)),
+        o AS (SELECT conv_id, passage, min({'turn': turn, 'row': row}) AS first FROM p WHERE level = 0 AND turn IS NOT NULL AND passage <> '' GROUP BY ALL),
+        k AS (
+            SELECT p.row, o.first.row AS parent, o.first.turn AS reply_to, row_number() OVER (PARTITION BY p.row ORDER BY level, length(passage) DESC, o.first.turn, o.first.row) AS n
+            FROM p JOIN o USING (passage) WHERE level > 0 AND p.conv_id IS NOT DISTINCT FROM o.conv_id AND o.first.turn < p.turn),
+        links AS (SELECT row, parent, reply_to FROM k WHERE n = 1),
+        up AS (SELECT row, parent AS root FROM links UNION ALL SELECT up.row, links.parent FROM up JOIN links ON up.root = links.row),
+        threads AS (SELECT up.row, root, m.turn AS root_turn FROM up JOIN m ON up.root = m.row WHERE root NOT IN (SELECT row FROM links)),
+        f AS (SELECT t.*, reply_to, coalesce(root_turn, turn) AS root_turn, coalesce(root, t.row) AS root FROM t LEFT JOIN links USING (row) LEFT JOIN threads USING (row))
+        SELECT conv_id, turn, role, text, reply_to, root_turn,
+               row_number() OVER (PARTITION BY conv_id ORDER BY root_turn NULLS FIRST, root, turn NULLS FIRST, row) - 1 AS position,
+               '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS formatted FROM f""",
+    "op10_byte_shards": """
+        WITH RECURSIVE bit AS (
+            SELECT range AS i, range AS c, 0 AS k FROM range(256)
+            UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bit WHERE k < 8),
+        tab AS (SELECT list(c ORDER BY i) AS tab FROM bit WHERE k = 8),
+        d AS (SELECT doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS h, strlen(coalesce(text, '')) + 16 AS size FROM documents),
+        x AS (SELECT DISTINCT h, hex(encode(t)) AS x FROM d),
+        y AS (SELECT h, list_transform(range(0, length(x), 2), lambda i: ('0x' || substr(x, i + 1, 2))::BIGINT) AS b FROM x),
+        z AS (SELECT h, xor(list_reduce(list_concat([4294967295], b), lambda c, v: xor(tab[(xor(c, v) & 255) + 1], c >> 8)), 4294967295) AS crc FROM y, tab),
+        r AS (SELECT *, sum(size) OVER w - size AS start, sum(size) OVER () AS total FROM d WINDOW w AS (ORDER BY h, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+        c AS (SELECT *, least(39, (2 * start + size) * 40 // (2 * total))::INTEGER AS shard FROM r)
+        SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY start) - 1 AS slot, NULL::INTEGER AS grown_shard FROM c JOIN z USING (h)""",
 }
