@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sys
 import types
 import zlib
@@ -19,9 +20,14 @@ from .common import give_back, running_total, stage
 
 #: Words whose ids a worker keeps at once; beyond it they are made anew, so this bounds memory and
 #: nothing else.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 400_000
 #: The apostrophe is none of these marks: with letters after it, it can be a token of its own.
 MARKS = b".,;:!?%$&*#|"
+#: Words of lower-case Latin letters that no normalisation changes: the tokenizer's model can be asked directly, which a
+#: few probes confirm for each tokenizer.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: How byte-level models write bytes that are no printable Latin-1 character: as the characters from 256 on, in order.
+BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b))}
 #: Documents turned into ids at a time.
 AT_ONCE = 256
 
@@ -97,6 +103,12 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
+def _direct(model, word: bytes) -> bytes:
+    """The ids of a plain word from the tokenizer's model alone: a model over bytes, each written as one character."""
+    text = word.decode() if word.isascii() else word.decode("latin-1").translate(BYTES)
+    return array("I", [t.id for t in model.tokenize(text)]).tobytes()
+
+
 def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes, bytes]:
     """A table with the ids of each lower-cased word, packed as little-endian 32-bit numbers.
 
@@ -109,7 +121,11 @@ def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes,
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # an executor's cores are taken by its tasks
         from tokenizers import Tokenizer
 
-        kept |= {"path": path, "tokenizer": Tokenizer.from_file(path), "ids": {}, "old": {}}
+        made = Tokenizer.from_file(path)
+        probes = ["a", "the", "zzqx", "größe", "ÿ", "çàéß", "internationalisation"]
+        ids = [array("I", made.encode(p, add_special_tokens=False).ids).tobytes() for p in probes]
+        kept |= {"path": path, "tokenizer": made, "model": made.model, "ids": {}, "old": {}}
+        kept["direct"] = ids == [_direct(made.model, p.encode()) for p in probes]
     if len(kept["ids"]) > kept_words:
         kept["old"], kept["ids"] = kept["ids"], {}
     ids, old = kept["ids"], kept["old"]
@@ -130,6 +146,10 @@ def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes,
                         missing.add(part)
         else:
             missing.add(word)
+    if kept["direct"]:
+        plain = [w for w in missing if PLAIN.fullmatch(w)]
+        ids.update((w, _direct(kept["model"], w)) for w in plain)
+        missing.difference_update(plain)
     missing = list(missing)
     for i in range(0, len(missing), 4096):
         some = missing[i : i + 4096]
