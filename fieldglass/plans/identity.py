@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldglass.functions import numbers, text
-from fieldglass.operators import gates, names, spatial
+from fieldglass.operators import gates, names, reports, spatial
 from fieldglass.operators import relational as R
 from fieldglass.session import table
 from fieldglass.sources.readers import html_links, html_rows
@@ -200,12 +200,39 @@ def nested_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return array.unionByName(maps)
 
 
+def converge_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of a city of their nation, some of one of its districts, and places claimed for two thirds of them."""
+    customer, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    city = F.concat(F.lit("City"), F.col("c_nationkey").cast("string"))
+    people = customer.select(k.alias("pid"), F.when(k % 4 == 0, F.concat(city, F.lit(" District"))).otherwise(city).alias("city"), F.col("c_mktsegment").alias("country"))
+    claims = customer.where(k % 3 != 0).select(k.alias("pid"), F.when(k % 5 == 0, "Elsewhere").otherwise(F.upper(city)).alias("label"), k.cast("double").alias("lat"), (-k).cast("double").alias("lon"))
+    return reports.converge_coordinates(people, claims, "pid", "city", "country", "pid")
+
+
+def consistency_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers against a copy that lacks some, renames some and changes balances of others."""
+    k = F.col("c_custkey")
+    left = table(spark, sf_dir, "customer").select(k.alias("pid"), F.col("c_nationkey").alias("nation"), F.when(k % 6 != 0, F.date_add(F.lit("1990-01-01").cast("date"), (k % 500).cast("int")).cast("string")).alias("born"), F.translate(F.concat(F.lit("p"), k.cast("string")), "0123456789", "abcdefghij").alias("name"), F.floor("c_acctbal").alias("balance"))
+    right = left.where("pid % 17 <> 0").withColumn("name", F.when(F.col("pid") % 19 == 0, "other").otherwise(F.upper("name"))).withColumn("balance", F.col("balance") + F.when(F.col("pid") % 23 == 0, 1).otherwise(0))
+    return reports.consistency_report(left, right, "nation", "pid", "born", "name", ["balance"])
+
+
+def conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.conditional_counts(table(spark, sf_dir, "customer"), {"rich": "c_acctbal > 5000", "in_debt": "c_acctbal < 0"}, ["c_nationkey"])
+
+
+def union_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select("s_nationkey", F.array((k % 7).cast("string"), (k % 5).cast("string")).alias("ids"))
+    return reports.union_ids(rows, ["s_nationkey"], "ids").select("s_nationkey", text.joined_ids(F.col("ids")).alias("ids"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         resolve_alias, coverage_failures, override_fill, override_win, strip_qualifier, place_parts, url_title, number_parse, json_stat, mutual_unique_join, todo_anti,
         two_way_difference, presence_report, count_mismatches, append_missing, surrogate_keys, dimension_ids, title_conflict, sibling_adopt, drill_down, kde_risk,
-        hotspots, nearest_city, bbox_nested, html_table_rows, html_anchors, name_match, nested_titles,
+        hotspots, nearest_city, bbox_nested, converge_coordinates, consistency_report, conditional_counts, union_ids, html_table_rows, html_anchors, name_match, nested_titles,
     )
 }
 
@@ -226,6 +253,15 @@ _RISK = f"""
           FROM g, (SELECT * FROM k WHERE kind = 2 AND density >= 1e-6) b LEFT JOIN (SELECT * FROM k WHERE kind = 1) a ON a.i = b.i AND a.j = b.j)"""
 
 ORACLE_SQL = {
+    "converge_coordinates": """
+        WITH p AS (SELECT c_custkey AS pid, CASE WHEN c_custkey % 4 = 0 THEN 'City' || c_nationkey || ' District' ELSE 'City' || c_nationkey END AS city, c_mktsegment AS country,
+                          'city' || c_nationkey AS plain, c_custkey % 4 = 0 AS qualified, c_custkey % 3 <> 0 AS claims, c_custkey % 3 <> 0 AND c_custkey % 5 <> 0 AS own FROM customer),
+        k AS (SELECT plain, country, min(pid) AS first FROM p WHERE own GROUP BY ALL),
+        h AS (SELECT *, CASE WHEN own THEN 'claim' WHEN claims AND qualified AND first IS NOT NULL THEN 'sibling' WHEN claims AND NOT qualified THEN 'diverges' END AS how FROM p LEFT JOIN k USING (plain, country))
+        SELECT pid, city, country, CASE how WHEN 'claim' THEN pid WHEN 'sibling' THEN first END::DOUBLE AS lat, -CASE how WHEN 'claim' THEN pid WHEN 'sibling' THEN first END::DOUBLE AS lon, how FROM h""",
+    "conditional_counts": "SELECT c_nationkey, count(*) AS n_rows, count(*) FILTER (c_acctbal > 5000) AS rich, count(*) FILTER (c_acctbal < 0) AS in_debt FROM customer GROUP BY ALL",
+    "union_ids": """
+        SELECT s_nationkey, array_to_string(list_sort(list_distinct(flatten(list([(s_suppkey % 7)::VARCHAR, (s_suppkey % 5)::VARCHAR])))), ';') AS ids FROM supplier GROUP BY ALL""",
     "html_table_rows": "SELECT r_name AS section, n_nationkey, n_name AS name, '/wiki/' || n_name AS href FROM nation JOIN region ON n_regionkey = r_regionkey",
     "resolve_alias": _RESOLVED + " SELECT c_custkey, code FROM r",
     "coverage_failures": _RESOLVED + """
