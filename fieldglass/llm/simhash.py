@@ -186,7 +186,8 @@ def drop_near_duplicates(docs: DataFrame, *, distance: int = 4, shingle: int = 4
     of equal rows; a class without an id keeps one row too.
     """
     row, = fresh(docs, "dedup_row")
-    docs = docs.withColumn(row, F.monotonically_increasing_id())
+    #: Numbered once and written: the numbers tell which rows stay, however `docs` would be dealt out another time.
+    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()))
     found = stage(with_fingerprint(docs, "dedup fp", text_col, shingle).select(F.col(id_col).alias("doc_id"), F.col("dedup fp").alias("fp"), F.xxhash64(text_col).alias("text_hash"), F.col(row).alias("row")))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")
     prints = found.groupBy("fp").agg(F.min(order).alias("best"))
