@@ -48,7 +48,18 @@ def _ends(short: list[str], long: list[str], same: Callable[[str, str], bool]) -
 
 
 def _sounds(key: Callable[[str], str]) -> Callable[[str, str], bool]:
-    return lambda a, b: a != b and key(a) == key(b)
+    """Whether two different parts have one key; keys are kept, as parts come up in many pairs."""
+    known: dict[str, str] = {}
+
+    def same(a: str, b: str) -> bool:
+        if len(known) > 100_000:
+            known.clear()
+        for part in (a, b):
+            if part not in known:
+                known[part] = key(part)
+        return a != b and known[a] == known[b]
+
+    return same
 
 
 #: Kinds of match of the shorter list of parts with the longer, in the order in which they are tried, with
