@@ -23,8 +23,8 @@ AT_ONCE = 256
 
 @dataclass
 class Graph:
-    """rows: the vectors, with a last component that gives all the same length, so that the largest inner product is the
-    nearest. levels: from the bottom up, the nodes of the level and a flat array of their neighbours (-1: none)."""
+    """rows: the vectors, scaled together. levels: from the bottom up, the nodes of the level and a flat array of their
+    neighbours (-1: none)."""
 
     rows: np.ndarray
     levels: list[tuple[np.ndarray, np.ndarray]]
@@ -71,8 +71,22 @@ def _connect(rows: np.ndarray, links: int, width: int) -> np.ndarray:
     keep = place < 4 * links
     near, scores = np.full((n, 4 * links), -1, np.int32), np.full((n, 4 * links), -np.inf, np.float32)
     near[a[keep], place[keep]], scores[a[keep], place[keep]] = b[keep], score[keep]
-    out = np.concatenate([_diverse(rows, np.arange(i, min(i + AT_ONCE, n)), near[i : i + AT_ONCE], scores[i : i + AT_ONCE], 2 * links) for i in range(0, n, AT_ONCE)]) if n else near[:, : 2 * links]
-    return out
+    kept = [_diverse(rows, np.arange(i, min(i + AT_ONCE, n)), near[i : i + AT_ONCE], scores[i : i + AT_ONCE], 2 * links) for i in range(0, n, AT_ONCE)]
+    return _reachable(np.concatenate(kept) if n else near[:, : 2 * links], forward)
+
+
+def _reachable(near: np.ndarray, forward: np.ndarray, spare: int = 8) -> np.ndarray:
+    """A node that no list holds gets into the spare places of the nearest of its own list that has one left, or of the node
+    before it: without that, a vector far from all others would never be found."""
+    n = len(near)
+    held = np.bincount(near[near >= 0], minlength=n)
+    more, count = np.full((n, spare), -1, np.int32), np.zeros(n, np.int64)
+    for i in np.flatnonzero(held == 0).tolist() if n > 1 else ():
+        j = next((j for j in forward[i].tolist() if j >= 0 and count[j] < spare), None)
+        j = (next(j % n for j in range(i + n - 1, i, -1) if count[j % n] < spare)) if j is None else j
+        more[j, count[j]] = i
+        count[j] += 1
+    return np.concatenate([near, more[:, : count.max(initial=0)]], axis=1)
 
 
 def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +97,26 @@ def _best(score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return np.take_along_axis(at, order, 1).astype(np.int32), np.take_along_axis(own, order, 1)
 
 
+def insertion_order(vectors: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Long vectors first, as they are near to most queries by inner product and early nodes have the long links; vectors of
+    one length in any order, drawn from `seed`."""
+    order = np.random.default_rng(seed).permutation(len(vectors))
+    lengths = np.sqrt((vectors[order].astype(np.float64) ** 2).sum(axis=1))
+    return order[np.argsort(-np.round(lengths / (lengths.max(initial=0) or 1.0), 4), kind="stable")]
+
+
 def build_graph(vectors: np.ndarray, *, links: int = 16, width: int = 64, seed: int = 0) -> Graph:
-    """The graph of one shard. A node reaches level l with chance links ** -l, drawn from `seed`."""
+    """The graph of one shard. A node reaches level l with chance links ** -l, drawn from `seed`. Nodes are best given in
+    order of insertion_order.
+
+    Links go by inner product. Where lengths differ, short vectors would be in nobody's list; there each node has a second
+    set of links, with one more component that gives all vectors the same length.
+    """
     lengths = (vectors.astype(np.float64) ** 2).sum(axis=1)
     scale = float(np.sqrt(lengths.max(initial=0))) or 1.0
-    rest = np.sqrt(np.maximum(scale**2 - lengths, 0))
-    rows = (np.c_[vectors, rest] / scale).astype(np.float32)
+    rows = (vectors / scale).astype(np.float32)
+    rest = np.sqrt(np.maximum(1 - lengths / scale**2, 0))
+    level_rows = np.c_[rows, rest].astype(np.float32) if rest.max(initial=0) > 0.05 else None
     level = np.floor(-np.log(1 - np.random.default_rng(seed).random(len(rows))) / np.log(links)).astype(int)
     levels = []
     for at in range(level.max(initial=0) + 1):
@@ -96,6 +124,12 @@ def build_graph(vectors: np.ndarray, *, links: int = 16, width: int = 64, seed:
         if at and len(nodes) < 2:
             break
         near = _connect(rows[nodes], links, width)
+        if level_rows is not None:
+            more = _connect(level_rows[nodes], links, width)
+            for a in range(0, len(near), AT_ONCE):
+                part = more[a : a + AT_ONCE]
+                part[(part[:, :, None] == near[a : a + AT_ONCE, None, :]).any(axis=2)] = -1
+            near = np.concatenate([near, more], axis=1)
         levels.append((nodes.astype(np.int32), near))
     return Graph(rows, levels)
 
@@ -135,7 +169,7 @@ def search_graph(graph: Graph, queries: np.ndarray, k: int, width: int) -> np.nd
     out = np.full((len(queries), k), -1, np.int64)
     if not len(graph.rows):
         return out
-    q = np.c_[queries, np.zeros(len(queries))].astype(np.float32)
+    q = queries.astype(np.float32)
     for a in range(0, len(q), AT_ONCE):
         own, start = q[a : a + AT_ONCE], None
         for nodes, near in reversed(graph.levels):
@@ -172,7 +206,7 @@ def build_index(vectors: DataFrame, *, keep_ids: int, shard_rows: int = SHARD_RO
         rows = matrix(table.column("vec"), np.float64)
         ids = table.column("ids").combine_chunks()
         order = np.argsort(pc.list_element(ids, 0).to_numpy(), kind="stable")  # the same however rows arrive
-        order = np.random.default_rng(0).permutation(order)
+        order = order[insertion_order(rows[order])]
         graph = build_graph(rows[order], links=links, width=width)
         own = ids.take(pa.array(order))
         data = {"vectors": rows[order], "rows": graph.rows, "levels": graph.levels, "ids": own.flatten().to_numpy(), "ends": np.cumsum(np.diff(own.offsets.to_numpy()))}
@@ -181,7 +215,7 @@ def build_index(vectors: DataFrame, *, keep_ids: int, shard_rows: int = SHARD_RO
     return stage(nodes.groupBy("shard").applyInArrow(build, "shard long, data binary"))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, width: int = 120, shard_rows: int = SHARD_ROWS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, width: int = 80, shard_rows: int = SHARD_ROWS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each query row about its `k` nearest rows of `vectors`, by largest inner product: query_id, rank (from 1), vec_id
     and score (in double precision, on the vectors as given). Every row is indexed; each query walks through every shard's
     graph, and the shards' results are merged. Rows with the query's own id are no candidates; ties go to the smaller id.
