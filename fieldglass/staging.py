@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,18 +19,52 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: what an executor had computed survives its loss, and rows that depend on how they were
-    dealt out stay as they are. The files go when the JVM ends.
+    dealt out stay as they are. The files go when the JVM ends, or before by `drop` or `stage_only`.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid4().hex}"
     df.write.parquet(path)
+    fs, target = _file_system(spark, path)
+    fs.deleteOnExit(target)
+    _staged.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+    if path in _staged:
+        _staged.remove(path)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the files of a frame that `stage` returned, once nothing reads it any more; does nothing for other frames."""
+    path = getattr(df, "staged_path", None)
+    if isinstance(path, str):
+        _delete(df.sparkSession, path)
+
+
+def stage_only(make: Callable[[], DataFrame]) -> DataFrame:
+    """Stage what `make` returns, and delete all that was staged on the way to it."""
+    before = len(_staged)
+    out = stage(make())
+    for path in _staged[before:-1]:
+        _delete(out.sparkSession, path)
+    return out
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

@@ -235,3 +235,19 @@ def test_index_misses_no_match():
     for p in every[::11]:
         found = set(index.candidates(" ".join(p), p))
         assert {j for j, q in enumerate(every) if names.match_kind(p, q)} <= found
+
+
+def test_staged_files_go(spark):
+    import os
+
+    from fieldglass import staging
+
+    folder = staging.shared_folder(spark)
+    before = set(os.listdir(folder))
+    first = staging.stage(spark.range(3))
+    out = staging.stage_only(lambda: staging.stage(spark.range(5)).union(staging.stage(spark.range(2))))
+    assert out.count() == 7 and first.count() == 3 and len(set(os.listdir(folder)) - before) == 2
+    staging.drop(first)
+    staging.drop(spark.range(1))
+    staging.drop(out)
+    assert set(os.listdir(folder)) == before
