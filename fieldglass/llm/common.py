@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.staging import fresh, running_total, shared_folder, shuffle_partitions, stage
+from fieldglass.staging import drop, fresh, running_total, shared_folder, shuffle_partitions, stage, stage_only
 
-__all__ = ["WORD", "components", "fresh", "give_back", "running_total", "shared_folder", "shuffle_partitions", "stage"]
+__all__ = ["WORD", "components", "drop", "fresh", "give_back", "running_total", "shared_folder", "shuffle_partitions", "stage", "stage_only"]
 
 #: A word: a run of characters other than ASCII white space. bytes.split() cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -47,7 +47,8 @@ def components(links: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = stage(small.distinct())
+        old, edges = edges, stage(small.distinct())
+        drop(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
