@@ -170,7 +170,8 @@ class Network:
 def _lay_out(texts: list[np.ndarray], slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Deal texts (symbols, the last an end) to slots, the longest first to the emptiest, one after the other in a slot:
     symbols and text numbers (steps x slots, -1: nothing), fullest slot first, and each slot's steps."""
-    slots = max(1, min(slots, len(texts)))
+    size, longest = sum(map(len, texts)), max(map(len, texts), default=1)
+    slots = max(1, min(slots, len(texts), -(-2 * size // longest)))  # beside a very long text, more slots would stay empty
     loads = [(0, s) for s in range(slots)]
     placed: list[list[int]] = [[] for _ in range(slots)]
     for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
@@ -262,13 +263,9 @@ def train_texts(net: Network, texts: list[np.ndarray], end: int, slots: int = 96
             net.w[key] -= rate * g / np.sqrt(squares[key])
 
 
-def stretch(words: list[bytes], part: int, of: int, shift: int, least: int = 32) -> list[bytes]:
-    """Part `part` of a text cut in `of` (at least `least` words), by a cut that `shift` moves around."""
-    size = max(least, -(-len(words) // of))
-    if len(words) <= size:
-        return words
-    start = (shift + part * size) % (len(words) - size + 1)
-    return words[start : start + size]
+def round_of(text: str | None, rounds: int) -> int:
+    """The round in which a text is trained on, by its hash: the same one however the rows are dealt out."""
+    return xxhash.xxh64_intdigest((text or "").encode("utf-8", "replace"), 42) % rounds
 
 
 def most_frequent(counts: DataFrame, most: int = TABLE_WORDS) -> list[tuple[bytes, int]]:
@@ -295,9 +292,9 @@ def _average(rows: list[tuple[int, bytes]]) -> tuple[int, dict[str, np.ndarray]]
     return total, out
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, of: int = 16, seed: int = 0, at_once: int = 2_000_000) -> Network:
-    """Train on every row of `texts` (text): in each round each task goes from the same weights over a stretch of each of
-    its texts (one in `of` symbols, another one each round, wherever in the text), and the tasks' weights are averaged by
+def train(texts: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, seed: int = 0, at_once: int = 2_000_000) -> Network:
+    """Train on every token of every row of `texts` (text), from the start of a text to its end. Each text has its round; in
+    each round each task goes from the same weights over its texts of that round, and the tasks' weights are averaged by
     their symbols, in a tree, so that no more than 32 sets of weights meet anywhere."""
     spark = texts.sparkSession
     symbol = vocabulary.symbol_of_rank()
@@ -312,9 +309,10 @@ def train(texts: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, of: int
             end, n, held, size = int(symbol[rank.get(END, -1)]), 0, [], 0
             for batch in batches:
                 for text in batch.column(0).to_pylist():
+                    if round_of(text, rounds) != part:
+                        continue
                     found = words_of(text)
                     found.append(END)
-                    found = stretch(found, part, of, len(found) * 7919 + len(text or ""))
                     held.append(symbol[[rank.get(w, -1) for w in found]])
                     size += len(held[-1])
                     if size >= at_once:

@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -96,6 +97,34 @@ def test_training_learns_what_context_tells():
     assert after > 0.35 * before
 
 
+def test_training_sees_every_token(spark, tmp_path, monkeypatch):
+    """Texts of any length go to the network whole, each once, and end with an end."""
+    import pickle
+
+    train_texts = lm.train_texts
+
+    def noted(net, texts, end, **more):
+        (tmp_path / f"{random.getrandbits(64)}").write_bytes(pickle.dumps([t.tolist() for t in texts]))
+        train_texts(net, texts, end, **more)
+
+    monkeypatch.setattr(lm, "train_texts", noted)
+    lengths = [0, 1, 31, 32, 33, 200, 513, 3000, 20000]
+    docs = [" ".join(f"w{(i * 7 + j * j) % 50}" for j in range(n)) for i, n in enumerate(lengths)]
+    words = Counter(w for d in docs for w in [*d.encode().split(), lm.END])
+    ranks = {w: i for i, (w, _) in enumerate(words.most_common())}
+    vocabulary = lm.Vocabulary(ranks, np.array([n for _, n in words.most_common()]), sum(words.values()), len(words))
+    lm.train(spark.createDataFrame([(d,) for d in docs], "text string"), vocabulary)
+    symbol = vocabulary.symbol_of_rank()
+    want = sorted([int(symbol[ranks[w]]) for w in [*d.encode().split(), lm.END]] for d in docs)
+    assert sorted(t for f in tmp_path.iterdir() for t in pickle.loads(f.read_bytes())) == want
+
+
+def test_a_long_text_takes_no_more_room_than_its_symbols():
+    texts = [np.zeros(50_000, np.int32), *(np.zeros(20, np.int32) for _ in range(500))]
+    symbols, number, _ = lm._lay_out(texts, 96)
+    assert symbols.size < 4 * 60_000 and [int((number == i).sum()) for i in (0, 1, 500)] == [50_000, 20, 20]
+
+
 def test_averages():
     import pickle
 
