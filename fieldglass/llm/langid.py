@@ -108,13 +108,13 @@ def _fit(p: np.ndarray, n: np.ndarray, lengths: np.ndarray, theta: np.ndarray, r
     return theta, np.add.reduceat(n * np.log(mixed), starts)
 
 
-def mixtures(texts: list[str | None], table: np.ndarray, *, rounds: int = 6, most: int = 3, least: float = 0.01, penalty: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+def mixtures(texts: list[str | None], table: np.ndarray, *, rounds: int = 6, least: float = 0.01, penalty: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
     """Language shares of each text (languages x texts), and which texts have a letter.
 
-    The shares maximise the likelihood of the text's n-grams. Of the sets of the 1, 2 ... `most` largest languages the one
-    with the best penalised likelihood is taken: log-likelihood over 3 (n-grams of 3 letters overlap), less `penalty` times
+    The shares maximise the likelihood of the text's n-grams. Of the sets of the 1, 2 ... largest languages the one with
+    the best penalised likelihood is taken: log-likelihood over 3 (n-grams of 3 letters overlap), less `penalty` times
     half the log of their number for each further language. Languages outside the set have share 0. A language joins a
-    set only if the fit of all languages together gives it a share of at least `least`.
+    set only if the fit of all languages together gives it a share of at least `least`; sets have no other bound.
     """
     which, bucket, has = ngrams(texts)
     keys, n = np.unique(which << BUCKET_BITS | bucket, return_counts=True)
@@ -130,7 +130,7 @@ def mixtures(texts: list[str | None], table: np.ndarray, *, rounds: int = 6, mos
     cost = penalty / 2 * np.log(np.add.reduceat(n, np.cumsum(lengths) - lengths))
     found, best = _fit(p, n, lengths, (rank == 0).astype(np.float32), 0)
     best = best / 3
-    for size in range(2, min(most, len(table)) + 1):
+    for size in range(2, len(table) + 1):
         open_ = np.flatnonzero(np.where(rank == size - 1, theta, 0).sum(axis=0) >= least)
         if not len(open_):
             break

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from fieldglass.llm import langid, queries
 
@@ -62,6 +63,18 @@ def test_mixture_of_two_languages(spark, middle):
     assert shares[at["fr"], 1] > 0.95 and np.allclose(shares.sum(axis=0), 1)
 
 
+def test_mixture_of_all_languages(spark, middle):
+    docs = spark.read.parquet(f"{middle}/documents.parquet")
+    model = langid.train(docs)
+    by = {r["lang"]: r["text"][:1500] for r in docs.where("n_chars > 2000").select("lang", "text").collect()}
+    assert len(by) == len(model.languages) == 4
+    (found,) = spark.createDataFrame([(" ".join(by.values()),)], "text string").select(langid.identify(F.col("text"), model).alias("f")).collect()
+    assert sorted(found["f"]["langs"]) == model.languages
+    assert all(0.15 < s < 0.35 for s in found["f"]["shares"]) and np.isclose(sum(found["f"]["shares"]), 1)
+    shares, _ = langid.mixtures(list(by.values()), model.table.value)
+    assert all(shares[model.languages.index(lang), i] > 0.95 for i, lang in enumerate(by))
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     rows = langid.predict(docs).collect()
