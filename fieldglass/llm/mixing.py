@@ -156,7 +156,7 @@ def plan_mix(
 def mix(docs: DataFrame, weigh, *, whole: bool = True, **options) -> DataFrame:
     """The mixed documents: each row of `docs` as often as the plan takes it, with mix_shard and mix_key.
 
-    Sorting a shard by mix_key is its local shuffle. With `whole`, the document at which a source reaches its target
+    Rows lie in the order of their shards, and within a shard in that of mix_key, which is its local shuffle. With `whole`, the document at which a source reaches its target
     comes whole if at least half of it is taken, else not at all; otherwise mix_words tells how many words to keep.
     Takes the options of plan_mix and treats nulls, repeated rows and clashing names as it does.
     """
@@ -167,4 +167,4 @@ def mix(docs: DataFrame, weigh, *, whole: bool = True, **options) -> DataFrame:
     if whole:
         plan = plan.where((2 * F.col(f"{unit}.words") >= F.col(words)))
     plan = plan.select(row, F.col(f"{unit}.shard").alias(shard), F.col(f"{unit}.key").alias(key), F.col(f"{unit}.words").alias(words))
-    return docs.join(plan, row).drop(row)
+    return docs.join(plan, row).drop(row).orderBy(shard, key)

@@ -96,6 +96,15 @@ def test_mix_rows(spark):
     assert set(shards) == set(range(4))
 
 
+def test_mix_is_shuffled_within_shards(spark):
+    docs = documents(spark, [(i, "w " * (i % 9 + 1), "en", "a" if i % 4 else "b") for i in range(400)])
+    rows = mixing.mix(docs, {"a": 1, "b": 1}, shards=4).collect()
+    order = [(r["mix_shard"], r["mix_key"]) for r in rows]
+    assert order == sorted(order) and len(set(order)) == len(order)
+    units = [(u["shard"], u["key"]) for r in mixing.plan_mix(docs, {"a": 1, "b": 1}, shards=4).plan.collect() for u in r["units"]]
+    assert set(order) <= set(units)
+
+
 def test_query(spark, small):
     rows = queries.op6_mix_sources(spark, small)
     assert rows.columns[:5] == ["doc_id", "size", "source_size", "target", "taken"]
