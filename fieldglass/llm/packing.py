@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
 import types
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,8 @@ from .common import give_back, running_total, stage
 KEPT_WORDS = 400_000
 #: The apostrophe is none of these marks: with letters after it, it can be a token of its own.
 MARKS = b".,;:!?%$&*#|"
-#: Words of lower-case Latin letters that no normalisation changes: the tokenizer's model can be asked directly, which a
-#: few probes confirm for each tokenizer.
+#: Words of lower-case Latin letters that no normalisation changes: where `_model_alone` holds, the tokenizer's model can be
+#: asked directly.
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 #: How byte-level models write bytes that are no printable Latin-1 character: as the characters from 256 on, in order.
 BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b))}
@@ -103,6 +106,29 @@ def best_fit_decreasing(counts: dict[int, int], capacity: int) -> np.ndarray:
     return np.array(rows, np.int64).reshape(-1, 5)
 
 
+@lru_cache(maxsize=1 << 16)
+def _ends_in_letter(last: str) -> bool:
+    """Whether a word that ends in the character `last` ends in a letter for the tokenizer too, which composes and lower-cases
+    before it cuts: some letters become a letter and a combining mark, and that goes with the marks after it."""
+    return last.isalpha() and unicodedata.normalize("NFC", unicodedata.normalize("NFC", last).lower())[-1].isalpha()
+
+
+def _model_alone(tokenizer) -> bool:
+    """Whether all that happens to a plain word before the model sees it is that its bytes are written as characters: the
+    normalisers leave lower-case precomposed letters alone, the split takes a run of letters whole, and no added token can
+    start within one."""
+    spec = json.loads(tokenizer.to_str())
+    steps = lambda part, name: (part or {}).get(name, [part] if part else [])
+    normal = [n["type"] for n in steps(spec["normalizer"], "normalizers") if n != {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}]
+    cuts = steps(spec["pre_tokenizer"], "pretokenizers")
+    split = [c for c in cuts if c["type"] == "Split"]
+    rest = [c for c in cuts if c["type"] != "Split"]
+    whole = len(split) == 1 and split[0]["invert"] and r"|[\p{L}]+|" in split[0]["pattern"].get("Regex", "") and split[0]["pattern"]["Regex"].startswith("'")
+    levels = len(rest) == 1 and rest[0]["type"] == "ByteLevel" and not rest[0]["add_prefix_space"] and not rest[0]["use_regex"]
+    added = any(re.match(r"[a-z\u00df-\u00f6\u00f8-\u00ff]", t["content"]) for t in spec["added_tokens"])
+    return set(normal) <= {"NFC", "Lowercase"} and whole and levels and spec["post_processor"] is None and not added and not spec["model"].get("dropout")
+
+
 def _direct(model, word: bytes) -> bytes:
     """The ids of a plain word from the tokenizer's model alone: a model over bytes, each written as one character."""
     text = word.decode() if word.isascii() else word.decode("latin-1").translate(BYTES)
@@ -113,7 +139,7 @@ def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes,
     """A table with the ids of each lower-cased word, packed as little-endian 32-bit numbers.
 
     A word with a tail of marks after a letter is put together from those two, as the tokenizer always cuts between a
-    letter and a mark; so it sees few of the words. The table stays from task to task in the worker. When it is full,
+    letter and a mark (see _ends_in_letter); so it sees few of the words. The table stays from task to task in the worker. When it is full,
     it gives way to a new one, which takes over the words that still come up.
     """
     kept = sys.modules.setdefault("_fieldglass_words", types.ModuleType("_fieldglass_words")).__dict__
@@ -125,7 +151,7 @@ def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes,
         probes = ["a", "the", "zzqx", "größe", "ÿ", "çàéß", "internationalisation"]
         ids = [array("I", made.encode(p, add_special_tokens=False).ids).tobytes() for p in probes]
         kept |= {"path": path, "tokenizer": made, "model": made.model, "ids": {}, "old": {}}
-        kept["direct"] = ids == [_direct(made.model, p.encode()) for p in probes]
+        kept["direct"] = _model_alone(made) and ids == [_direct(made.model, p.encode()) for p in probes]
     if len(kept["ids"]) > kept_words:
         kept["old"], kept["ids"] = kept["ids"], {}
     ids, old = kept["ids"], kept["old"]
@@ -135,7 +161,7 @@ def _ids_of(words: list[list[bytes]], path: str, kept_words: int) -> dict[bytes,
             ids[word] = found
             continue
         stem = word.rstrip(MARKS)
-        if len(stem) < len(word) and stem and (97 <= stem[-1] <= 122 or (stem[-1] > 127 and stem.decode()[-1].isalpha())):
+        if len(stem) < len(word) and stem and (97 <= stem[-1] <= 122 or (stem[-1] > 127 and _ends_in_letter(stem.decode()[-1]))):
             tail = word[len(stem) :]
             tails.append((word, stem, tail))
             for part in (stem, tail):

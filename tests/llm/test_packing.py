@@ -121,3 +121,24 @@ def test_keeps_ids(spark):
 
 def test_query(spark, small):
     check(queries.op4_best_fit_packing(spark, small).collect(), spark.read.parquet(f"{small}/documents.parquet").collect())
+
+
+def ids_by_tokenizer(texts):
+    made = Tokenizer.from_file(PATH).encode_batch_fast(texts, add_special_tokens=False)
+    return [np.array(e.ids, "<u4").tobytes() for e in made]
+
+
+LETTERS = [c for c in map(chr, range(0x80, 0x30000)) if c.isalpha()]
+
+
+def test_ids_of_every_letter_before_every_mark():
+    for mark in packing.MARKS.decode():
+        words = [f"a{c}{mark}" for c in LETTERS]
+        assert list(packing.token_bytes(words, PATH, None)) == ids_by_tokenizer(words)
+
+
+def test_ids_of_random_strings():
+    rng = random.Random(11)
+    pool = LETTERS + list(packing.MARKS.decode()) * 800 + list("abc xyz'\u00e9 ") * 400 + [chr(i) for i in range(0x300, 0x370)] * 20 + ["\u0130", "\u0958"] * 300
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 12))) for _ in range(20_000)]
+    assert list(packing.token_bytes(texts, PATH, None)) == ids_by_tokenizer(texts)
