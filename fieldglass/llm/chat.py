@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import running_total, stage
+from .common import drop, join_hot, running_total, stage
 
-QUOTE_MARKS = r"^((?:[ \t]*>)+)"
+#: The marks before a line's content, up to the last. No group repeats and no run of blanks is looked at again from each of its
+#: places, here and below: a matcher's stack and time stay bounded on any line.
+QUOTE_MARKS = r"^([ \t>]*>)"
 #: A line that introduces the quotation below it.
 ATTRIBUTION = r"(?i)\b(?:wrote|writes|said)\s*:\s*$"
 
@@ -24,11 +28,20 @@ def quote_lines(text: Column) -> Column:
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a value that is made once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def without_quotes(lines: Column) -> Column:
     """The text of a message's own lines, less those that introduce a quotation, trimmed."""
-    quoted_next = lambda i: F.coalesce(F.get(lines, i + 1)["level"] > 0, F.lit(False))
-    own = F.filter(lines, lambda x, i: (x.level == 0) & ~(x.content.rlike(ATTRIBUTION) & quoted_next(i)))
-    return F.regexp_replace(F.concat_ws("\n", F.transform(own, lambda x: x.content)), r"^\s+|\s+$", "")
+
+    def own_text(lines: Column) -> Column:
+        quoted_next = lambda i: F.coalesce(F.get(lines, i + 1)["level"] > 0, F.lit(False))
+        own = F.filter(lines, lambda x, i: (x.level == 0) & ~(x.content.rlike(ATTRIBUTION) & quoted_next(i)))
+        return F.regexp_replace(F.concat_ws("\n", F.transform(own, lambda x: x.content)), r"^\s+|(?<!\s)\s+$", "")
+
+    return _once(lines, own_text)
 
 
 def normalised(text: Column) -> Column:
@@ -42,7 +55,7 @@ def passages(lines: Column) -> Column:
 
     def of_level(level: Column) -> Column:
         text = F.concat_ws("\n", F.transform(lines, lambda x: F.when(x.level == level, x.content).otherwise("")))
-        parts = F.flatten(F.array(F.array(text), F.split(text, r"\n\s*\n"), F.split(text, "\n")))
+        parts = _once(text, lambda t: F.flatten(F.array(F.array(t), F.split(t, r"\n\s*\n"), F.split(t, "\n"))))
         parts = F.array_distinct(F.filter(F.transform(parts, normalised), lambda p: p != ""))
         return F.transform(parts, lambda p: F.struct(level.alias("level"), F.length(p).alias("size"), F.xxhash64(p).alias("hash")))
 
@@ -54,10 +67,11 @@ def _roots(replies: DataFrame) -> DataFrame:
     ways = stage(replies.select("row", F.col("parent").alias("root")))
     while True:
         up = ways.select(F.col("row").alias("root"), F.col("root").alias("higher"))
-        ways_up = stage(ways.join(up, "root", "left").select("row", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved")))
-        if ways_up.where("moved").isEmpty():
-            return ways_up.select("row", "root")
-        ways = ways_up.select("row", "root")
+        up = stage(join_hot(ways, up, "root", "left").select("row", F.coalesce("higher", "root").alias("root"), F.col("higher").isNotNull().alias("moved")))
+        drop(ways)
+        if up.where("moved").isEmpty():
+            return up
+        ways = up
 
 
 def link_quotations(
@@ -89,7 +103,7 @@ def link_quotations(
     links = stage(links.select("row", F.col("best.original.row").alias("parent"), F.col("best.original.turn").alias("reply_to")))
     roots = _roots(links)
     turns = rows.select(F.col("row").alias("root"), F.col("turn").alias("root_turn"))
-    threads = links.join(roots, "row").join(turns, "root").select("row", "reply_to", "root", "root_turn")
+    threads = join_hot(roots, turns, "root").join(links, "row").select("row", "reply_to", "root", "root_turn")
     narrow = rows.select("key", "turn", "row").join(threads, "row", "left").select(
         "row", "key", "turn", "reply_to", F.coalesce("root_turn", "turn").alias("root_turn"), F.coalesce("root", "row").alias("root"), F.lit(1).cast("long").alias("one")
     )

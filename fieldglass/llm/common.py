@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldglass.staging import drop, fresh, running_total, shared_folder, shuffle_partitions, stage, stage_only
 
-__all__ = ["WORD", "components", "drop", "fresh", "give_back", "running_total", "shared_folder", "shuffle_partitions", "stage", "stage_only"]
+__all__ = ["WORD", "components", "drop", "fresh", "give_back", "join_hot", "running_total", "shared_folder", "shuffle_partitions", "stage", "stage_only"]
 
 #: A word: a run of characters other than ASCII white space. bytes.split() cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -55,3 +55,19 @@ def components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
         before = now
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """`left` joined (inner or left) with `right`, which has at most one row a key, where a few keys may hold most of `left`.
+
+    Keys that hold more than their task's share of `left`, of which there are fewer than shuffle partitions, meet their rows
+    by a broadcast, where the rows lie; the others by a shuffle. `left` is read three times: stage it.
+    """
+    tasks = shuffle_partitions(left.sparkSession)
+    share = left.count() // tasks + 1
+    hot = [r[0] for r in left.groupBy(key).count().where((F.col("count") > share) & F.col(key).isNotNull()).select(key).collect()]
+    if not hot:
+        return left.join(right, key, how)
+    is_hot = lambda df: F.coalesce(df[key].isin(hot), F.lit(False))
+    few = F.broadcast(right.where(is_hot(right)))  # fewer rows than shuffle partitions
+    return left.where(is_hot(left)).join(few, key, how).unionByName(left.where(~is_hot(left)).join(right, key, how))

@@ -1,4 +1,5 @@
 import re
+import time
 from collections import defaultdict
 
 from fieldglass.llm import chat, queries
@@ -91,6 +92,26 @@ def test_long_chain_and_hot_conversation(spark):
     assert {r["root_turn"] for r in got if r["conversation_id"] == 1} == {0}
 
 
+def test_very_long_lines(spark):
+    """Lines that a matcher would recurse on, or look at again from each place."""
+    rows = [
+        (1, 0, "u", "a" + " " * 100_000 + "b"), (1, 1, "u", "> a" + " " * 100_000 + "b\nq" + "\t " * 50_000 + "x\n" + " " * 100_000 + "\n\n" + " " * 100_000 + "z"),
+        (2, 0, "u", "same"), (2, 1, "u", ">" * 100_000 + " same"), (2, 2, "u", "> " * 50_000), (2, 3, "u", "said" + " " * 100_000 + "said:" + " " * 100_000),
+        (3, 0, "u", "\n".join(f"line {i} of it" for i in range(20_000))), (3, 1, "u", "> line 700 of it\nyes"), (3, 2, "u", "a" + "\n" * 100_000 + "b"),
+    ]
+    began = time.monotonic()
+    got = {(r["conversation_id"], r["turn"]): r for r in chat.link_quotations(frame(spark, rows)).collect()}
+    assert time.monotonic() - began < 30
+    assert [got[k]["reply_to"] for k in ((1, 1), (2, 1), (2, 2), (3, 1), (3, 2))] == [0, 0, None, 0, None]
+    assert got[2, 1]["text"] == got[2, 2]["text"] == "" and got[1, 1]["text"].startswith("q") and got[1, 1]["text"].endswith("z")
+
+
+def test_hot_root(spark):
+    rows = [(i % 7, 0, "u", f"root {i % 7}") for i in range(7)] + [(0, i, "u", f"> root 0\nanswer {i}") for i in range(1, 400)] + [(0, 400 + i, "u", f"> answer {i}\nso") for i in range(1, 50)]
+    got = check(spark, rows)
+    assert sum(r["root_turn"] == 0 and r["reply_to"] is not None for r in got) == 448
+
+
 def test_query(spark, small):
     rows = queries.op9_quotation_chat(spark, small).collect()
     plain = spark.read.parquet(f"{small}/conversations.parquet").collect()
