@@ -26,7 +26,6 @@ CLASSES = WIDTH = 48
 #: The bands by rank: up to these ranks; the last holds all that the table doesn't.
 BANDS = (8_000, 40_000, TABLE_WORDS)
 HIDDEN = 24
-ONES = np.ones(WIDTH, np.float32)
 #: The end of a text; no word is empty.
 END = b""
 
@@ -98,7 +97,7 @@ class Network:
     hidden to classes; `wo`, `bo`: hidden to the words of each class."""
 
     def __init__(self, weights: dict[str, np.ndarray]):
-        self.w = weights
+        self.w, self.squares = weights, {}
 
     @staticmethod
     def initial(counts: np.ndarray, seed: int = 0) -> Network:
@@ -114,14 +113,6 @@ class Network:
             }
         )
 
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """One token on: the new state, and what the way back needs."""
-        gx, gh = self.w["x"][x], h @ self.w["u"] + self.w["b"]
-        rz = 0.5 * np.tanh(0.5 * (gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])) + 0.5
-        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-        new = np.tanh(gx[:, 2 * HIDDEN :] + r * gh[:, 2 * HIDDEN :])
-        return new + z * (h - new), rz, new, gh
-
     def bounded(self) -> bool:
         """Whether no logit can get near what exp can take: states lie between -1 and 1."""
         most = [np.abs(self.w[w]).sum(axis=-2).max() + np.abs(self.w[b]).max() for w, b in (("wc", "bc"), ("wo", "bo"))]
@@ -131,42 +122,85 @@ class Network:
         """Natural log of the chance of symbols `y` after states `h`; with `grad`, adds the gradient of their negative sum
         to it and returns that for `h` too. `bounded`: logits need not be shifted."""
         own, inner = y // WIDTH, y % WIDTH
-        rows = np.arange(len(y))
-        logits = h @ self.w["wc"] + self.w["bc"]
+        ones, wide, deep = np.ones(len(y), h.dtype), np.ones(WIDTH, h.dtype), np.ones(CLASSES, h.dtype)
+        logits = h @ self.w["wc"]
+        logits += self.w["bc"]
         if not bounded:
             logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        s = e @ ONES
-        out = logits[rows, own] - np.log(s)
+        chosen = np.arange(len(y)) * CLASSES + own
+        out = logits.ravel()[chosen]
+        e = np.exp(logits, out=logits)
+        s = e @ deep
+        out -= np.log(s)
         back = None
         if grad is not None:
             e /= s[:, None]
-            e[rows, own] -= 1
+            e.ravel()[chosen] -= 1
             grad["wc"] += h.T @ e
-            grad["bc"] += e.sum(axis=0)
+            grad["bc"] += ones @ e
             back = e @ self.w["wc"].T
         order = np.argsort(own.astype(np.uint8), kind="stable")
-        ends = np.cumsum(np.bincount(own, minlength=CLASSES))
-        sorted_h, sorted_y = h[order], inner[order]
-        for c in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
-            a, b = int(ends[c - 1]) if c else 0, int(ends[c])
-            hc, yc = sorted_h[a:b], sorted_y[a:b]
-            logits = hc @ self.w["wo"][c] + self.w["bo"][c]
+        counts = np.bincount(own, minlength=CLASSES)
+        first = np.cumsum(counts) - counts
+        sorted_h, sorted_y, more = h.take(order, 0), inner.take(order), np.empty(len(y), h.dtype)
+        sorted_back = None if grad is None else np.empty_like(sorted_h)
+        #: Classes of like numbers of rows, up to twice as many, go together, filled up with rows that don't count.
+        for size in np.unique(np.frexp(counts[counts > 0])[1]).tolist():
+            classes = np.flatnonzero((counts >= 1 << (size - 1)) & (counts < 1 << size))
+            n, wo = counts[classes], self.w["wo"][classes]
+            step = np.arange(n.max())
+            real = step < n[:, None]
+            at, kept = np.minimum(first[classes][:, None] + step, len(y) - 1), np.flatnonzero(real)
+            places, hc = at.ravel().take(kept), sorted_h.take(at, 0)
+            logits = hc @ wo
+            logits += self.w["bo"][classes][:, None]
             if not bounded:
-                logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            s = e @ ONES
-            at = rows[: b - a]
-            out[order[a:b]] += logits[at, yc] - np.log(s)
+                logits -= logits.max(axis=2, keepdims=True)
+            chosen = np.arange(at.size) * WIDTH + sorted_y.take(at.ravel())
+            found = logits.ravel().take(chosen)
+            e = np.exp(logits, out=logits)
+            sums = e @ wide
+            found -= np.log(sums.ravel())
+            more[places] = found.take(kept)
             if grad is not None:
-                e /= s[:, None]
-                e[at, yc] -= 1
-                grad["wo"][c] += hc.T @ e
-                grad["bo"][c] += e.sum(axis=0)
-                back[order[a:b]] += e @ self.w["wo"][c].T
+                e *= np.divide(real, sums, dtype=e.dtype)[:, :, None]
+                e.ravel()[chosen] -= real.ravel()
+                grad["wo"][classes] += hc.transpose(0, 2, 1) @ e
+                grad["bo"][classes] += ones[: len(step)] @ e
+                sorted_back[places] = (e @ wo.transpose(0, 2, 1)).reshape(-1, h.shape[1]).take(kept, 0)
+        out[order] += more
+        if grad is not None:
+            back[order] += sorted_back
         return out, back
 
 
+class Cell:
+    """The gated unit, its weights laid out gate by gate (those of the inputs for some `rows` only); reset and update halved, as
+    the sigmoid of a is half of 1 plus the tanh of a / 2."""
+
+    def __init__(self, w: dict[str, np.ndarray], rows: np.ndarray | slice = slice(None)):
+        n = HIDDEN
+        x, u, b = ([np.ascontiguousarray(v[..., i * n : (i + 1) * n]) for i in range(3)] for v in (w["x"][rows], w["u"], w["b"]))
+        self.x, self.u, self.inner = [(x[0] + b[0]) / 2, (x[1] + b[1]) / 2, x[2]], [u[0] / 2, u[1] / 2, u[2]], b[2]
+
+    def step(self, x: np.ndarray, h: np.ndarray, r: np.ndarray, z: np.ndarray, new: np.ndarray, inner: np.ndarray) -> None:
+        """One token on: `h` becomes the new state; the others get what the way back needs."""
+        for i, gate in enumerate((r, z)):
+            np.matmul(h, self.u[i], out=gate)
+            gate += self.x[i].take(x, 0, mode="clip")
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
+        np.matmul(h, self.u[2], out=inner)
+        inner += self.inner
+        np.multiply(r, inner, out=new)
+        new += self.x[2].take(x, 0, mode="clip")
+        np.tanh(new, out=new)
+        h -= new
+        h *= z
+        h += new
+
+
 def _lay_out(texts: list[np.ndarray], slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Deal texts (symbols, the last an end) to slots, the longest first to the emptiest, one after the other in a slot:
     symbols and text numbers (steps x slots, -1: nothing), fullest slot first, and each slot's steps."""
@@ -189,78 +223,123 @@ def _lay_out(texts: list[np.ndarray], slots: int) -> tuple[np.ndarray, np.ndarra
     return symbols, number, steps[order]
 
 
-def score_texts(net: Network, texts: list[np.ndarray], end: int, slots: int = 512, window: int = 64) -> np.ndarray:
+class Slots:
+    """Texts dealt to slots, window by window: what goes in, what comes out, which places begin a text (they see an end and an
+    empty state before them) and which hold a symbol. Slots that have no more are left out, the fullest stand first; where
+    few are left, as beside a very long text, windows get longer, so that all hold about `slots` times `window` symbols."""
+
+    def __init__(self, texts: list[np.ndarray], end: int, slots: int, window: int):
+        self.symbols, self.number, self.steps = _lay_out(texts, slots)
+        self.end, self.window, self.size = end, window, slots * window
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, ...]]:
+        before, last = np.full(self.symbols.shape[1], self.end, np.int32), np.full(self.symbols.shape[1], -1, np.int32)
+        a = 0
+        while a < len(self.symbols):
+            k = int(np.searchsorted(-self.steps, -a, side="left"))
+            b = a + max(self.window, self.size // k)
+            y, number = self.symbols[a:b, :k], self.number[a:b, :k]
+            starts = np.concatenate([last[None, :k], number[:-1]]) != number
+            x = np.where(starts, self.end, np.concatenate([before[None, :k], y[:-1]]))
+            yield x, y, starts, number
+            before, last, a = y[-1], number[-1], b
+
+
+def score_texts(net: Network, texts: list[np.ndarray], end: int, slots: int = 512, window: int = 16) -> np.ndarray:
     """Log10 of the model's chance of each text's symbols. Slots go on in windows, and the state goes on from window to
     window to the end of a text; a text begins after an end, with an empty state."""
-    out = np.zeros(len(texts))
-    symbols, number, steps = _lay_out(texts, slots)
-    h, bounded = np.zeros((symbols.shape[1], HIDDEN), np.float32), net.bounded()
-    before, last = np.full(symbols.shape[1], end, np.int32), np.full(symbols.shape[1], -1, np.int32)
-    for a in range(0, len(symbols), window):
-        part = symbols[a : a + window]
-        states = np.zeros((*part.shape, HIDDEN), np.float32)
-        for t, y in enumerate(part):
-            k = int(np.searchsorted(-steps, -(a + t), side="left"))  # slots that have more
-            starts = number[a + t, :k] != last[:k]
-            h[:k][starts] = 0
-            before[:k][starts] = end
-            h[:k] = net.step(before[:k], h[:k])[0]
-            states[t, :k] = h[:k]
-            before[:k], last[:k] = y[:k], number[a + t, :k]
-        own = number[a : a + window] >= 0
-        chance, _ = net.log_chance(states[own], part[own], bounded=bounded)
-        out += np.bincount(number[a : a + window][own], chance.astype(np.float64), minlength=len(texts))
+    out, bounded, cell = np.zeros(len(texts)), net.bounded(), Cell(net.w)
+    h = np.zeros((slots, HIDDEN), np.float32)
+    for x, y, starts, number in Slots(texts, end, slots, window):
+        k = x.shape[1]
+        h, room, states = h[:k], np.empty((4, k, HIDDEN), np.float32), np.empty((*y.shape, HIDDEN), np.float32)
+        for t in range(len(x)):
+            h[starts[t]] = 0
+            cell.step(x[t], h, *room)
+            states[t] = h
+        own = number >= 0
+        chance, _ = net.log_chance(states[own], y[own], bounded=bounded)
+        out += np.bincount(number[own], chance.astype(np.float64), minlength=len(texts))
     return out / math.log(10)
 
 
-def train_texts(net: Network, texts: list[np.ndarray], end: int, slots: int = 96, window: int = 32, rate: float = 0.1) -> None:
-    """Adagrad steps by truncated back-propagation through time: gradients stay within a window, states go on."""
-    squares = {k: np.full_like(v, 1e-2) for k, v in net.w.items()}
-    symbols, number, steps = _lay_out(texts, slots)
-    h = np.zeros((symbols.shape[1], HIDDEN), np.float32)
-    before, last = np.full(symbols.shape[1], end, np.int32), np.full(symbols.shape[1], -1, np.int32)
-    for a in range(0, len(symbols), window):
-        part, numbers = symbols[a : a + window], number[a : a + window]
-        k = int(np.searchsorted(-steps, -a, side="left"))
-        way, states = [], np.zeros((len(part), k, HIDDEN), np.float32)
-        for t, y in enumerate(part):
-            starts = numbers[t, :k] != last[:k]
-            h[:k][starts] = 0
-            x = np.where(starts, end, before[:k])
-            old = h[:k].copy()
-            h[:k], rz, new, gh = net.step(x, old)
-            states[t] = h[:k]
-            way.append((x, old, rz, new, gh, ~starts))
-            before[:k], last[:k] = y[:k], numbers[t, :k]
-        own = numbers[:, :k] >= 0
-        grad = {key: np.zeros_like(v) for key, v in net.w.items()}
-        _, back = net.log_chance(states[own], part[:, :k][own], grad)
+def gradient(net: Network, x: np.ndarray, y: np.ndarray, starts: np.ndarray, own: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """The gradient, within one window, of the negative log chance of the symbols `y` at `own` (steps x slots) after the inputs
+    `x`: by name, that of `x` for the rows of those symbols only that come up, which it returns as well. `h`, the state before
+    the window, becomes the one after it."""
+    (steps, k), kind = x.shape, h.dtype
+    order = np.argsort(x.ravel().astype(np.uint16), kind="stable")
+    new_row = np.diff(x.ravel()[order], prepend=-1) != 0
+    first = np.flatnonzero(new_row)
+    rows, local = x.ravel()[order[first]], np.empty(x.size, np.int64)
+    local[order] = np.cumsum(new_row) - 1
+    cell, local = Cell(net.w, rows), local.reshape(x.shape)
+    old, r, z, new, inner, states = (np.empty((steps, k, HIDDEN), kind) for _ in range(6))
+    for t in range(steps):
+        h[starts[t]] = 0
+        old[t] = h
+        cell.step(local[t], h, r[t], z[t], new[t], inner[t])
+        states[t] = h
+    grad = {key: np.zeros_like(v) for key, v in net.w.items() if key != "x"}
+    if own.all():
+        to_states = net.log_chance(states.reshape(-1, HIDDEN), y.ravel(), grad, net.bounded())[1].reshape(states.shape)
+    else:
         to_states = np.zeros_like(states)
-        to_states[own] = back
-        dh = np.zeros((k, HIDDEN), np.float32)
-        gates = np.zeros((len(part), k, 3 * HIDDEN), np.float32)
-        for t in range(len(part) - 1, -1, -1):
-            x, old, rz, new, gh, goes_on = way[t]
-            dh = dh + to_states[t]
-            r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-            d_new = dh * (1 - z) * (1 - new * new)
-            d_gx = np.concatenate([d_new * gh[:, 2 * HIDDEN :] * r * (1 - r), dh * (old - new) * z * (1 - z), d_new], axis=1)
-            d_gh = d_gx.copy()
-            d_gh[:, 2 * HIDDEN :] *= r
-            grad["u"] += old.T @ d_gh
-            grad["b"] += d_gh.sum(axis=0)
-            gates[t] = d_gx
-            dh = (dh * z + d_gh @ net.w["u"].T) * goes_on[:, None]
-        x, gates = np.concatenate([w[0] for w in way]), gates.reshape(-1, 3 * HIDDEN)
-        order = np.argsort(x, kind="stable")
-        first = np.flatnonzero(np.diff(x[order], prepend=-1))
-        grad["x"][x[order[first]]] = np.add.reduceat(gates[order], first, axis=0)
+        to_states[own] = net.log_chance(states[own], y[own], grad, net.bounded())[1]
+    to_gates, d_inner = np.empty((steps, k, 3 * HIDDEN), kind), np.empty((steps, k, HIDDEN), kind)
+    d_r, d_z, d_new = (to_gates[:, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
+    dh, room = np.zeros((k, HIDDEN), kind), np.empty((k, HIDDEN), kind)
+    u_back = [np.ascontiguousarray(net.w["u"][:, i * HIDDEN : (i + 1) * HIDDEN].T) for i in range(3)]
+    for t in range(steps - 1, -1, -1):
+        dh += to_states[t]
+        back = dh * (1 - z[t])
+        back *= 1 - new[t] * new[t]
+        d_new[t] = back
+        np.multiply(back, r[t], out=d_inner[t])
+        back *= inner[t]
+        back *= r[t]
+        back *= 1 - r[t]
+        d_r[t] = back
+        np.matmul(back, u_back[0], out=room)
+        np.subtract(old[t], new[t], out=back)
+        back *= dh
+        back *= z[t]
+        back *= 1 - z[t]
+        d_z[t] = back
+        dh *= z[t]
+        dh += room
+        dh += np.matmul(back, u_back[1], out=room)
+        dh += np.matmul(d_inner[t], u_back[2], out=room)
+        dh[starts[t]] = 0
+    flat, flat_old, ones = to_gates.reshape(-1, 3 * HIDDEN), old.reshape(-1, HIDDEN).T, np.ones(steps * k, kind)
+    both = slice(0, 2 * HIDDEN), slice(2 * HIDDEN, None)
+    for at, part in zip(both, (flat[:, both[0]], d_inner.reshape(-1, HIDDEN)), strict=True):
+        grad["u"][:, at] += flat_old @ part
+        grad["b"][at] += ones @ part
+    grad["x"] = np.add.reduceat(flat.take(order, 0), first, axis=0)
+    return grad, rows
+
+
+def train_texts(net: Network, texts: list[np.ndarray], end: int, slots: int = 192, window: int = 16, rate: float = 0.1) -> None:
+    """Adagrad steps by truncated back-propagation through time: gradients stay within a window, states go on. The sums of
+    squares stay with the network, so it makes no difference how many calls its texts come in."""
+    if not net.squares:
+        net.squares = {k: np.full_like(v, 1e-2) for k, v in net.w.items()}
+    h = np.zeros((slots, HIDDEN), np.float32)
+    for x, y, starts, number in Slots(texts, end, slots, window):
+        own, h = number >= 0, h[: x.shape[1]]
+        grad, rows = gradient(net, x, y, starts, own, h)
         n = max(int(own.sum()), 1)
         for key, g in grad.items():
             g /= n / slots
             np.clip(g, -1, 1, out=g)
-            squares[key] += g * g
-            net.w[key] -= rate * g / np.sqrt(squares[key])
+            at = rows if key == "x" else slice(None)
+            squares = net.squares[key][at]
+            squares += g * g
+            net.squares[key][at] = squares
+            g *= rate
+            g /= np.sqrt(squares)
+            net.w[key][at] -= g
 
 
 def round_of(text: str | None, rounds: int) -> int:
@@ -292,28 +371,64 @@ def _average(rows: list[tuple[int, bytes]]) -> tuple[int, dict[str, np.ndarray]]
     return total, out
 
 
+def encode(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> DataFrame:
+    """What training and scoring need of each row's text (column text, beside any others), so that words are looked up once:
+    the other columns, n_tokens, n_known and logs (the sum of the log10 of the counts, and 1), inner (of the log10 of the
+    chances within the symbols), each over the table's words, hashes and times of the other words, round, and symbols as
+    unsigned 16-bit numbers."""
+    symbol, (static, _, _) = vocabulary.symbol_of_rank().astype("<u2"), vocabulary.static()
+    sent = rows.sparkSession.sparkContext.broadcast((vocabulary.rank, symbol, np.append(static, 0), np.append(np.log10(vocabulary.counts + 1), 0)))  # TABLE_WORDS words at most
+    others = [c for c in rows.columns if c != "text"]
+    names = [*others, "n_tokens", "n_known", "logs", "inner", "hashes", "times", "round", "symbols"]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rank, symbol, within, log_count = sent.value
+        for batch in batches:
+            texts, at = batch.column(len(others)).to_pylist(), 0
+            while at < len(texts):
+                first, size, numbers, hashes, times, part = at, 0, [], [], [], []
+                while at < len(texts) and size < 4_000_000:
+                    words = words_of(texts[at])
+                    words.append(END)
+                    found = np.fromiter(map(rank.get, words, repeat(-1)), np.int32, len(words))
+                    other = Counter(words[i] for i in np.flatnonzero(found < 0).tolist())
+                    hashes.append(np.array([xxhash.xxh64_intdigest(w, 42) for w in other], np.uint64).view(np.int64))
+                    times.append(np.array(list(other.values()), np.int32))
+                    numbers.append((len(found), int((found >= 0).sum()), float(log_count[found].sum()), float(within[found].sum()), round_of(texts[at], rounds)))
+                    part.append(symbol[found].tobytes())
+                    size += len(found)
+                    at += 1
+                n, known, logs, inner, round_ = zip(*numbers, strict=True)
+                head = batch.slice(first, at - first)
+                data = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(inner), pa.array(hashes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), pa.array(round_, pa.int32()), pa.array(part, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*head.columns[:-1], *data], names)
+
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others)
+    schema = f"{kinds}{', ' if kinds else ''}n_tokens long, n_known long, logs double, inner double, hashes array<long>, times array<int>, round int, symbols binary"
+    return rows.select(*others, "text").mapInArrow(task, schema)
+
+
 def train(texts: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, seed: int = 0, at_once: int = 2_000_000) -> Network:
-    """Train on every token of every row of `texts` (text), from the start of a text to its end. Each text has its round; in
-    each round each task goes from the same weights over its texts of that round, and the tasks' weights are averaged by
-    their symbols, in a tree, so that no more than 32 sets of weights meet anywhere."""
-    spark = texts.sparkSession
+    """Train on every token of every row of `texts` (text); see train_encoded."""
+    return train_encoded(stage(encode(texts.select("text"), vocabulary, rounds).select("round", "symbols")), vocabulary, rounds=rounds, seed=seed, at_once=at_once)
+
+
+def train_encoded(encoded: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, seed: int = 0, at_once: int = 2_000_000) -> Network:
+    """Train on all symbols of every row of `encoded` (round, symbols; staged), from the start of a text to its end. In each round
+    each task goes from the same weights over its texts of that round, some `at_once` symbols at a time, and the tasks'
+    weights are averaged by their symbols, in a tree, so that no more than 32 sets of weights meet anywhere."""
+    spark = encoded.sparkSession
     symbol = vocabulary.symbol_of_rank()
     counts = np.bincount(symbol, np.append(vocabulary.counts, max(vocabulary.total - vocabulary.counts.sum(), 0)), minlength=CLASSES * WIDTH)
-    net = Network.initial(counts, seed)
-    words = spark.sparkContext.broadcast((vocabulary.rank, symbol))  # TABLE_WORDS words at most
+    net, end = Network.initial(counts, seed), int(symbol[vocabulary.rank.get(END, -1)])
     for part in range(rounds):
         sent = spark.sparkContext.broadcast(net.w)
 
-        def task(batches: Iterator[pa.RecordBatch], part: int = part, sent=sent) -> Iterator[pa.RecordBatch]:
-            (rank, symbol), own = words.value, Network({k: v.copy() for k, v in sent.value.items()})
-            end, n, held, size = int(symbol[rank.get(END, -1)]), 0, [], 0
+        def task(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            own, n, held, size = Network({k: v.copy() for k, v in sent.value.items()}), 0, [], 0
             for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    if round_of(text, rounds) != part:
-                        continue
-                    found = words_of(text)
-                    found.append(END)
-                    held.append(symbol[[rank.get(w, -1) for w in found]])
+                for symbols in batch.column(0):
+                    held.append(np.frombuffer(symbols.as_py(), "<u2"))
                     size += len(held[-1])
                     if size >= at_once:
                         train_texts(own, held, end)
@@ -328,7 +443,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, seed: in
             n, weights = _average(list(zip(table.column("n").to_pylist(), table.column("data").to_pylist(), strict=True)))
             return pa.table({"part": table.column("part")[:1], "n": [n], "data": pa.array([pickle.dumps(weights)], pa.binary())})
 
-        found = stage(texts.mapInArrow(task, "part long, n long, data binary"))
+        found = stage(encoded.where(F.col("round") == part).select("symbols").mapInArrow(task, "part long, n long, data binary"))
         while found.count() > 32:
             groups = found.withColumn("part", F.floor(F.col("part") / 32))
             found = stage(groups.groupBy("part").applyInArrow(merge, "part long, n long, data binary"))
@@ -353,51 +468,37 @@ def score(docs: DataFrame, *, held_out_of: int = 7, held_out: int = 2, id_col: s
     spark = docs.sparkSession
     rest_of = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % held_out_of
     rows = docs.select(F.col(id_col).alias("doc_id"), (rest_of == held_out).alias("held_out"), F.col(text_col).alias("text"))
-    learn = rows.where("not held_out").select("text")
 
-    counts = stage(count_words(learn))
+    counts = stage(count_words(rows.where("not held_out").select("text")))
     sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count("*").alias("distinct")).first()
     table = most_frequent(counts)
-    rank = {w: i for i, (w, _) in enumerate(table)}
-    vocabulary = Vocabulary(rank, np.array([n for _, n in table], np.int64), int(sums["total"]), int(sums["distinct"]))
-    net = train(learn, vocabulary)
+    vocabulary = Vocabulary({w: i for i, (w, _) in enumerate(table)}, np.array([n for _, n in table], np.int64), int(sums["total"]), int(sums["distinct"]))
+    _, rest_divisor, divisor = vocabulary.static()
+    encoded = stage(encode(rows, vocabulary).withColumn("row", F.monotonically_increasing_id()))
+    net = train_encoded(encoded.where("not held_out"), vocabulary)
 
-    symbol = vocabulary.symbol_of_rank()
-    static, rest_divisor, divisor = vocabulary.static()
-    sent = spark.sparkContext.broadcast((rank, symbol, static, np.append(np.log10(vocabulary.counts + 1), 0), net.w))
-    id_type = docs.schema[id_col].dataType.simpleString()
+    end, sent = int(vocabulary.symbol_of_rank()[vocabulary.rank.get(END, -1)]), spark.sparkContext.broadcast(net.w)
+    kept = ["doc_id", "held_out", "n_tokens", "n_known", "logs", "row"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, symbol, static, log_count, weights = sent.value
-        own, end, within = Network(weights), int(symbol[rank.get(END, -1)]), np.append(static, 0)
+        own = Network(sent.value)
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            at = 0
-            while at < len(texts):
-                chunk, numbers, hashes, times, size = [], [], [], [], 0
-                while at < len(texts) and size < 4_000_000:
-                    words = words_of(texts[at])
-                    words.append(END)
-                    found = np.fromiter(map(rank.get, words, repeat(-1)), np.int32, len(words))
-                    other = Counter(words[i] for i in np.flatnonzero(found < 0).tolist())
-                    hashes.append(np.array([xxhash.xxh64_intdigest(w, 42) for w in other], np.uint64).view(np.int64))
-                    times.append(np.array(list(other.values()), np.int32))
-                    numbers.append((len(found), int((found >= 0).sum()), float(log_count[found].sum()), float(within[found].sum())))
-                    chunk.append(symbol[found])
-                    size += len(found)
+            lengths, at = batch.column(2).to_pylist(), 0
+            while at < batch.num_rows:
+                first, size = at, 0
+                while at < batch.num_rows and size < 4_000_000:
+                    size += lengths[at]
                     at += 1
-                chances = score_texts(own, chunk, end)
-                head = batch.slice(at - len(chunk), len(chunk))
-                n, known, logs, inner = (np.array(c) for c in zip(*numbers, strict=True))
-                data = [head.column(0), head.column(1), pa.array(n), pa.array(known), pa.array(logs), pa.array(chances + inner), pa.array(hashes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(data, ["doc_id", "held_out", "n_tokens", "n_known", "logs", "chance", "hashes", "times"])
-
-    made = rows.mapInArrow(task, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, logs double, chance double, hashes array<long>, times array<int>")
-    made = stage(made.withColumn("row", F.monotonically_increasing_id()))
-    others = made.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("o")).select("row", F.col("o.hashes").alias("hash"), F.col("o.times").alias("times"))
+                part = batch.slice(first, at - first)
+                chances = score_texts(own, [np.frombuffer(x.as_py(), "<u2") for x in part.column(len(kept) + 1)], end)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], pa.array(chances + part.column(len(kept)).to_numpy())], [*kept, "chance"])
+
+    schema = ", ".join(f"{c} {encoded.schema[c].dataType.simpleString()}" for c in kept)
+    made = encoded.select(*kept, "inner", "symbols").mapInArrow(task, f"{schema}, chance double")
+    others = encoded.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("o")).select("row", F.col("o.hashes").alias("hash"), F.col("o.times").alias("times"))
     seen = counts.select(F.xxhash64("word").alias("hash"), "n")
     others = others.join(seen, "hash").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"))
-    out = made.drop("hashes", "times").join(others, "row", "left")
+    out = made.join(others, "row", "left")
     more, logs = F.coalesce("more", F.lit(0)), F.coalesce("more_logs", F.lit(0.0))
     rest = F.col("n_tokens") - F.col("n_known")
     return out.select(

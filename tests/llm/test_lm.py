@@ -177,3 +177,48 @@ def test_query_beats_counts_on_held_out_texts(spark, middle):
     check(rows, [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{middle}/documents.parquet").collect()])
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_gradient_through_time():
+    """One window's gradient of the recurrent weights against differences, with texts that begin within it and state before it."""
+    net, rng = small_network(5), np.random.default_rng(4)
+    net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
+    steps, k = 7, 3
+    y = rng.integers(0, lm.CLASSES * lm.WIDTH, (steps, k)).astype(np.int32)
+    x = rng.integers(0, 40, (steps, k)).astype(np.int32)
+    starts, own = rng.random((steps, k)) < 0.2, np.ones((steps, k), bool)
+    own[-2:, 2] = False
+    h0 = np.tanh(rng.normal(size=(k, lm.HIDDEN)))
+
+    def loss():
+        cell, h, total = lm.Cell(net.w), h0.copy(), 0.0
+        for t in range(steps):
+            h[starts[t]] = 0
+            cell.step(x[t], h, *np.empty((4, k, lm.HIDDEN)))
+            total -= net.log_chance(h[own[t]], y[t][own[t]])[0].sum()
+        return total
+
+    grad, rows = lm.gradient(net, x, y, starts, own, h0.copy())
+    at_row = {int(r): i for i, r in enumerate(rows)}
+    assert sorted(at_row) == sorted(set(x.ravel().tolist()))
+    places = [("u", (3, 5)), ("u", (0, 30)), ("u", (7, 60)), ("b", (2,)), ("b", (33,)), ("b", (70,)), ("wc", (1, 2)), ("x", (int(x[0, 0]), 4)), ("x", (int(x[2, 1]), 29)), ("x", (int(x[4, 2]), 66))]
+    for key, at in places:
+        was = net.w[key][at]
+        net.w[key][at] = was + 1e-5
+        up = loss()
+        net.w[key][at] = was - 1e-5
+        down = loss()
+        net.w[key][at] = was
+        got = grad[key][(at_row[at[0]], at[1])] if key == "x" else grad[key][at]
+        assert got == pytest.approx((up - down) / 2e-5, rel=1e-4, abs=1e-6), (key, at)
+
+
+def test_a_long_text_beside_short_ones_takes_little_room():
+    import tracemalloc
+
+    net, texts = small_network(), [np.zeros(500_000, np.uint16), *(np.zeros(5, np.uint16) for _ in range(511))]
+    tracemalloc.start()
+    assert np.isfinite(lm.score_texts(net, texts, 5)).all()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100_000_000
