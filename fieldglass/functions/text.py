@@ -20,9 +20,9 @@ QUALIFIERS = (
     r"(?i)^(.+?)\s+district$",
 )
 #: Particles that belong to the surname after them.
-PARTICLES = ("al", "bin", "da", "de", "del", "della", "den", "der", "di", "do", "dos", "du", "el", "la", "le", "st", "ten", "ter", "van", "von")
+PARTICLES = ("abu", "al", "bani", "ben", "bin", "da", "de", "del", "della", "den", "der", "di", "do", "dos", "du", "el", "la", "le", "st", "ten", "ter", "van", "von")
 #: Characters that an encoded title keeps besides letters and digits.
-TITLE_SAFE = "-._~/:@!$&'()*,;="
+TITLE_SAFE = "-._~/:@!$&'()*+,;="
 
 
 @cache
@@ -79,15 +79,16 @@ def strip_qualifier(c: Column, patterns: Sequence[str] = QUALIFIERS) -> Column:
 
 
 def given_and_surname(c: Column) -> Column:
-    """`SURNAME Given ...` as `Given Surname`, with capitals at the starts of its parts."""
+    """`SURNAME Given ...` as `Given Surname`, with a capital after each character that is no letter."""
     parts = F.split(F.trim(c), r"\s+")
     upper = F.filter(parts, lambda p: (p == F.upper(p)) & (F.length(p) > 1))
     other = F.filter(parts, lambda p: ~((p == F.upper(p)) & (F.length(p) > 1)))
-    return F.trim(F.concat_ws(" ", F.get(other, F.lit(0)), F.initcap(F.lower(F.array_join(upper, " ")))))
+    titled = F.array_join(F.transform(F.split(F.lower(F.array_join(upper, " ")), r"(?<=[^\p{L}])"), F.initcap), "")
+    return F.trim(F.concat_ws(" ", F.get(other, F.lit(0)), titled))
 
 
 def surname(c: Column, particles: Sequence[str] = PARTICLES) -> Column:
-    """The last part of a name with the particles right before it; a name of one part is its own surname."""
+    """The last part of a name with the particles right before it, the first part aside; a name of one part is its own surname."""
     parts = F.filter(F.split(F.trim(c), r"\s+"), lambda p: p != "")
     before = F.slice(F.reverse(parts), 2, F.greatest(F.size(parts) - 2, F.lit(0)))
     known = F.array(*map(F.lit, particles))
@@ -100,10 +101,11 @@ def surname(c: Column, particles: Sequence[str] = PARTICLES) -> Column:
 
 
 def title_of_link(c: Column, prefix: str = "/wiki/") -> Column:
-    """The title in a link whose path starts with `prefix`, else null; links may be absolute, or lack host or scheme."""
+    """The title in a link whose path starts with `prefix`, else null; links may be absolute, or lack host or scheme. A percent
+    sign that encodes nothing stands for itself."""
     path = F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
-    raw = F.substr(path, F.lit(len(prefix) + 1))
-    return F.when(F.startswith(path, F.lit(prefix)), F.replace(F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), F.lit("_"), F.lit(" ")))
+    raw = F.regexp_replace(F.replace(F.substr(path, F.lit(len(prefix) + 1)), F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.when(F.startswith(path, F.lit(prefix)), F.replace(F.url_decode(raw), F.lit("_"), F.lit(" ")))
 
 
 def link_of_title(c: Column) -> Column:
@@ -112,6 +114,11 @@ def link_of_title(c: Column) -> Column:
     return reduce(lambda out, ch: F.replace(out, F.lit(f"%{ord(ch):02X}"), F.lit(ch)), TITLE_SAFE, encoded)
 
 
+def page_address(language: Column, title: Column, site: str = "wikipedia.org") -> Column:
+    """The address of a title's page in a language."""
+    return F.concat(F.lit("https://"), language, F.lit(f".{site}/wiki/"), link_of_title(title))
+
+
 def last_token(c: Column) -> Column:
     return F.element_at(F.split(F.trim(c), r"\s+"), -1)
 
