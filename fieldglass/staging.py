@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable, Sequence
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,29 +12,45 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors reach; only where that is unset, a folder of our own."""
+    """The folder in spark.checkpoint.dir, which all executors reach. Where that is unset, one of our own: in the warehouse, or, if
+    there is one machine only, among its temporary files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="fieldglass-")
+        if spark.sparkContext.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="fieldglass-")
+        else:
+            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fieldglass-staged"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
-_staged: list[str] = []
+#: Paths that were staged since the `stage_only` that this thread, or whoever started it, is in.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Write `df` as Parquet in the shared folder and read it back.
+def scratch(spark: SparkSession) -> str:
+    """A new folder in the shared folder for files that go when the JVM ends."""
+    path = f"{shared_folder(spark)}/files-{uuid4().hex}"
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+    return path
+
+
+def stage(df: DataFrame, **options: str) -> DataFrame:
+    """Write `df` as Parquet in the shared folder, with any options of the writer, and read it back.
 
     This cuts the lineage: what an executor had computed survives its loss, and rows that depend on how they were
     dealt out stay as they are. The files go when the JVM ends, or before by `drop` or `stage_only`.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage-{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     fs, target = _file_system(spark, path)
     fs.deleteOnExit(target)
-    _staged.append(path)
+    staged = _staged.get()
+    if staged is not None:
+        staged.append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
     return out
@@ -47,8 +64,6 @@ def _file_system(spark: SparkSession, path: str):
 def _delete(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
-    if path in _staged:
-        _staged.remove(path)
 
 
 def drop(df: DataFrame) -> None:
@@ -59,10 +74,15 @@ def drop(df: DataFrame) -> None:
 
 
 def stage_only(make: Callable[[], DataFrame]) -> DataFrame:
-    """Stage what `make` returns, and delete all that was staged on the way to it."""
-    before = len(_staged)
-    out = stage(make())
-    for path in _staged[before:-1]:
+    """Stage what `make` returns, and delete all that it staged on the way to it."""
+    own: list[str] = []
+    token = _staged.set(own)
+    try:
+        made = make()
+    finally:
+        _staged.reset(token)
+    out = stage(made)
+    for path in own:
         _delete(out.sparkSession, path)
     return out
 
