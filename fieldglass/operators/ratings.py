@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldglass.operators.relational import densify
+from fieldglass.staging import stage
 
 #: The log's tokens. A match moves points from the second team to the first, a rename moves a rating to
 #: another code (`XX`: the team is dissolved), an adjustment adds points.
@@ -26,9 +27,10 @@ def parse_log(lines: DataFrame, line_no: str = "line_no", text: str = "value") -
     year = F.when(full, F.substring(digits, 1, 4).cast("int"))
     month = F.when(full, F.substring(digits, 5, 2).cast("int")).when(short, F.expr("CAST(left(d, length(d) - 2) AS INT)"))
     order = Window.orderBy(line_no).rowsBetween(Window.unboundedPreceding, 0)
-    rest = F.regexp_extract(line, rf"^\d*((?:{MATCH}|{RENAME}|{ADJUST})*)", 1)
-    rows = lines.where(F.length(line) > 0).withColumn("d", digits).select(line_no, rest.alias("rest"), F.last(year, True).over(order).alias("y"), F.last(month, True).over(order).alias("m"))
-    tokens = rows.select(line_no, F.make_date("y", "m", F.lit(1)).alias("month"), F.posexplode(F.regexp_extract_all("rest", F.lit(f"({MATCH}|{RENAME}|{ADJUST})"), F.lit(1))).alias("place", "token"))
+    #: Each token begins where the one before ended, so no group repeats: on that a matcher's stack grows with the line.
+    found = F.regexp_extract_all(line, F.lit(rf"(?:^\d*|\G(?!^))({MATCH}|{RENAME}|{ADJUST})"), F.lit(1))
+    rows = lines.where(F.length(line) > 0).withColumn("d", digits).select(line_no, found.alias("found"), F.last(year, True).over(order).alias("y"), F.last(month, True).over(order).alias("m"))
+    tokens = rows.select(line_no, F.make_date("y", "m", F.lit(1)).alias("month"), F.posexplode("found").alias("place", "token"))
     kind = F.when(F.col("token").rlike(f"^{MATCH}$"), "match").when(F.col("token").rlike("^[A-Z]{4}$"), "rename").otherwise("adjust")
     points = F.regexp_extract("token", r"(-?\d+)$", 1).try_cast("long")
     return tokens.select(F.struct(F.col(line_no).alias("line"), "place").alias("seq"), "month", kind.alias("kind"), F.substring("token", 1, 2).alias("a"), F.when(kind != "adjust", F.substring("token", 3, 2)).alias("b"), points.alias("points"))
@@ -89,7 +91,7 @@ def month_ends(events: DataFrame) -> DataFrame:
 
 def rating_history(lines: DataFrame, line_no: str = "line_no", text: str = "value") -> DataFrame:
     """(code, month, rating) for every month from a code's first to the log's last, as long as the code exists."""
-    ends = month_ends(parse_log(lines, line_no, text))
+    ends = stage(month_ends(stage(parse_log(lines, line_no, text))))  # the log is read once
     dense = densify(ends.select("code", "month", F.struct("rating").alias("held")), "code", "month", "held")
     return dense.select("code", "month", F.col("held.rating").alias("rating")).where("rating is not null")
 
