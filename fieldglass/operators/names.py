@@ -75,12 +75,23 @@ RULES: list[tuple[str, int, Callable[[list[str], list[str]], bool]]] = [
 ]
 
 
+#: What matches are called in results where that isn't their rule's own name. Equal folded names go before all rules.
+KINDS = {"tail": "initials+tail"}
+EQUAL = ("norm", 5)
+
+
 def match_kind(a: list[str], b: list[str]) -> tuple[str, int] | None:
     """The kind and rank of the match of two names given by their parts."""
     short, long = (a, b) if len(a) <= len(b) else (b, a)
     return next(((kind, rank) for kind, rank, rule in RULES if short and rule(short, long)), None)
 
 
+def _kind(a: list[str], b: list[str], rules: list[tuple[str, Callable[[list[str], list[str]], bool]]]) -> str | None:
+    """The first of some rules by which two names given by their parts match."""
+    short, long = (a, b) if len(a) <= len(b) else (b, a)
+    return next((kind for kind, rule in rules if short and rule(short, long)), None)
+
+
 class _Index:
     """Finds the names that a name can match at all. By every rule the last part of the shorter name agrees with a part of
     the longer one, or sounds like its last part; a name is filed under all that this can be."""
@@ -131,19 +142,27 @@ def match_names(left: DataFrame, right: DataFrame, block: str, left_name: str, r
     def greedy(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         a, b = list(a.sort_values("left_name").itertuples()), list(b.sort_values("id").itertuples())
         index = _Index([(y.folded, list(y.parts)) for y in b])
-        found = []
-        for i, x in enumerate(a):
-            for j in index.candidates(x.folded, list(x.parts)):
-                y = b[j]
-                kind = ("folded", 5) if x.folded == y.folded else match_kind(list(x.parts), list(y.parts))
-                if kind:
-                    found.append((-kind[1], -difflib.SequenceMatcher(None, x.normal, y.normal).ratio(), i, j, kind[0]))
+        near = [index.candidates(x.folded, list(x.parts)) for x in a]
         used_a, used_b, rows = set(), set(), []
-        for _, _, i, j, kind in sorted(found, key=lambda f: f[:4]):
-            if i not in used_a and j not in used_b:
-                used_a.add(i)
-                used_b.add(j)
-                rows.append((a[i].block, b[j].id, a[i].left_name, b[j].right_name, kind))
+        #: Rank by rank: a pair whose names are both still free matched by no rule of a higher rank, or it would have been taken.
+        for rank in sorted({EQUAL[1], *(r for _, r, _ in RULES)}, reverse=True):
+            rules, found = [(kind, rule) for kind, r, rule in RULES if r == rank], []
+            for i, x in enumerate(a):
+                if i in used_a:
+                    continue
+                parts = list(x.parts)
+                for j in near[i]:
+                    if j in used_b:
+                        continue
+                    y = b[j]
+                    kind = (EQUAL[0] if x.folded == y.folded else None) if rank == EQUAL[1] else _kind(parts, list(y.parts), rules)
+                    if kind:
+                        found.append((-difflib.SequenceMatcher(None, x.normal, y.normal).ratio(), i, j, kind))
+            for _, i, j, kind in sorted(found):
+                if i not in used_a and j not in used_b:
+                    used_a.add(i)
+                    used_b.add(j)
+                    rows.append((a[i].block, b[j].id, a[i].left_name, b[j].right_name, KINDS.get(kind, kind)))
         return pd.DataFrame(rows, columns=["block", "id", "left_name", "right_name", "kind"])
 
     def parts(df: DataFrame, name: str) -> DataFrame:
