@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldglass.functions.geo import KM_PER_DEGREE, gaussian_density, haversine_km, inside, log2_risk
+from fieldglass.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, gaussian_density, haversine_km, inside, log2_risk
+from fieldglass.staging import stage
 
-#: Points up to this many are broadcast to look for the nearest.
+#: Points up to this many are broadcast to look for the nearest; the result is the same beyond.
 MAX_BROADCAST_POINTS = 200_000
 
 
@@ -65,15 +69,49 @@ def local_maxima(cells: DataFrame, value: str, reach: int) -> DataFrame:
 
 
 def nearest(rows: DataFrame, points: DataFrame, lat: str, lon: str, point_lat: str, point_lon: str, order: Sequence[str]) -> DataFrame:
-    """Each row with its nearest point as a struct `nearest`, with `km`; ties by `order`. For rows that are few."""
-    ids = rows.withColumn("row id", F.monotonically_increasing_id())
+    """Each row with its nearest point as a struct `nearest`, with `km`; ties by `order`. Rows or points without a place have
+    none and are none. Where points are many they are looked for cell by cell."""
+    ids = rows.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).withColumn("row id", F.monotonically_increasing_id())
     points = points.where(F.col(point_lat).isNotNull() & F.col(point_lon).isNotNull())
-    some = points.limit(MAX_BROADCAST_POINTS + 1).count() <= MAX_BROADCAST_POINTS
+    few = points.limit(MAX_BROADCAST_POINTS + 1).count() <= MAX_BROADCAST_POINTS
     points = points.select(F.struct(*points.columns).alias("point"))
-    pairs = ids.crossJoin(F.broadcast(points) if some else points)
     km = haversine_km(F.col(lat), F.col(lon), F.col(f"point.{point_lat}"), F.col(f"point.{point_lon}"))
     best = F.min_by(F.struct(F.col("point"), km.alias("km")), F.struct(km, *(F.col(f"point.{c}") for c in order)))
-    return pairs.groupBy(*ids.columns).agg(best.alias("found")).select(*rows.columns, F.col("found.point").alias("nearest"), "found.km")
+    if few:
+        found = ids.crossJoin(F.broadcast(points)).groupBy(*ids.columns).agg(best.alias("found"))
+    else:
+        found = _by_cells(stage(ids), stage(points), (lat, lon), (f"point.{point_lat}", f"point.{point_lon}"), best)
+    return found.select(*rows.columns, F.col("found.point").alias("nearest"), "found.km")
+
+
+def _by_cells(ids: DataFrame, points: DataFrame, at: tuple[str, str], point_at: tuple[str, str], best: Column, first: float = 1 / 64) -> DataFrame:
+    """`ids` with found: the best of the points in the cells around. Cells are cubes in the space around a globe of radius 1, so
+    no pole or date line is in the way. A point beyond the cells next to a row's own is at least a cell's side away: a row whose
+    best is nearer is done, the others go on with cells twice as wide."""
+
+    def axes(lat: str, lon: str) -> list[Column]:
+        up, round_ = F.radians(F.col(lat)), F.radians(F.col(lon))
+        return [F.cos(up) * F.cos(round_), F.cos(up) * F.sin(round_), F.sin(up)]
+
+    left, done, side = ids, [], first
+    while True:
+        cell = lambda c, side=side: F.floor(c / F.lit(side))
+        own = [cell(c) for c in axes(*at)]
+        around = F.array(*(F.struct(*((own[k] + d[k]).alias(f"cell {k}") for k in range(3))) for d in product((-1, 0, 1), repeat=3)))
+        keys = [f"cell {k}" for k in range(3)]
+        spread = left.select("*", F.inline(around))
+        filed = points.select("point", *(cell(c).alias(k) for c, k in zip(axes(*point_at), keys, strict=True)))
+        found = stage(spread.join(filed, keys).groupBy(*ids.columns).agg(best.alias("found")))
+        sure = 2 * EARTH_RADIUS_KM * math.asin(min(side / 2, 1.0)) * (1 - 1e-9)
+        ok = found if side >= 2 else found.where(F.col("found.km") <= sure)
+        done.append(ok)
+        if side >= 2:
+            break
+        left = stage(left.join(ok.select("row id"), "row id", "left_anti"))
+        if left.isEmpty():
+            break
+        side *= 2
+    return reduce(DataFrame.unionByName, done)
 
 
 def hotspots(cells: DataFrame, places: DataFrame, *, step: float, bandwidth_km: float, top: int, lat: str = "lat", lon: str = "lon", order: Sequence[str] = ("name",), value: str = "log2_risk") -> DataFrame:
