@@ -89,7 +89,7 @@ def _flatten(value, path: str = "$") -> Iterator[tuple[str, str]]:
         yield path, json.dumps(value, ensure_ascii=False)
 
 
-@F.udtf(returnType="path string, leaf string")
+@F.udtf(returnType="path string, leaf string", useArrow=True)
 class JsonLeaves:
     """A JSON text's leaves, each with its path; a text that is no JSON is one leaf."""
 

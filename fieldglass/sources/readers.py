@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-import csv
 import io
+import json
 import re
+import time
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
+from urllib.request import urlopen
 from xml.etree import ElementTree
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from fieldglass.functions.numbers import parse_number
+from fieldglass.staging import running_total, stage
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -129,6 +133,65 @@ def read_pages(spark: SparkSession, folder: str, schema: str, items: str) -> Dat
     return spark.read.schema(f"{items} array<struct<{schema}>>").option("multiLine", True).json(folder).select(F.inline(items))
 
 
+class ServiceReader(DataSourceReader):
+    """Reads a service's pages: `address` with `{page}` in it, from 1 on. The first page tells how many there are (`pages`);
+    each is a partition of its own, read by an executor, up to `tries` times. Rows are (page, text)."""
+
+    def __init__(self, options: dict[str, str]):
+        self.address, self.tries = options["address"], int(options.get("tries", 3))
+
+    def _text(self, page: int) -> str:
+        address = self.address.replace("{page}", str(page))
+        for left in range(self.tries - 1, -1, -1):
+            try:
+                with urlopen(address, timeout=30) as answer:
+                    return answer.read().decode("utf-8")
+            except OSError:
+                if not left:
+                    raise
+                time.sleep(1)
+        raise ValueError("tries must be at least 1")
+
+    def partitions(self) -> list[InputPartition]:
+        return [InputPartition(i) for i in range(1, int(json.loads(self._text(1)).get("pages", 1)) + 1)]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple[int, str]]:
+        yield partition.value, self._text(partition.value)
+
+
+class ServiceSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "paged_service"
+
+    def schema(self) -> str:
+        return "page int, text string"
+
+    def reader(self, schema) -> ServiceReader:
+        return ServiceReader(self.options)
+
+
+def read_service(spark: SparkSession, address: str, schema: str, items: str, tries: int = 3) -> DataFrame:
+    """The rows of all pages of a service (or of captured ones in a store that Spark reads): `address` has `{page}` where the
+    number goes, and pages are read until the number that each tells in `pages`."""
+    kind = f"pages int, {items} array<struct<{schema}>>"
+    if re.match("https?://", address):
+        spark.dataSource.register(ServiceSource)
+        texts = spark.read.format("paged_service").option("address", address).option("tries", str(tries)).load().select("text")
+    else:
+        read = lambda page: spark.read.text(address.replace("{page}", str(page)), wholetext=True).select(F.col("value").alias("text"))
+        pages = read(1).select(F.from_json("text", kind)["pages"]).first()[0] or 1
+        texts = read(1) if pages == 1 else spark.read.text([address.replace("{page}", str(i)) for i in range(1, pages + 1)], wholetext=True).select(F.col("value").alias("text"))
+    return texts.select(F.inline(F.from_json("text", kind)[items]))
+
+
+def lookup_batches(rows: DataFrame, column: str, size: int = 50, separator: str = "|") -> DataFrame:
+    """(batch, request): the different values of a column, joined `size` at a time in their order, as services take them."""
+    different = stage(rows.where(F.col(column).isNotNull()).select(column).distinct().withColumn("one", F.lit(1).cast("long")))
+    numbered = running_total(different, [], [column], {"before": "one"}).withColumn("batch", F.floor(F.col("before") / size))
+    return numbered.groupBy("batch").agg(F.array_join(F.array_sort(F.collect_list(column)), separator).alias("request"))
+
+
 def cached_within(rows: DataFrame, fetched_at: str, now: Column, days: int = 30) -> DataFrame:
     """Rows of a cache that are not too old."""
     return rows.where(F.datediff(now, F.col(fetched_at)) <= days)
@@ -159,22 +222,32 @@ def sections(lines: DataFrame, header: str, skip: str | None = None, least_field
 # Documents that need a parser ----------------------------------------------------------------------------------------
 
 
+#: Elements that begin a text of their own.
+BLOCKS = frozenset(("p", "div", "li", "dd", "dt", "td", "th", "tr", "table", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6"))
+
+
 class _Rows(HTMLParser):
-    """Table rows with the heading above them, and links with their text."""
+    """Table rows with the heading above them, and links with their text, place, first image's text and the text before them in
+    their block."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[str, int, int, list[str], list[str]]] = []
-        self.links: list[tuple[str, str, str]] = []
+        self.rows: list[tuple[str, int, int, list[str], list[str], list[str | None]]] = []
+        self.links: list[tuple[str, str, str, int, str | None, str]] = []
         self.section, self.table = "", -1
         self._heading: list[str] | None = None
         self._cells: list[str] | None = None
         self._hrefs: list[str] = []
+        self._firsts: list[str | None] = []
         self._cell = False
-        self._link: tuple[str, list[str]] | None = None
+        self._link: tuple[str, list[str], str] | None = None
+        self._image: str | None = None
+        self._block: list[str] = []
         self._row, self._quiet = 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag in BLOCKS:
+            self._block = []
         if tag in ("script", "style", "sup"):
             self._quiet += 1
         elif re.fullmatch("h[1-6]", tag):
@@ -183,15 +256,20 @@ class _Rows(HTMLParser):
             self.table, self._row = self.table + 1, 0
         elif tag == "tr":
             self._close_row()
-            self._cells, self._hrefs = [], []
+            self._cells, self._hrefs, self._firsts = [], [], []
         elif tag in ("td", "th") and self._cells is not None:
             self._cells.append("")
+            self._firsts.append(None)
             self._cell = True
         elif tag == "a":
             href = dict(attrs).get("href") or ""
-            self._link = (href, [])
+            self._link, self._image = (href, [], " ".join("".join(self._block).split())), None
             if self._cell:
                 self._hrefs.append(href)
+                if self._firsts[-1] is None:
+                    self._firsts[-1] = href
+        elif tag == "img" and self._link and self._image is None:
+            self._image = dict(attrs).get("alt") or ""
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("script", "style", "sup"):
@@ -203,12 +281,13 @@ class _Rows(HTMLParser):
         elif tag in ("tr", "table"):
             self._close_row()
         elif tag == "a" and self._link:
-            self.links.append((self.section, " ".join("".join(self._link[1]).split()), self._link[0]))
+            self.links.append((self.section, " ".join("".join(self._link[1]).split()), self._link[0], len(self.links), self._image, self._link[2]))
             self._link = None
 
     def handle_data(self, data: str) -> None:
         if self._quiet:
             return
+        self._block.append(data)
         if self._heading is not None:
             self._heading.append(data)
         if self._cell and self._cells:
@@ -218,14 +297,14 @@ class _Rows(HTMLParser):
 
     def _close_row(self) -> None:
         if self._cells:
-            self.rows.append((self.section, max(self.table, 0), self._row, [" ".join(c.split()) for c in self._cells], self._hrefs))
+            self.rows.append((self.section, max(self.table, 0), self._row, [" ".join(c.split()) for c in self._cells], self._hrefs, self._firsts))
             self._row += 1
         self._cells, self._cell = None, False
 
 
-@F.udtf(returnType="section string, table_no int, row_no int, cells array<string>, hrefs array<string>")
+@F.udtf(returnType="section string, table_no int, row_no int, cells array<string>, hrefs array<string>, links array<string>", useArrow=True)
 class HtmlRows:
-    """The table rows of a page."""
+    """The table rows of a page, with all addresses of the row and the first of each cell."""
 
     def eval(self, html: str):
         parser = _Rows()
@@ -235,9 +314,10 @@ class HtmlRows:
         yield from parser.rows
 
 
-@F.udtf(returnType="section string, anchor string, href string")
+@F.udtf(returnType="section string, anchor string, href string, place int, image string, before string", useArrow=True)
 class HtmlLinks:
-    """The links of a page, with the heading above them and their text."""
+    """The links of a page, with the heading above them, their text, their number on the page, the text of their first image and
+    the text before them in their block."""
 
     def eval(self, html: str):
         parser = _Rows()
@@ -246,12 +326,14 @@ class HtmlLinks:
         yield from parser.links
 
 
-def html_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
-    return pages.lateralJoin(HtmlRows(F.col(html).outer())).select(key, "section", "table_no", "row_no", "cells", "hrefs")
+def html_rows(pages: DataFrame, key: str, html: str, links: bool = False) -> DataFrame:
+    """The rows of all tables; with `links`, also the first address of each cell."""
+    return pages.lateralJoin(HtmlRows(F.col(html).outer())).select(key, "section", "table_no", "row_no", "cells", "hrefs", *(["links"] if links else []))
 
 
-def html_links(pages: DataFrame, key: str, html: str) -> DataFrame:
-    return pages.lateralJoin(HtmlLinks(F.col(html).outer())).select(key, "section", "anchor", "href")
+def html_links(pages: DataFrame, key: str, html: str, context: bool = False) -> DataFrame:
+    """All links; with `context`, also place, image and before."""
+    return pages.lateralJoin(HtmlLinks(F.col(html).outer())).select(key, "section", "anchor", "href", *(["place", "image", "before"] if context else []))
 
 
 def last_link(links: DataFrame, key: str, pattern: str) -> DataFrame:
@@ -271,7 +353,7 @@ def _column(ref: str) -> int:
     return out - 1
 
 
-@F.udtf(returnType="sheet string, row_no int, col_no int, value string")
+@F.udtf(returnType="sheet string, row_no int, col_no int, value string", useArrow=True)
 class XlsxCells:
     """The cells that hold something of each sheet of a workbook, counted from 0."""
 
@@ -335,8 +417,3 @@ def life_table(rows: DataFrame, keys: Sequence[str], period: str, age: str, valu
     rows = rows.where(F.col(age).try_cast("int") == 0).withColumn("year", F.coalesce(period_midpoint(F.col(period)), F.col(period).try_cast("int")))
     rows = rows.withColumn("number", F.col(value).try_cast("double")).where(F.col("number").between(low, high))
     return rows.groupBy(*keys, "year").agg(F.avg("number").alias("value"), (F.count("*") > 1).alias("is_proxy"))
-
-
-def parse_csv_text(text: str) -> list[list[str]]:
-    """A CSV text of a few rows, on the driver."""
-    return list(csv.reader(io.StringIO(text.lstrip("﻿"))))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldglass.functions.numbers import parse_number
-from fieldglass.functions.text import split_place, strip_notes
+from fieldglass.functions.text import split_place, strip_code, strip_notes, title_of_link
 
 #: What the headers of people's tables hold, by field, in order of preference.
 PEOPLE = {
@@ -17,6 +17,8 @@ PEOPLE = {
     "place": ("place of birth", "birthplace", "birth place", "birth city"), "caps": ("caps", "cap"), "club": ("club",),
 }
 SUPPORT = ("position", "born", "caps", "club")
+#: Words by which a header row is told.
+HEADER_WORDS = ("pos", "player", "name", "birth", "place", "club", "cap", "goal")
 
 
 def _any_in(label: Column, words: Sequence[str]) -> Column:
@@ -30,17 +32,15 @@ def _column_of(labels: Column, words: Sequence[str]) -> Column:
     return F.coalesce(*(F.get(holding(w), F.lit(0))["at"] for w in words))
 
 
-def table_records(rows: DataFrame, page: str, fields: Mapping[str, Sequence[str]] = PEOPLE, name: str = "name", support: Sequence[str] = SUPPORT, least_support: int = 2, header_rows: int = 3, least_cells: int = 3) -> DataFrame:
-    """Records of tables that list people, from rows (page, section, table_no, row_no, cells, hrefs): page, section, a
-    column for each field, and href, the first link of the row.
+def table_records(rows: DataFrame, page: str, fields: Mapping[str, Sequence[str]] = PEOPLE, name: str = "name", support: Sequence[str] = SUPPORT, least_support: int = 2, header_rows: int = 3, least_cells: int = 3, header_words: Sequence[str] = HEADER_WORDS) -> DataFrame:
+    """Records of tables that list people, from rows (page, section, table_no, row_no, cells, hrefs and, if there, links): page,
+    section, a column for each field, and href: the first link of the name's cell, or without links that of the row.
 
-    A table's header is, of its first rows, the one in which most labels hold a word that some field looks for; of equals
-    the first. A table counts if it has the name's column and `least_support` of the supporting ones, which tells lists of
+    A table's header is, of its first rows, the one in which most labels hold one of `header_words`; of equals the first. A table counts if it has the name's column and `least_support` of the supporting ones, which tells lists of
     people from tables of figures. Rows without a name or with few cells are left out; a null page is left out.
     """
-    words = [w for f in fields.values() for w in f]
     labels = F.transform("cells", lambda c: F.lower(F.trim(F.regexp_replace(c, r"\s+", " "))))
-    score = F.size(F.filter(labels, lambda label: _any_in(label, words)))
+    score = F.size(F.filter(labels, lambda label: _any_in(label, header_words)))
     heads = rows.where(F.col("row_no") < header_rows).select(page, "table_no", "row_no", labels.alias("labels"), score.alias("score")).where("score > 0")
     heads = heads.groupBy(page, "table_no").agg(F.max_by(F.struct("labels", F.col("row_no").alias("header")), F.struct("score", -F.col("row_no"))).alias("h")).select(page, "table_no", "h.*")
     heads = heads.select(page, "table_no", "header", *(_column_of(F.col("labels"), w).alias(f"at {f}") for f, w in fields.items()))
@@ -48,7 +48,8 @@ def table_records(rows: DataFrame, page: str, fields: Mapping[str, Sequence[str]
     heads = heads.where(F.col(f"at {name}").isNotNull() & (supports >= least_support))
     body = rows.join(heads, [page, "table_no"]).where((F.col("row_no") > F.col("header")) & (F.size("cells") >= least_cells))
     value = lambda f: F.when(F.col(f"at {f}").isNotNull(), strip_notes(F.get("cells", F.col(f"at {f}")))).alias(f)
-    out = body.select(page, "section", "table_no", "row_no", *map(value, fields), F.get("hrefs", F.lit(0)).alias("href"))
+    href = F.get("links", F.col(f"at {name}")) if "links" in rows.columns else F.get("hrefs", F.lit(0))
+    out = body.select(page, "section", "table_no", "row_no", *map(value, fields), href.alias("href"))
     return out.where((F.col(name) != "") & (F.lower(name) != "nan"))
 
 
@@ -68,6 +69,24 @@ def infobox_place(rows: DataFrame, page: str, label: str = r"(?i)^(?:place of bi
     return first.select(page, place["first"].alias("city"), place["last"].alias("country"))
 
 
+def anchor_titles(links: DataFrame, page: str) -> DataFrame:
+    """(page, section, anchor, title) of links with context to pages of the plain kind, whose title has no colon: of several links
+    of a section with one text the last counts. Links without a text are left out."""
+    titled = links.withColumn("title", title_of_link(F.col("href"))).where(~F.contains("title", F.lit(":")) & (F.col("title") != "") & (F.col("anchor") != ""))
+    return titled.groupBy(page, "section", "anchor").agg(F.max_by("title", "place").alias("title"))
+
+
+def coaches(links: DataFrame, page: str, label: str = r"(?i)\b(?:head coach|coach|manager)\b") -> DataFrame:
+    """(page, section, coach, title, nationality) from links with context, after a label in their block: the last name under a
+    heading is the coach in office; a link with an image is a flag, whose text is the nationality, else the heading's."""
+    rows = links.where(F.col("before").rlike(label)).withColumn("title", title_of_link(F.col("href"))).where("title is not null")
+    is_name = F.col("image").isNull() & (F.length("anchor") > 1) & ~F.col("anchor").rlike(r"(?i)^(coach|manager|head coach)$")
+    names = F.max_by(F.when(is_name, F.struct("anchor", "title")), F.when(is_name, F.col("place")))
+    flag = F.max_by(F.when(F.col("image") != "", F.col("image")), F.when(F.col("image") != "", F.col("place")))
+    found = rows.groupBy(page, "section").agg(names.alias("name"), flag.alias("flag")).where("name is not null")
+    return found.select(page, "section", strip_notes(F.col("name.anchor")).alias("coach"), F.col("name.title").alias("title"), F.coalesce("flag", strip_code(F.col("section"))).alias("nationality"))
+
+
 def code_column(cells: DataFrame, pattern: str = "^[A-Z]{3}$", least: int = 21) -> DataFrame:
     """(path, sheet, col_no) of the first column of each sheet in which at least `least` cells are codes."""
     n = cells.where(F.trim("value").rlike(pattern)).groupBy("path", "sheet", "col_no").count().where(F.col("count") >= least)
