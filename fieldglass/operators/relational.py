@@ -137,14 +137,31 @@ def count_mismatches(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "full_outer").na.fill(0, ["n_left", "n_right"]).where("n_left <> n_right")
 
 
-def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str, rank: str) -> DataFrame:
+def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str, rank: str, keep_ranks: bool = False) -> DataFrame:
     """Keys that were added, removed or changed in value: kind, old and new value, value_delta, rank_delta (up is
     positive). Null values and ranks count as 0."""
     a = old.select(key, F.coalesce(value, F.lit(0)).alias("old_value"), F.coalesce(rank, F.lit(0)).alias("old_rank"), F.lit(True).alias("was"))
     b = new.select(key, F.coalesce(value, F.lit(0)).alias("new_value"), F.coalesce(rank, F.lit(0)).alias("new_rank"), F.lit(True).alias("is"))
     kind = F.when(F.col("was").isNull(), "added").when(F.col("is").isNull(), "removed").when(F.col("old_value") != F.col("new_value"), "changed")
     out = a.join(b, key, "full_outer").withColumn("kind", kind).where("kind is not null")
-    return out.select(key, "kind", "old_value", "new_value", (F.col("new_value") - F.col("old_value")).alias("value_delta"), (F.col("old_rank") - F.col("new_rank")).alias("rank_delta"))
+    ranks = ["old_rank", "new_rank"] if keep_ranks else []
+    return out.select(key, "kind", "old_value", "new_value", (F.col("new_value") - F.col("old_value")).alias("value_delta"), (F.col("old_rank") - F.col("new_rank")).alias("rank_delta"), *ranks)
+
+
+def change_report(diff: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
+    """What a message on new values tells, from snapshot_diff with old_rank and new_rank: place (from 1), kind, name and line.
+    Changes come first, the largest by value, then by rank, ties by key; then what was added and removed, by key. For results
+    that a message can hold: all changes meet to be numbered."""
+    rows = diff.join(names.select(key, F.col(name).alias("name")), key)
+    arrow = F.when(F.col("rank_delta") > 0, "↑").when(F.col("rank_delta") < 0, "↓").otherwise("=")
+    rank = F.when(F.col("rank_delta") != 0, F.format_string("#%d→#%d (%s%d)", "old_rank", "new_rank", arrow, F.abs("rank_delta"))).otherwise(F.format_string("#%d", "new_rank"))
+    width = F.max(F.when(F.col("kind") == "changed", F.length("name"))).over(Window.partitionBy())
+    pad = lambda c, n: F.concat(c, F.repeat(F.lit(" "), F.greatest(n - F.length(c), F.lit(0))))
+    points = F.concat(F.when(F.col("value_delta") > 0, "+").otherwise(""), F.col("value_delta").cast("string"), F.lit(" pts"))
+    line = F.when(F.col("kind") == "changed", F.concat(F.lit("  "), pad(F.col("name"), width), F.lit("  "), pad(rank, F.lit(22)), F.lit("  "), points)).otherwise(F.concat(F.initcap("kind"), F.lit(": "), F.col("name")))
+    group = F.when(F.col("kind") == "changed", 0).when(F.col("kind") == "added", 1).otherwise(2)
+    order = Window.orderBy(group, F.when(group == 0, -F.abs("value_delta")), F.when(group == 0, -F.abs("rank_delta")), key)
+    return rows.select(F.row_number().over(order).alias("place"), "kind", "name", line.alias("line"))
 
 
 def changed(old: DataFrame, new: DataFrame) -> bool:
@@ -186,6 +203,42 @@ def resolve(rows: DataFrame, column: str, names: DataFrame, aliases: DataFrame,
     return found.withColumn(out, code).drop("name key", "by name", "by alias")
 
 
+def lookup(rows: DataFrame, values: DataFrame, keys: Sequence[str], columns: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """`rows` with `columns` from the first of `values`, in order of `seq`, that has all their keys; null where none has."""
+    first = values.groupBy(*keys).agg(F.min_by(F.struct(*columns), F.struct(*seq)).alias("found here"))
+    return rows.join(first, list(keys), "left").select(*rows.columns, *(F.col(f"found here.{c}").alias(c) for c in columns))
+
+
+def resolve_places(rows: DataFrame, name: str, city: str, country: str, former: Mapping[str, str], invalid: Sequence[str], corrections: DataFrame, coarse: str, cities: DataFrame, clear: Sequence[str] = ()) -> DataFrame:
+    """Cities and countries as they are today, with `unresolved`, which a gate must find nowhere true.
+
+    Countries of old go by `former`, and `invalid` ones become blank. A person in `corrections` (name, city, country) gets
+    that city and country, and loses the columns `clear`, which belong to the old ones. Others of the country `coarse` take
+    the country that `cities` (city, country) has for their city; without one they are unresolved.
+    """
+    old = F.create_map(*(F.lit(x) for pair in former.items() for x in pair)) if former else F.create_map().cast("map<string,string>")
+    now = F.coalesce(old[F.col(country)], F.col(country))
+    fixed = corrections.select(F.col("name").alias(name), F.col("city").alias("right city"), F.col("country").alias("right country"), F.lit(True).alias("is right"))
+    parts = cities.select(F.col("city").alias("part city"), F.col("country").alias("part country")).dropDuplicates(["part city"])
+    joined = rows.withColumn("now", F.when(now.isin(*invalid), "").otherwise(now)).join(F.broadcast(fixed), name, "left")  # by hand, so small
+    joined = joined.join(F.broadcast(parts), F.col(city) == F.col("part city"), "left")
+    right, is_coarse = F.coalesce("is right", F.lit(False)), F.col("now") == coarse
+    out = {city: F.when(right, F.col("right city")).otherwise(F.col(city)), country: F.when(right, F.col("right country")).when(is_coarse & F.col("part country").isNotNull(), F.col("part country")).otherwise(F.col("now"))}
+    out |= {c: F.when(~right, F.col(c)) for c in clear}
+    return joined.select(*(out.get(c, F.col(c)).alias(c) for c in rows.columns), F.coalesce(~right & is_coarse & F.col("part country").isNull(), F.lit(False)).alias("unresolved"))
+
+
+def still_coarse(rows: DataFrame, source: str, column: str, coarse: str) -> DataFrame:
+    """(kind, detail): one finding for a source in which anything is still placed in the `coarse` country."""
+    found = rows.where(F.col(column) == coarse).groupBy().count().where("count > 0")
+    return found.select(F.lit("country too coarse").alias("kind"), F.lit(f"{source}: {coarse}").alias("detail"))
+
+
+def concat(*frames: DataFrame | None) -> DataFrame:
+    """All rows of the frames that are there, by column name."""
+    return reduce(DataFrame.unionByName, (f for f in frames if f is not None))
+
+
 def drill_down(rows: DataFrame, column: str, trigger: str, key: str, lookup: Mapping[str, str]) -> DataFrame:
     """Where `column` has the value `trigger`, the finer value that `lookup` has for `key`, or null if none."""
     finer = F.create_map(*(F.lit(x) for pair in lookup.items() for x in pair)) if lookup else F.lit(None).cast("map<string,string>")
@@ -271,6 +324,17 @@ def array_by_key(rows: DataFrame, key: str, value: str) -> DataFrame:
     return filled.agg(F.transform(F.array_sort(F.collect_list(F.struct("slot", value))), lambda s: s[value]).alias(value))
 
 
+def people_in_order(rows: DataFrame, by: str, role: str, caps: str, ident: str, last: str = "coach") -> DataFrame:
+    """Rows with their place (from 0) in their group's list: those of the role `last` at the end, then by falling caps, then by id."""
+    order = Window.partitionBy(by).orderBy(F.col(role) == last, F.desc_nulls_last(caps), ident)
+    return rows.withColumn("place", F.row_number().over(order) - 1)
+
+
+def ranked_lists(rows: DataFrame, group: str, order: Sequence[str], item: str, out: str = "items") -> DataFrame:
+    """For each group its items as one array, in order; for groups of bounded size."""
+    return rows.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(item).alias("the item")))), lambda s: s["the item"]).alias(out))
+
+
 def nested_map(rows: DataFrame, outer: str, inner: str, fields: Sequence[str]) -> DataFrame:
     """For each `outer` a map of `inner` to a struct of fields, in order of `inner`."""
     entries = F.array_sort(F.collect_list(F.struct(F.col(inner).cast("string").alias("k"), F.struct(*fields).alias("v"))))

@@ -76,6 +76,11 @@ def conditional_counts(rows: DataFrame, conditions: dict[str, str], by: Sequence
     return rows.groupBy(*by).agg(F.count("*").alias("n_rows"), *(F.count_if(F.expr(c)).alias(name) for name, c in conditions.items()))
 
 
+def distinct_counts(rows: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The number of different values of each column, null aside."""
+    return rows.groupBy(*by).agg(*(F.countDistinct(c).alias(f"n_{c}") for c in columns))
+
+
 def latest_year(rows: DataFrame, key: Sequence[str], year: str) -> DataFrame:
     """The latest year of each key, years as text; blanks don't count."""
     return rows.where(F.col(year).rlike(r"^\d{4}$")).groupBy(*key).agg(F.max(year).alias(year))

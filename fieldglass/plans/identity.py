@@ -98,8 +98,9 @@ def presence_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def count_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = table(spark, sf_dir, "customer").where("c_custkey % 15 = 0").select(F.col("c_nationkey").alias("nation"))
-    return R.count_mismatches(left, table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation")), "nation")
+    """Customers against fifteen times the suppliers, which is how many there should be."""
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), F.explode(F.sequence(F.lit(1), F.lit(15))).alias("copy"))
+    return R.count_mismatches(table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation")), suppliers, "nation")
 
 
 def append_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +180,7 @@ def html_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every link of every page."""
     return html_links(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
@@ -194,7 +196,7 @@ def name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names by key as one array with holes, and a map by region."""
-    nation = table(spark, sf_dir, "nation").where("n_nationkey % 4 <> 2")
+    nation = table(spark, sf_dir, "nation").withColumn("n_nationkey", F.col("n_nationkey") * 2)
     array = R.array_by_key(nation, "n_nationkey", "n_name").select(F.lit(-1).alias("region"), F.to_json("n_name").alias("document"))
     maps = R.nested_map(nation, "n_regionkey", "n_nationkey", ["n_name"]).select(F.col("n_regionkey").alias("region"), F.to_json("entries").alias("document"))
     return array.unionByName(maps)
@@ -253,6 +255,25 @@ _RISK = f"""
           FROM g, (SELECT * FROM k WHERE kind = 2 AND density >= 1e-6) b LEFT JOIN (SELECT * FROM k WHERE kind = 1) a ON a.i = b.i AND a.j = b.j)"""
 
 ORACLE_SQL = {
+    "nested_titles": """
+        SELECT -1 AS region, '[' || string_agg(coalesce('"' || n_name || '"', 'null'), ',' ORDER BY k.range) || ']' AS document
+        FROM range((SELECT 2 * max(n_nationkey) + 1 FROM nation)) k LEFT JOIN nation ON 2 * n_nationkey = k.range
+        UNION ALL SELECT n_regionkey, '{' || string_agg('"' || 2 * n_nationkey || '":{"n_name":"' || n_name || '"}', ',' ORDER BY (2 * n_nationkey)::VARCHAR) || '}' FROM nation GROUP BY n_regionkey""",
+    "consistency_report": """
+        WITH l AS (SELECT c_custkey AS pid, c_nationkey AS nation, CASE WHEN c_custkey % 6 <> 0 THEN c_custkey % 500 END AS born, 'p' || translate(c_custkey::VARCHAR, '0123456789', 'abcdefghij') AS name, floor(c_acctbal)::BIGINT AS balance FROM customer),
+        r AS (SELECT pid, nation, born, CASE WHEN pid % 19 = 0 THEN 'other' ELSE name END AS name, balance + CASE WHEN pid % 23 = 0 THEN 1 ELSE 0 END AS balance FROM l WHERE pid % 17 <> 0),
+        one AS (SELECT a.pid AS left_id, b.pid AS right_id
+                FROM (SELECT nation, born, min(pid) AS pid FROM l WHERE born IS NOT NULL GROUP BY ALL HAVING count(*) = 1) a
+                JOIN (SELECT nation, born, min(pid) AS pid FROM r WHERE born IS NOT NULL GROUP BY ALL HAVING count(*) = 1) b USING (nation, born)),
+        two AS (SELECT a.pid AS left_id, b.pid AS right_id
+                FROM (SELECT nation, name, min(pid) AS pid FROM l WHERE pid NOT IN (SELECT left_id FROM one) GROUP BY ALL) a
+                JOIN (SELECT nation, name, min(pid) AS pid FROM r WHERE pid NOT IN (SELECT right_id FROM one) GROUP BY ALL HAVING count(*) = 1) b USING (nation, name)),
+        pairs AS (SELECT * FROM one UNION ALL SELECT * FROM two),
+        n AS (SELECT nation, coalesce(a.n, 0) AS a, coalesce(b.n, 0) AS b FROM (SELECT nation, count(*) AS n FROM l GROUP BY ALL) a FULL JOIN (SELECT nation, count(*) AS n FROM r GROUP BY ALL) b USING (nation))
+        SELECT 'field' AS kind, l.nation, left_id, right_id, 'balance: ' || l.balance || ' / ' || r.balance AS detail FROM pairs JOIN l ON l.pid = left_id JOIN r ON r.pid = right_id WHERE l.balance <> r.balance
+        UNION ALL SELECT 'left only', nation, pid, NULL, name FROM l WHERE pid NOT IN (SELECT left_id FROM pairs)
+        UNION ALL SELECT 'right only', nation, NULL, pid, name FROM r WHERE pid NOT IN (SELECT right_id FROM pairs)
+        UNION ALL SELECT CASE WHEN a = 0 OR b = 0 THEN 'nation' ELSE 'count' END, nation, NULL, NULL, a || ' / ' || b FROM n WHERE a <> b""",
     "converge_coordinates": """
         WITH p AS (SELECT c_custkey AS pid, CASE WHEN c_custkey % 4 = 0 THEN 'City' || c_nationkey || ' District' ELSE 'City' || c_nationkey END AS city, c_mktsegment AS country,
                           'city' || c_nationkey AS plain, c_custkey % 4 = 0 AS qualified, c_custkey % 3 <> 0 AS claims, c_custkey % 3 <> 0 AND c_custkey % 5 <> 0 AS own FROM customer),
@@ -301,7 +322,7 @@ ORACLE_SQL = {
         b AS (SELECT s_nationkey AS nation, count(*) AS n_suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY ALL)
         SELECT nation, n_customers, n_suppliers, CASE WHEN n_suppliers IS NULL THEN 'left' WHEN n_customers IS NULL THEN 'right' ELSE 'both' END AS found FROM a FULL JOIN b USING (nation)""",
     "count_mismatches": """
-        WITH a AS (SELECT c_nationkey AS nation, count(*) AS n FROM customer WHERE c_custkey % 15 = 0 GROUP BY ALL), b AS (SELECT s_nationkey AS nation, count(*) AS n FROM supplier GROUP BY ALL)
+        WITH a AS (SELECT c_nationkey AS nation, count(*) AS n FROM customer GROUP BY ALL), b AS (SELECT s_nationkey AS nation, count(*) * 15 AS n FROM supplier GROUP BY ALL)
         SELECT nation, coalesce(a.n, 0) AS n_left, coalesce(b.n, 0) AS n_right FROM a FULL JOIN b USING (nation) WHERE coalesce(a.n, 0) <> coalesce(b.n, 0)""",
     "append_missing": """
         SELECT s_nationkey AS nation, count(*) AS points FROM supplier GROUP BY ALL

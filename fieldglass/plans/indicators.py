@@ -74,7 +74,7 @@ def rating_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     def half(first: int, last: int) -> DataFrame:
-        rows = _events(spark, sf_dir).where(F.dayofmonth("day").between(first, last)).where(F.col("user_id") % 10 != first % 10)
+        rows = _events(spark, sf_dir).where(F.dayofmonth("day").between(first, last))
         sums = rows.groupBy("user_id").agg(F.sum(F.floor("value").cast("long")).alias("points"))
         return sums.withColumn("place", F.rank().over(R.Window.orderBy(F.desc("points"))).cast("long"))
 
@@ -135,8 +135,8 @@ ORACLE_SQL = {
     "rating_monthly_ffill": _DAILY + " SELECT user_id, day::VARCHAR AS day, rating FROM f",
     "rating_top_n": _DAILY + " SELECT user_id, day::VARCHAR AS day, rating, rank FROM (SELECT *, row_number() OVER (PARTITION BY day ORDER BY rating DESC, user_id) AS rank FROM f) WHERE rank <= 3",
     "snapshot_diff": """
-        WITH a AS (SELECT user_id, sum(floor(value)::BIGINT)::BIGINT AS p FROM events WHERE day(ts) <= 15 AND user_id % 10 <> 1 GROUP BY ALL),
-        b AS (SELECT user_id, sum(floor(value)::BIGINT)::BIGINT AS p FROM events WHERE day(ts) >= 16 AND user_id % 10 <> 6 GROUP BY ALL),
+        WITH a AS (SELECT user_id, sum(floor(value)::BIGINT)::BIGINT AS p FROM events WHERE day(ts) <= 15 GROUP BY ALL),
+        b AS (SELECT user_id, sum(floor(value)::BIGINT)::BIGINT AS p FROM events WHERE day(ts) >= 16 GROUP BY ALL),
         a1 AS (SELECT *, rank() OVER (ORDER BY p DESC) AS r FROM a), b1 AS (SELECT *, rank() OVER (ORDER BY p DESC) AS r FROM b)
         SELECT user_id, CASE WHEN a1.p IS NULL THEN 'added' WHEN b1.p IS NULL THEN 'removed' ELSE 'changed' END AS kind, a1.p AS old_value, b1.p AS new_value,
                b1.p - a1.p AS value_delta, a1.r - b1.r AS rank_delta

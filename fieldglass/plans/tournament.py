@@ -52,7 +52,7 @@ def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     rounds = F.array(F.lit("Group Stage - 1"), *map(F.lit, (*bracket.ROUNDS, bracket.THIRD_PLACE)))
     nation = lambda x: F.concat(F.lit("N"), F.pmod(x, F.lit(48)).cast("string"))
-    return table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 < 3).select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.get(rounds, F.pmod(F.floor(key / 50), F.lit(7)).cast("int")).alias("round"),
         F.when((F.col("o_orderstatus") == "O") & (F.pmod(F.floor(key / 50), F.lit(7)) != 0), "NS").otherwise("FT").alias("status"),
         nation(key * 7 + F.col("o_custkey")).alias("home"), nation(key * 7 + F.col("o_custkey") + 1 + key % 11).alias("away"),
@@ -114,14 +114,14 @@ _GAMES = """
     WITH l AS (SELECT l_orderkey AS game, min(l_suppkey) AS s_suppkey, sum(l_quantity::BIGINT)::BIGINT AS quantity, count(*) AS n_lines FROM lineitem GROUP BY ALL),
     g AS (SELECT game, o_orderpriority AS stage, c_nationkey AS home, s_nationkey AS away, quantity, n_lines
           FROM l JOIN orders ON game = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier USING (s_suppkey) WHERE c_nationkey <> s_nationkey)"""
-_FIXTURES = """
+FIXTURES_SQL = """
     WITH fixtures AS (
         SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS date,
                ['Group Stage - 1', 'Round of 32', 'Round of 16', 'Quarter-finals', 'Semi-finals', 'Final', '3rd Place Final'][(o_orderkey // 50) % 7 + 1] AS round,
                CASE WHEN o_orderstatus = 'O' AND (o_orderkey // 50) % 7 <> 0 THEN 'NS' ELSE 'FT' END AS status,
                'N' || ((o_orderkey * 7 + o_custkey) % 48) AS home, 'N' || ((o_orderkey * 7 + o_custkey + 1 + o_orderkey % 11) % 48) AS away,
                CASE WHEN o_orderkey % 7 = 5 THEN NULL WHEN floor(o_totalprice)::BIGINT % 2 = 0 THEN 'home' ELSE 'away' END AS winner
-        FROM orders WHERE o_orderkey % 50 < 3),
+        FROM orders),
     field AS (SELECT 'N' || range AS team FROM range(60)),
     done AS (SELECT *, CASE winner WHEN 'home' THEN away ELSE home END AS loser, CASE winner WHEN 'home' THEN home ELSE away END AS victor,
                     CASE round WHEN 'Round of 32' THEN 1 WHEN 'Round of 16' THEN 2 WHEN 'Quarter-finals' THEN 3 WHEN 'Semi-finals' THEN 4 WHEN 'Final' THEN 5 END AS ord
@@ -152,8 +152,8 @@ ORACLE_SQL = {
         , sides AS (SELECT stage, home AS team, quantity AS committed, n_lines AS suffered, n_lines AS cards FROM g
                     UNION ALL SELECT stage, away, n_lines, quantity, 1 FROM g)
         SELECT team, stage, count(*) AS matches, sum(committed)::BIGINT AS committed, sum(suffered)::BIGINT AS suffered, sum(cards)::BIGINT AS cards FROM sides GROUP BY ALL""",
-    "elimination": _FIXTURES + " SELECT * FROM status",
-    "current_round": _FIXTURES + """
+    "elimination": FIXTURES_SQL + " SELECT * FROM status",
+    "current_round": FIXTURES_SQL + """
         , won AS (SELECT eliminated_by AS team, max(list_position(['Round of 32', 'Round of 16', 'Quarter-finals', 'Semi-finals', 'Final'], eliminated_round)) AS w
                   FROM status WHERE eliminated_by IS NOT NULL GROUP BY ALL)
         SELECT team, CASE WHEN status = 'eliminated' THEN eliminated_round
@@ -161,7 +161,7 @@ ORACLE_SQL = {
                           WHEN coalesce(w, 0) = 0 THEN 'Round of 32' WHEN w = 5 THEN 'Champion'
                           ELSE ['Round of 32', 'Round of 16', 'Quarter-finals', 'Semi-finals', 'Final'][w + 1] END AS stage,
                status = 'eliminated' AS eliminated FROM status LEFT JOIN won USING (team)""",
-    "round_classes": _FIXTURES + f"""
+    "round_classes": FIXTURES_SQL + f"""
         , r AS (SELECT CASE WHEN id % 13 = 0 THEN upper(round) WHEN id % 17 = 0 THEN 'Play-off' ELSE round END AS round, status IN ('FT', 'AET', 'PEN') AS over FROM fixtures),
         k AS (SELECT CASE WHEN lower(round) LIKE 'group stage%' THEN 'Group Stage' ELSE list_filter([{_ROUNDS}], lambda x: lower(x) = lower(round))[1] END AS stage, over FROM r)
         SELECT stage, count(*) AS n, count(*) FILTER (over) AS n_over FROM k GROUP BY ALL""",
