@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,19 +30,54 @@ KIND[[0x20, 0x09, 0x0B, 0x0C]], KIND[[0x0A, 0x0D]] = 4, 5
 KIND[[ord(c) for c in ".,;:'\"-()?"]] = 6
 
 
-def features(text: str | None, lexicon: frozenset[str]) -> list[float]:
-    """Numbers from a whole text: its mix of characters, its repetition and length; last two: toxic words, whether any."""
+#: Letters of a word's beginnings that count as evidence beside the word.
+BEGINNINGS = (5, 6, 7)
+
+
+def units(words: Iterable[str]) -> set[str]:
+    """What a text's words are known by: each word, and the beginnings of longer ones, with a star."""
+    out = set(words)
+    return out.union(*({w[:k] + "*" for w in out if len(w) > k} for k in BEGINNINGS))
+
+
+@dataclass(frozen=True)
+class Lexicon:
+    """For units in toxic texts: in how many toxic texts and how many others each is, of how many in all."""
+
+    counts: dict[str, tuple[int, int]] = field(default_factory=dict)
+    yes: int = 0
+    no: int = 0
+
+    def weight(self, unit: str, own: bool | None, strength: float = 10.0) -> float:
+        """How much a unit adds to the log odds of being toxic, shrunk to nothing as if `strength` more texts held it by chance.
+        `own` tells of a text that was counted whether it is toxic: it doesn't count for itself."""
+        yes, no = self.counts.get(unit, (0, 0))
+        yes, no = yes - (own is True), no - (own is False)
+        if yes <= 0:
+            return 0.0
+        rate = (self.yes + 0.5) / (self.yes + self.no + 1)
+        return max(math.log((yes + strength * rate) / (no + strength * (1 - rate))) - math.log(rate / (1 - rate)), 0.0)
+
+    def marked(self, words: set[str], own: bool | None) -> dict[str, float]:
+        """Those of `words` that are known, or begin like known ones, with the largest weight that speaks for each."""
+        found = words.intersection(self.counts).union(*([w for w in words if w[:k] + "*" in self.counts] for k in BEGINNINGS))
+        return {w: max(self.weight(u, own) for u in units([w])) for w in found}
+
+
+def features(text: str | None, lexicon: Lexicon, own: bool | None = None) -> list[float]:
+    """Numbers from a whole text: its mix of characters, its repetition and length; last three: the weights of its toxic words, by
+    its words and in sum, and the largest. `own`: see Lexicon.weight."""
     text = text or ""
     kinds = np.bincount(KIND[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)], minlength=8)
     size, letters = max(int(kinds.sum()), 1), max(int(kinds[0] + kinds[1] + kinds[2]), 1)
     words, lines = LETTERS.findall(text.lower()), text.split("\n")
-    n, bad = max(len(words), 1), 0
-    if lexicon:
-        bad = sum(map(words.count, lexicon.intersection(words)))
+    n, different = max(len(words), 1), set(words)
+    weights = lexicon.marked(different, own) if lexicon.counts else {}
+    bad = sum(weight * words.count(w) for w, weight in weights.items())
     return [
         kinds[2] / letters, kinds[3] / size, kinds[6] / size, kinds[7] / size, min(kinds[7] / n, 2.0), kinds[5] / size,
-        1 - len(set(lines)) / len(lines), 1 - len(set(words)) / n, np.log1p(len(words)), letters / n / 10, float(not words),
-        bad / n, np.log1p(bad), float(bad > 0),
+        1 - len(set(lines)) / len(lines), 1 - len(different) / n, np.log1p(len(words)), letters / n / 10, float(not words),
+        bad / n, np.log1p(bad), max(weights.values(), default=0.0),
     ]
 
 
@@ -69,7 +105,7 @@ class Classifier:
 
     quality: np.ndarray
     toxic: np.ndarray
-    lexicon: frozenset[str] = field(default_factory=frozenset)
+    lexicon: Lexicon = field(default_factory=Lexicon)
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         x = np.array([features(t, self.lexicon) for t in texts], float).reshape(len(texts), -1)
@@ -77,15 +113,15 @@ class Classifier:
         return chance(self.quality, x[:, PLAIN]), chance(self.toxic, x[:, TOXIC])
 
 
-def toxic_lexicon(rows: DataFrame, least: int = 3, ratio: float = 20.0, most: int = 5_000) -> frozenset[str]:
-    """Words of `rows` (text, toxic) found in at least `least` toxic texts and `ratio` times as often among the toxic as
-    among the others; of more than `most`, those of the most texts."""
+def toxic_lexicon(rows: DataFrame, least: int = 3, ratio: float = 5.0, most: int = 5_000) -> Lexicon:
+    """Units, see there, of the words of `rows` (text, toxic): those in at least `least` toxic texts and `ratio` times as often
+    among the toxic as among the others; of more than `most`, those of the most texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = Counter(), Counter()
         for batch in give_back(batches):
             for text, bad in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[bad > 0].update(set(LETTERS.findall((text or "").lower())))
+                found[bad > 0].update(units(LETTERS.findall((text or "").lower())))
         for bad, own in enumerate(found):
             yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64()), pa.array([bad] * len(own), pa.int64())], ["word", "n", "bad"])
 
@@ -93,11 +129,13 @@ def toxic_lexicon(rows: DataFrame, least: int = 3, ratio: float = 20.0, most: in
     words = rows.select("text", "toxic").mapInArrow(count, "word string, n long, bad long")
     words = words.groupBy("word").agg(F.sum(F.col("n") * F.col("bad")).alias("yes"), F.sum(F.col("n") * (1 - F.col("bad"))).alias("no"))
     often = F.col("yes") / max(n["yes"], 1) >= ratio * (F.col("no") + 0.5) / max(n["no"], 1)
-    return frozenset(r["word"] for r in words.where((F.col("yes") >= least) & often).orderBy(F.desc("yes"), "word").limit(most).collect())
+    found = words.where((F.col("yes") >= least) & often).orderBy(F.desc("yes"), "word").limit(most).collect()
+    return Lexicon({r["word"]: (r["yes"], r["no"]) for r in found}, n["yes"], n["no"])
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, *, most: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text") -> Classifier:
-    """Fit on at most `most` rows of `labels` (doc_id, quality 0/1, toxic 0/1) with a document.
+    """Fit on at most `most` rows of `labels` (doc_id, quality 0/1, toxic 0/1) and documents, those of the least hashes; repeated
+    labels and repeated documents of one id are rows each.
 
     A null quality counts as 1 and a null toxic as 0; rows of null id are left out. Without any rows, or with rows of one
     kind only, that part of the classifier is constant.
@@ -105,16 +143,17 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, *, most: int = MAX_LABELL
     some = labels.select(F.col("doc_id").alias("label id"), F.coalesce("quality", F.lit(1)).alias("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"))
     some = some.where(F.col("label id").isNotNull()).orderBy(F.xxhash64("label id"), "label id").limit(most)
     texts = docs.select(F.col(id_col).alias("label id"), F.col(text_col).alias("text"))
-    rows = stage(texts.join(F.broadcast(some), "label id").select("text", "quality", "toxic"))  # at most `most` labels
+    found = texts.join(F.broadcast(some), "label id")  # at most `most` labels
+    rows = stage(found.orderBy(F.xxhash64("label id", "text", "quality", "toxic")).limit(most).select("text", "quality", "toxic"))
     lexicon = toxic_lexicon(rows)
 
     @F.pandas_udf("array<double>")
-    def numbers(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t, lexicon) for t in texts], dtype=object)
+    def numbers(texts: pd.Series, toxic: pd.Series) -> pd.Series:
+        return pd.Series([features(t, lexicon, bool(y > 0)) for t, y in zip(texts, toxic, strict=True)], dtype=object)
 
-    found = rows.select("quality", "toxic", numbers("text").alias("x")).collect()  # numbers only
+    found = rows.select("quality", "toxic", numbers("text", "toxic").alias("x")).collect()  # numbers only
     good, bad = np.array([r[0] for r in found], float), np.array([r[1] for r in found], float)
-    x = np.array([r[2] for r in found], float).reshape(len(found), len(features("", frozenset())))
+    x = np.array([r[2] for r in found], float).reshape(len(found), len(features("", Lexicon())))
 
     def head(part: slice, y: np.ndarray, alone: float) -> np.ndarray:
         if len(set(y.tolist())) == 2:
@@ -155,7 +194,8 @@ def _key(column: str) -> Column:
 
 
 def site_posteriors(scored: DataFrame) -> DataFrame:
-    """From rows (host, path, p): for each (host, path) its n, s (sum of p), strength, prior and host, the posterior means.
+    """From rows (host, path, p): for each (host, path) its n, s (sum of p) and strength, prior, host_score (the host's posterior
+    mean), and the host's host_n, host_s and host_strength.
 
     Documents are summed to paths and paths to hosts; hosts shrink towards the mean of all documents and paths towards
     their host, the more the fewer documents they have. All rows count.
@@ -165,7 +205,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
     prior = (whole["s"] or 0) / whole["n"] if whole["n"] else 0.5
     strong = _strength(hosts, F.lit(prior))
-    hosts = hosts.select("host", ((F.col("s") + strong * prior) / (F.col("n") + strong)).alias("host_score"))
+    hosts = hosts.select("host", ((F.col("s") + strong * prior) / (F.col("n") + strong)).alias("host_score"), F.col("n").alias("host_n"), F.col("s").alias("host_s"), F.lit(float(strong)).alias("host_strength"))
     paths = paths.join(hosts, "host")
     strong = _strength(paths, F.col("host_score"))
     return paths.withColumn("strength", F.lit(float(strong))).withColumn("prior", F.lit(float(prior)))
@@ -176,34 +216,51 @@ def _logit(c: Column) -> Column:
     return F.log(c / (1 - c))
 
 
+def _judged(rows: DataFrame, sites: DataFrame, threshold: float) -> DataFrame:
+    """`rows` (host, path, own, p) with their sites, and a column found: the struct that score and classify return.
+
+    A document's log odds are those of its own text plus what its path adds to the mean of all: the path's posterior, shrunk to
+    its host's, both without the document itself.
+    """
+    small = sites.count() <= MAX_BROADCAST_SITES
+    joined = rows.join(F.broadcast(sites) if small else sites, ["host", "path"])
+    host = (F.col("host_s") - F.col("p") + F.col("host_strength") * F.col("prior")) / (F.col("host_n") - 1 + F.col("host_strength"))
+    path = (F.col("s") - F.col("p") + F.col("strength") * host) / (F.col("n") - 1 + F.col("strength"))
+    score = 1 / (1 + F.exp(-(_logit(F.col("p")) + _logit(path) - _logit(F.col("prior")))))
+    return joined.withColumn("found", F.struct(score.alias("score"), (score >= threshold).alias("keep"), F.col("p").alias("doc_score"), F.col("own.toxic").alias("toxic_score"), host.alias("host_score"), path.alias("path_score")))
+
+
+def _own_scores(docs: DataFrame, classifier: Classifier, columns: list[Column], host_col: str, path_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(*columns, _key(host_col).alias("host"), _key(path_col).alias("path"), document_score(F.col(text_col), classifier).alias("own"))
+    return rows.withColumn("p", F.col("own.good") * (1 - F.col("own.toxic")))
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, *, host_col: str = "source", path_col: str = "lang", threshold: float = 0.5,
+    most_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """doc_id, score, keep, doc_score, toxic_score, host_score and path_score of each row of `docs`, as classify gives them. Without
+    the texts in its result it reads them once."""
+    classifier = fit_classifier(docs, labels, most=most_labelled, id_col=id_col, text_col=text_col)
+    rows = stage(_own_scores(docs, classifier, [F.col(id_col).alias("doc_id")], host_col, path_col, text_col))
+    return _judged(rows, stage(site_posteriors(rows.select("host", "path", "p"))), threshold).select("doc_id", "found.*")
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, *, host_col: str = "source", path_col: str = "lang", threshold: float = 0.5,
     most_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """`docs` with a column quality (with underscores added if there is one): a struct of score, keep, doc_score,
-    toxic_score, host_score and path_score.
-
-    A document's log odds are those of its own text plus what its path adds to the mean of all: the path's posterior
-    without the document itself. `keep` tells whether score reaches `threshold`.
+    toxic_score, host_score and path_score. `keep` tells whether score reaches `threshold`; see _judged.
 
     Nulls: a null text counts as empty; null hosts and paths are sites of their own; a null id only keeps a row from being
     learned from. Repeated rows count and are returned each. An empty table gives no rows. Clashing names of other
     columns do no harm.
     """
     classifier = fit_classifier(docs, labels, most=most_labelled, id_col=id_col, text_col=text_col)
-    own = document_score(F.col(text_col), classifier)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), _key(host_col).alias("host"), _key(path_col).alias("path"), own.alias("own"))
-    rows = rows.withColumn("p", F.col("own.good") * (1 - F.col("own.toxic")))
-    #: The classifier runs again below rather than keep a copy of all texts.
-    sites = site_posteriors(rows.select("host", "path", "p"))
-
-    sites = stage(sites)
-    small = sites.count() <= MAX_BROADCAST_SITES
-    joined = rows.join(F.broadcast(sites) if small else sites, ["host", "path"])
-    path = (F.col("s") - F.col("p") + F.col("strength") * F.col("host_score")) / (F.col("n") - 1 + F.col("strength"))
-    odds = _logit(F.col("p")) + _logit(path) - _logit(F.col("prior"))
-    score = 1 / (1 + F.exp(-odds))
-    found = F.struct(score.alias("score"), (score >= threshold).alias("keep"), F.col("p").alias("doc_score"), F.col("own.toxic").alias("toxic_score"), "host_score", path.alias("path_score"))
-
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    #: The classifier runs twice rather than keep a copy of all texts.
+    rows = _own_scores(docs, classifier, [whole], host_col, path_col, text_col)
+    sites = stage(site_posteriors(rows.select("host", "path", "p")))
     (name,) = fresh(docs, "quality")
-    return joined.select("row.*", found.alias(name))
+    return _judged(rows, sites, threshold).select("row.*", F.col("found").alias(name))

@@ -1,5 +1,10 @@
+import math
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldglass.llm import quality, queries
 
@@ -75,3 +80,75 @@ def test_separates(spark, middle):
     assert np.mean([r["keep"] for r in clean]) > 0.99
     assert np.mean([r["keep"] for r in rows if not r["quality"]]) < 0.05
     assert np.mean([r["keep"] for r in rows if r["toxic"]]) < 0.15
+
+
+def test_scores_are_those_of_the_formula(spark, small):
+    """Score and keep of each row by plain Python, from the document classifier's own chances; score and classify agree."""
+    docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
+    docs = docs.unionByName(docs.limit(3)).withColumn("source", F.when(F.col("doc_id") % 11 != 0, F.col("source")))
+    got = quality.classify(docs, labels).select("doc_id", "source", "lang", "quality.*").collect()
+    rows = [(r["source"], r["lang"], r["doc_score"]) for r in got]
+    sites, hosts = slow_posteriors(rows), Counter()
+    sums = Counter()
+    for h, _, p in rows:
+        hosts[h] += 1
+        sums[h] += p
+    n = len(rows)
+    prior, hs = sum(sums.values()) / n, {h: (hosts[h], sums[h]) for h in hosts}
+    total, squares = n, sum(a * a for a, _ in hs.values())
+    gap, var = sum(a * (b / a - prior) ** 2 for a, b in hs.values()), n * prior * (1 - prior)
+    spread = (gap / ((len(hs) - 1) * var / total) - 1) / max((total - squares / total) / (len(hs) - 1) - 1, 1e-9)
+    strong = 1e4 if spread <= 0 else min(max(1 / spread - 1, 1.0), 1e4)
+    logit = lambda x: math.log(min(max(x, 1e-6), 1 - 1e-6) / (1 - min(max(x, 1e-6), 1 - 1e-6)))
+    for r in got:
+        a, b, strength, _, _ = sites[r["source"], r["lang"]]
+        p, (hn, hsum) = r["doc_score"], hs[r["source"]]
+        host = (hsum - p + strong * prior) / (hn - 1 + strong)
+        path = (b - p + strength * host) / (a - 1 + strength)
+        want = 1 / (1 + math.exp(-(logit(p) + logit(path) - logit(prior))))
+        assert (r["host_score"], r["path_score"], r["score"]) == pytest.approx((host, path, want), rel=1e-6)
+        assert r["keep"] == (r["score"] >= 0.5)
+    names = ["doc_id", "score", "keep", "doc_score", "toxic_score", "host_score", "path_score"]
+    plain = lambda rows: sorted([round(v, 9) if isinstance(v, float) else v for v in r] for r in rows)
+    assert plain(quality.score(docs, labels).select(*names).collect()) == plain([tuple(r[c] for c in names) for r in got])
+
+
+def test_separates_held_out_labels(spark):
+    """Fitted on two thirds of the labels, judged on the others."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    rows = quality.score(docs, labels.where("doc_id % 3 <> 0")).join(labels.where("doc_id % 3 = 0"), "doc_id").collect()
+    rate = lambda ok: np.mean([r["keep"] for r in rows if ok(r)])
+    assert len(rows) > 1000 and rate(lambda r: r["quality"] and not r["toxic"]) > 0.99
+    assert rate(lambda r: not r["quality"]) < 0.02 and rate(lambda r: r["toxic"]) < 0.05
+
+
+def test_lexicon_finds_words_and_beginnings():
+    """Words that mark toxic texts, also by how they begin; others aren't taken, however few texts they are in."""
+    rng = random.Random(3)
+    plain = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    text = lambda *more: " ".join([*rng.choices(plain, k=30), *more, "rare" + "".join(rng.choices("abcdefgh", k=5))])
+    rows = [(text("vile" if i % 2 else "nastyx" + rng.choice("abcdefghij") * 3), 1) for i in range(60)] + [(text(), 0) for _ in range(500)] + [(None, 1), ("", 0)]
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    found = quality.toxic_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert {"vile", "nasty*", "nastyx*"} <= found.counts.keys() and not any(w.startswith("word") for w in found.counts)
+    last = lambda *args: quality.features(*args)[-1]
+    assert last("so vile", found) > 2.5 and last("nastyxqq", found) > 2.5 and quality.features("a plain text", found)[-3:] == [0, 0, 0]
+    assert last("so vile", found, True) < last("so vile", found) < last("so vile", found, False)
+    assert quality.Lexicon({"x": (3, 0)}, 60, 500).weight("x", None) < last("so vile", found)
+
+
+def test_labelled_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0)] * 20 + [(2, 0, 1)], LABELS)
+    seen = []
+    collect = quality.stage
+    quality.stage = lambda df: seen.append(collect(df)) or seen[-1]
+    try:
+        quality.fit_classifier(docs, labels, most=50)
+    finally:
+        quality.stage = collect
+    assert seen[0].count() <= 50
