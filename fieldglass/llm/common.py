@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldglass.staging import drop, fresh, running_total, shared_folder, shuffle_partitions, stage, stage_only
 
-__all__ = ["WORD", "components", "drop", "fresh", "give_back", "join_hot", "running_total", "shared_folder", "shuffle_partitions", "stage", "stage_only"]
+__all__ = ["WORD", "components", "drop", "fresh", "give_back", "join_hot", "join_salted", "running_total", "shared_folder", "shuffle_partitions", "stage", "stage_only"]
 
 #: A word: a run of characters other than ASCII white space. bytes.split() cuts at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -71,3 +71,18 @@ def join_hot(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
     is_hot = lambda df: F.coalesce(df[key].isin(hot), F.lit(False))
     few = F.broadcast(right.where(is_hot(right)))  # fewer rows than shuffle partitions
     return left.where(is_hot(left)).join(few, key, how).unionByName(left.where(~is_hot(left)).join(right, key, how))
+
+
+def join_salted(left: DataFrame, right: DataFrame, key: str, spread: str) -> DataFrame:
+    """`left` joined with `right`, which has at most one row a key, where a few keys may hold most of `left` and rows of `right`
+    may be large, so that they aren't to be broadcast: rows of a hot key are dealt to all tasks by `spread`, a column of
+    `left`, and each task gets its copy of the key's row of `right`. `left` is read twice: stage it."""
+    tasks = shuffle_partitions(left.sparkSession)
+    share = left.count() // tasks + 1
+    hot = [r[0] for r in left.groupBy(key).count().where((F.col("count") > share) & F.col(key).isNotNull()).select(key).collect()]
+    if not hot:
+        return left.join(right, key)
+    salt = lambda df, c: F.when(F.coalesce(df[key].isin(hot), F.lit(False)), c).otherwise(0)
+    dealt = left.withColumn("salt", salt(left, F.pmod(F.xxhash64(spread), F.lit(tasks)).cast("int")))
+    copies = right.withColumn("salt", F.explode(F.sequence(F.lit(0), salt(right, F.lit(tasks - 1)))))
+    return dealt.join(copies, [key, "salt"]).drop("salt")

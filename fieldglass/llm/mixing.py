@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -58,19 +59,33 @@ def split_quotas(quotas: np.ndarray, shards: int, rng: np.random.Generator) -> n
 
 
 def draw(quotas: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
-    """One multivariate hypergeometric draw, source by source; beyond numpy's range a rounded normal stands in."""
+    """One multivariate hypergeometric draw, source by source."""
     out, left = np.zeros_like(quotas), int(quotas.sum())
     for i, q in enumerate(map(int, quotas)):
         rest = left - q
-        if max(q, rest) < 10**9:
-            k = int(rng.hypergeometric(q, rest, n)) if q and n else 0
+        if not q or not n:
+            k = 0
         else:
-            sd = (n * q / left * rest / left * (left - n) / max(left - 1, 1)) ** 0.5
-            k = min(max(round(rng.normal(n * q / left, sd)), n - rest, 0), q, n)
+            k = int(rng.hypergeometric(q, rest, n)) if max(q, rest) < 10**9 else draw_large(q, rest, n, rng)
         out[i], n, left = k, n - k, rest
     return out
 
 
+def draw_large(good: int, bad: int, n: int, rng: np.random.Generator) -> int:
+    """A hypergeometric draw beyond numpy's range, by the ratio of uniforms: a point under the root of the distribution is tried
+    until one lies there."""
+    both, low, high = good + bad, max(0, n - bad), min(good, n)
+    mean, top = n * good / both, (n + 1) * (good + 1) // (both + 2)
+    spread = math.sqrt(mean * bad / both * (both - n) / max(both - 1, 1) + 0.5)
+    log = lambda k: -math.fsum(map(math.lgamma, (k + 1, good - k + 1, n - k + 1, bad - n + k + 1)))
+    most = log(min(max(top, low), high))
+    while True:
+        u, v = 1 - rng.random(), rng.random()
+        k = math.floor(mean + 0.5 + (1.7155277699214135 * spread + 0.8989161620588988) * (v - 0.5) / u)  # 2 sqrt(2 / e), 3 - 2 sqrt(3 / e)
+        if low <= k <= high and 2 * math.log(u) <= log(k) - most:
+            return k
+
+
 def plan_mix(
     docs: DataFrame, weigh, *, total: float = 1.5, most: float = 2.0, shards: int = 64, blocks_a_source: int = 256,
     seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None,
@@ -153,11 +168,21 @@ def plan_mix(
     return Mix(out.select("doc_id", "source_id", "size", "source_size", "target", "taken", "units", "row"), dealt)
 
 
+def places(plan: DataFrame) -> DataFrame:
+    """For a plan (staged): row and places, for each unit of the document in order of passes its shard and slot, the place (from 0)
+    that the shard's local shuffle gives it."""
+    units = plan.select("row", F.explode("units").alias("u")).select("row", F.col("u.pass").alias("turn"), F.col("u.shard").alias("shard"), F.col("u.key").alias("key"), F.lit(1).cast("long").alias("one"))
+    ranked = running_total(stage(units), ["shard"], ["key", "row", "turn"], {"slot": "one"})
+    found = F.array_sort(F.collect_list(F.struct("turn", "shard", "slot")))
+    return ranked.groupBy("row").agg(F.transform(found, lambda u: F.struct(u.shard, u.slot)).alias("places"))
+
+
 def mix(docs: DataFrame, weigh, *, whole: bool = True, **options) -> DataFrame:
     """The mixed documents: each row of `docs` as often as the plan takes it, with mix_shard and mix_key.
 
-    Rows lie in the order of their shards, and within a shard in that of mix_key, which is its local shuffle. With `whole`, the document at which a source reaches its target
-    comes whole if at least half of it is taken, else not at all; otherwise mix_words tells how many words to keep.
+    Rows lie in the order of their shards, and within a shard in that of mix_key, which is its local shuffle. With `whole`, the
+    document at which a source reaches its target comes whole if at least half of it is taken, else not at all; otherwise
+    mix_words tells how many words to keep.
     Takes the options of plan_mix and treats nulls, repeated rows and clashing names as it does.
     """
     row, shard, key, words, unit = fresh(docs, "mix_row", "mix_shard", "mix_key", "mix_words", "mix_unit")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, hnsw, langid, lm, mixing, packing, quality, sharding, simhash, topk
+from .common import stage
 
 
 def tokenizer_path() -> str:
@@ -20,8 +21,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return found.select("doc_id", "quality.*")
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), distance=4, shingle=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -44,9 +44,10 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.plan_mix(_table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[i % 3] for i in range(len(names))]).plan
-    shards = F.transform("units", lambda u: u.shard).alias("shards")
-    return plan.select("doc_id", "size", "source_size", "target", "taken", shards)
+    plan = stage(mixing.plan_mix(_table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[i % 3] for i in range(len(names))]).plan)
+    found = plan.join(mixing.places(plan), "row", "left")
+    shards, slots = (F.coalesce(F.transform("places", lambda p, name=name: p[name]), F.array().cast(f"array<{kind}>")).alias(f"{name}s") for name, kind in (("shard", "int"), ("slot", "long")))
+    return found.select("doc_id", "size", "source_size", "target", "taken", shards, slots)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

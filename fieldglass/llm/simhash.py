@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import components, fresh, give_back, shuffle_partitions, stage
+from . import similar
+from .common import components, fresh, give_back, join_hot, shuffle_partitions, stage
 
 BITS = 64
 #: An odd multiplier that spreads wide keys; those that meet by chance fail the check of the links.
@@ -159,38 +160,54 @@ def candidate_links(prints: DataFrame, distance: int) -> DataFrame:
     return filed.mapInArrow(runs, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Classes of near-duplicates: doc_id, fp (the fingerprint, signed), component_id (smallest doc_id reachable over
-    links of `distance` or fewer differing bits), one row for each row of `docs`.
-
-    Documents of one fingerprint are one node, however many they are, so copies are never paired.
-
-    Nulls: a null text has fingerprint 0, as has a text without words, and is linked like any other; a null id is
-    returned as null and is never the smallest (the id of a class without any other is null). Repeated rows each get
-    their row. An empty table gives no rows. Other columns, whatever their names, are not looked at.
+def _classes(docs: DataFrame, distance: int | None, shingle: int | None, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """For docs (row, doc_id, text; staged, or read once only where `distance` is given): rows (doc_id, node, fp; staged) and, for
+    each node, best: the struct (no_id, doc_id, text_hash, row) that is the least of its class."""
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    if distance is None:
+        rows, roots = similar.similar_classes(docs, shingle or 5, similarity)
+    else:
+        rows = stage(with_fingerprint(docs, "fp", "text", shingle or 4).drop("text").withColumn("node", F.col("fp")))
+        roots = components(candidate_links(rows.select("fp").distinct(), distance))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")
+    nodes = rows.groupBy("node").agg(F.min(order).alias("best"))
+    classed = stage(nodes.join(roots, "node", "left").select("node", "best", F.coalesce("root", "node").alias("root")))
+    least = classed.groupBy("root").agg(F.min("best").alias("best"))
+    return rows, join_hot(classed.select("node", "root"), least, "root").select("node", "best")
+
+
+def near_duplicates(
+    docs: DataFrame, *, distance: int | None = None, shingle: int | None = None, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """Classes of near-duplicates: doc_id, fp (a fingerprint, signed), component_id (smallest doc_id reachable over links),
+    one row for each row of `docs`.
+
+    Without `distance`, texts are linked whose sets of `shingle` words (5, if not given) have a Jaccard similarity of
+    `similarity` or more; see similar.similar_links. With it, those whose 64-bit SimHash over shingles of `shingle` words (4,
+    if not given), repeats included, differ in at most so many bits; see candidate_links. Documents of one set, or of one
+    fingerprint, are one node, however many they are, so copies are never paired.
+
+    Nulls: a null text counts as one without words. Texts without words have fingerprint 0 and an empty set, and are linked
+    like any other: to each other. A null id is returned as null and is never the smallest (the id of a class without any
+    other is null). Repeated rows each get their row. An empty table gives no rows. Other columns, whatever their names,
+    are not looked at.
     """
-    narrow = with_fingerprint(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "fp", "text", shingle)
-    narrow = stage(narrow.select("doc_id", "fp"))
-    prints = narrow.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    nodes = components(candidate_links(prints, distance)).select(F.col("node").alias("fp"), "root")
-    classed = prints.join(nodes, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = classed.groupBy("root").agg(F.min("least").alias("component_id"))
-    classed = classed.join(least, "root").select("fp", "component_id")
-    return narrow.join(classed, "fp").select("doc_id", "fp", "component_id")
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows, classes = _classes(stage(docs) if distance is None else docs, distance, shingle, similarity)
+    return join_hot(rows, classes, "node").select("doc_id", "fp", F.col("best.doc_id").alias("component_id"))
 
 
-def drop_near_duplicates(docs: DataFrame, *, distance: int = 4, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, *, distance: int | None = None, shingle: int | None = None, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """`docs` with one document of each class: the one with the smallest id.
 
     Takes part like near_duplicates. Of rows that share that id, the one with the least text hash stays, then any one
     of equal rows; a class without an id keeps one row too.
     """
     row, = fresh(docs, "dedup_row")
-    #: Numbered once and written: the numbers tell which rows stay, however `docs` would be dealt out another time.
     docs = stage(docs.withColumn(row, F.monotonically_increasing_id()))
-    found = stage(with_fingerprint(docs, "dedup fp", text_col, shingle).select(F.col(id_col).alias("doc_id"), F.col("dedup fp").alias("fp"), F.xxhash64(text_col).alias("text_hash"), F.col(row).alias("row")))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "row")
-    prints = found.groupBy("fp").agg(F.min(order).alias("best"))
-    nodes = components(candidate_links(prints, distance)).select(F.col("node").alias("fp"), "root")
-    kept = prints.join(nodes, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("best"))
-    return docs.join(kept.select(F.col("best.row").alias(row)), row, "left_semi").drop(row)
+    narrow = docs.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    _, classes = _classes(narrow, distance, shingle, similarity)
+    kept = classes.select(F.col("best.row").alias(row)).distinct()
+    return docs.join(kept, row, "left_semi").drop(row)

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 
 from fieldglass.llm import mixing, queries
+from fieldglass.llm.common import stage
 
 from .fixtures import documents, empty
 
@@ -110,3 +112,31 @@ def test_query(spark, small):
     assert rows.columns[:5] == ["doc_id", "size", "source_size", "target", "taken"]
     docs = spark.read.parquet(f"{small}/documents.parquet")
     check(mixing.plan_mix(docs, WEIGH).plan.collect(), docs.collect())
+
+
+def test_large_draws():
+    """The mean and spread of draws beyond numpy's range, and within it the same distribution as numpy's."""
+    rng = np.random.default_rng(7)
+    found = np.array([mixing.draw_large(5 * 10**9, 3 * 10**9, 10**6, rng) for _ in range(2000)])
+    assert abs(found.mean() - 625_000) < 5 * 484 / 2000**0.5 and found.std() == pytest.approx(484, rel=0.08)
+    small = Counter(mixing.draw_large(6, 5, 4, rng) for _ in range(20_000))
+    for k in range(5):
+        want = math.comb(6, k) * math.comb(5, 4 - k) / math.comb(11, 4)
+        assert small[k] / 20_000 == pytest.approx(want, abs=0.015)
+    assert mixing.draw_large(3, 0, 3, rng) == 3 and mixing.draw_large(3, 9, 12, rng) == 3
+
+
+def test_places_are_gapless_and_by_key(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    plan = stage(mixing.plan_mix(docs, WEIGH, shards=5).plan)
+    placed = {r["row"]: r["places"] for r in mixing.places(plan).collect()}
+    by_shard = defaultdict(list)
+    for r in plan.collect():
+        assert [p["shard"] for p in placed.get(r["row"], [])] == [u["shard"] for u in r["units"]]
+        for u, p in zip(r["units"], placed.get(r["row"], []), strict=True):
+            by_shard[u["shard"]].append((p["slot"], u["key"]))
+    for own in by_shard.values():
+        assert [slot for slot, _ in sorted(own)] == list(range(len(own)))
+        assert [k for _, k in sorted(own)] == sorted(k for _, k in own)
+    rows = queries.op6_mix_sources(spark, small).collect()
+    assert sum(len(r["slots"]) for r in rows) == sum(len(r["shards"]) for r in rows) > 0
