@@ -12,11 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import shuffle_partitions, stage
 from .vectors import fit_width, matrix, search_in_blocks, usable
 
-#: Different vectors in a shard, about; this bounds what a task holds and makes the cost of all graphs linear.
-SHARD_ROWS = 8192
+#: Different vectors in a shard, about: as many as let all tasks have two shards, but no fewer than this; and bytes of a shard's
+#: vectors at most (double precision), which bounds what a task holds. A task holds about three times that and its graph.
+SHARD_ROWS, SHARD_BYTES = 8192, 64_000_000
 #: Rows for which the graph is extended, or queries that walk through it, at a time.
 AT_ONCE = 256
 
@@ -50,29 +51,78 @@ def _diverse(rows: np.ndarray, at: np.ndarray, near: np.ndarray, score: np.ndarr
     return taken
 
 
-def _connect(rows: np.ndarray, links: int, width: int) -> np.ndarray:
-    """One level's neighbours. In the order of `rows` each node is linked to diverse ones of the `width` nearest before it,
-    as if inserted one by one with an exact search; early nodes give the long links. Links go both ways; a node
-    with more than `2 * links` keeps diverse ones."""
-    n = len(rows)
-    forward = np.full((n, links), -1, np.int32)
-    for a in range(0, n, AT_ONCE):
-        b = min(a + AT_ONCE, n)
-        score = rows[a:b] @ rows[:b].T
-        score[np.arange(b)[None] >= np.arange(a, b)[:, None]] = -np.inf
-        near, score = _best(score, min(width, b))
-        forward[a:b] = _diverse(rows, np.arange(a, b), np.where(np.isfinite(score), near, -1), score, links)
-    one, two = np.nonzero(forward >= 0)[0], forward[forward >= 0]
-    a, b = np.concatenate([one, two]), np.concatenate([two, one])
-    score = np.einsum("ed,ed->e", rows[a], rows[b])
-    order = np.lexsort((b, -score, a))
-    a, b, score = a[order], b[order], score[order]
-    place = np.arange(len(a)) - np.searchsorted(a, a)
-    keep = place < 4 * links
-    near, scores = np.full((n, 4 * links), -1, np.int32), np.full((n, 4 * links), -np.inf, np.float32)
-    near[a[keep], place[keep]], scores[a[keep], place[keep]] = b[keep], score[keep]
-    kept = [_diverse(rows, np.arange(i, min(i + AT_ONCE, n)), near[i : i + AT_ONCE], scores[i : i + AT_ONCE], 2 * links) for i in range(0, n, AT_ONCE)]
-    return _reachable(np.concatenate(kept) if n else near[:, : 2 * links], forward)
+def _link_back(rows: np.ndarray, near: np.ndarray, one: np.ndarray, other: np.ndarray, score: np.ndarray) -> None:
+    """Put each of `one` into the list of its `other`, in place. Where a list has no room for all, diverse ones of the old and of as
+    many of the new as a list holds, the nearest, stay."""
+    order = np.lexsort((-score, other))
+    one, other = one[order], other[order]
+    owners, first, count = np.unique(other, return_index=True, return_counts=True)
+    place, most = np.arange(len(other)) - np.repeat(first, count), near.shape[1]
+    fresh = np.full((len(owners), most), -1, np.int32)
+    kept = place < most
+    fresh[np.repeat(np.arange(len(owners)), count)[kept], place[kept]] = one[kept]
+    for a in range(0, len(owners), AT_ONCE):
+        own = owners[a : a + AT_ONCE]
+        both = np.concatenate([near[own], fresh[a : a + AT_ONCE]], axis=1)
+        scores = np.where(both >= 0, np.einsum("nkd,nd->nk", rows[both], rows[own]), -np.inf)
+        by_score = np.argsort(-scores, axis=1, kind="stable")
+        both, scores = np.take_along_axis(both, by_score, 1), np.take_along_axis(scores, by_score, 1)
+        full = np.flatnonzero((both >= 0).sum(axis=1) > most)
+        out = both[:, :most]
+        out[full] = _diverse(rows, own[full], both[full], scores[full], most)
+        near[own] = out
+
+
+def insert_all(rows: np.ndarray, level: np.ndarray, links: int, width: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The levels (nodes, neighbours) of a graph into which all `rows` are inserted in their order, some at a time: at most a
+    quarter of those before, so that the graph is well grown beside them.
+
+    A node goes down from the top, from the nearest nodes found on one level to the next. On each level that it belongs to it
+    is linked to diverse ones of the `width` nearest that a walk finds, and of those inserted with it before it; they get it
+    into their lists, which hold `2 * links`.
+    """
+    at_level = [np.flatnonzero(level >= at) for at in range(int(level.max(initial=0)) + 1)]
+    at_level = [nodes for at, nodes in enumerate(at_level) if not at or len(nodes) > 1]
+    own_rows = [rows if not at else rows[nodes] for at, nodes in enumerate(at_level)]
+    near = [np.full((len(nodes), 2 * links), -1, np.int32) for nodes in at_level]
+    forward = [np.full((len(nodes), links), -1, np.int32) for nodes in at_level]
+    a = 0
+    while a < len(rows):
+        b = min(len(rows), a + max(AT_ONCE, min(4 * AT_ONCE, a // 4)))
+        start: np.ndarray | None = None
+        for at in range(len(at_level) - 1, -1, -1):
+            nodes, own = at_level[at], own_rows[at]
+            m, e = np.searchsorted(nodes, (a, b)).tolist()
+            members = nodes[m:e] - a
+            ids, score = np.full((len(members), 1), -1, np.int32), np.full((len(members), 1), -np.inf, np.float32)
+            if m:
+                begin = np.zeros((b - a, 1), np.int32) if start is None else np.searchsorted(nodes[:m], start).astype(np.int32)
+                if at:
+                    found, found_score = _walk_in_parts(own[:m], near[at][:m], rows[a:b], begin, 8)
+                    best = np.take_along_axis(found, np.argsort(-found_score, axis=1, kind="stable")[:, :4], 1)
+                    start = nodes[np.where(best >= 0, best, best[:, :1])]
+                if len(members):
+                    ids, score = _walk_in_parts(own[:m], near[at][:m], rows[a:b][members], begin[members], width)
+            if not len(members):
+                continue
+            with_it = own[m:e] @ own[m:e].T
+            with_it[np.triu_indices(len(members))] = -np.inf
+            score = np.concatenate([score, with_it], axis=1)
+            ids = np.concatenate([ids, np.broadcast_to(np.arange(m, e, dtype=np.int32), with_it.shape)], axis=1)
+            best, score = _best(score, min(width, score.shape[1]))
+            ids = np.where(np.isfinite(score), np.take_along_axis(ids, best, 1), -1)
+            forward[at][m:e] = _diverse(own, np.arange(m, e), ids, score, links)
+            near[at][m:e, :links] = forward[at][m:e]
+            row, column = np.nonzero(forward[at][m:e] >= 0)
+            other = forward[at][m:e][row, column]
+            _link_back(own, near[at], (row + m).astype(np.int32), other, np.einsum("ed,ed->e", own[row + m], own[other]))
+        a = b
+    return [(nodes.astype(np.int32), _reachable(lists, first)) for nodes, lists, first in zip(at_level, near, forward, strict=True)]
+
+
+def _walk_in_parts(rows: np.ndarray, near: np.ndarray, queries: np.ndarray, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    parts = [_walk(rows, near, queries[i : i + AT_ONCE], start[i : i + AT_ONCE], width) for i in range(0, len(queries), AT_ONCE)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def _reachable(near: np.ndarray, forward: np.ndarray, spare: int = 8) -> np.ndarray:
@@ -105,7 +155,7 @@ def insertion_order(vectors: np.ndarray, seed: int = 0) -> np.ndarray:
     return order[np.argsort(-np.round(lengths / (lengths.max(initial=0) or 1.0), 4), kind="stable")]
 
 
-def build_graph(vectors: np.ndarray, *, links: int = 16, width: int = 64, seed: int = 0) -> Graph:
+def build_graph(vectors: np.ndarray, *, links: int = 24, width: int = 64, seed: int = 0) -> Graph:
     """The graph of one shard. A node reaches level l with chance links ** -l, drawn from `seed`. Nodes are best given in
     order of insertion_order.
 
@@ -118,19 +168,14 @@ def build_graph(vectors: np.ndarray, *, links: int = 16, width: int = 64, seed:
     rest = np.sqrt(np.maximum(1 - lengths / scale**2, 0))
     level_rows = np.c_[rows, rest].astype(np.float32) if rest.max(initial=0) > 0.05 else None
     level = np.floor(-np.log(1 - np.random.default_rng(seed).random(len(rows))) / np.log(links)).astype(int)
-    levels = []
-    for at in range(level.max(initial=0) + 1):
-        nodes = np.flatnonzero(level >= at)
-        if at and len(nodes) < 2:
-            break
-        near = _connect(rows[nodes], links, width)
-        if level_rows is not None:
-            more = _connect(level_rows[nodes], links, width)
+    levels = insert_all(rows, level, links, width)
+    if level_rows is not None:
+        for at, (_, more) in enumerate(insert_all(level_rows, level, links, width)):
+            nodes, near = levels[at]
             for a in range(0, len(near), AT_ONCE):
                 part = more[a : a + AT_ONCE]
                 part[(part[:, :, None] == near[a : a + AT_ONCE, None, :]).any(axis=2)] = -1
-            near = np.concatenate([near, more], axis=1)
-        levels.append((nodes.astype(np.int32), near))
+            levels[at] = nodes, np.concatenate([near, more], axis=1)
     return Graph(rows, levels)
 
 
@@ -189,7 +234,7 @@ def search_graph(graph: Graph, queries: np.ndarray, k: int, width: int) -> np.nd
     return out
 
 
-def build_index(vectors: DataFrame, *, keep_ids: int, shard_rows: int = SHARD_ROWS, links: int = 16, width: int = 64) -> DataFrame:
+def build_index(vectors: DataFrame, *, keep_ids: int, shard_rows: int | None = None, links: int = 24, width: int = 64) -> DataFrame:
     """An index of rows (id long, vec array): one row a shard, with its vectors, the ids of each and its graph.
 
     Equal vectors are one node, which keeps its `keep_ids` smallest ids: as ties go to the smaller id, no search for
@@ -199,7 +244,11 @@ def build_index(vectors: DataFrame, *, keep_ids: int, shard_rows: int = SHARD_RO
     smallest = Window.partitionBy("vec").orderBy("id")
     nodes = vectors.withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= keep_ids)
     nodes = stage(nodes.groupBy("vec").agg(F.array_sort(F.collect_list("id")).alias("ids")))
-    shards = max(1, -(-nodes.count() // shard_rows))
+    size = nodes.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("widest")).first()
+    if shard_rows is None:
+        wanted = max(SHARD_ROWS, -(-size["n"] // (2 * shuffle_partitions(nodes.sparkSession))))
+        shard_rows = max(1, min(wanted, SHARD_BYTES // (8 * max(size["widest"] or 1, 1))))
+    shards = max(1, -(-size["n"] // shard_rows))
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(shards)))
 
     def build(table: pa.Table) -> pa.Table:
@@ -212,10 +261,11 @@ def build_index(vectors: DataFrame, *, keep_ids: int, shard_rows: int = SHARD_RO
         data = {"vectors": rows[order], "rows": graph.rows, "levels": graph.levels, "ids": own.flatten().to_numpy(), "ends": np.cumsum(np.diff(own.offsets.to_numpy()))}
         return pa.table({"shard": table.column("shard")[:1], "data": pa.array([pickle.dumps(data, protocol=5)], pa.binary())})
 
-    return stage(nodes.groupBy("shard").applyInArrow(build, "shard long, data binary"))
+    #: One file a shard, so that each is read where it lies, by a task of its own, for every block of queries.
+    return stage(nodes.groupBy("shard").applyInArrow(build, "shard long, data binary"), maxRecordsPerFile="1")
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, width: int = 80, shard_rows: int = SHARD_ROWS, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, width: int = 80, shard_rows: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """For each query row about its `k` nearest rows of `vectors`, by largest inner product: query_id, rank (from 1), vec_id
     and score (in double precision, on the vectors as given). Every row is indexed; each query walks through every shard's
     graph, and the shards' results are merged. Rows with the query's own id are no candidates; ties go to the smaller id.
@@ -232,7 +282,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, width: int = 80,
         return df.where(F.col("id").isNotNull() & usable(F.col("vec")) & F.exists("vec", lambda x: x != 0))
 
     index = build_index(clean(vectors).distinct(), keep_ids=k + 1, shard_rows=shard_rows)
-    shards = max(1, index.count())
 
     def search(ids: np.ndarray, rows: np.ndarray) -> DataFrame:
         sent = spark.sparkContext.broadcast((ids, rows))  # one block of queries
@@ -259,6 +308,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, *, width: int = 80,
                     top = np.arange(len(q)) - np.searchsorted(q, q) < k
                     yield pa.RecordBatch.from_arrays([pa.array(query_ids[q[top]]), pa.array(found[top]), pa.array(score[top])], ["query_id", "vec_id", "score"])
 
-        return index.select("data").repartition(shards).mapInArrow(task, "query_id long, vec_id long, score double")
+        return index.select("data").mapInArrow(task, "query_id long, vec_id long, score double")
 
     return search_in_blocks(clean(queries), np.float64, search, k)

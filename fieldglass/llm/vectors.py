@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import stage
 
-#: Queries that are sent to all executors at a time.
-QUERIES_AT_ONCE = 8192
+#: Bytes of queries that are sent to all executors at a time, and queries at most: what a task holds for them is in proportion.
+QUERY_BYTES, QUERIES_AT_ONCE = 32_000_000, 65_536
 
 
 def usable(vector: Column) -> Column:
@@ -42,9 +42,13 @@ def fit_width(rows: np.ndarray, width: int) -> np.ndarray:
     return rows[:, :width] if rows.shape[1] >= width else np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
 
 
-def query_blocks(queries: DataFrame, kind: type, at_once: int = QUERIES_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The different rows (id, vec) of `queries`, about `at_once` at a time: ids and a matrix."""
+def query_blocks(queries: DataFrame, kind: type, at_once: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different rows (id, vec) of `queries`, about `at_once` at a time (as many as QUERY_BYTES take, if not given): ids and a
+    matrix."""
     queries = stage(queries.select("id", "vec").distinct())
+    if at_once is None:
+        widest = queries.agg(F.max(F.size("vec"))).first()[0] or 1
+        at_once = max(1, min(QUERIES_AT_ONCE, QUERY_BYTES // (8 * widest)))
     blocks = max(1, -(-queries.count() // at_once))
     for i in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)) == i) if blocks > 1 else queries
@@ -52,15 +56,17 @@ def query_blocks(queries: DataFrame, kind: type, at_once: int = QUERIES_AT_ONCE)
         yield table.column("id").to_numpy(), matrix(table.column("vec"), kind)
 
 
-def search_in_blocks(queries: DataFrame, kind: type, search: Callable[[np.ndarray, np.ndarray], DataFrame], k: int, at_once: int = QUERIES_AT_ONCE) -> DataFrame:
+def search_in_blocks(queries: DataFrame, kind: type, search: Callable[[np.ndarray, np.ndarray], DataFrame], k: int, at_once: int | None = None) -> DataFrame:
     """Run `search` for each block of queries and keep each query's `k` best (query_id, vec_id, score), best first, ties to
-    the smaller vec_id, with rank from 1. Beyond one block each block's result is written before the next begins."""
-    parts = []
+    the smaller vec_id, with rank from 1. Beyond one block each block's result is written, once, before the next begins."""
+    parts: list[DataFrame] = []
+    waiting: DataFrame | None = None
     for ids, rows in query_blocks(queries, kind, at_once):
+        if waiting is not None:
+            parts.append(stage(waiting))
         found = search(ids, rows)
         best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-        parts.append(found.select("query_id", "rank", "vec_id", "score"))
-        if len(parts) > 1:
-            parts = [stage(p) for p in parts]
+        waiting = found.select("query_id", "rank", "vec_id", "score")
+    parts.append(stage(waiting) if parts else waiting)
     return reduce(DataFrame.unionByName, parts)
