@@ -97,3 +97,44 @@ def test_held_out_accuracy(spark, middle):
     found = queries.op7_language_id(spark, middle).join(spark.read.parquet(f"{middle}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
     rows = found.collect()
     assert len(rows) > 200 and sum(r["lang"] == r["lang_pred"] for r in rows) / len(rows) > 0.99
+
+
+def slow_mixture(text, table, least=0.01):
+    """Shares by following the rule one text and one set at a time, with fits that run on to the end."""
+    which, bucket, _ = langid.ngrams([text])
+    keys, n = np.unique(bucket, return_counts=True)
+    p, full = table[:, keys].astype(float), slow_em(table[:, keys].astype(float), n, 400)
+    order = sorted(range(len(table)), key=lambda i: -full[i])
+    best, found = None, None
+    for size in range(1, len(table) + 1):
+        own = order[:size]
+        if size > 1 and full[own[-1]] < least:
+            break
+        theta = slow_em(p[own], n, 400)
+        score = (n * np.log((p[own] * theta[:, None]).sum(axis=0))).sum() / 3 - np.log(n.sum()) / 2 * (size - 1)
+        if best is None or score > best:
+            best, found = score, dict(zip(own, theta, strict=True))
+    return [found.get(i, 0.0) for i in range(len(table))]
+
+
+def test_mixtures_choose_as_by_brute_force(spark, middle):
+    docs = spark.read.parquet(f"{middle}/documents.parquet")
+    model = langid.train(docs)
+    by = {}
+    for r in docs.where("lang is not null and n_chars > 300").select("lang", "text").limit(400).collect():
+        by.setdefault(r["lang"], []).append(r["text"])
+    names = sorted(by)
+    texts = [by[a][i][: 40 + 60 * i] + " " + by[b][i][: 30 + 20 * i] for i in range(4) for a in names for b in names]
+    texts += [by[a][0][:25] for a in names] + ["zq xj", " ".join(by[a][1][:200] for a in names)]
+    shares, _ = langid.mixtures(texts, model.table.value)
+    for i, t in enumerate(texts):
+        want = slow_mixture(t, model.table.value)
+        assert np.allclose(shares[:, i], want, atol=5e-3), (t, shares[:, i], want)
+
+
+def test_long_texts_count_alike(monkeypatch):
+    text = "Ab,  c-défg " * 50 + "!!! " * 10 + "xyz. 漢字 Ω" * 30
+    whole = langid.bucket_counts([None, text, "ab", ""])
+    for size in (1, 2, 3, 7, 64, 100):
+        monkeypatch.setattr(langid, "CHARS_AT_ONCE", size)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, langid.bucket_counts([None, text, "ab", ""]), strict=True))
