@@ -46,8 +46,8 @@ def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = stage(mixing.plan_mix(_table(spark, sf_dir, "documents"), lambda names: [(3, 1, 2)[i % 3] for i in range(len(names))]).plan)
     found = plan.join(mixing.places(plan), "row", "left")
-    shards, slots = (F.coalesce(F.transform("places", lambda p, name=name: p[name]), F.array().cast(f"array<{kind}>")).alias(f"{name}s") for name, kind in (("shard", "int"), ("slot", "long")))
-    return found.select("doc_id", "size", "source_size", "target", "taken", shards, slots)
+    listed = lambda name, kind: F.coalesce(F.col("places")[name], F.array().cast(f"array<{kind}>")).alias(f"{name}s")
+    return found.select("doc_id", "size", "source_size", "target", "taken", listed("shard", "int"), listed("slot", "long"))
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
