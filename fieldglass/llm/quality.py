@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import types
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -30,8 +32,8 @@ KIND[[0x20, 0x09, 0x0B, 0x0C]], KIND[[0x0A, 0x0D]] = 4, 5
 KIND[[ord(c) for c in ".,;:'\"-()?"]] = 6
 
 
-#: Letters of a word's beginnings that count as evidence beside the word.
-BEGINNINGS = (5, 6, 7)
+#: Letters of a word's beginnings that count as evidence beside the word, and words whose weights a worker keeps.
+BEGINNINGS, KEPT_WORDS = (5, 6, 7), 500_000
 
 
 def units(words: Iterable[str]) -> set[str]:
@@ -40,6 +42,20 @@ def units(words: Iterable[str]) -> set[str]:
     return out.union(*({w[:k] + "*" for w in out if len(w) > k} for k in BEGINNINGS))
 
 
+class WordWeights(dict):
+    """The largest weight that speaks for each word: its own or that of a beginning of it. Words are kept, as they come up again."""
+
+    def __init__(self, by_unit: dict[str, float]):
+        super().__init__()
+        self.by_unit = by_unit
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        out = self[word] = max(self.by_unit.get(u, 0.0) for u in units([word]))
+        return out
+
+
 @dataclass(frozen=True)
 class Lexicon:
     """For units in toxic texts: in how many toxic texts and how many others each is, of how many in all."""
@@ -58,26 +74,24 @@ class Lexicon:
         rate = (self.yes + 0.5) / (self.yes + self.no + 1)
         return max(math.log((yes + strength * rate) / (no + strength * (1 - rate))) - math.log(rate / (1 - rate)), 0.0)
 
-    def marked(self, words: set[str], own: bool | None) -> dict[str, float]:
-        """Those of `words` that are known, or begin like known ones, with the largest weight that speaks for each."""
-        found = words.intersection(self.counts).union(*([w for w in words if w[:k] + "*" in self.counts] for k in BEGINNINGS))
-        return {w: max(self.weight(u, own) for u in units([w])) for w in found}
+    def word_weights(self, own: bool | None = None) -> WordWeights:
+        return WordWeights({u: w for u in self.counts if (w := self.weight(u, own)) > 0})
 
 
-def features(text: str | None, lexicon: Lexicon, own: bool | None = None) -> list[float]:
+def features(text: str | None, weights: WordWeights) -> list[float]:
     """Numbers from a whole text: its mix of characters, its repetition and length; last three: the weights of its toxic words, by
-    its words and in sum, and the largest. `own`: see Lexicon.weight."""
+    its words and in sum, and the largest."""
     text = text or ""
     kinds = np.bincount(KIND[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)], minlength=8)
     size, letters = max(int(kinds.sum()), 1), max(int(kinds[0] + kinds[1] + kinds[2]), 1)
     words, lines = LETTERS.findall(text.lower()), text.split("\n")
-    n, different = max(len(words), 1), set(words)
-    weights = lexicon.marked(different, own) if lexicon.counts else {}
-    bad = sum(weight * words.count(w) for w, weight in weights.items())
+    n, different = max(len(words), 1), len(set(words))
+    toxic = list(map(weights.__getitem__, words)) if weights.by_unit else []
+    bad = math.fsum(toxic)
     return [
         kinds[2] / letters, kinds[3] / size, kinds[6] / size, kinds[7] / size, min(kinds[7] / n, 2.0), kinds[5] / size,
-        1 - len(set(lines)) / len(lines), 1 - len(different) / n, np.log1p(len(words)), letters / n / 10, float(not words),
-        bad / n, np.log1p(bad), max(weights.values(), default=0.0),
+        1 - len(set(lines)) / len(lines), 1 - different / n, np.log1p(len(words)), letters / n / 10, float(not words),
+        bad / n, np.log1p(bad), max(toxic, default=0.0),
     ]
 
 
@@ -108,7 +122,10 @@ class Classifier:
     lexicon: Lexicon = field(default_factory=Lexicon)
 
     def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        x = np.array([features(t, self.lexicon) for t in texts], float).reshape(len(texts), -1)
+        kept = sys.modules.setdefault("_fieldglass_weights", types.ModuleType("_fieldglass_weights")).__dict__
+        if kept.get("lexicon") != self.lexicon:
+            kept |= {"lexicon": self.lexicon, "weights": self.lexicon.word_weights()}
+        x = np.array([features(t, kept["weights"]) for t in texts], float).reshape(len(texts), -1)
         chance = lambda w, x: 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
         return chance(self.quality, x[:, PLAIN]), chance(self.toxic, x[:, TOXIC])
 
@@ -117,20 +134,23 @@ def toxic_lexicon(rows: DataFrame, least: int = 3, ratio: float = 5.0, most: int
     """Units, see there, of the words of `rows` (text, toxic): those in at least `least` toxic texts and `ratio` times as often
     among the toxic as among the others; of more than `most`, those of the most texts."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = Counter(), Counter()
-        for batch in give_back(batches):
-            for text, bad in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found[bad > 0].update(units(LETTERS.findall((text or "").lower())))
-        for bad, own in enumerate(found):
-            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.string()), pa.array(list(own.values()), pa.int64()), pa.array([bad] * len(own), pa.int64())], ["word", "n", "bad"])
+    def counted(of: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found: Counter[str] = Counter()
+            for batch in give_back(batches):
+                for text in batch.column(0).to_pylist():
+                    own = units(LETTERS.findall((text or "").lower()))
+                    found.update(own if wanted is None else own & wanted)
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["unit", "n"])
+
+        return of.select("text").mapInArrow(count, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
 
     n = rows.agg(F.count_if(F.expr("toxic > 0")).alias("yes"), F.count_if(F.expr("toxic <= 0")).alias("no")).first()
-    words = rows.select("text", "toxic").mapInArrow(count, "word string, n long, bad long")
-    words = words.groupBy("word").agg(F.sum(F.col("n") * F.col("bad")).alias("yes"), F.sum(F.col("n") * (1 - F.col("bad"))).alias("no"))
-    often = F.col("yes") / max(n["yes"], 1) >= ratio * (F.col("no") + 0.5) / max(n["no"], 1)
-    found = words.where((F.col("yes") >= least) & often).orderBy(F.desc("yes"), "word").limit(most).collect()
-    return Lexicon({r["word"]: (r["yes"], r["no"]) for r in found}, n["yes"], n["no"])
+    yes = {r["unit"]: r["n"] for r in counted(rows.where("toxic > 0"), None).where(F.col("n") >= least).orderBy(F.desc("n"), "unit").limit(20 * most).collect()}
+    no = {r["unit"]: r["n"] for r in counted(rows.where("toxic <= 0"), frozenset(yes)).collect()}
+    often = [u for u in yes if yes[u] / max(n["yes"], 1) >= ratio * (no.get(u, 0) + 0.5) / max(n["no"], 1)]
+    often.sort(key=lambda u: (-yes[u], u))
+    return Lexicon({u: (yes[u], no.get(u, 0)) for u in often[:most]}, n["yes"], n["no"])
 
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, *, most: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text") -> Classifier:
@@ -149,11 +169,12 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, *, most: int = MAX_LABELL
 
     @F.pandas_udf("array<double>")
     def numbers(texts: pd.Series, toxic: pd.Series) -> pd.Series:
-        return pd.Series([features(t, lexicon, bool(y > 0)) for t, y in zip(texts, toxic, strict=True)], dtype=object)
+        weights = {own: lexicon.word_weights(own) for own in (False, True)}
+        return pd.Series([features(t, weights[bool(y > 0)]) for t, y in zip(texts, toxic, strict=True)], dtype=object)
 
     found = rows.select("quality", "toxic", numbers("text", "toxic").alias("x")).collect()  # numbers only
     good, bad = np.array([r[0] for r in found], float), np.array([r[1] for r in found], float)
-    x = np.array([r[2] for r in found], float).reshape(len(found), len(features("", Lexicon())))
+    x = np.array([r[2] for r in found], float).reshape(len(found), len(features("", WordWeights({}))))
 
     def head(part: slice, y: np.ndarray, alone: float) -> np.ndarray:
         if len(set(y.tolist())) == 2:

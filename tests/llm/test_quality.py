@@ -135,10 +135,11 @@ def test_lexicon_finds_words_and_beginnings():
     spark = SparkSession.getActiveSession()
     found = quality.toxic_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
     assert {"vile", "nasty*", "nastyx*"} <= found.counts.keys() and not any(w.startswith("word") for w in found.counts)
-    last = lambda *args: quality.features(*args)[-1]
-    assert last("so vile", found) > 2.5 and last("nastyxqq", found) > 2.5 and quality.features("a plain text", found)[-3:] == [0, 0, 0]
-    assert last("so vile", found, True) < last("so vile", found) < last("so vile", found, False)
-    assert quality.Lexicon({"x": (3, 0)}, 60, 500).weight("x", None) < last("so vile", found)
+    last = lambda text, own=None: quality.features(text, found.word_weights(own))[-1]
+    assert last("so vile") > 2.5 and last("nastyxqq") > 2.5 and quality.features("a plain text", found.word_weights())[-3:] == [0, 0, 0]
+    assert last("so vile", True) < last("so vile")
+    few = quality.Lexicon({"x": (3, 2)}, 60, 500)
+    assert few.weight("x", True) < few.weight("x", None) < few.weight("x", False) < last("so vile")
 
 
 def test_labelled_rows_are_bounded(spark):
