@@ -164,7 +164,12 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, *, most: int = MAX_LABELL
     some = some.where(F.col("label id").isNotNull()).orderBy(F.xxhash64("label id"), "label id").limit(most)
     texts = docs.select(F.col(id_col).alias("label id"), F.col(text_col).alias("text"))
     found = texts.join(F.broadcast(some), "label id")  # at most `most` labels
-    rows = stage(found.orderBy(F.xxhash64("label id", "text", "quality", "toxic")).limit(most).select("text", "quality", "toxic"))
+    place = F.struct(F.xxhash64("label id", "text", "quality", "toxic").alias("hash"), F.monotonically_increasing_id().alias("row"))
+    rows = stage(found.select("text", "quality", "toxic", place.alias("place")))
+    if rows.count() > most:  # by their places alone, which are small
+        last = rows.select("place").orderBy("place").limit(most).agg(F.max("place").alias("p")).first()["p"]
+        rows = rows.where(F.col("place") <= F.struct(F.lit(last["hash"]).alias("hash"), F.lit(last["row"]).alias("row")))
+    rows = rows.drop("place")
     lexicon = toxic_lexicon(rows)
 
     @F.pandas_udf("array<double>")

@@ -142,14 +142,11 @@ def test_lexicon_finds_words_and_beginnings():
     assert few.weight("x", True) < few.weight("x", None) < few.weight("x", False) < last("so vile")
 
 
-def test_labelled_rows_are_bounded(spark):
+def test_labelled_rows_are_bounded(spark, monkeypatch):
     docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "x")], "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 0)] * 20 + [(2, 0, 1)], LABELS)
-    seen = []
-    collect = quality.stage
-    quality.stage = lambda df: seen.append(collect(df)) or seen[-1]
-    try:
-        quality.fit_classifier(docs, labels, most=50)
-    finally:
-        quality.stage = collect
-    assert seen[0].count() <= 50
+    seen, lexicon = [], quality.toxic_lexicon
+    monkeypatch.setattr(quality, "toxic_lexicon", lambda rows: seen.append(rows.count()) or lexicon(rows))
+    for most in (50, 10_001, 20_000):
+        quality.fit_classifier(docs, labels, most=most)
+    assert seen == [50, 10_001, 10_001]
