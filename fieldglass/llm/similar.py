@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import components, drop, give_back, join_salted, shuffle_partitions, stage
 
-#: Words of a fingerprint, of 64 bits each.
-WIDE = 4
+#: Words of a fingerprint, of 64 bits each: the more, the fewer candidates that fail.
+WIDE = 16
 #: Parts of a set by which a document is filed, at most, and the shingles of a part for sets with more parts than that (from half
 #: as many up). A pair of similarity 0.8 has a part in common with a chance of 0.226 for the largest parts, and with all 32
 #: of them none with a chance of 0.0003.
