@@ -180,9 +180,12 @@ def nearest_tree(prints: np.ndarray, most: int, root: np.ndarray | None = None,
             differ[root[open_] == root[at]] = -1
         if not_these is not None:
             barred = not_to[np.searchsorted(not_from, at) : np.searchsorted(not_from, at, side="right")]
-            place[open_] = np.arange(len(open_))
-            barred = place[np.intersect1d(barred, open_)]
-            differ[barred] = np.where(differ[barred] < 0, -1, 64 * WIDE + 1)
+            if len(barred):
+                place[:] = -1
+                place[open_] = np.arange(len(open_))
+                barred = place[barred]
+                barred = barred[barred >= 0]
+                differ[barred] = np.where(differ[barred] < 0, -1, 64 * WIDE + 1)
         closer = differ < bits[open_]
         bits[open_[closer]], nearest[open_[closer]] = differ[closer], at
         at = int(open_[np.argmin(bits[open_])])
@@ -337,7 +340,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
     (node, root) of those nodes that others are linked to. Nodes whose sets are as similar as `similarity` or more are linked.
 
     In rounds: among the nodes of each key, shortest spanning forests of those not yet together give candidates, and the sets
-    decide on them. Keys with candidates that failed go on, without those pairs and with twice as many forests, until no
+    decide on them. Keys with candidates that failed go on, without those pairs and with eight times as many forests, until no
     candidate is left. Of the first round's candidates each node's nearest are checked before those that they leave apart.
     """
     filed = stage(with_prints(rows, shingle, similarity))
@@ -377,7 +380,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
         drop(edges)
         if open_.isEmpty():
             break
-        forests *= 2
+        forests *= 8
     for df in (nodes, open_, sets):
         if df is not None:
             drop(df)
