@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hnsw, langid, lm, mixing, packing, quality, sharding, simhash, topk
+from . import chat, hnsw, langid, lm, mixing, negatives, packing, quality, sharding, simhash, topk
 from .common import stage
 
 
@@ -69,6 +69,11 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), lambda v: v.where(F.col("vec_id") % 100 == 0), label=label)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_exact_top_k": op2_exact_top_k,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_recurrent_lm": op8_recurrent_lm,
     "op9_quotation_chat": op9_quotation_chat,
     "op10_byte_shards": op10_byte_shards,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -134,4 +140,21 @@ ORACLE_SQL: dict[str, str] = {
         c AS (SELECT *, least(39, (2 * start + size) * 40 // (2 * total))::INTEGER AS shard FROM r)
         SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard,
                row_number() OVER (PARTITION BY shard ORDER BY start) - 1 AS slot, NULL::INTEGER AS grown_shard FROM c JOIN z USING (h)""",
+    "op13_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        ), n AS (
+            SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+                   vec_id AS negative_id, positive_score, score AS negative_score
+            FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        )
+        SELECT * FROM n WHERE rank <= 10""",
 }
