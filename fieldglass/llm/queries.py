@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hnsw, langid, lm, mixing, negatives, packing, quality, sharding, simhash, topk
+from . import chat, hnsw, infill, langid, lm, mixing, negatives, packing, pii, quality, sharding, simhash, topk
 from .common import stage
 
 
@@ -69,6 +69,21 @@ def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["base"])
+    count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [count(k) for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(base).cast("binary"), 256).alias("base_sha256"), pii.as_text(F.col("found")).alias("spans"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    restored = infill.restore(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"), digest(restored).alias("restored_sha256"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mine(_table(spark, sf_dir, "embeddings"), lambda v: v.where(F.col("vec_id") % 100 == 0), label=label)
@@ -85,9 +100,51 @@ QUERIES = {
     "op8_recurrent_lm": op8_recurrent_lm,
     "op9_quotation_chat": op9_quotation_chat,
     "op10_byte_shards": op10_byte_shards,
+    "op11_personal_data": op11_personal_data,
+    "op12_fill_in_middle": op12_fill_in_middle,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
+def _personal_data_sql() -> str:
+    """Each kind's spans by splitting whole texts at its pattern, with the same confirmations written out."""
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: (({digits})[-i]::INTEGER * (2 - i % 2)) - CASE WHEN (({digits})[-i]::INTEGER * (2 - i % 2)) > 9 THEN 9 ELSE 0 END)) % 10 = 0"
+    number = "list_reduce(list_concat([0::BIGINT], list_transform(string_split(substr(replace(m, ' ', ''), 5) || substr(replace(m, ' ', ''), 1, 4), ''), lambda c: CASE WHEN c >= 'A' THEN ord(c) - 55 ELSE ord(c) - 48 END::BIGINT)), lambda a, c: (a * CASE WHEN c > 9 THEN 100 ELSE 10 END + c) % 97) = 1"
+    confirm = [
+        "true",
+        "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(ltrim(p, '0') AS INTEGER), 0) > 255)) = 0",
+        f"length({digits}) BETWEEN 16 AND 19 AND {luhn}",
+        f"length({digits}) BETWEEN 8 AND 15",
+        f"m[1] IN ('3', '4', '5', '6') AND length({digits}) BETWEEN 13 AND 15 AND {luhn}",
+        "true",
+        number,
+        "m[1:3] NOT IN ('000', '666') AND m[1] <> '9' AND m[5:6] <> '00' AND m[8:11] <> '0000'",
+    ]
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    parts = []
+    for i, (kind, check) in enumerate(zip(pii.KINDS, confirm, strict=True)):
+        place = pii.ORDER.index(kind.name)
+        parts.append(f"""
+        p{i} AS (SELECT row, unnest(regexp_extract_all(text, {quoted(kind.pattern)})) AS m, generate_subscripts(regexp_extract_all(text, {quoted(kind.pattern)}), 1) AS i,
+                        unnest(regexp_split_to_array(text, {quoted(kind.pattern)})[:-2]) AS gap FROM d WHERE regexp_matches(text, {quoted(kind.pattern)})),
+        s{i} AS (SELECT row, {quoted(kind.name)} AS kind, {i} AS n, {place} AS place, {str(kind.base).lower()} AS base, m,
+                        (sum(length(gap) + length(m)) OVER (PARTITION BY row ORDER BY i) - length(m))::BIGINT AS a FROM p{i}),
+        c{i} AS (SELECT s{i}.*, a + length(m) AS e, text, {kind.prior}
+                        + CASE WHEN regexp_matches(substr(text, greatest(1, a - {pii.NEARBY - 1}), least(a, {pii.NEARBY})), {quoted(kind.near)}) OR regexp_matches(substr(text, a + length(m) + 1, {pii.NEARBY}), {quoted(kind.near)}) THEN {pii.FOR} ELSE 0 END
+                        - CASE WHEN regexp_matches(substr(text, greatest(1, a - {pii.NEARBY - 1}), least(a, {pii.NEARBY})), {quoted(kind.against)}) OR regexp_matches(substr(text, a + length(m) + 1, {pii.NEARBY}), {quoted(kind.against)}) THEN {pii.AGAINST} ELSE 0 END AS score
+                 FROM s{i} JOIN d USING (row) WHERE {check})""")
+    every = " UNION ALL ".join(f"SELECT * FROM c{i}" for i in range(len(pii.KINDS)))
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),{",".join(parts)},
+        c AS ({every}),
+        f AS (SELECT * FROM c WHERE base OR (score > {pii.THRESHOLD} - 1e-9 AND NOT regexp_matches(substr(text, a, 1) || substr(text, e + 1, 1), '[A-Za-z0-9]')
+              AND NOT EXISTS (SELECT 1 FROM c AS o WHERE o.row = c.row AND o.base AND o.a < c.e AND c.a < o.e))),
+        g AS (SELECT * FROM f WHERE base OR NOT EXISTS (SELECT 1 FROM f AS o WHERE o.row = f.row AND NOT o.base AND o.n < f.n AND o.a < f.e AND f.a < o.e)),
+        j AS (SELECT row, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY place, a, e) AS spans, string_agg(CASE WHEN base THEN kind || ':' || a || ':' || e END, ',' ORDER BY place, a, e) AS own,
+                     {", ".join(f"count(*) FILTER (base AND kind = '{k}') AS n_{k}" for k in ("email", "ip", "card", "phone"))} FROM g GROUP BY row)
+        SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ("email", "ip", "card", "phone"))}, sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN j USING (row)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_top_k": """
         WITH v AS (
@@ -157,4 +214,18 @@ ORACLE_SQL: dict[str, str] = {
             FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
         )
         SELECT * FROM n WHERE rank <= 10""",
+    "op11_personal_data": _personal_data_sql(),
+    "op12_fill_in_middle": r"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS x,
+                   regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units FROM documents),
+        h AS (SELECT *, len(units) AS n, list_transform(range(4), lambda i: ('0x' || substr(x, 8 * i + 1, 8))::BIGINT) AS h FROM d),
+        c AS (
+            SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+                   CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+                        WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+        p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p""",
 }
