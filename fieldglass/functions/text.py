@@ -7,6 +7,7 @@ import unicodedata
 from collections.abc import Sequence
 from functools import cache, reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -202,7 +203,78 @@ def _metaphone(name: str) -> str:
     return "".join(out)
 
 
+#: Strings of this length and more are compared one pair at a time, as frequent characters then count for nothing.
+LONG = 200
+#: Cells (pairs by characters by characters) that are looked at together.
+CELLS = 4_000_000
+
+
+def _points(texts: Sequence[str], lengths: np.ndarray, most: int, none: int) -> np.ndarray:
+    out = np.full((len(texts), most), none, np.int32)
+    out[np.arange(most) < lengths[:, None]] = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.int32)
+    return out
+
+
+def _longest(a: np.ndarray, b: np.ndarray, spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each span (row, a from, a to, b from, b to) the longest run that both sides have in it: where it starts in a and in
+    b, and its length. Of runs of one length the first in a counts, then the first in b."""
+    wide, high = (spans[:, 4] - spans[:, 3]).max(), (spans[:, 2] - spans[:, 1]).max()
+    at_b = spans[:, 3, None] + np.arange(wide)
+    inside = at_b < spans[:, 4, None]
+    other = np.where(inside, b[spans[:, 0, None], np.minimum(at_b, b.shape[1] - 1)], -2)
+    size, start_a, start_b = (np.zeros(len(spans), np.int64) for _ in range(3))
+    run = np.zeros((len(spans), wide), np.int16)
+    for step in range(high):
+        at_a = spans[:, 1] + step
+        mine = np.where(at_a < spans[:, 2], a[spans[:, 0], np.minimum(at_a, a.shape[1] - 1)], -1)
+        run[:, 1:] = run[:, :-1]
+        run[:, 0] = 0
+        run = np.where(other == mine[:, None], run + np.int16(1), np.int16(0))
+        best = run.argmax(axis=1)  # the first of the longest that end here
+        length = run[np.arange(len(spans)), best].astype(np.int64)
+        #: Runs of one length that end later start later, so only a longer one counts.
+        better = length > size
+        size[better], start_a[better], start_b[better] = length[better], (at_a + 1 - length)[better], (spans[:, 3] + best + 1 - length)[better]
+    return start_a, start_b, size
+
+
+def likenesses(a: Sequence[str], b: Sequence[str]) -> np.ndarray:
+    """Twice the matching characters over all characters of each pair of strings, 1 for two empty ones: the longest run that both
+    have, and in turn those to the left and to the right of it. All pairs of strings below LONG go together, step by step, each
+    step finding the longest runs of all open parts; longer ones go one by one."""
+    la, lb = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
+    matched = np.zeros(len(a), np.int64)
+    together = np.flatnonzero((la < LONG) & (lb < LONG))
+    order = together[np.argsort(np.maximum(la, lb)[together], kind="stable")]
+    first = 0
+    while first < len(order):
+        largest = np.maximum(la, lb)[order[first:]] ** 2
+        last = first + max(1, int(np.searchsorted(np.arange(1, len(largest) + 1) * largest, CELLS)))
+        rows = order[first:last]
+        first = last
+        one = _points([a[i] for i in rows], la[rows], max(1, int(la[rows].max())), -1)
+        two = _points([b[i] for i in rows], lb[rows], max(1, int(lb[rows].max())), -2)
+        zero = np.zeros(len(rows), np.int64)
+        spans = np.stack([np.arange(len(rows)), zero, la[rows], zero, lb[rows]], axis=1)
+        while len(spans := spans[(spans[:, 1] < spans[:, 2]) & (spans[:, 3] < spans[:, 4])]):
+            at_a, at_b, size = _longest(one, two, spans)
+            found = size > 0
+            spans, at_a, at_b, size = spans[found], at_a[found], at_b[found], size[found]
+            np.add.at(matched, rows[spans[:, 0]], size)
+            left = np.stack([spans[:, 0], spans[:, 1], at_a, spans[:, 3], at_b], axis=1)
+            right = np.stack([spans[:, 0], at_a + size, spans[:, 2], at_b + size, spans[:, 4]], axis=1)
+            spans = np.concatenate([left, right])
+    total = la + lb
+    out = np.where(total > 0, 2.0 * matched / np.maximum(total, 1), 1.0)
+    for i in np.flatnonzero((la >= LONG) | (lb >= LONG)):
+        out[i] = difflib.SequenceMatcher(None, a[i], b[i]).ratio()
+    return out
+
+
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Twice the matching characters over all characters of two strings."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    """Twice the matching characters over all characters of two strings; null if either is."""
+    there = (a.notna() & b.notna()).to_numpy()
+    out = pd.Series(np.nan, index=a.index, dtype="float64").astype(object).where(there, None)
+    out[there] = likenesses(a[there].tolist(), b[there].tolist())
+    return out.astype("Float64")

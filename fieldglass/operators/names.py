@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import difflib
-from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldglass.functions.text import _metaphone, fold_accents, name_tokens, normal_name
+from fieldglass.functions.text import _metaphone, fold_accents, likenesses, name_tokens, normal_name
+from fieldglass.staging import fresh, shuffle_partitions, stage
 
 
 def _soundex(s: str) -> str:
@@ -86,47 +86,85 @@ def match_kind(a: list[str], b: list[str]) -> tuple[str, int] | None:
     return next(((kind, rank) for kind, rank, rule in RULES if short and rule(short, long)), None)
 
 
-def _kind(a: list[str], b: list[str], rules: list[tuple[str, Callable[[list[str], list[str]], bool]]]) -> str | None:
-    """The first of some rules by which two names given by their parts match."""
-    short, long = (a, b) if len(a) <= len(b) else (b, a)
-    return next((kind for kind, rule in rules if short and rule(short, long)), None)
-
-
-class _Index:
-    """Finds the names that a name can match at all. By every rule the last part of the shorter name agrees with a part of
-    the longer one, or sounds like its last part; a name is filed under all that this can be."""
-
-    def __init__(self, names: list[tuple[str, list[str]]]):
-        self.files: dict[tuple[str, str], set[int]] = defaultdict(set)
-        for i, (folded, parts) in enumerate(names):
-            self.files["folded", folded].add(i)
-            for part in parts:
-                self.files["part", part].add(i)
-                self.files["starts", part[:1]].add(i)
-            for last in parts[-1:]:
-                self.files["last", last].add(i)
-                self.files["last starts", last[:1]].add(i)
-                self.files["sound", _metaphone(last)].add(i)
-                self.files["code", _soundex(last)].add(i)
-
-    def candidates(self, folded: str, parts: list[str]) -> list[int]:
-        keys = [("folded", folded)]
-        for last in parts[-1:]:
-            keys += [("part", last), ("part", last[:1]), ("sound", _metaphone(last)), ("code", _soundex(last))]
-            keys += [("starts", last)] if len(last) == 1 else []
-        for part in parts:
-            keys += [("last", part), ("last", part[:1])]
-            keys += [("last starts", part)] if len(part) == 1 else []
-        return sorted(set().union(*(self.files[k] for k in keys if k in self.files)))
+def _as_partner(folded: str, parts: Sequence[str]) -> set[str]:
+    """What a name of the right side is filed under. By every rule the last part of the shorter name agrees with a part of the
+    longer one, or sounds like its last part; with `_as_seeker` each pair that can match shares a key."""
+    keys = {f"folded {folded}", *(f"part {p}" for p in parts), *(f"starts {p[:1]}" for p in parts)}
+    return keys | _sounding(parts) | {k for p in parts[-1:] for k in (f"last {p}", f"last starts {p[:1]}")}
+
+
+def _sounding(parts: Sequence[str]) -> set[str]:
+    """Names that match by sound agree in their first part, and so in its first letter."""
+    return {k for p in parts[-1:] for k in (f"sound {parts[0][:1]} {_metaphone(p)}", f"code {parts[0][:1]} {_soundex(p)}")}
+
+
+def _as_seeker(folded: str, parts: Sequence[str]) -> set[str]:
+    """What a name of the left side is looked for under."""
+    keys = {f"folded {folded}"} | _sounding(parts)
+    for last in parts[-1:]:
+        keys |= {f"part {last}", f"part {last[:1]}"} | ({f"starts {last}"} if len(last) == 1 else set())
+    for part in parts:
+        keys |= {f"last {part}", f"last {part[:1]}"} | ({f"last starts {part}"} if len(part) == 1 else set())
+    return keys
+
+
+def _with_keys(df: DataFrame, name: str, keys_of: Callable[[str, Sequence[str]], set[str]]) -> DataFrame:
+    """A row for each key of each name, with the name folded and normal."""
+
+    @F.pandas_udf("array<string>")
+    def keys(folded: pd.Series, parts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(keys_of(f, list(p))) for f, p in zip(folded, parts, strict=True)], dtype=object)
+
+    known = df.where(F.col(name).isNotNull()).repartition(shuffle_partitions(df.sparkSession), "block", name).withColumns({"folded": fold_accents(F.col(name)), "normal": normal_name(F.col(name)), "parts": name_tokens(F.col(name))})
+    return known.withColumn("key", F.explode(keys("folded", "parts"))).drop("parts")
+
+
+def _judged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of pairs of names those that match: how, of which rank and how like each other they are, both as what is less is better."""
+    split = lambda normal: [p for p in normal.split(" ") if p]
+    for part in parts:
+        columns = zip(part["folded"], part["normal"], part["right_folded"], part["right_normal"], strict=True)
+        found = [EQUAL if fa == fb else match_kind(split(na), split(nb)) for fa, na, fb, nb in columns]
+        part = part[[f is not None for f in found]]
+        found = [f for f in found if f]
+        out = part[["block", "id", "left_name", "right_name"]].copy()
+        out["kind"], out["less_rank"] = [KINDS.get(k, k) for k, _ in found], [-r for _, r in found]
+        out["less_like"] = -likenesses(part["normal"].tolist(), part["right_normal"].tolist())
+        yield out
+
+
+def assign(edges: DataFrame, block: str, left: str, right: str, best: Sequence[str]) -> DataFrame:
+    """One-to-one pairs out of `edges` (block, left, right and other columns): those that a loop over all edges takes that goes in
+    the order `best`, then left, then right (all ascending), and takes an edge whose two ends are free.
+
+    Edges that are the first of all at either end are what that loop takes whatever happens elsewhere. So each round takes them
+    all, by two aggregations and two joins, and drops the other edges of their ends, until no edge is left. Rounds follow the
+    longest chain of edges of which each waits for the one before it. Rows are not null in block, left and right; a pair
+    that is there several times is one. `edges` is staged.
+    """
+    order = F.struct(*best, left, right)
+    columns, taken, rest = edges.columns, [], edges
+    got, gave = fresh(edges, "got", "gave")
+    while True:
+        mine = rest.groupBy(block, left).agg(F.min(order).alias("first")).select(block, left, F.col(f"first.{right}").alias(right))
+        theirs = rest.groupBy(block, right).agg(F.min(order).alias("first")).select(block, right, F.col(f"first.{left}").alias(left))
+        now = mine.join(theirs, [block, left, right])
+        ends = rest.join(now.select(block, left, F.col(right).alias(got)), [block, left], "left").join(now.select(block, right, F.col(left).alias(gave)), [block, right], "left")
+        marked = stage(ends)
+        taken.append(marked.where(F.col(got) == F.col(right)).select(*columns).dropDuplicates([block, left, right]))
+        rest = marked.where(F.col(got).isNull() & F.col(gave).isNull()).select(*columns)
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, taken)
 
 
 def match_names(left: DataFrame, right: DataFrame, block: str, left_name: str, right_id: str, right_name: str, confirmed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Match names of `left` (block, name) to rows of `right` (block, id, name), one to one within a block.
 
     First the pairs in `confirmed` (id, left name); then right names that several ids share are put aside; then equal names;
-    then, block by block, the pairs of the best rank and similarity, each name once. Returns the matches (block, id, left
-    name, right name, kind), the ids left over and the names left over. Only names that the joins leave come to the last
-    step, and only within their block.
+    then the pairs of the best rank and likeness, ties by left name and id, each name once. Returns the matches (block, id,
+    left name, right name, kind), the ids left over and the names left over. Only names that the joins leave come to the
+    last step. There, pairs that can match share a key by which they are joined, and `assign` takes them in rounds, so that
+    no block has to fit a task. A null block or name matches nothing.
     """
     names = left.select(F.col(block).alias("block"), F.col(left_name).alias("left_name")).distinct()
     ids = right.select(F.col(block).alias("block"), F.col(right_id).alias("id"), F.col(right_name).alias("right_name"))
@@ -136,40 +174,14 @@ def match_names(left: DataFrame, right: DataFrame, block: str, left_name: str, r
     single = rest.withColumn("n", F.count("*").over(Window.partitionBy("block", "right_name"))).where("n = 1").drop("n")
     open_names = names.join(by_hand, ["block", "left_name"], "left_anti")
     equal = single.join(open_names, (single.block == open_names.block) & (single.right_name == open_names.left_name)).select(single.block, "id", "left_name", "right_name", F.lit("equal").alias("kind"))
-    rest = single.join(equal, "id", "left_anti")
-    open_names = open_names.join(equal, ["block", "left_name"], "left_anti")
-
-    def greedy(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = list(a.sort_values("left_name").itertuples()), list(b.sort_values("id").itertuples())
-        index = _Index([(y.folded, list(y.parts)) for y in b])
-        near = [index.candidates(x.folded, list(x.parts)) for x in a]
-        used_a, used_b, rows = set(), set(), []
-        #: Rank by rank: a pair whose names are both still free matched by no rule of a higher rank, or it would have been taken.
-        for rank in sorted({EQUAL[1], *(r for _, r, _ in RULES)}, reverse=True):
-            rules, found = [(kind, rule) for kind, r, rule in RULES if r == rank], []
-            for i, x in enumerate(a):
-                if i in used_a:
-                    continue
-                parts = list(x.parts)
-                for j in near[i]:
-                    if j in used_b:
-                        continue
-                    y = b[j]
-                    kind = (EQUAL[0] if x.folded == y.folded else None) if rank == EQUAL[1] else _kind(parts, list(y.parts), rules)
-                    if kind:
-                        found.append((-difflib.SequenceMatcher(None, x.normal, y.normal).ratio(), i, j, kind))
-            for _, i, j, kind in sorted(found):
-                if i not in used_a and j not in used_b:
-                    used_a.add(i)
-                    used_b.add(j)
-                    rows.append((a[i].block, b[j].id, a[i].left_name, b[j].right_name, KINDS.get(kind, kind)))
-        return pd.DataFrame(rows, columns=["block", "id", "left_name", "right_name", "kind"])
-
-    def parts(df: DataFrame, name: str) -> DataFrame:
-        return df.withColumns({"folded": fold_accents(F.col(name)), "normal": normal_name(F.col(name)), "parts": name_tokens(F.col(name))})
-
+    equal = stage(equal)
+    seekers = _with_keys(open_names.join(equal, ["block", "left_name"], "left_anti"), "left_name", _as_seeker)
+    partners = _with_keys(single.join(equal, "id", "left_anti"), "right_name", _as_partner)
+    partners = partners.withColumnsRenamed({"folded": "right_folded", "normal": "right_normal"})
+    pair = ["block", "left_name", "id"]
+    pairs = seekers.join(partners, ["block", "key"]).drop("key").repartition(shuffle_partitions(left.sparkSession), *pair).dropDuplicates(pair)
     types = {f.name: f.dataType.simpleString() for f in ids.schema}
-    schema = f"block {types['block']}, id {types['id']}, left_name string, right_name string, kind string"
-    ranked = parts(open_names, "left_name").groupBy("block").cogroup(parts(rest, "right_name").groupBy("block")).applyInPandas(greedy, schema)
-    matched = by_hand.unionByName(equal).unionByName(ranked)
+    edges = stage(pairs.mapInPandas(_judged, f"block {types['block']}, id {types['id']}, left_name string, right_name string, kind string, less_rank int, less_like double"))
+    ranked = assign(edges, "block", "left_name", "id", ["less_rank", "less_like"])
+    matched = stage(by_hand.unionByName(equal).unionByName(ranked.select("block", "id", "left_name", "right_name", "kind")))
     return matched, ids.join(matched, "id", "left_anti"), names.join(matched, ["block", "left_name"], "left_anti")

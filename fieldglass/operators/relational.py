@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldglass.functions.numbers import ratio
-from fieldglass.staging import running_total, stage
+from fieldglass.staging import fresh, numbered, running_total, stage
 
 
 # Flows ---------------------------------------------------------------------------------------------------------------
@@ -69,10 +69,29 @@ def top_n(rows: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, r
     return rows.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= n)
 
 
+def min_rank(rows: DataFrame, value: str, out: str, falling: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """`rows` with `out`, the rank of `value` with ties (1, 1, 3), among all rows or those of `by`; null for a null value, which
+    takes no rank.
+
+    Different values are counted first; a prefix sum over the counts, dealt out by ranges of the value, gives each value's
+    rank, and rows look theirs up. So neither many rows nor many ties meet in one task. `rows` is read twice. A group that
+    is null is a group like others.
+    """
+    n, before, order, *keys = fresh(rows, "n", "before", "order", *(f"{k} group" for k in by))
+    group = [F.struct(F.col(k).isNull().alias("none"), F.col(k).alias("group")).alias(g) for k, g in zip(by, keys, strict=True)]  # no key is null
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias(order)).agg(F.count("*").alias(n))
+    if falling:
+        counts = counts.withColumn(order, -F.col(order))
+    ranks = running_total(stage(counts), keys, [order], {before: n}).select(*keys, (-F.col(order) if falling else F.col(order)).alias(order), (F.col(before) + 1).alias(out))
+    same = reduce(Column.__and__, (F.col(f"{g}.group").eqNullSafe(F.col(f"r.{k}")) for k, g in zip(by, keys, strict=True)), F.col(f"r.{value}") == F.col(order))
+    return rows.alias("r").join(ranks, same, "left").select("r.*", out)
+
+
 def competition_rank(rows: DataFrame, n: str) -> DataFrame:
-    """Ranks with ties (1, 1, 3) by falling `n`, and its share of the most in percent. For aggregates: all rows meet."""
-    w = Window.orderBy(F.desc(n))
-    return rows.select("*", F.rank().over(w).cast("long").alias("rank"), F.round(100 * F.col(n) / F.max(n).over(Window.partitionBy()), 2).alias("percent_of_most"))
+    """Ranks with ties (1, 1, 3) by falling `n`, and its share of the most in percent."""
+    rows = stage(rows)
+    most = rows.agg(F.max(n)).first()[0]
+    return min_rank(rows, n, "rank", falling=True).withColumn("percent_of_most", F.round(100 * F.col(n) / F.lit(most), 2))
 
 
 def densify(rows: DataFrame, key: str, at: str, value: str, step: str = "interval 1 month") -> DataFrame:
@@ -150,18 +169,19 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, value: str, rank: st
 
 def change_report(diff: DataFrame, names: DataFrame, key: str, name: str) -> DataFrame:
     """What a message on new values tells, from snapshot_diff with old_rank and new_rank: place (from 1), kind, name and line.
-    Changes come first, the largest by value, then by rank, ties by key; then what was added and removed, by key. For results
-    that a message can hold: all changes meet to be numbered."""
-    rows = diff.join(names.select(key, F.col(name).alias("name")), key)
+    Changes come first, the largest by value, then by rank, ties by key; then what was added and removed, by key."""
+    rows = stage(diff.join(names.select(key, F.col(name).alias("name")), key))
     arrow = F.when(F.col("rank_delta") > 0, "↑").when(F.col("rank_delta") < 0, "↓").otherwise("=")
     rank = F.when(F.col("rank_delta") != 0, F.format_string("#%d→#%d (%s%d)", "old_rank", "new_rank", arrow, F.abs("rank_delta"))).otherwise(F.format_string("#%d", "new_rank"))
-    width = F.max(F.when(F.col("kind") == "changed", F.length("name"))).over(Window.partitionBy())
+    width = F.lit(rows.where("kind = 'changed'").agg(F.max(F.length("name"))).first()[0])
     pad = lambda c, n: F.concat(c, F.repeat(F.lit(" "), F.greatest(n - F.length(c), F.lit(0))))
     points = F.concat(F.when(F.col("value_delta") > 0, "+").otherwise(""), F.col("value_delta").cast("string"), F.lit(" pts"))
     line = F.when(F.col("kind") == "changed", F.concat(F.lit("  "), pad(F.col("name"), width), F.lit("  "), pad(rank, F.lit(22)), F.lit("  "), points)).otherwise(F.concat(F.initcap("kind"), F.lit(": "), F.col("name")))
     group = F.when(F.col("kind") == "changed", 0).when(F.col("kind") == "added", 1).otherwise(2)
-    order = Window.orderBy(group, F.when(group == 0, -F.abs("value_delta")), F.when(group == 0, -F.abs("rank_delta")), key)
-    return rows.select(F.row_number().over(order).alias("place"), "kind", "name", line.alias("line"))
+    order = [group.alias("group"), *(F.coalesce(F.when(group == 0, -F.abs(c)), F.lit(0)).alias(f"less {c}") for c in ("value_delta", "rank_delta"))]
+    lines = rows.select(*order, key, "kind", "name", line.alias("line"))
+    placed = numbered(lines, ["group", "less value_delta", "less rank_delta", key], "place", 1)
+    return placed.select(F.col("place").cast("int").alias("place"), "kind", "name", "line")
 
 
 def changed(old: DataFrame, new: DataFrame) -> bool:

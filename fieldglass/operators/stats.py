@@ -7,18 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldglass.operators.relational import min_rank
+from fieldglass.staging import stage
+
 
 def spearman_min_rank(rows: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
     """n and rho for each group: correlation of lowest ranks around (n + 1) / 2, null for n < 3 and for a constant side.
 
     Under ties this is not the usual coefficient: tied values all get the lowest of their ranks, and the middle of the ranks
-    stays fixed. Rows with a null side don't count.
+    stays fixed. Rows with a null side don't count. Ranks over all rows are found across tasks; those within groups in the
+    group's task.
     """
     keys = list(by)
     rows = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    rank = lambda c: F.rank().over(Window.partitionBy(*keys).orderBy(c)).cast("double")
-    n = F.count("*").over(Window.partitionBy(*keys))
-    ranked = rows.select(*keys, n.alias("n"), (rank(x) - (n + 1) / 2).alias("dx"), (rank(y) - (n + 1) / 2).alias("dy"))
+    if keys:
+        rank = lambda c: F.rank().over(Window.partitionBy(*keys).orderBy(c)).cast("double")
+        n = F.count("*").over(Window.partitionBy(*keys))
+        ranked = rows.select(*keys, (rank(x) - (n + 1) / 2).alias("dx"), (rank(y) - (n + 1) / 2).alias("dy"))
+    else:
+        rows = stage(rows.select(F.col(x).alias("x"), F.col(y).alias("y")))
+        middle = F.lit((rows.count() + 1) / 2)
+        ranked = min_rank(min_rank(rows, "x", "rx"), "y", "ry").select((F.col("rx") - middle).alias("dx"), (F.col("ry") - middle).alias("dy"))
     sums = ranked.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(F.col("dx") * F.col("dy")).alias("xy"), F.sum(F.col("dx") * F.col("dx")).alias("xx"), F.sum(F.col("dy") * F.col("dy")).alias("yy"))
     rho = F.when((F.col("n") >= 3) & (F.col("xx") * F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx") * F.col("yy")))
     return sums.select(*keys, "n", rho.alias("rho"))

@@ -16,7 +16,7 @@ from fieldglass.operators import ratings
 from fieldglass.operators import relational as R
 from fieldglass.session import table
 from fieldglass.sources import readers, sinks, tables
-from fieldglass.staging import scratch
+from fieldglass.staging import carry, numbered, scratch
 
 #: Years of the sheets and wide files made here, and the nations of a summary.
 YEARS = tuple(range(2000, 2012))
@@ -128,10 +128,10 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = F.floor(F.abs(F.coalesce("value", F.lit(0.0)))).cast("long") % 40
     token = F.when(F.col("event_id") % 5 == 0, F.concat(code(F.col("user_id")), points.cast("string"))).otherwise(F.concat(code(F.col("user_id")), code(F.col("user_id") + 7), (points - 20).cast("string")))
     rows = table(spark, sf_dir, "events").select("event_id", F.add_months(F.to_date("ts"), (F.col("event_id") % 400).cast("int")).alias("day"), token.alias("token"))
-    w = R.Window.orderBy("day", "event_id")
-    before = F.lag("day").over(w)
+    rows = numbered(carry(rows, [], ["day", "event_id"], {"day before": "day"}, own=False), ["day", "event_id"], "line_no", 1)
+    before = F.col("day before")
     short = F.when(before.isNull() | (F.year("day") != F.year(before)), "yyyyMMdd").when(F.month("day") != F.month(before), "MMdd").when(F.col("day") != before, "dd").otherwise("")
-    rows = rows.select("token", F.row_number().over(w).alias("line_no"), "day", short.alias("short"))
+    rows = rows.select("token", F.col("line_no").cast("int").alias("line_no"), "day", short.alias("short"))
     stamp = F.when(F.col("short") == "yyyyMMdd", F.date_format("day", "yyyyMMdd")).when(F.col("short") == "MMdd", F.date_format("day", "MMdd")).when(F.col("short") == "dd", F.date_format("day", "dd")).otherwise("")
     return rows.select("line_no", F.concat(stamp, F.col("token"), F.when(F.col("line_no") % 3 == 0, F.concat(F.lit("ZZ5"), F.lit(" ZZ9"))).otherwise("")).alias("value"))
 
@@ -216,6 +216,26 @@ def text_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("section", F.get("fields", F.lit(0)).cast("int").alias("key"), F.get("fields", F.lit(1)).alias("position"), F.get("fields", F.lit(2)).alias("name"))
 
 
+def squad_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players and coaches out of the layout of a squad list: suppliers under their nations, and what isn't a row between them."""
+    k = F.col("s_suppkey")
+    digit = lambda c: F.translate(c.cast("string"), "0123456789", "ABCDEFGHIJ")
+    player = F.format_string(
+        "%d  GK  NAME%d  Ana Maria  O'%s DE-%s  SHIRT  %s  Club %d  %s  %d  %d  more", k % 99 + 1, k, digit(k), digit(F.col("s_nationkey")),
+        F.when(k % 11 == 0, "unknown").otherwise(F.format_string("%02d/%02d/%d", k % 28 + 1, k % 12 + 1, k % 30 + 1970)), k % 7, F.when(k % 5 == 0, "-").otherwise((k % 40 + 160).cast("string")), k % 100, k % 13,
+    )
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("key"), F.lit(1).alias("place"), k.alias("ident"), player.alias("value"))
+    head = F.format_string("  %s (N%sX)", "name", F.chr(F.col("key") % 26 + 65))
+    coach = F.format_string("Head coach  NAME  Bo Li  VAN %s  NATION_%d  x", digit(F.col("key")), (F.col("key") + 1) % 25)
+    listed = [(0, head), (2, coach), (3, F.lit("12  GK  too short")), (4, F.lit("")), (5, F.lit("# ROLE  and so on"))]
+    others = _nations(spark, sf_dir).select("key", F.explode(F.array(*(F.struct(F.lit(i).alias("place"), c.alias("value")) for i, c in listed))).alias("s"))
+    lines = rows.unionByName(others.select("key", "s.place", F.lit(0).cast("long").alias("ident"), "s.value"))
+    found = readers.sections(numbered(lines, ["key", "place", "ident"], "line_no"), r"^(\S+) \([A-Z]{3}\)$", skip="^#")
+    players, coaches = readers.roster_rows(found)
+    both = players.withColumn("born", F.col("born").cast("string")).unionByName(coaches, allowMissingColumns=True)
+    return both.select("section", "name", "number", "position", "born", "club", "height", "caps", "goals", "nationality")
+
+
 def _workbook(sheets: dict[str, list[list]]) -> bytes:
     """A small workbook: text as shared strings, numbers as they are, empty cells left out."""
     main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -431,7 +451,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         json_document, json_map, json_map_of_maps, csv_with_mark, csv_points, positional_points, code_names, text_lines, ranking_file, log_events, rating_months, squad_tables,
-        infobox_places, member_list, anchor_titles, coach_lines, text_sections, workbook_cells, sheet_codes, sheet_nations, sheet_sections, sheet_totals, wide_years_file,
+        infobox_places, member_list, anchor_titles, coach_lines, text_sections, squad_list, workbook_cells, sheet_codes, sheet_nations, sheet_sections, sheet_totals, wide_years_file,
         wide_or_long, indicator_proxy, life_expectancy, jsonstat_cube, query_bindings, paged_service, country_metadata, cache_age, stored_model, write_if_changed, grid_document,
         profile_files, csv_file, title_batches,
     )
@@ -475,6 +495,13 @@ ORACLE_SQL = {
     "anchor_titles": "SELECT s_nationkey AS key, n_name AS section, s_name AS anchor, s_name AS title FROM supplier JOIN nation ON s_nationkey = n_nationkey",
     "coach_lines": "SELECT n_nationkey AS key, n_name AS section, 'B ' || n_nationkey AS coach, 'B ' || n_nationkey AS title, CASE WHEN n_nationkey % 3 = 0 THEN 'NATION_' || (n_nationkey + 1) ELSE n_name END AS nationality FROM nation",
     "text_sections": "SELECT n_name AS section, n_nationkey AS key, 'MF' AS position, n_name AS name FROM nation",
+    "squad_list": """
+        WITH s AS (SELECT s_suppkey AS k, s_nationkey AS key, n_name AS section, translate(s_suppkey::VARCHAR, '0123456789', 'abcdefghij') AS x, translate(s_nationkey::VARCHAR, '0123456789', 'abcdefghij') AS y FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+        SELECT section, 'Ana O''' || upper(x[1]) || x[2:] || ' De-' || upper(y[1]) || y[2:] AS name, (k % 99 + 1)::INTEGER AS number, 'GK' AS position,
+               CASE WHEN k % 11 <> 0 THEN make_date(k % 30 + 1970, k % 12 + 1, k % 28 + 1)::VARCHAR END AS born, 'Club ' || (k % 7) AS club, CASE WHEN k % 5 <> 0 THEN (k % 40 + 160)::INTEGER END AS height,
+               (k % 100)::INTEGER AS caps, (k % 13)::INTEGER AS goals, NULL AS nationality FROM s
+        UNION ALL SELECT n_name, 'Bo Van ' || upper(y[1]) || y[2:], NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'NATION_' || ((n_nationkey + 1) % 25)
+        FROM (SELECT *, translate(n_nationkey::VARCHAR, '0123456789', 'abcdefghij') AS y FROM nation)""",
     "workbook_cells": _N + """
         SELECT 'Data & more' AS sheet, (key + 2)::INTEGER AS row_no, (year - 1998)::INTEGER AS col_no, CASE WHEN key % 2 = 1 THEN format('{:,}', n * 1000 + year) ELSE (n * 1000 + year)::VARCHAR END AS value FROM n, y
         UNION ALL SELECT 'Data & more', (key + 2)::INTEGER, 1, name FROM n

@@ -185,12 +185,17 @@ def html_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers' names, made of two parts, against the same written otherwise."""
-    first, last = F.element_at(F.array(*map(F.lit, ("Ana María", "Björn", "Chloé", "Derek", "Émile"))), (F.col("c_custkey") % 5 + 1).cast("int")), F.concat(F.lit("Köhler"), F.chr(F.lit(97) + F.floor(F.col("c_custkey") / 5) % 26), F.chr(F.lit(97) + F.floor(F.col("c_custkey") / 130) % 26))
+    """Customers' names, made of two parts, against the same written otherwise: as they are, with an initial, in capitals, with
+    the last part only, and with a last part that sounds the same or nearly so."""
+    k = F.col("c_custkey")
+    letter = lambda letters, step: F.substring(F.lit(letters), (F.floor(k / step) % len(letters)).cast("int") + 1, 1)
+    first = F.element_at(F.array(*map(F.lit, ("Ana María", "Björn", "Chloé", "Derek", "Émile"))), (k % 5 + 1).cast("int"))
+    last = F.concat(F.lit("Köhler"), letter("bfklmnpt", 5), letter("aeiou", 40), letter("bfklmnpt", 200))
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.concat(first, F.lit(" "), last).alias("name"), first.alias("first"), last.alias("last"))
-    k = F.col("c_custkey") % 4
-    written = F.when(k == 0, F.col("name")).when(k == 1, F.concat(F.substring("first", 1, 1), F.lit(". "), F.col("last"))).when(k == 2, F.upper("name")).otherwise(F.col("last"))
-    others = people.select("c_nationkey", F.col("c_custkey").cast("string").alias("id"), written.alias("other"))
+    same = F.concat("first", F.lit(" "), F.translate("last", "aiu", "eoa"))
+    near = F.concat("first", F.lit(" "), F.substring("last", 1, 6), F.translate(F.substring("last", 7, 1), "bfkmn", "pblnm"), F.substring("last", 8, 2))
+    written = F.element_at(F.array("name", F.concat(F.substring("first", 1, 1), F.lit(". "), F.col("last")), F.upper("name"), F.col("last"), same, near), (k % 6 + 1).cast("int"))
+    others = people.select("c_nationkey", k.cast("string").alias("id"), written.alias("other"))
     return names.match_names(people, others, "c_nationkey", "name", "id", "other")[0].withColumnRenamed("block", "c_nationkey")
 
 
@@ -254,7 +259,61 @@ _RISK = f"""
     r AS (SELECT b.i, b.j, coalesce(a.density, 0) AS part, b.density AS base, log2((coalesce(a.density, 0) / rate + 1e-6) / (b.density + 1e-6)) AS log2_risk
           FROM g, (SELECT * FROM k WHERE kind = 2 AND density >= 1e-6) b LEFT JOIN (SELECT * FROM k WHERE kind = 1) a ON a.i = b.i AND a.j = b.j)"""
 
+#: The likeness of two strings a and b: the longest run that both have, found by trying all places, and in turn what is to its
+#: left and right. Needs pairs(e, a, b); gives likeness(e, likeness).
+LIKENESS_SQL = """
+    spans AS (
+        SELECT e, a, b, 0 AS size FROM pairs
+        UNION ALL
+        SELECT e, unnest([a[:i - 1], a[i + size:]]), unnest([b[:j - 1], b[j + size:]]), unnest([size, 0]) FROM (
+            SELECT e, a, b, best // 10000 AS size, 99 - best // 100 % 100 AS i, 99 - best % 100 AS j FROM (
+                SELECT e, a, b, list_max(flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(list_filter(range(1, length(b) + 1), lambda j: a[i] = b[j]), lambda j:
+                    list_max(list_filter(range(1, least(length(a) - i, length(b) - j) + 2), lambda n: a[i:i + n - 1] = b[j:j + n - 1])) * 10000 + (99 - i) * 100 + 99 - j)))) AS best
+                FROM spans WHERE a <> '' AND b <> '') WHERE best IS NOT NULL)),
+    likeness AS (SELECT e, CASE WHEN length(p.a) + length(p.b) = 0 THEN 1 ELSE 2 * sum(size) / (length(p.a) + length(p.b)) END AS likeness FROM spans JOIN pairs p USING (e) GROUP BY e, p.a, p.b)"""
+
+_AGREE = "({0} = {1} OR (least(length({0}), length({1})) = 1 AND {0}[1] = {1}[1]))"
+_ENDS = "len(s) > 1 AND " + _AGREE.format("s[1]", "l[1]") + " AND (len(s) < 3 OR len(list_filter(l[2:-2], lambda x: " + _AGREE.format("x", "s[2]") + ")) > 0)"
+#: Names are of three parts at most, and all last parts are made of `kohler` and three letters, the second a vowel, so that their
+#: sounds are known: KLR and the consonants, K46 and the first letter's class.
+_NAME_MATCH = f"""
+    WITH RECURSIVE n AS (
+        SELECT c_custkey AS k, c_nationkey, ['Ana María', 'Björn', 'Chloé', 'Derek', 'Émile'][c_custkey % 5 + 1] AS first,
+               'Köhler' || substr('bfklmnpt', c_custkey // 5 % 8 + 1, 1) || substr('aeiou', c_custkey // 40 % 5 + 1, 1) || substr('bfklmnpt', c_custkey // 200 % 8 + 1, 1) AS last FROM customer),
+    r AS (
+        SELECT c_nationkey, k::VARCHAR AS id, [first || ' ' || last, first[1] || '. ' || last, upper(first || ' ' || last), last, first || ' ' || translate(last, 'aiu', 'eoa'),
+               first || ' ' || last[:6] || translate(last[7], 'bfkmn', 'pblnm') || last[8:]][k % 6 + 1] AS right_name FROM n),
+    names AS (SELECT DISTINCT c_nationkey, first || ' ' || last AS left_name FROM n),
+    single AS (SELECT * FROM r QUALIFY count(*) OVER (PARTITION BY c_nationkey, right_name) = 1),
+    equal AS (SELECT c_nationkey, id, left_name, right_name, 'equal' AS kind FROM single JOIN names USING (c_nationkey) WHERE left_name = right_name),
+    x AS (
+        SELECT c_nationkey, id, left_name, right_name, replace(strip_accents(lower(left_name)), '.', '') AS a, replace(strip_accents(lower(right_name)), '.', '') AS b,
+               strip_accents(lower(left_name)) = strip_accents(lower(right_name)) AS same
+        FROM names JOIN single USING (c_nationkey) WHERE id NOT IN (SELECT id FROM equal) AND (c_nationkey, left_name) NOT IN (SELECT (c_nationkey, left_name) FROM equal)),
+    y AS (SELECT *, string_split(a, ' ') AS pa, string_split(b, ' ') AS pb FROM x),
+    z AS (SELECT *, CASE WHEN len(pa) <= len(pb) THEN pa ELSE pb END AS s, CASE WHEN len(pa) <= len(pb) THEN pb ELSE pa END AS l FROM y),
+    m AS (
+        SELECT *, CASE WHEN same THEN {{'kind': 'norm', 'rank': 5}}
+            WHEN len(s) > 1 AND s = l[-len(s):] THEN {{'kind': 'initials+tail', 'rank': 4}}
+            WHEN len(s) > 1 AND len(list_filter(range(1, len(s) + 1), lambda i: NOT {_AGREE.format("s[i]", "l[len(l) - len(s) + i]")})) = 0 THEN {{'kind': 'initials+tail', 'rank': 3}}
+            WHEN len(s) > 1 AND len(list_filter(range(1, len(s) + 1), lambda i: NOT {_AGREE.format("s[i]", "l[i]")})) = 0 THEN {{'kind': 'prefix', 'rank': 3}}
+            WHEN {_ENDS} AND s[-1] = l[-1] THEN {{'kind': 'middle-optional', 'rank': 3}}
+            WHEN {_ENDS} AND s[-1][7] = l[-1][7] AND s[-1][9] = l[-1][9] THEN {{'kind': 'phonetic', 'rank': 2}}
+            WHEN len(s) = 1 AND list_contains(l, s[1]) THEN {{'kind': 'mononym', 'rank': 1}}
+            WHEN {_ENDS} AND translate(s[-1][7], 'bfpkmntl', '11125534') = translate(l[-1][7], 'bfpkmntl', '11125534') THEN {{'kind': 'soundex', 'rank': 0}} END AS m FROM z),
+    edges AS (SELECT *, row_number() OVER () AS e FROM m WHERE m IS NOT NULL),
+    pairs AS (SELECT e, a, b FROM edges),{LIKENESS_SQL},
+    ordered AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY m.rank DESC, likeness DESC, left_name, id) AS n FROM edges JOIN likeness USING (e)),
+    taken AS (
+        SELECT DISTINCT c_nationkey, 0::BIGINT AS n, NULL::BIGINT AS e, []::VARCHAR[] AS lefts, []::VARCHAR[] AS rights FROM ordered
+        UNION ALL
+        SELECT c_nationkey, o.n, CASE WHEN free THEN o.e END, CASE WHEN free THEN list_append(lefts, left_name) ELSE lefts END, CASE WHEN free THEN list_append(rights, id) ELSE rights END
+        FROM (SELECT t.*, o.*, NOT list_contains(t.lefts, o.left_name) AND NOT list_contains(t.rights, o.id) AS free FROM (SELECT c_nationkey, n AS before, lefts, rights FROM taken) t
+              JOIN (SELECT c_nationkey AS nation, n, e, left_name, id FROM ordered) o ON t.c_nationkey = o.nation AND o.n = t.before + 1) o)
+    SELECT * FROM equal UNION ALL SELECT c_nationkey, id, left_name, right_name, m.kind FROM edges WHERE e IN (SELECT e FROM taken)"""
+
 ORACLE_SQL = {
+    "name_match": _NAME_MATCH,
     "nested_titles": """
         SELECT -1 AS region, '[' || string_agg(coalesce('"' || n_name || '"', 'null'), ',' ORDER BY k.range) || ']' AS document
         FROM range((SELECT 2 * max(n_nationkey) + 1 FROM nation)) k LEFT JOIN nation ON 2 * n_nationkey = k.range

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldglass.operators import ratings, stats
 from fieldglass.operators import relational as R
 from fieldglass.session import table
+from fieldglass.staging import numbered
 
 #: Event types as sources, the lower the better; other types count as 99.
 PRIORITY = {"purchase": 1, "view": 2, "click": 2}
@@ -68,7 +69,7 @@ def rating_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     match = F.concat(code(F.col("user_id")), code(F.col("user_id") + 7), (points - 20).cast("string"))
     token = F.when(F.col("event_id") % 997 == 5, "ABXX").when(F.col("event_id") % 499 == 3, F.lit("CADA")).when(F.col("event_id") % 5 == 0, F.concat(code(F.col("user_id")), points.cast("string"))).otherwise(match)
     rows = _events(spark, sf_dir).select("event_id", F.concat(F.date_format(F.add_months("day", (F.col("event_id") % 400).cast("int")), "yyyyMM"), F.lit("01")).alias("stamp"), token.alias("token"))
-    lines = rows.select(F.row_number().over(R.Window.orderBy("stamp", "event_id")).alias("line_no"), F.concat("stamp", "token").alias("value"))
+    lines = numbered(rows, ["stamp", "event_id"], "line_no", 1).select("line_no", F.concat("stamp", "token").alias("value"))
     return _iso(ratings.rating_history(lines), "month")
 
 
@@ -76,7 +77,7 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     def half(first: int, last: int) -> DataFrame:
         rows = _events(spark, sf_dir).where(F.dayofmonth("day").between(first, last))
         sums = rows.groupBy("user_id").agg(F.sum(F.floor("value").cast("long")).alias("points"))
-        return sums.withColumn("place", F.rank().over(R.Window.orderBy(F.desc("points"))).cast("long"))
+        return R.min_rank(sums, "points", "place", falling=True)
 
     return R.snapshot_diff(half(1, 15), half(16, 31), "user_id", "points", "place")
 
@@ -116,7 +117,37 @@ _NATIONS = """
 
 QUERIES = {f.__name__: f for f in (priority_dedup, pivot_wide, latest_snapshot, coverage, rating_running, rating_monthly_ffill, rating_top_n, rating_log, snapshot_diff, spearman, ols, best_threshold)}
 
+#: Renames cut the log into epochs, in which ratings are sums. Each epoch begins with what the rename before it made of the
+#: ratings at the end of the last; a code without a rating (`""`) keeps an epoch of none going.
+_RATING_LOG = """
+    WITH RECURSIVE e AS (
+        SELECT event_id, (date_trunc('month', ts::DATE) + to_months((event_id % 400)::INTEGER))::DATE AS month, floor(abs(value))::BIGINT % 40 AS p,
+               chr((65 + user_id % 20)::INTEGER) || chr((65 + user_id // 20 % 20)::INTEGER) AS a, chr((65 + (user_id + 7) % 20)::INTEGER) || chr((65 + (user_id + 7) // 20 % 20)::INTEGER) AS b FROM events),
+    t AS (
+        SELECT row_number() OVER (ORDER BY month, event_id) AS line, month,
+               CASE WHEN event_id % 997 = 5 OR event_id % 499 = 3 THEN 'rename' WHEN event_id % 5 = 0 THEN 'adjust' WHEN p IS NULL THEN 'none' ELSE 'match' END AS kind,
+               CASE WHEN event_id % 997 = 5 THEN 'AB' WHEN event_id % 499 = 3 THEN 'CA' ELSE a END AS a, CASE WHEN event_id % 997 = 5 THEN 'XX' WHEN event_id % 499 = 3 THEN 'DA' ELSE b END AS b, p FROM e),
+    k AS (SELECT *, count(*) FILTER (kind = 'rename') OVER (ORDER BY line) AS k FROM t),
+    renames AS (SELECT k, a, b, month FROM k WHERE kind = 'rename'),
+    moves AS (
+        SELECT k, month, a AS code, p AS d FROM k WHERE kind = 'adjust' AND p IS NOT NULL UNION ALL SELECT k, month, a, p - 20 FROM k WHERE kind = 'match' UNION ALL SELECT k, month, b, 20 - p FROM k WHERE kind = 'match'),
+    sums AS (SELECT k, code, sum(d)::BIGINT AS d FROM moves GROUP BY ALL),
+    begins AS (
+        SELECT 0::BIGINT AS k, '' AS code, 0::BIGINT AS rating
+        UNION ALL
+        SELECT k + 1, CASE WHEN held AND code = r.a THEN r.b ELSE code END, rating
+        FROM (SELECT x.k, code, rating, r.a, r.b, bool_or(code = r.a) OVER () AS held FROM
+                (SELECT k, code, sum(rating)::BIGINT AS rating FROM (SELECT * FROM begins UNION ALL SELECT s.k, s.code, s.d FROM sums s WHERE s.k = (SELECT max(k) FROM begins)) GROUP BY k, code) x
+              JOIN renames r ON r.k = x.k + 1) r
+        WHERE NOT (held AND ((code = r.a AND r.b = 'XX') OR code = r.b))),
+    months AS (SELECT unnest(generate_series((SELECT min(month) FROM t WHERE kind <> 'none')::TIMESTAMP, (SELECT max(month) FROM t WHERE kind <> 'none')::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS month),
+    placed AS (SELECT month, (SELECT count(*) FROM renames r WHERE r.month <= m.month) AS k FROM months m),
+    ends AS (SELECT max(month) AS month FROM (SELECT month FROM moves UNION ALL SELECT month FROM renames)),
+    held AS (SELECT p.month, code, rating FROM placed p JOIN begins USING (k) WHERE code <> '' UNION ALL SELECT p.month, code, d FROM placed p JOIN moves ON moves.k = p.k AND moves.month <= p.month)
+    SELECT code, month::VARCHAR AS month, sum(rating)::BIGINT AS rating FROM held WHERE month <= (SELECT month FROM ends) GROUP BY code, month"""
+
 ORACLE_SQL = {
+    "rating_log": _RATING_LOG,
     "priority_dedup": """
         SELECT user_id, day::VARCHAR AS day, event_id, event_type, value FROM (
             SELECT *, ts::DATE AS day, row_number() OVER (PARTITION BY user_id, ts::DATE ORDER BY

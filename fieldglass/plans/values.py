@@ -172,7 +172,7 @@ def change_message(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def snapshot(late: bool) -> DataFrame:
         sums = rows.where(F.col("late") if late else ~F.col("late")).groupBy("n_nationkey").agg((F.sum("q") / 10).cast("long").alias("points"))
-        return sums.withColumn("place", F.rank().over(R.Window.orderBy(F.desc("points"))).cast("long")).where("place <= 12" if late else "place <= 14")
+        return R.min_rank(sums, "points", "place", falling=True).where("place <= 12" if late else "place <= 14")
 
     diff = R.snapshot_diff(snapshot(False), snapshot(True), "n_nationkey", "points", "place", keep_ranks=True)
     return R.change_report(diff, table(spark, sf_dir, "nation"), "n_nationkey", "n_name")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from fieldglass.functions.numbers import parse_number
-from fieldglass.staging import running_total, stage
+from fieldglass.staging import carry, running_total, stage
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -208,15 +208,44 @@ def country_metadata(base: DataFrame, population: DataFrame, capitals: DataFrame
 
 def sections(lines: DataFrame, header: str, skip: str | None = None, least_fields: int = 1) -> DataFrame:
     """Rows of a text layout: each line split at two or more spaces, with the section header above it: (line_no, section,
-    fields). `header` is a pattern with the section in its first group. One text's lines meet in one task."""
-    from pyspark.sql import Window
-
-    found = F.when(F.col("value").rlike(header), F.regexp_extract("value", header, 1))
-    w = Window.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = lines.withColumn("own section", found).withColumn("section", F.last("own section", True).over(w)).where(F.col("own section").isNull() & F.col("section").isNotNull())
+    fields). `header` is a pattern with the section in its first group. Sections are carried from task to task; line numbers tell
+    lines apart, and blank lines are no rows."""
+    line = F.trim(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    rows = lines.select("line_no", line.alias("line")).where("line <> ''")
+    rows = rows.withColumn("own section", F.when(F.col("line").rlike(header), F.regexp_extract("line", header, 1)))
+    rows = carry(rows, [], ["line_no"], {"section": "own section"}).where(F.col("own section").isNull() & F.col("section").isNotNull())
     if skip:
-        rows = rows.where(~F.col("value").rlike(skip))
-    return rows.select("line_no", "section", F.split(F.trim("value"), r"\s{2,}").alias("fields")).where(F.size("fields") >= least_fields)
+        rows = rows.where(~F.col("line").rlike(skip))
+    return rows.select("line_no", "section", F.split("line", r"\s{2,}").alias("fields")).where(F.size("fields") >= least_fields)
+
+
+#: The fields of a player's row and of a coach's, and what tells them.
+PLAYER_FIELDS = ("number", "position", "shown", "first", "last", "shirt", "born", "club", "height", "caps", "goals")
+COACH_FIELDS = ("role", "shown", "first", "last", "nationality")
+COACH_ROLE = "Head coach"
+
+
+def roster_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Players and coaches out of `sections` of a squad list.
+
+    A player's row begins with a number of one or two digits and has the eleven PLAYER_FIELDS: line_no, section, number,
+    position, name, born (date of DD/MM/YYYY, else null), club, height, caps, goals (null where no whole number). A coach's
+    begins with COACH_ROLE and has the five COACH_FIELDS: line_no, section, name, nationality. Further fields are left
+    out, and so are all other rows. A name is the first of the first names and the last names, each word with a capital.
+    """
+    field = lambda names, n: F.get("fields", F.lit(names.index(n)))
+    whole = lambda n: F.when(field(PLAYER_FIELDS, n).rlike("^[0-9]+$"), field(PLAYER_FIELDS, n).try_cast("int"))
+    #: Letters after a sign begin a word too.
+    titled = lambda c: F.replace(F.initcap(F.regexp_replace(F.lower(c), r"([^\p{L}\s])(?=\p{L})", "$1\u0001 ")), F.lit("\u0001 "), F.lit(""))
+
+    def name(names: Sequence[str]) -> Column:
+        return F.trim(F.concat(F.regexp_extract(field(names, "first"), r"^\s*(\S*)", 1), F.lit(" "), titled(field(names, "last")))).alias("name")
+
+    players = rows.where(F.get("fields", F.lit(0)).rlike("^[0-9]{1,2}$") & (F.size("fields") >= len(PLAYER_FIELDS)))
+    born = F.when(field(PLAYER_FIELDS, "born").rlike("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_timestamp(field(PLAYER_FIELDS, "born"), F.lit("d/M/yyyy")).cast("date"))
+    players = players.select("line_no", "section", field(PLAYER_FIELDS, "number").cast("int").alias("number"), field(PLAYER_FIELDS, "position").alias("position"), name(PLAYER_FIELDS), born.alias("born"), field(PLAYER_FIELDS, "club").alias("club"), *(whole(n).alias(n) for n in ("height", "caps", "goals")))
+    coaches = rows.where((F.get("fields", F.lit(0)) == COACH_ROLE) & (F.size("fields") >= len(COACH_FIELDS)))
+    return players, coaches.select("line_no", "section", name(COACH_FIELDS), field(COACH_FIELDS, "nationality").alias("nationality"))
 
 
 # Documents that need a parser ----------------------------------------------------------------------------------------

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldglass.functions.numbers import parse_number
 from fieldglass.functions.text import split_place, strip_code, strip_notes, title_of_link
+from fieldglass.staging import carry
 
 #: What the headers of people's tables hold, by field, in order of preference.
 PEOPLE = {
@@ -106,8 +107,8 @@ def section_rows(cells: DataFrame, years: DataFrame, names: Sequence[str], wante
     """(path, sheet, section, year, value) of the rows whose first cell matches `wanted`, under the last row above whose first
     cell is one of `names`; values up to `least` are left out. Of several rows for a year the last counts."""
     first = cells.where("col_no = 0").select("path", "sheet", "row_no", F.trim("value").alias("label"))
-    above = Window.partitionBy("path", "sheet").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    rows = first.withColumn("section", F.last(F.when(F.col("label").isin(*names), F.col("label")), True).over(above)).where(F.col("section").isNotNull() & F.col("label").rlike(wanted))
+    first = first.withColumn("own section", F.when(F.col("label").isin(*names), F.col("label")))
+    rows = carry(first, ["path", "sheet"], ["row_no"], {"section": "own section"}).where(F.col("section").isNotNull() & F.col("label").rlike(wanted)).drop("own section")
     values = cells.join(years, ["path", "sheet", "col_no"]).select("path", "sheet", "row_no", "year", parse_number(F.col("value")).alias("value")).where(F.col("value") > least)
     found = rows.join(values, ["path", "sheet", "row_no"])
     return found.groupBy("path", "sheet", "section", "year").agg(F.max_by("value", "row_no").alias("value"))

@@ -121,3 +121,30 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums
     return summed.join(starts, [part, *keys]).select(
         *df.columns, *((F.col(f"{out} start") + F.col(f"{out} within")).alias(out) for out in sums)
     )
+
+
+def carry(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, str], own: bool = True) -> DataFrame:
+    """Add for each (out, value) of `values` the last `value` that isn't null, within `keys`, in the order `order`, of the rows
+    up to this one (before this one, if not `own`); null where there is none.
+
+    A scan as in `running_total`: rows are dealt out by ranges of (keys, order); each task's last value (one row a task and
+    key) is carried on to the tasks after it, and within a task it is a window. `df` should be narrow; keys hold no null. Rows
+    that tie in `order` see each other's values in any order; give a total order to fix them.
+    """
+    part, = fresh(df, "part")
+    dealt = df.repartitionByRange(shuffle_partitions(df.sparkSession), *keys, *order)
+    dealt = stage(dealt.withColumn(part, F.spark_partition_id()))
+    place = F.struct(*order)
+    ends = dealt.groupBy(part, *keys).agg(*(F.max_by(v, F.when(F.col(v).isNotNull(), place)).alias(f"{out} end") for out, v in values.items()))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ends.select(part, *keys, *(F.last(f"{out} end", True).over(before).alias(f"{out} start") for out in values))
+    within = Window.partitionBy(part, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
+    seen = dealt.select("*", *(F.last(v, True).over(within).alias(f"{out} within") for out, v in values.items()))
+    return seen.join(starts, [part, *keys]).select(*df.columns, *(F.coalesce(f"{out} within", f"{out} start").alias(out) for out in values))
+
+
+def numbered(df: DataFrame, order: Sequence[str], out: str, first: int = 0) -> DataFrame:
+    """`df` with the number of each row in the order `order`, from `first` on. Rows that tie get their numbers in any order."""
+    one, = fresh(df, "one")
+    counted = running_total(df.withColumn(one, F.lit(1).cast("long")), [], order, {out: one})
+    return counted.withColumn(out, F.col(out) + first).drop(one)

@@ -87,7 +87,8 @@ def fold_log(text):
         for m in re.finditer(r"([A-Z]{2})([A-Z]{2})(-?\d+)|([A-Z]{2})([A-Z]{2})|([A-Z]{2})(-?\d+)", rest):
             a, b, n, old, new, code, points = m.groups()
             if a:
-                state[a], state[b] = state.get(a, 0) + int(n), state.get(b, 0) - int(n)
+                state[a] = state.get(a, 0) + int(n)
+                state[b] = state.get(b, 0) - int(n)
             elif code:
                 state[code] = state.get(code, 0) + int(points)
             elif old in state:
