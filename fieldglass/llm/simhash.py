@@ -183,7 +183,8 @@ def near_duplicates(
     one row for each row of `docs`.
 
     Without `distance`, texts are linked whose sets of `shingle` words (5, if not given) have a Jaccard similarity of
-    `similarity` or more; see similar.similar_links. With it, those whose 64-bit SimHash over shingles of `shingle` words (4,
+    `similarity` or more; see similar.similar_classes. Of links just at 0.8 between texts of more than SMALL shingles, one in 200,000 or
+    fewer can be missed (see similar.PARTS). With it, those whose 64-bit SimHash over shingles of `shingle` words (4,
     if not given), repeats included, differ in at most so many bits; see candidate_links. Documents of one set, or of one
     fingerprint, are one node, however many they are, so copies are never paired.
 

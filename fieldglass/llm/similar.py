@@ -1,16 +1,19 @@
-"""Near-duplicates by similarity of word shingles: pigeonring over parts of a document's shingle set, wide SimHash fingerprints
-to prune, and an exact check.
+"""Near-duplicates by similarity of word shingles: pigeonring over parts of a document's shingle set, rarest shingles for short
+texts, wide SimHash fingerprints to prune, and an exact check.
 
 Fingerprints of 64 bits, of which a few may differ, find only a part of the pairs of a similarity as low as 0.8: one in five
 of their bits or so differs. So here the ring's segments are not bits but shingles: a hash deals a document's shingles to
 parts. Two sets that differ in few shingles differ in few parts, so some part is the same in both, and documents that share
-a part are candidates. A wide fingerprint tells nearly always whether they can be similar enough, and the sets themselves
-decide.
+a part are candidates. Short texts, of which very many may share most of what they have, are filed by their rarest shingles
+instead: of a set of n, all but the ceil(0.8 n) - 1 most frequent ones, of which two similar sets share one in any case. A wide
+fingerprint tells nearly always whether candidates can be similar enough, by the distribution for sets of their sizes, and
+the sets themselves decide.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +21,19 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop, give_back, join_salted, shuffle_partitions, stage
+from .common import components, drop, give_back, join_hot, join_salted, shuffle_partitions, stage
 
 #: Words of a fingerprint, of 64 bits each: the more, the fewer candidates that fail.
 WIDE = 16
 #: Parts of a set by which a document is filed, at most, and the shingles of a part for sets with more parts than that (from half
-#: as many up). A pair of similarity 0.8 has a part in common with a chance of 0.226 for the largest parts, and with all 32
-#: of them none with a chance of 0.0003.
-PARTS, PART_SIZE = 32, 6
+#: as many up). A pair of similarity 0.8 has a part in common with a chance of 0.226 for the largest parts, and with all 48
+#: of them none with a chance of 0.000005; at 0.82 with one of 0.0000001.
+PARTS, PART_SIZE = 48, 6
+#: Sets of more shingles are filed by their parts. Those of as many and fewer, and larger ones that they may be similar to, by their
+#: rarest shingles.
+SMALL = 64
+#: Sizes up to which the chance that a bit differs is found exactly; that for larger sets is smaller.
+EXACT = 256
 #: Documents, and words of them, that a task takes at a time; a longer text is taken alone.
 DOCS_AT_ONCE, WORDS_AT_ONCE = 512, 1_000_000
 #: Bits of a shingle's hash: what the number of the text among those leaves.
@@ -118,7 +126,7 @@ def wide_prints(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def parts_of(level: np.ndarray) -> np.ndarray:
     """Into how many parts sets of 2 ** level shingles, up to twice as many, are dealt: small sets into more, of fewer shingles."""
     size = np.left_shift(1, level)
-    few = np.select([level <= 1, level == 2, level == 3, level == 4, level == 5, level == 6], [size, 6, 8, 12, 16, 24], 0)
+    few = np.select([level <= 1, level == 2, level == 3, level == 4, level == 5, level == 6], [size, 6, 8, 12, 16, 32], 0)
     return np.where(few > 0, few, -(-2 * size // PART_SIZE))
 
 
@@ -126,7 +134,7 @@ def part_keys(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> tu
     """For each set the keys of its parts: (set number, key).
 
     Sets are dealt to parts by their size, to a factor of two; one that another of the next factor may be similar to is filed
-    by that as well. Two sets whose part has the same shingles share a key.
+    by that as well. Two sets whose part has the same shingles share a key. Sets of up to SMALL shingles have none.
     """
     owner = np.repeat(np.arange(len(counts)), counts)
     dealt = mixed(shingles, 31) >> np.uint64(20)
@@ -134,7 +142,7 @@ def part_keys(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> tu
     low = np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
     high = np.floor(np.log2(np.maximum(counts, 1) / similarity)).astype(np.int64)
     found = []
-    for level, some in ((low, counts > 0), (high, (counts > 0) & (high > low))):
+    for level, some in ((low, counts > SMALL), (high, (counts > SMALL) & (high > low))):
         part = (dealt % parts_of(level)[owner].astype(np.uint64)).astype(np.int64)
         kept = np.flatnonzero(some[owner] & (part < PARTS))
         place = owner[kept] * PARTS + part[kept]
@@ -151,18 +159,59 @@ def part_keys(shingles: np.ndarray, counts: np.ndarray, similarity: float) -> tu
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def most_bits(similarity: float) -> int:
-    """How many bits of two fingerprints may differ if the sets' similarity may reach `similarity`: the mean for it, and three
-    and a half standard deviations."""
-    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    n = 64 * WIDE
-    return int(np.ceil(n * p + 3.5 * np.sqrt(n * p * (1 - p))))
+def _differ(m: int, n: int, common: int) -> float:
+    """The chance that a bit of the fingerprints of two sets of m and n shingles differs, `common` of which are in both."""
+    def chances(k: int) -> np.ndarray:
+        steps = np.arange(k + 1)
+        logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, k + 1)))])
+        return np.exp(logs[k] - logs[steps] - logs[k - steps] - k * np.log(2))
 
+    def one(size: int) -> np.ndarray:  # for each number of ones among the common shingles, the chance that the bit is 1
+        above = np.concatenate([np.cumsum(chances(size - common)[::-1])[::-1], [0.0]])
+        need = size // 2 + 1 - np.arange(common + 1)  # ones that the others must give
+        return above[np.clip(need, 0, size - common + 1)]
 
-def nearest_tree(prints: np.ndarray, most: int, root: np.ndarray | None = None, not_these: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    a, b = one(m), one(n)
+    return float((chances(common) * (a * (1 - b) + b * (1 - a))).sum())
+
+
+@cache
+def most_bits(similarity: float, deviations: float = 5.0) -> np.ndarray:
+    """How many bits of two fingerprints may differ if the sets' similarity may reach `similarity`, by the sizes of the sets (up to
+    EXACT + 1): the mean for the least similar such sets, and some standard deviations. -1 where sizes are too different.
+
+    A bit is 1 if it is so in over half of the shingles, so that it is less often 1 for an even number of shingles than for
+    an odd one; that makes small sets differ more than large ones, the more the smaller.
+    """
+    bits, out = 64 * WIDE, np.full((EXACT + 2, EXACT + 2), -1, np.int64)
+    out[0, 0] = 0
+    for m in range(1, EXACT + 2):
+        for n in range(m, min(EXACT + 1, int(m / similarity + 1e-9)) + 1):
+            common = int(np.ceil(similarity * (m + n) / (1 + similarity) - 1e-9))
+            if common <= m:
+                p = _differ(m, n, common)
+                out[m, n] = out[n, m] = min(bits, int(np.ceil(bits * p + deviations * np.sqrt(bits * p * (1 - p)))))
+    return out
+
+
+def allowed_bits(table: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """The most bits by which fingerprints of sets of such sizes may differ, or -1. Large sets take the largest of the table's
+    numbers for sizes like theirs."""
+    large = np.maximum(one, other) > EXACT
+    if not large.any():
+        return table[one, other]
+    level = np.maximum(0, np.ceil(np.log2(np.maximum(np.maximum(one, other), 1) / EXACT))).astype(np.int64)
+    x, y = one >> level, other >> level
+    out = table[np.minimum(x, EXACT), np.minimum(y, EXACT)]
+    for dx, dy in ((0, 1), (1, 0), (1, 1)):
+        out = np.where(large, np.maximum(out, table[np.minimum(x + dx, EXACT + 1), np.minimum(y + dy, EXACT + 1)]), out)
+    return out
+
+
+def nearest_tree(prints: np.ndarray, most: int | np.ndarray, root: np.ndarray | None = None, not_these: tuple[np.ndarray, np.ndarray] | None = None, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A shortest spanning forest of fingerprints by differing bits, of edges of at most `most`: (one, other, bits). What is
     linked by pairs within some distance is so by the forest's edges within that distance. Memory is in proportion to the
-    number of fingerprints.
+    number of fingerprints. With `sizes`, of the sets, `most` is a table by them.
 
     Those of one `root` are together already and get no edges to each other. Pairs in `not_these` (both ways) are no edges.
     """
@@ -176,6 +225,8 @@ def nearest_tree(prints: np.ndarray, most: int, root: np.ndarray | None = None,
     for _ in range(n - 1):
         open_ = open_[open_ != at]
         differ = np.bitwise_count(prints[open_] ^ prints[at]).sum(axis=1, dtype=np.int64)
+        if sizes is not None:
+            differ[differ > allowed_bits(most, sizes[open_], np.broadcast_to(sizes[at], len(open_)))] = 64 * WIDE + 1
         if root is not None:
             differ[root[open_] == root[at]] = -1
         if not_these is not None:
@@ -189,7 +240,7 @@ def nearest_tree(prints: np.ndarray, most: int, root: np.ndarray | None = None,
         closer = differ < bits[open_]
         bits[open_[closer]], nearest[open_[closer]] = differ[closer], at
         at = int(open_[np.argmin(bits[open_])])
-        if 0 <= bits[at] <= most:
+        if 0 <= bits[at] <= (64 * WIDE if sizes is not None else most):
             one.append(int(nearest[at]))
             other.append(at)
             far.append(int(bits[at]))
@@ -213,7 +264,7 @@ def _batches(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
 
 def with_prints(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """For rows (text, and others): the others, node (a hash of the shingle set), fp (the first word of its fingerprint), print
-    (the whole fingerprint) and keys (of the set's parts)."""
+    (the whole fingerprint), size (shingles), keys (of the set's parts) and few (the shingles of small sets, else none)."""
     others = [c for c in rows.columns if c != "text"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,14 +276,16 @@ def with_prints(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
                 order = np.argsort(number, kind="stable")
                 ends = np.r_[0, np.cumsum(np.bincount(number, minlength=len(texts)))].astype(np.int32)
                 prints = wide_prints(shingles, counts)
+                small = np.floor(counts * similarity + 1e-9) <= SMALL
                 data = [
-                    pa.array(set_ids(shingles, counts).view(np.int64)), pa.array(prints[:, 0].view(np.int64)), pa.array([p.tobytes() for p in prints], pa.binary()),
+                    pa.array(set_ids(shingles, counts).view(np.int64)), pa.array(prints[:, 0].view(np.int64)), pa.array([p.tobytes() for p in prints], pa.binary()), pa.array(counts),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[order].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(np.where(small, counts, 0))].astype(np.int32)), pa.array(shingles[np.repeat(small, counts)].view(np.int64))),
                 ]
-                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(texts)).columns[:-1], *data], [*others, "node", "fp", "print", "keys"])
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(texts)).columns[:-1], *data], [*others, "node", "fp", "print", "size", "keys", "few"])
 
     kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in others)
-    return rows.select(*others, "text").mapInArrow(task, f"{kinds}node long, fp long, print binary, keys array<long>")
+    return rows.select(*others, "text").mapInArrow(task, f"{kinds}node long, fp long, print binary, size long, keys array<long>, few array<long>")
 
 
 def _runs(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
@@ -256,8 +309,21 @@ def _by_key(df: DataFrame) -> DataFrame:
     return df.repartition(shuffle_partitions(df.sparkSession), "key").sortWithinPartitions("key")
 
 
-def shared_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node) of the keys that several of `nodes` (node, keys) have; staged."""
+def rarest(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(key, node) of the rarest shingles of `nodes` (node, few; staged): of n, the first n - ceil(similarity * n) + 1 in the order of
+    how many nodes have them, then of the shingles themselves. Two sets as similar as that share one of these: of the two last
+    ones, that which comes first in the order isn't reached by the other's if none is shared, and too few shingles are left."""
+    each = stage(nodes.where(F.size("few") > 0).select("node", F.explode("few").alias("shingle")))
+    counts = each.groupBy("shingle").agg(F.count("*").alias("n"))
+    counted = join_hot(each, counts.where("n > 1"), "shingle")  # what one node has alone is shared with none, but takes its place
+    alone = each.groupBy("node").agg(F.count("*").alias("size"))
+    ordered = counted.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("listed")).join(alone, "node")
+    kept = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1 - (F.col("size") - F.size("listed"))
+    return ordered.where(kept > 0).select(F.explode(F.slice("listed", 1, kept.cast("int"))).alias("s"), "node").select(F.xxhash64("s.shingle", F.lit("rare")).alias("key"), "node")
+
+
+def shared_keys(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(key, node) of the keys that several of `nodes` (node, keys, few; staged) have; staged."""
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, node in _runs(batches, 2):
@@ -265,21 +331,22 @@ def shared_keys(nodes: DataFrame) -> DataFrame:
             kept = np.flatnonzero(np.r_[False, same] | np.r_[same, False])
             yield pa.RecordBatch.from_arrays([pa.array(key[kept]), pa.array(node[kept])], ["key", "node"])
 
-    filed = nodes.select(F.explode("keys").alias("key"), "node")
+    filed = nodes.select(F.explode("keys").alias("key"), "node").unionByName(rarest(nodes.select("node", "few"), similarity))
     return stage(_by_key(filed).mapInArrow(shared, "key long, node long"))
 
 
-def candidates(filed: DataFrame, most: int, forests: int) -> DataFrame:
-    """Edges (key, a, b, bits) between the nodes of each key whose fingerprints differ in `most` bits at most and whose roots are
-    not the same; staged. `filed` has rows (key, node, print, root, other) without nulls: with an empty print, node and other are
-    a pair that is no candidate. For each key, `forests` shortest spanning forests without an edge in common."""
+def candidates(filed: DataFrame, similarity: float, forests: int) -> DataFrame:
+    """Edges (key, a, b, bits) between the nodes of each key whose fingerprints differ in as many bits at most as those of similar
+    sets of their sizes may, and whose roots are not the same; staged. `filed` has rows (key, node, print, root, other) without
+    nulls, where other is the set's size; with an empty print, node and other are a pair that is no candidate. For each key,
+    `forests` shortest spanning forests without an edge in common."""
 
-    def one_key(node: np.ndarray, prints: np.ndarray, root: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
+    def one_key(node: np.ndarray, prints: np.ndarray, root: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
         order = np.argsort(node)
         at = order[np.searchsorted(node[order], pairs)] if len(pairs) else np.zeros((0, 2), np.int64)
         barred, found = np.concatenate([at, at[:, ::-1]]).T, []
         for _ in range(forests):
-            one, other, far = nearest_tree(prints, most, root, (barred[0], barred[1]))
+            one, other, far = nearest_tree(prints, most_bits(similarity), root, (barred[0], barred[1]), sizes)
             if not len(one):
                 break
             found.append((one, other, far))
@@ -290,7 +357,7 @@ def candidates(filed: DataFrame, most: int, forests: int) -> DataFrame:
         for key, node, prints, root, other in _runs(batches, 5):
             is_node = np.array([len(p) > 0 for p in prints], bool)
             all_keys, pairs, pair_key = key, np.stack([node, other], axis=1)[~is_node], key[~is_node]
-            key, node, root = all_keys[is_node], node[is_node], root[is_node]
+            key, node, root, shingles = all_keys[is_node], node[is_node], root[is_node], other[is_node]
             prints = np.frombuffer(b"".join(prints[is_node]), np.uint64).reshape(len(key), WIDE) if len(key) else np.zeros((0, WIDE), np.uint64)
             edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]) if len(key) else np.zeros(1, np.int64)
             sizes, found = np.diff(edges), []
@@ -298,12 +365,12 @@ def candidates(filed: DataFrame, most: int, forests: int) -> DataFrame:
             if not len(pairs):
                 pair = edges[:-1][single]
                 bits = np.bitwise_count(prints[pair] ^ prints[pair + 1]).sum(axis=1, dtype=np.int64)
-                ok = (bits <= most) & (root[pair] != root[pair + 1])
+                ok = (bits <= allowed_bits(most_bits(similarity), shingles[pair], shingles[pair + 1])) & (root[pair] != root[pair + 1])
                 found.append((pair[ok], pair[ok] + 1, bits[ok]))
             for i in np.flatnonzero((sizes > 2) | ((sizes == 2) & (len(pairs) > 0))).tolist():
                 own = slice(edges[i], edges[i + 1])
                 barred = pairs[np.searchsorted(pair_key, key[edges[i]]) : np.searchsorted(pair_key, key[edges[i]], side="right")]
-                one, two, far = one_key(node[own], prints[own], root[own], barred)
+                one, two, far = one_key(node[own], prints[own], root[own], shingles[own], barred)
                 found.append((one + edges[i], two + edges[i], far))
             if not found:
                 continue
@@ -344,8 +411,8 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
     candidate is left. Of the first round's candidates each node's nearest are checked before those that they leave apart.
     """
     filed = stage(with_prints(rows, shingle, similarity))
-    nodes = stage(filed.groupBy("node").agg(F.min("row").alias("row"), F.first("print").alias("print"), F.first("keys").alias("keys")))
-    open_, most, forests = shared_keys(nodes), most_bits(similarity), 1
+    nodes = stage(filed.groupBy("node").agg(F.min("row").alias("row"), F.first("print").alias("print"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("few").alias("few")))
+    open_, forests = shared_keys(nodes, similarity), 1
     nothing = rows.sparkSession.createDataFrame([], "a long, b long")
     roots, failed, barred, sets = nothing.toDF("node", "root"), nothing, rows.sparkSession.createDataFrame([], "key long, a long, b long"), None
 
@@ -356,10 +423,10 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
         return both.where(F.coalesce("a root", "a") != F.coalesce("b root", "b")).select("a", "b")
 
     while True:
-        known = open_.join(nodes.select("node", "print"), "node").join(roots, "node", "left")
-        known = known.select("key", "node", "print", F.coalesce("root", "node").alias("root"), F.lit(0).cast("long").alias("other"))
+        known = open_.join(nodes.select("node", "print", "size"), "node").join(roots, "node", "left")
+        known = known.select("key", "node", "print", F.coalesce("root", "node").alias("root"), F.col("size").alias("other"))
         no_pairs = barred.select("key", F.col("a").alias("node"), F.unhex(F.lit("")).alias("print"), F.lit(0).cast("long").alias("root"), F.col("b").alias("other"))
-        edges = candidates(known.unionByName(no_pairs), most, forests)
+        edges = candidates(known.unionByName(no_pairs), similarity, forests)
         if edges.isEmpty():
             break
         sets = _more_sets(sets, edges, rows, nodes, shingle)
@@ -384,7 +451,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
     for df in (nodes, open_, sets):
         if df is not None:
             drop(df)
-    return filed.drop("print", "keys"), roots
+    return filed.drop("print", "size", "keys", "few"), roots
 
 
 def _best(edges: DataFrame) -> DataFrame:
