@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldglass.staging import stage
+
 
 class GateFailed(ValueError):
     """Rows that a gate does not let pass."""
@@ -78,40 +79,40 @@ def coverage_failures(rows: DataFrame, column: str, resolved: str, stored: str |
     return unknown.distinct()
 
 
-def _flatten(value, path: str = "$") -> Iterator[tuple[str, str]]:
-    if isinstance(value, dict) and value:
-        for k in sorted(value):
-            yield from _flatten(value[k], f"{path}.{k}")
-    elif isinstance(value, list) and value:
-        for i, x in enumerate(value):
-            yield from _flatten(x, f"{path}[{i}]")
-    else:
-        yield path, json.dumps(value, ensure_ascii=False)
-
-
-@F.udtf(returnType="path string, leaf string", useArrow=True)
-class JsonLeaves:
-    """A JSON text's leaves, each with its path; a text that is no JSON is one leaf."""
-
-    def eval(self, text: str):
-        if text is not None:
-            try:
-                value = json.loads(text)
-            except ValueError:
-                value = text
-            yield from _flatten(value)
+#: Levels of a document that are taken apart before what is left is written.
+LEVELS = 6
 
 
 def json_leaves(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, path, leaf) of each row's JSON text."""
-    rows.sparkSession.udtf.register("json_leaves", JsonLeaves)
-    return rows.lateralJoin(JsonLeaves(F.col(text).outer())).select(key, "path", "leaf")
+    """(key, path, leaf) of each row's JSON text: its leaves and empty containers, each as JSON with its path. A text that is no JSON
+    (or nested a thousand levels deep and more, which the parser refuses) is one leaf, a string; a null text has none.
+
+    Some levels at a time: containers are exploded in place, and what still isn't a leaf goes on in another round.
+    """
+    spark = rows.sparkSession
+    is_open = F.col("leaf").rlike(r"^(\[.|\{.)") & ~F.col("leaf").isin("[]", "{}")
+    rest = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("doc"), F.lit("$").alias("path"), F.coalesce(F.try_parse_json(text), F.col(text).cast("variant")).alias("v"))
+    found: list[DataFrame] = []
+    while True:
+        for _ in range(LEVELS):
+            rest = rest.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer()))
+            step = F.when(F.col("pos").isNull(), "").when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("."), F.col("key")))
+            rest = rest.select("doc", F.concat("path", step).alias("path"), F.when(F.col("pos").isNull(), F.col("v")).otherwise(F.col("value")).alias("v"))
+        done = stage(rest.select("doc", "path", F.to_json("v").alias("leaf")))
+        found.append(done.where(~is_open))
+        rest = done.where(is_open)
+        if rest.isEmpty():
+            return reduce(DataFrame.unionByName, found).withColumnRenamed("doc", key)
+        rest = rest.select("doc", "path", F.parse_json("leaf").alias("v"))
 
 
 def json_diff(old: DataFrame, new: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, path, old, new) of the leaves in which two sets of JSON texts differ."""
-    a = json_leaves(old, key, text).withColumnRenamed("leaf", "old")
-    b = json_leaves(new, key, text).withColumnRenamed("leaf", "new")
+    """(key, path, old, new) of the leaves in which two sets of JSON texts differ. Only texts whose digests differ are parsed."""
+    digest = lambda df, name: df.groupBy(key).agg(F.array_sort(F.collect_list(F.sha2(F.col(text).cast("binary"), 256))).alias(name))
+    differ = digest(old, "a").join(digest(new, "b"), key, "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).select(key)
+    differ = stage(differ)
+    a = json_leaves(old.join(differ, key, "left_semi"), key, text).withColumnRenamed("leaf", "old")
+    b = json_leaves(new.join(differ, key, "left_semi"), key, text).withColumnRenamed("leaf", "new")
     return a.join(b, [key, "path"], "full_outer").where(~F.col("old").eqNullSafe(F.col("new")))
 
 

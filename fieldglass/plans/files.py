@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.functions.numbers import none_if_zero, scaled_currency
-from fieldglass.functions.text import link_of_title, strip_code
-from fieldglass.operators import ratings
+from fieldglass.functions.text import id_list, joined_ids, link_of_title, strip_code
+from fieldglass.operators import gates, ratings
 from fieldglass.operators import relational as R
+from fieldglass.operators.documents import DOCUMENTS, LANGUAGES
 from fieldglass.session import table
-from fieldglass.sources import readers, sinks, tables
+from fieldglass.sources import readers, sinks, tables, versions
 from fieldglass.staging import carry, numbered, scratch
 
 #: Years of the sheets and wide files made here, and the nations of a summary.
@@ -407,6 +408,74 @@ def stored_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("c_custkey", "c_name", "n_name")
 
 
+def _model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """A tournament's model out of customers as people of their nations."""
+    k, nation, customer = F.col("c_custkey"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    code = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
+    person = customer.select(
+        k.alias("pid"), F.col("c_name").alias("name"), F.concat(F.lit("S"), (k % 10).cast("string")).alias("surname"), F.when(k % 4 != 0, k % 99).alias("shirt_number"), F.when(k % 3 != 0, "GK").alias("position"),
+        F.when(k % 50 == 0, "coach").otherwise("player").alias("role"), (F.floor(F.abs("c_acctbal")) % 100).alias("caps"), F.col("c_nationkey").cast("int").alias("nation"), ((F.col("c_nationkey") + F.when(k % 3 == 0, k % 5).otherwise(0)) % 25).cast("int").alias("birth"),
+    )
+    measures = [F.count("*").alias("matches_played"), F.sum(k % 7).alias("fouls_committed"), F.sum(k % 5).alias("fouls_suffered"), (F.floor(F.avg(k % 7)) + 0.5).alias("avg_fouls_committed"), (F.floor(F.avg(k % 5)) + 0.5).alias("avg_fouls_suffered"), F.count_if(k % 9 == 0).alias("yellow_cards"), F.count_if(k % 90 == 0).alias("red_cards")]
+    discipline = customer.where("c_nationkey % 6 <> 5").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("iso2"), F.col("c_mktsegment").alias("stage"), F.length("c_mktsegment").alias("ord")).agg(*measures)
+    return {
+        "person": person,
+        "country": nation.select(F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name"), code.alias("iso2"), F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey") * 1_000_000 + 250_000).alias("population")),
+        "capital_name": nation.select(F.col("n_nationkey").cast("int").alias("country"), F.explode(F.array(F.lit("en"), F.lit("fr"))).alias("lang"), F.concat(F.lit("City of "), "n_name").alias("name")).where("country % 3 <> 0 or lang = 'en'"),
+        "provenance": nation.limit(1).select(F.lit("population").alias("dataset"), F.lit("tables").alias("source"), F.lit("2024-01-01").alias("updated")),
+        "af_person": person.where("pid % 2 = 0").select((F.col("pid") + 100_000).alias("af_id"), "pid"),
+        "af_team": nation.select((F.col("n_nationkey") + 900).alias("af_team_id"), F.col("n_nationkey").cast("int").alias("country")),
+        "eliminated": nation.where("n_nationkey % 2 = 0").select(
+            code.alias("iso2"), F.lit("Round of 16").alias("round"), F.when(F.col("n_nationkey") % 3 != 0, "2026-07-01").alias("date"), F.when(F.col("n_nationkey") % 4 != 0, "n1").alias("lost_to"),
+            F.when(F.col("n_nationkey") == 6, "won").alias("third_result"), F.lit("2026-07-18").alias("third_date"), F.lit("n8").alias("third_opponent")),
+        "discipline": discipline.withColumn("fouls_per_card", F.when(F.col("red_cards") > 0, F.floor(F.col("fouls_committed") / F.col("red_cards")) + 0.5)),
+        "team_stage": nation.select(code.alias("iso2"), F.lit("Final").alias("stage"), (F.col("n_nationkey") % 2).cast("int").alias("eliminated")),
+        "birthplace": customer.where(k % 5 == 0).select(k.alias("pid"), F.concat(F.lit("City "), (k % 7).cast("string")).alias("city"), (k + 0.5).cast("double").alias("lat"), (-k - 0.25).cast("double").alias("lon"), F.when(k % 10 == 0, k * 10).alias("population"), F.when(k % 15 == 0, "Other").alias("actual_city")),
+        "wiki_title": customer.select(k.alias("pid"), F.posexplode(F.array(*map(F.lit, LANGUAGES))).alias("i", "lang"), F.col("c_name").alias("title")).where("pid % (i + 2) <> 0").drop("i"),
+    }
+
+
+def model_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaves of the ten documents of a model, which was published after an empty one."""
+    folder, model = f"{scratch(spark)}/model", _model(spark, sf_dir)
+    versions.publish(spark, folder, {name: df.limit(0) for name, df in model.items()})
+    published = versions.publish(spark, folder, model, DOCUMENTS)
+    return gates.json_leaves(published.documents_as_rows(), "document", "text")
+
+
+def version_diff(spark: SparkSession, folder_of: str) -> DataFrame:
+    """What changed in a table of totals between the first and the last of three versions, and the leaves that changed in a
+    document of them."""
+    customer = table(spark, folder_of, "customer")
+    folder, document = f"{scratch(spark)}/totals", {"totals": ((lambda t: t["totals"].agg(F.map_from_entries(F.collect_list(F.struct(F.col("nation").cast("string"), "points"))).alias("document"))), False)}
+    for i in range(3):
+        sums = customer.where(F.col("c_custkey") % 4 <= i).groupBy(F.col("c_nationkey").alias("nation")).agg(F.sum(F.floor("c_acctbal").cast("long")).alias("points")).where(f"nation % 5 <> {i}")
+        versions.publish(spark, folder, {"totals": R.min_rank(sums, "points", "place", falling=True)}, document, name=f"v{i}")
+    found = versions.table_diff(spark, folder, "totals", "nation", "points", "place", old="v0")
+    leaves = versions.document_diff(spark, folder, old="v0").withColumn("nation", F.regexp_extract("path", "([0-9]+)$", 1).cast("int"))
+    return found.join(leaves.select("nation", F.col("old").alias("old_leaf"), F.col("new").alias("new_leaf")), "nation", "left")
+
+
+def registry_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry of suppliers with their joined ids, rewritten twice: keys stay, ids are added, new suppliers get the next keys."""
+    s, folder = F.col("s_suppkey"), f"{scratch(spark)}/registry"
+    supplier = table(spark, sf_dir, "supplier").select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("nation"), F.col("s_name").alias("name"), s.alias("ident"))
+
+    def assign(rows: DataFrame):
+        def of(before: DataFrame | None) -> DataFrame:
+            known = before if before is not None else spark.createDataFrame([], "pid long, nation string, name string, ids string")
+            keyed, _ = R.assign_keys(known.select("pid", "nation", "name", F.lit(None).cast("long").alias("outer_id")), rows.select("nation", "name", F.lit(None).cast("long").alias("outer_id")), ["outer_id"], ["nation", "name"], "pid", ["nation", "name"])
+            ids = rows.select("nation", "name", F.array(F.col("ident").cast("string")).alias("more"))
+            both = keyed.select("pid", "nation", "name").join(ids, ["nation", "name"]).join(known.select("pid", F.col("ids").alias("old")), "pid", "left")
+            fresh = both.select("pid", "nation", "name", joined_ids(F.concat("more", F.coalesce(id_list(F.col("old")), F.array().cast("array<string>")))).alias("ids"))
+            return R.append_missing(fresh, known, ["pid"])
+        return of
+
+    versions.rewrite_registry(spark, folder, assign(supplier.where("ident % 3 = 0")))
+    versions.rewrite_registry(spark, folder, assign(supplier.withColumn("ident", F.col("ident") + 10_000).where("ident % 3 <> 1")))
+    return versions.open_version(spark, folder).table("registry").select("pid", "nation", "name", "ids")
+
+
 def write_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether each of four writes of a table was done: the first, the same again, one with a change, that again."""
     path, nation = f"{scratch(spark)}/nation", table(spark, sf_dir, "nation")
@@ -452,7 +521,7 @@ QUERIES = {
     for f in (
         json_document, json_map, json_map_of_maps, csv_with_mark, csv_points, positional_points, code_names, text_lines, ranking_file, log_events, rating_months, squad_tables,
         infobox_places, member_list, anchor_titles, coach_lines, text_sections, squad_list, workbook_cells, sheet_codes, sheet_nations, sheet_sections, sheet_totals, wide_years_file,
-        wide_or_long, indicator_proxy, life_expectancy, jsonstat_cube, query_bindings, paged_service, country_metadata, cache_age, stored_model, write_if_changed, grid_document,
+        wide_or_long, indicator_proxy, life_expectancy, jsonstat_cube, query_bindings, paged_service, country_metadata, cache_age, stored_model, model_documents, version_diff, registry_file, write_if_changed, grid_document,
         profile_files, csv_file, title_batches,
     )
 }
@@ -465,6 +534,49 @@ _LOG = """
     t AS (SELECT line, 0 AS place, month, CASE WHEN event_id % 5 = 0 THEN 'adjust' ELSE 'match' END AS kind, a, CASE WHEN event_id % 5 <> 0 THEN b END AS b, CASE WHEN event_id % 5 = 0 THEN p ELSE p - 20 END AS points FROM l
           UNION ALL SELECT line, 1, month, 'adjust', 'ZZ', NULL, 5 FROM l WHERE line % 3 = 0)"""
 
+_MODEL = """
+    WITH person AS (
+        SELECT c_custkey AS pid, c_name AS name, 'S' || (c_custkey % 10) AS surname, CASE WHEN c_custkey % 4 <> 0 THEN c_custkey % 99 END AS shirt, CASE WHEN c_custkey % 3 <> 0 THEN 'GK' END AS position,
+               c_custkey % 50 = 0 AS coach, floor(abs(c_acctbal))::BIGINT % 100 AS caps, c_nationkey AS nation, ((c_nationkey + CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 5 ELSE 0 END) % 25)::INTEGER AS birth FROM customer),
+    p AS (SELECT person.*, n.n_name AS nation_name, b.n_name AS birth_name FROM person JOIN nation n ON nation = n.n_nationkey JOIN nation b ON birth = b.n_nationkey),
+    g AS (SELECT birth, birth_name, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, min(pid)) - 1 AS i FROM p WHERE birth <> nation GROUP BY ALL),
+    placed AS (
+        SELECT '$.data[' || i || '].players[' || (row_number() OVER w - 1) || ']' AS base, row_number() OVER w - 1 AS j, i, p.*, true AS abroad FROM p JOIN g USING (birth) WHERE p.birth <> p.nation WINDOW w AS (PARTITION BY birth ORDER BY coach, caps DESC, pid)
+        UNION ALL SELECT '$.natives.' || nation_name || '[' || (row_number() OVER (PARTITION BY nation ORDER BY caps DESC, pid) - 1) || ']', NULL, NULL, p.*, false FROM p WHERE birth = nation),
+    fields AS (
+        SELECT base, unnest([{'f': 'name', 'v': '"' || name || '"'}, {'f': 'nation', 'v': CASE WHEN abroad THEN '"' || nation_name || '"' END}, {'f': 'caps', 'v': caps::VARCHAR}, {'f': 'role', 'v': CASE WHEN coach THEN '"coach"' END},
+               {'f': 'surname', 'v': '"' || surname || '"'}, {'f': 'shirtNumber', 'v': shirt::VARCHAR}, {'f': 'position', 'v': '"' || position || '"'}, {'f': 'pid', 'v': pid::VARCHAR}]) AS s FROM (
+            SELECT base, name, nation_name, caps, coach, surname, shirt, position, pid, abroad FROM placed UNION ALL SELECT '$.data[' || i || '].top[' || j || ']', name, nation_name, caps, coach, surname, shirt, position, NULL, abroad FROM placed WHERE j < 5)),
+    pairs AS (SELECT i, nation_name, c, row_number() OVER (PARTITION BY i ORDER BY c DESC, nation_name) - 1 AS j FROM (SELECT i, nation_name, count(*) AS c FROM placed WHERE abroad GROUP BY ALL)),
+    d AS (
+        SELECT n_nationkey AS key, c_mktsegment AS stage, length(c_mktsegment) AS ord, count(*) AS mp, sum(c_custkey % 7)::BIGINT AS fc, sum(c_custkey % 5)::BIGINT AS fs, floor(avg(c_custkey % 7)) + 0.5 AS afc, floor(avg(c_custkey % 5)) + 0.5 AS afs,
+               count(*) FILTER (c_custkey % 9 = 0) AS yc, count(*) FILTER (c_custkey % 90 = 0) AS rc FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey % 6 <> 5 GROUP BY ALL),
+    measures AS (
+        SELECT base, unnest([{'f': 'matchesPlayed', 'v': m.mp::VARCHAR}, {'f': 'foulsCommitted', 'v': m.fc::VARCHAR}, {'f': 'foulsSuffered', 'v': m.fs::VARCHAR}, {'f': 'avgFoulsCommitted', 'v': m.afc::VARCHAR}, {'f': 'avgFoulsSuffered', 'v': m.afs::VARCHAR},
+               {'f': 'yellowCards', 'v': m.yc::VARCHAR}, {'f': 'redCards', 'v': m.rc::VARCHAR}, {'f': 'foulsPerCard', 'v': CASE WHEN m.rc > 0 THEN (floor(m.fc / m.rc) + 0.5)::VARCHAR ELSE 'null' END}]) AS s
+        FROM (SELECT '$.n' || key || '.byStage.' || stage AS base, d AS m FROM d UNION ALL SELECT '$.n' || key, arg_max(d, ord) FROM d GROUP BY key)),
+    leaves AS (
+        SELECT 'map' AS document, base || '.' || s.f AS path, s.v AS leaf FROM fields WHERE s.v IS NOT NULL
+        UNION ALL SELECT 'map', '$.data[' || i || '].' || f, v FROM (SELECT i, unnest(['country', 'id', 'iso2', 'count']) AS f, unnest(['"' || birth_name || '"', birth::VARCHAR, '"n' || birth || '"', n::VARCHAR]) AS v FROM g)
+        UNION ALL SELECT 'map', '$.data[' || i || '].nations[' || j || '][' || x || ']', CASE x WHEN 0 THEN '"' || nation_name || '"' ELSE c::VARCHAR END FROM pairs, (VALUES (0), (1)) v(x)
+        UNION ALL SELECT 'map', '$.pop.n' || n_nationkey, n_nationkey || '.25' FROM nation WHERE n_nationkey % 4 <> 0
+        UNION ALL SELECT 'map', '$.capital.n' || n_nationkey || '.' || lang, '"City of ' || n_name || '"' FROM nation, (VALUES ('en'), ('fr')) v(lang) WHERE n_nationkey % 3 <> 0 OR lang = 'en'
+        UNION ALL SELECT 'map', * FROM (VALUES ('$.popSource', '"tables"'), ('$.popUpdated', '"2024-01-01"')) v
+        UNION ALL SELECT 'live', '$.n' || nation || '.' || (pid + 100000) || '.' || f, v FROM (SELECT nation, pid, unnest(['pid', 'birthCountry']) AS f, unnest([pid::VARCHAR, '"' || birth_name || '"']) AS v FROM p WHERE pid % 2 = 0)
+        UNION ALL SELECT 'live', '$.teams.' || (n_nationkey + 900), '"n' || n_nationkey || '"' FROM nation
+        UNION ALL SELECT 'status', '$.n' || k || '.' || f, v FROM (SELECT n_nationkey AS k, unnest(['round', 'date', 'lostTo', 'thirdPlace.result', 'thirdPlace.date', 'thirdPlace.opponent']) AS f, unnest(['"Round of 16"', CASE WHEN n_nationkey % 3 <> 0 THEN '"2026-07-01"' END,
+                  CASE WHEN n_nationkey % 4 <> 0 THEN '"n1"' END, CASE WHEN n_nationkey = 6 THEN '"won"' END, CASE WHEN n_nationkey = 6 THEN '"2026-07-18"' END, CASE WHEN n_nationkey = 6 THEN '"n8"' END]) AS v FROM nation WHERE n_nationkey % 2 = 0) WHERE v IS NOT NULL
+        UNION ALL SELECT 'discipline', base || '.' || s.f, s.v FROM measures
+        UNION ALL SELECT 'discipline', '$.n' || n_nationkey || '.' || f, v FROM (SELECT n_nationkey, unnest(['stage', 'eliminated']) AS f, unnest(['"Final"', (n_nationkey % 2 = 1)::VARCHAR]) AS v FROM nation)
+        UNION ALL SELECT 'discipline', '$.n' || n_nationkey || '.' || f, v FROM nation, (VALUES ('matchesPlayed', '0'), ('foulsCommitted', '0'), ('foulsSuffered', '0'), ('avgFoulsCommitted', '0'), ('avgFoulsSuffered', '0'), ('yellowCards', '0'), ('redCards', '0'), ('foulsPerCard', 'null'), ('byStage', '{}')) v(f, v)
+                  WHERE n_nationkey NOT IN (SELECT key FROM d)
+        UNION ALL SELECT 'birthplace', '$.' || k || '.' || f, v FROM (SELECT c_custkey AS k, unnest(['city', 'lat', 'lon', 'population', 'actualCityName']) AS f, unnest(['"City ' || (c_custkey % 7) || '"', c_custkey || '.5', '-' || c_custkey || '.25',
+                  CASE WHEN c_custkey % 10 = 0 THEN (c_custkey * 10)::VARCHAR END, CASE WHEN c_custkey % 15 = 0 THEN '"Other"' END]) AS v FROM customer WHERE c_custkey % 5 = 0) WHERE v IS NOT NULL
+        UNION ALL SELECT 'wiki_' || lang, '$.urlTemplate', '"https://' || lang || '.wikipedia.org/wiki/{title}"' FROM (VALUES ('en'), ('fr'), ('de'), ('it'), ('es')) v(lang)
+        UNION ALL SELECT 'wiki_' || lang, '$.titles[' || pid || ']', coalesce('"' || c_name || '"', 'null') FROM (SELECT range AS pid, lang, i FROM range((SELECT max(c_custkey) + 1 FROM customer)), (VALUES ('en', 2), ('fr', 3), ('de', 4), ('it', 5), ('es', 6)) v(lang, i))
+                  LEFT JOIN customer ON c_custkey = pid AND pid % i <> 0)
+    SELECT document, path, leaf FROM leaves"""
+
 ORACLE_SQL = {
     "json_document": "SELECT n_nationkey AS key, n_name AS name, nullif(n_regionkey, 0) AS region FROM nation",
     "json_map": "SELECT n_nationkey::VARCHAR AS key, n_name AS name, n_regionkey AS region FROM nation",
@@ -525,6 +637,19 @@ ORACLE_SQL = {
                CASE WHEN key % 2 = 0 THEN 'Ville' END AS fr, 'Citta' AS it FROM n""",
     "cache_age": "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS fetched FROM orders WHERE o_orderdate::DATE BETWEEN DATE '1997-05-31' AND DATE '1997-06-30'",
     "stored_model": "SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "model_documents": _MODEL,
+    "version_diff": """
+        WITH v AS (SELECT i, c_nationkey AS nation, sum(floor(c_acctbal)::BIGINT)::BIGINT AS points FROM customer, (VALUES (0), (2)) v(i) WHERE c_custkey % 4 <= i AND c_nationkey % 5 <> i GROUP BY ALL),
+        r AS (SELECT *, rank() OVER (PARTITION BY i ORDER BY points DESC) AS place FROM v),
+        a AS (SELECT nation, points AS p0, place AS r0 FROM r WHERE i = 0), b AS (SELECT nation, points AS p2, place AS r2 FROM r WHERE i = 2)
+        SELECT nation, CASE WHEN r0 IS NULL THEN 'added' WHEN r2 IS NULL THEN 'removed' ELSE 'changed' END AS kind, p0 AS old_value, p2 AS new_value, p2 - p0 AS value_delta, r0 - r2 AS rank_delta, r0 AS old_rank, r2 AS new_rank, p0::VARCHAR AS old_leaf, p2::VARCHAR AS new_leaf
+        FROM a FULL JOIN b USING (nation) WHERE p0 IS DISTINCT FROM p2""",
+    "registry_file": """
+        WITH s AS (SELECT 'n' || s_nationkey AS nation, s_name AS name, s_suppkey AS i FROM supplier),
+        a AS (SELECT nation, name, i::VARCHAR AS ids, row_number() OVER (ORDER BY nation, name) AS pid FROM s WHERE i % 3 = 0),
+        b AS (SELECT nation, name, (i + 10000)::VARCHAR AS ids FROM s WHERE (i + 10000) % 3 <> 1),
+        f AS (SELECT nation, name, ids, (SELECT max(pid) FROM a) + row_number() OVER (ORDER BY nation, name) AS pid FROM b WHERE (nation, name) NOT IN (SELECT (nation, name) FROM a))
+        SELECT coalesce(a.pid, f.pid) AS pid, nation, name, array_to_string(list_sort(list_filter([a.ids, b.ids], lambda x: x IS NOT NULL)), ';') AS ids FROM a FULL JOIN b USING (nation, name) LEFT JOIN f USING (nation, name)""",
     "write_if_changed": "SELECT * FROM (VALUES (0, true), (1, false), (2, true), (3, false)) v(step, written)",
     "grid_document": """
         WITH g AS (SELECT (c_custkey % 9)::INTEGER AS i, (c_custkey % 7)::INTEGER AS j, sum(floor(c_acctbal)::BIGINT) / 1000 AS v FROM customer GROUP BY ALL)

@@ -211,6 +211,22 @@ def test_json_diff(spark):
     assert gates.json_diff(old, old, "k", "doc").isEmpty()
 
 
+def test_json_of_any_depth(spark):
+    """Deep documents end in leaves, deeper than the parser goes are leaves; what is no JSON is a string; values keep their kinds."""
+    deep = lambda n, x: "[" * n + x + "]" * n
+    many = '{"a": {"b": {"c": {"d": {"e": {"f": {"g": [1, {"h": "x\\"y", "i": null, "j": true, "k": [], "l": 2.5}]}}}}}}}}'
+    texts = [(1, many), (2, deep(40, "7")), (3, deep(200_000, "")), (4, "[" * 200_000), (5, "no json"), (6, '"é"'), (7, None), (8, "{}"), (9, '{"a.b": 1, "": 2}')]
+    df = spark.createDataFrame(texts, "k int, doc string")
+    got = {(r["k"], r["path"]): r["leaf"] for r in gates.json_leaves(df, "k", "doc").collect()}
+    at = "$.a.b.c.d.e.f.g"
+    want = {(1, f"{at}[0]"): "1", (1, f"{at}[1].h"): '"x\\"y"', (1, f"{at}[1].i"): "null", (1, f"{at}[1].j"): "true", (1, f"{at}[1].k"): "[]", (1, f"{at}[1].l"): "2.5", (2, "$" + "[0]" * 40): "7"}
+    want |= {(3, "$"): f'"{texts[2][1]}"', (4, "$"): f'"{texts[3][1]}"', (5, "$"): '"no json"', (6, "$"): '"é"', (8, "$"): "{}", (9, "$.a.b"): "1", (9, "$."): "2"}
+    assert got == want
+    assert gates.json_leaves(df.where("false"), "k", "doc").collect() == []
+    changed = df.withColumn("doc", F.when(F.col("k") == 2, F.lit(deep(40, "8"))).otherwise(F.col("doc"))).where("k <> 8")
+    assert rows(gates.json_diff(df, changed, "k", "doc"), "k", "old", "new") == [(2, "7", "8"), (8, "{}", None)]
+
+
 def test_densify_and_latest(spark):
     d = datetime.date
     df = spark.createDataFrame([("a", d(2024, 1, 1), 1), ("a", d(2024, 3, 1), 2), ("b", d(2024, 2, 1), 7)], "k string, m date, v int")
