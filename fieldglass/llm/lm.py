@@ -13,7 +13,6 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +25,8 @@ CLASSES = WIDTH = 48
 #: The bands by rank: up to these ranks; the last holds all that the table doesn't.
 BANDS = (8_000, 40_000, TABLE_WORDS)
 HIDDEN = 24
+#: Tokens that are trained on from the same weights in one go, about, and the goes of a round at most; larger corpora have longer goes.
+GROUP_TOKENS, MOST_GROUPS = 2_000_000, 4096
 #: The end of a text; no word is empty.
 END = b""
 
@@ -374,25 +375,25 @@ def _average(rows: list[tuple[int, bytes]]) -> tuple[int, dict[str, np.ndarray]]
 def encode(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> DataFrame:
     """What training and scoring need of each row's text (column text, beside any others), so that words are looked up once:
     the other columns, n_tokens, n_known and logs (the sum of the log10 of the counts, and 1), inner (of the log10 of the
-    chances within the symbols), each over the table's words, hashes and times of the other words, round, and symbols as
+    chances within the symbols), each over the table's words, words and times of the other words, round, and symbols as
     unsigned 16-bit numbers."""
     symbol, (static, _, _) = vocabulary.symbol_of_rank().astype("<u2"), vocabulary.static()
     sent = rows.sparkSession.sparkContext.broadcast((vocabulary.rank, symbol, np.append(static, 0), np.append(np.log10(vocabulary.counts + 1), 0)))  # TABLE_WORDS words at most
     others = [c for c in rows.columns if c != "text"]
-    names = [*others, "n_tokens", "n_known", "logs", "inner", "hashes", "times", "round", "symbols"]
+    names = [*others, "n_tokens", "n_known", "logs", "inner", "words", "times", "round", "symbols"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank, symbol, within, log_count = sent.value
         for batch in batches:
             texts, at = batch.column(len(others)).to_pylist(), 0
             while at < len(texts):
-                first, size, numbers, hashes, times, part = at, 0, [], [], [], []
+                first, size, numbers, unlisted, times, part = at, 0, [], [], [], []
                 while at < len(texts) and size < 4_000_000:
                     words = words_of(texts[at])
                     words.append(END)
                     found = np.fromiter(map(rank.get, words, repeat(-1)), np.int32, len(words))
                     other = Counter(words[i] for i in np.flatnonzero(found < 0).tolist())
-                    hashes.append(np.array([xxhash.xxh64_intdigest(w, 42) for w in other], np.uint64).view(np.int64))
+                    unlisted.append(list(other))
                     times.append(np.array(list(other.values()), np.int32))
                     numbers.append((len(found), int((found >= 0).sum()), float(log_count[found].sum()), float(within[found].sum()), round_of(texts[at], rounds)))
                     part.append(symbol[found].tobytes())
@@ -400,11 +401,11 @@ def encode(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> DataFram
                     at += 1
                 n, known, logs, inner, round_ = zip(*numbers, strict=True)
                 head = batch.slice(first, at - first)
-                data = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(inner), pa.array(hashes, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32())), pa.array(round_, pa.int32()), pa.array(part, pa.binary())]
+                data = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(inner), pa.array(unlisted, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())), pa.array(round_, pa.int32()), pa.array(part, pa.binary())]
                 yield pa.RecordBatch.from_arrays([*head.columns[:-1], *data], names)
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others)
-    schema = f"{kinds}{', ' if kinds else ''}n_tokens long, n_known long, logs double, inner double, hashes array<long>, times array<int>, round int, symbols binary"
+    schema = f"{kinds}{', ' if kinds else ''}n_tokens long, n_known long, logs double, inner double, words array<binary>, times array<int>, round int, symbols binary"
     return rows.select(*others, "text").mapInArrow(task, schema)
 
 
@@ -414,39 +415,55 @@ def train(texts: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, seed: in
 
 
 def train_encoded(encoded: DataFrame, vocabulary: Vocabulary, *, rounds: int = 2, seed: int = 0, at_once: int = 2_000_000) -> Network:
-    """Train on all symbols of every row of `encoded` (round, symbols; staged), from the start of a text to its end. In each round
-    each task goes from the same weights over its texts of that round, some `at_once` symbols at a time, and the tasks'
-    weights are averaged by their symbols, in a tree, so that no more than 32 sets of weights meet anywhere."""
+    """Train on all symbols of every row of `encoded` (round, symbols; staged), from the start of a text to its end.
+
+    In each round a hash of the text tells its group; there are as many groups as the vocabulary's tokens ask for, so that
+    neither depends on how rows are dealt out. Each group goes from the same weights over its texts, in the order of another
+    hash, some `at_once` symbols at a time; then the groups' weights are averaged by their symbols, in a tree in the order of the
+    groups, so that no more than 32 sets of weights meet anywhere.
+    """
     spark = encoded.sparkSession
     symbol = vocabulary.symbol_of_rank()
     counts = np.bincount(symbol, np.append(vocabulary.counts, max(vocabulary.total - vocabulary.counts.sum(), 0)), minlength=CLASSES * WIDTH)
     net, end = Network.initial(counts, seed), int(symbol[vocabulary.rank.get(END, -1)])
+    groups = max(1, min(MOST_GROUPS, -(-vocabulary.total // (rounds * GROUP_TOKENS))))
+    order, group = F.xxhash64("symbols"), F.pmod(F.xxhash64("symbols", F.lit(1)), F.lit(groups)).cast("int")
     for part in range(rounds):
         sent = spark.sparkContext.broadcast(net.w)
 
         def task(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            own, n, held, size = Network({k: v.copy() for k, v in sent.value.items()}), 0, [], 0
+            now, own, n, held, size = -1, None, 0, [], 0
+
+            def done() -> Iterator[pa.RecordBatch]:
+                if n:
+                    yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([n]), pa.array([pickle.dumps(own.w)], pa.binary())], ["part", "n", "data"])
+
             for batch in batches:
-                for symbols in batch.column(0):
+                for number, symbols in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if number != now:
+                        if held:
+                            train_texts(own, held, end)
+                        yield from done()
+                        now, own, n, held, size = number, Network({k: v.copy() for k, v in sent.value.items()}), 0, [], 0
                     held.append(np.frombuffer(symbols.as_py(), "<u2"))
-                    size += len(held[-1])
+                    size, n = size + len(held[-1]), n + len(held[-1])
                     if size >= at_once:
                         train_texts(own, held, end)
-                        n, held, size = n + size, [], 0
+                        held, size = [], 0
             if held:
                 train_texts(own, held, end)
-                n += size
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([n]), pa.array([pickle.dumps(own.w)], pa.binary())], ["part", "n", "data"])
+            yield from done()
 
         def merge(table: pa.Table) -> pa.Table:
+            table = table.sort_by("part")
             n, weights = _average(list(zip(table.column("n").to_pylist(), table.column("data").to_pylist(), strict=True)))
-            return pa.table({"part": table.column("part")[:1], "n": [n], "data": pa.array([pickle.dumps(weights)], pa.binary())})
+            return pa.table({"part": pa.array([table.column("part")[0].as_py() // 32], pa.int32()), "n": [n], "data": pa.array([pickle.dumps(weights)], pa.binary())})
 
-        found = stage(encoded.where(F.col("round") == part).select("symbols").mapInArrow(task, "part long, n long, data binary"))
+        dealt = encoded.where(F.col("round") == part).select(group.alias("part"), "symbols", order.alias("order"))
+        dealt = dealt.repartitionById(groups, "part").sortWithinPartitions("part", "order")
+        found = stage(dealt.select("part", "symbols").mapInArrow(task, "part int, n long, data binary"))
         while found.count() > 32:
-            groups = found.withColumn("part", F.floor(F.col("part") / 32))
-            found = stage(groups.groupBy("part").applyInArrow(merge, "part long, n long, data binary"))
+            found = stage(found.groupBy(F.floor(F.col("part") / 32)).applyInArrow(merge, "part int, n long, data binary"))
         rows = [(r["n"], bytes(r["data"])) for r in found.orderBy("part").collect()]
         if rows:
             net = Network(_average(rows)[1])
@@ -459,7 +476,8 @@ def score(docs: DataFrame, *, held_out_of: int = 7, held_out: int = 2, id_col: s
 
     Tokens are the lower-cased (A-Z) words and one end. base_score is the add-one score of their counts. The model's score
     is the network's for the symbols, and for a word that shares its symbol with others its add-one share of them; the
-    last band leaves one part for words never seen. Counts of words outside the table are joined by a 64-bit hash.
+    last band leaves one part for words never seen. Counts of words outside the table are joined by the word. Scores don't depend
+    on how the rows are dealt out, but for what floating-point sums of another order differ by.
 
     Nulls: a null text is an empty one, which has only the end; a null id counts as an empty one and is kept. Repeated rows
     count and are returned each. With no rows to learn from, all counts are 0 and base_score is 0. An empty table gives no
@@ -495,9 +513,8 @@ def score(docs: DataFrame, *, held_out_of: int = 7, held_out: int = 2, id_col: s
 
     schema = ", ".join(f"{c} {encoded.schema[c].dataType.simpleString()}" for c in kept)
     made = encoded.select(*kept, "inner", "symbols").mapInArrow(task, f"{schema}, chance double")
-    others = encoded.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("o")).select("row", F.col("o.hashes").alias("hash"), F.col("o.times").alias("times"))
-    seen = counts.select(F.xxhash64("word").alias("hash"), "n")
-    others = others.join(seen, "hash").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"))
+    others = encoded.select("row", F.explode(F.arrays_zip("words", "times")).alias("o")).select("row", F.col("o.words").alias("word"), F.col("o.times").alias("times"))
+    others = others.join(counts, "word").groupBy("row").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"))
     out = made.join(others, "row", "left")
     more, logs = F.coalesce("more", F.lit(0)), F.coalesce("more_logs", F.lit(0.0))
     rest = F.col("n_tokens") - F.col("n_known")

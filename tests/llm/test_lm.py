@@ -172,6 +172,26 @@ def test_odd_rows(spark):
     assert all(r["train_tokens"] == 0 and r["base_score"] == 0 for r in lm.score(held).collect())
 
 
+def test_scores_do_not_depend_on_how_rows_are_dealt(spark, middle, monkeypatch):
+    """The same scores, but for rounding, from one task, from many, and from rows in another order; with several groups."""
+    monkeypatch.setattr(lm, "GROUP_TOKENS", 60_000)
+    docs = spark.read.parquet(f"{middle}/documents.parquet").where("doc_id < 300").select("doc_id", "text")
+    scores = lambda df: {r["doc_id"]: (r["n_known"], r["base_score"], r["score"], r["n_tokens"]) for r in lm.score(df).collect()}
+    one = scores(docs.coalesce(1))
+    for other in (docs.repartition(64, "doc_id"), docs.orderBy(docs["text"].desc()).repartition(5)):
+        got = scores(other)
+        assert got.keys() == one.keys()
+        for k, (known, base, score, n) in got.items():
+            assert known == one[k][0] and base == pytest.approx(one[k][1], rel=1e-9) and abs(score - one[k][2]) < 1e-3 * n
+
+
+def test_unlisted_words_are_joined_by_themselves(spark, monkeypatch):
+    """Words outside the table, whatever bytes they are of, count as they should."""
+    monkeypatch.setattr(lm, "TABLE_WORDS", 5)
+    docs = documents(spark, [(i, f"a b a b c{i % 3} d{i % 7} É{i} x\u0000y", "en", "s") for i in range(40)])
+    check(lm.score(docs).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
 def test_query_beats_counts_on_held_out_texts(spark, middle):
     rows = queries.op8_recurrent_lm(spark, middle).collect()
     check(rows, [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{middle}/documents.parquet").collect()])
