@@ -16,7 +16,7 @@ from fieldglass.operators import gates, ratings
 from fieldglass.operators import relational as R
 from fieldglass.operators.documents import DOCUMENTS, LANGUAGES
 from fieldglass.session import table
-from fieldglass.sources import readers, sinks, tables, versions
+from fieldglass.sources import readers, service, sinks, tables, versions
 from fieldglass.staging import carry, numbered, scratch
 
 #: Years of the sheets and wide files made here, and the nations of a summary.
@@ -382,6 +382,48 @@ def paged_service(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_service(spark, folder + "/page-{page}.json", "key int, name string", "rows")
 
 
+def _games_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as games in answers of a hundred each."""
+    key, home, away = F.col("o_orderkey"), F.col("o_custkey") % 25, (F.col("o_custkey") + 1 + F.col("o_orderkey") % 7) % 25
+    side = lambda n, won: F.struct(n.alias("id"), F.concat(F.lit("NATION_"), n.cast("string")).alias("name"), F.when(key % 5 != 0, won).alias("winner"))
+    game = F.struct(
+        F.struct(key.alias("id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.struct(F.col("o_orderstatus").alias("short")).alias("status")).alias("fixture"),
+        F.struct(F.when(key % 3 == 0, "Group Stage - 1").otherwise("Final").alias("round")).alias("league"), F.struct(side(home, key % 2 == 0).alias("home"), side(away, key % 2 == 1).alias("away")).alias("teams"),
+        F.struct((key % 4).alias("home"), (key % 6).alias("away")).alias("goals"), F.struct(F.struct(F.when(key % 11 == 0, 4).alias("home"), F.when(key % 11 == 0, 3).alias("away")).alias("penalty")).alias("score"),
+    )
+    return table(spark, sf_dir, "orders").groupBy(F.floor(key / 400).alias("page")).agg(F.to_json(F.struct(F.collect_list(game).alias("response"))).alias("text"))
+
+
+def _standings_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as the teams of their regions, and once more in a table of no group."""
+    n, k = _nations(spark, sf_dir), F.col("key")
+    goals = F.struct((k % 9).alias("for"), (k % 4).alias("against"))
+    line = lambda group: F.struct(k.alias("rank"), F.struct(k.alias("id"), F.col("name").alias("name")).alias("team"), F.col("n").alias("points"), (k % 9 - k % 4).alias("goalsDiff"), group.alias("group"), F.struct((k % 3 + 2).alias("played"), (k % 3).alias("win"), F.lit(1).alias("draw"), F.lit(1).alias("lose"), goals.alias("goals")).alias("all"))
+    groups = n.groupBy("region").agg(F.collect_list(line(F.concat(F.lit("Group "), F.chr(F.col("region") + 65)))).alias("lines"))
+    losers = n.where("key % 2 = 0").agg(F.collect_list(line(F.lit("Group Stage"))).alias("lines"))
+    return groups.select("lines").unionByName(losers).agg(F.to_json(F.struct(F.array(F.struct(F.struct(F.collect_list("lines").alias("standings")).alias("league"))).alias("response"))).alias("text"))
+
+
+def service_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Games out of a service's answers, with the groups of its tables."""
+    return service.with_groups(service.games(_games_answers(spark, sf_dir)), service.standings(_standings_answer(spark, sf_dir)))
+
+
+def service_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return service.standings(_standings_answer(spark, sf_dir))
+
+
+def service_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics of both sides of games, out of answers on a game each."""
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_quantity").cast("long")).alias("q"), F.count("*").alias("n"))
+    kind = lambda name, value: F.struct(F.lit(name).alias("type"), value.cast("string").alias("value"))
+    team = lambda name, *kinds: F.struct(F.struct(F.lit(1).alias("id"), F.lit(name).alias("name")).alias("team"), F.array(*kinds).alias("statistics"))
+    home = team("home", kind("Fouls", F.col("q")), kind("Yellow Cards", F.when(F.col("n") % 2 == 0, F.col("n"))), kind("Ball Possession", F.lit("55%")))
+    away = team("away", kind("Fouls", F.col("n")), kind("Red Cards", F.lit(1)))
+    answers = lines.select(F.concat(F.lit("https://service/statistics?fixture="), F.col("l_orderkey").cast("string")).alias("request"), F.to_json(F.struct(F.array(home, away).alias("response"))).alias("text"))
+    return service.game_statistics(answers, F.regexp_extract("request", "fixture=([0-9]+)", 1).cast("long"), {"fouls": "Fouls", "yellow": "Yellow Cards", "red": "Red Cards"})
+
+
 def country_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nations with population and capitals: names by language go before those at hand, which fill what lacks."""
     nation = _nations(spark, sf_dir).withColumn("iso2", F.concat(F.lit("n"), F.col("key").cast("string")))
@@ -521,7 +563,7 @@ QUERIES = {
     for f in (
         json_document, json_map, json_map_of_maps, csv_with_mark, csv_points, positional_points, code_names, text_lines, ranking_file, log_events, rating_months, squad_tables,
         infobox_places, member_list, anchor_titles, coach_lines, text_sections, squad_list, workbook_cells, sheet_codes, sheet_nations, sheet_sections, sheet_totals, wide_years_file,
-        wide_or_long, indicator_proxy, life_expectancy, jsonstat_cube, query_bindings, paged_service, country_metadata, cache_age, stored_model, model_documents, version_diff, registry_file, write_if_changed, grid_document,
+        wide_or_long, indicator_proxy, life_expectancy, jsonstat_cube, query_bindings, paged_service, service_games, service_standings, service_statistics, country_metadata, cache_age, stored_model, model_documents, version_diff, registry_file, write_if_changed, grid_document,
         profile_files, csv_file, title_batches,
     )
 }
@@ -637,6 +679,18 @@ ORACLE_SQL = {
                CASE WHEN key % 2 = 0 THEN 'Ville' END AS fr, 'Citta' AS it FROM n""",
     "cache_age": "SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS fetched FROM orders WHERE o_orderdate::DATE BETWEEN DATE '1997-05-31' AND DATE '1997-06-30'",
     "stored_model": "SELECT c_custkey, c_name, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey",
+    "service_games": """
+        WITH g AS (SELECT *, o_custkey % 25 AS h, (o_custkey + 1 + o_orderkey % 7) % 25 AS a, o_orderkey AS k FROM orders)
+        SELECT k AS id, strftime(o_orderdate, '%Y-%m-%d') AS date, CASE WHEN k % 3 = 0 THEN 'Group Stage - 1' ELSE 'Final' END AS round, o_orderstatus AS status, 'NATION_' || h AS home, 'NATION_' || a AS away,
+               (k % 4)::INTEGER AS home_goals, (k % 6)::INTEGER AS away_goals, CASE WHEN k % 5 <> 0 THEN CASE WHEN k % 2 = 0 THEN 'home' ELSE 'away' END END AS winner,
+               CASE WHEN k % 11 = 0 THEN 4 END AS home_penalty, CASE WHEN k % 11 = 0 THEN 3 END AS away_penalty, CASE WHEN k % 3 = 0 AND x.n_regionkey = y.n_regionkey THEN chr((65 + x.n_regionkey)::INTEGER) END AS "group"
+        FROM g LEFT JOIN nation x ON x.n_name = 'NATION_' || h LEFT JOIN nation y ON y.n_name = 'NATION_' || a""",
+    "service_standings": _N + """
+        SELECT chr((65 + region)::INTEGER) AS "group", key::INTEGER AS rank, name AS team, n::INTEGER AS points, (key % 3 + 2)::INTEGER AS played, (key % 3)::INTEGER AS win, 1 AS draw, 1 AS lose, (key % 9)::INTEGER AS goals_for,
+               (key % 4)::INTEGER AS goals_against, (key % 9 - key % 4)::INTEGER AS goals_diff FROM n""",
+    "service_statistics": """
+        WITH l AS (SELECT l_orderkey AS game, sum(l_quantity::BIGINT)::INTEGER AS q, count(*)::INTEGER AS n FROM lineitem GROUP BY ALL)
+        SELECT game, 'home' AS team, q AS fouls, CASE WHEN n % 2 = 0 THEN n ELSE 0 END AS yellow, 0 AS red FROM l UNION ALL SELECT game, 'away', n, 0, 1 FROM l""",
     "model_documents": _MODEL,
     "version_diff": """
         WITH v AS (SELECT i, c_nationkey AS nation, sum(floor(c_acctbal)::BIGINT)::BIGINT AS points FROM customer, (VALUES (0), (2)) v(i) WHERE c_custkey % 4 <= i AND c_nationkey % 5 <> i GROUP BY ALL),
