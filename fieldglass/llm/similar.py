@@ -40,6 +40,8 @@ DOCS_AT_ONCE, WORDS_AT_ONCE = 512, 1_000_000
 HASH_BITS = 64 - 9
 #: Words whose hashes a worker keeps; beyond it they are made anew.
 KEPT_WORDS = 500_000
+#: Pairs of fingerprints that are compared at a time.
+CELLS = 2_000_000
 EMPTY = 0
 
 
@@ -247,6 +249,32 @@ def nearest_tree(prints: np.ndarray, most: int | np.ndarray, root: np.ndarray |
     return np.array(one, np.int64), np.array(other, np.int64), np.array(far, np.int64)
 
 
+def nearest_pairs(prints: np.ndarray, sizes: np.ndarray, root: np.ndarray, not_these: np.ndarray, table: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each fingerprint the `k` nearest of another root that are as near as sets of their sizes may be: (one, other, bits), each
+    pair once. Pairs in `not_these` (both ways, two rows) are left out. Memory is in proportion to the number of fingerprints and k."""
+    n, found = len(prints), []
+    order = np.argsort(not_these[0], kind="stable")
+    barred_from, barred_to = not_these[0][order], not_these[1][order]
+    step = max(1, CELLS // max(n, 1))
+    for first in range(0, n, step):
+        rows = np.arange(first, min(n, first + step))
+        differ = np.zeros((len(rows), n), np.int16)
+        for word in range(prints.shape[1]):
+            differ += np.bitwise_count(prints[rows, word][:, None] ^ prints[:, word][None])
+        may = (differ <= allowed_bits(table, *np.broadcast_arrays(sizes[rows][:, None], sizes[None]))) & (root[rows][:, None] != root[None])
+        own = slice(np.searchsorted(barred_from, rows[0]), np.searchsorted(barred_from, rows[-1], side="right"))
+        may[barred_from[own] - first, barred_to[own]] = False
+        some = np.flatnonzero(may.any(axis=1))
+        far = np.where(may[some], differ[some], np.int16(64 * WIDE + 1))
+        near = np.argpartition(far, k - 1, axis=1)[:, :k] if k < n else np.broadcast_to(np.arange(n), far.shape)
+        at, place = np.nonzero(np.take_along_axis(far, near, 1) <= 64 * WIDE)
+        other = near[at, place]
+        found.append(np.stack([rows[some][at], other, far[at, other]]).astype(np.int64))
+    one, other, bits = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+    _, first_of = np.unique(np.minimum(one, other) * np.int64(n) + np.maximum(one, other), return_index=True)
+    return one[first_of], other[first_of], bits[first_of]
+
+
 def _batches(column: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     """Texts of a batch, some at a time: where they start, and they."""
     texts, first, size = [], 0, 0
@@ -335,23 +363,18 @@ def shared_keys(nodes: DataFrame, similarity: float) -> DataFrame:
     return stage(_by_key(filed).mapInArrow(shared, "key long, node long"))
 
 
-def candidates(filed: DataFrame, similarity: float, forests: int) -> DataFrame:
+def candidates(filed: DataFrame, similarity: float, nearest: int) -> DataFrame:
     """Edges (key, a, b, bits) between the nodes of each key whose fingerprints differ in as many bits at most as those of similar
     sets of their sizes may, and whose roots are not the same; staged. `filed` has rows (key, node, print, root, other) without
-    nulls, where other is the set's size; with an empty print, node and other are a pair that is no candidate. For each key,
-    `forests` shortest spanning forests without an edge in common."""
+    nulls, where other is the set's size; with an empty print, node and other are a pair that is no candidate. For each key, those
+    of a shortest spanning forest or, if `nearest` isn't 0, each node's so many nearest."""
 
     def one_key(node: np.ndarray, prints: np.ndarray, root: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
+        if not nearest:
+            return nearest_tree(prints, most_bits(similarity), root, sizes=sizes)
         order = np.argsort(node)
         at = order[np.searchsorted(node[order], pairs)] if len(pairs) else np.zeros((0, 2), np.int64)
-        barred, found = np.concatenate([at, at[:, ::-1]]).T, []
-        for _ in range(forests):
-            one, other, far = nearest_tree(prints, most_bits(similarity), root, (barred[0], barred[1]), sizes)
-            if not len(one):
-                break
-            found.append((one, other, far))
-            barred = np.concatenate([barred, [one, other], [other, one]], axis=1)
-        return tuple(np.concatenate([f[i] for f in found]) for i in range(3)) if found else (np.zeros(0, np.int64),) * 3
+        return nearest_pairs(prints, sizes, root, np.concatenate([at, at[:, ::-1]]).T, most_bits(similarity), nearest)
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, node, prints, root, other in _runs(batches, 5):
@@ -406,13 +429,14 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
     """For rows (row, text, and others; staged): the others, row, node and fp, rows of one shingle set sharing a node, and
     (node, root) of those nodes that others are linked to. Nodes whose sets are as similar as `similarity` or more are linked.
 
-    In rounds: among the nodes of each key, shortest spanning forests of those not yet together give candidates, and the sets
-    decide on them. Keys with candidates that failed go on, without those pairs and with eight times as many forests, until no
-    candidate is left. Of the first round's candidates each node's nearest are checked before those that they leave apart.
+    In rounds: among the nodes of each key, a shortest spanning forest gives candidates, and the sets decide on them. Keys with
+    candidates that failed go on with each node's nearest of those not yet together with it, without the pairs that failed: eight,
+    and eight times as many in each further round, until no candidate is left. Of the first round's candidates each node's
+    nearest are checked before those that they leave apart.
     """
     filed = stage(with_prints(rows, shingle, similarity))
     nodes = stage(filed.groupBy("node").agg(F.min("row").alias("row"), F.first("print").alias("print"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("few").alias("few")))
-    open_, forests = shared_keys(nodes, similarity), 1
+    open_, wanted = shared_keys(nodes, similarity), 0
     nothing = rows.sparkSession.createDataFrame([], "a long, b long")
     roots, failed, barred, sets = nothing.toDF("node", "root"), nothing, rows.sparkSession.createDataFrame([], "key long, a long, b long"), None
 
@@ -426,11 +450,11 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
         known = open_.join(nodes.select("node", "print", "size"), "node").join(roots, "node", "left")
         known = known.select("key", "node", "print", F.coalesce("root", "node").alias("root"), F.col("size").alias("other"))
         no_pairs = barred.select("key", F.col("a").alias("node"), F.unhex(F.lit("")).alias("print"), F.lit(0).cast("long").alias("root"), F.col("b").alias("other"))
-        edges = candidates(known.unionByName(no_pairs), similarity, forests)
+        edges = candidates(known.unionByName(no_pairs), similarity, wanted)
         if edges.isEmpty():
             break
         sets = _more_sets(sets, edges, rows, nodes, shingle)
-        for nearest in (True, False) if forests == 1 else (False,):
+        for nearest in (False,) if wanted else (True, False):
             tried = _best(edges) if nearest else apart(edges.select("a", "b")).join(failed, ["a", "b"], "left_anti")
             tried = stage(tried)
             found = verified(tried, sets, similarity)
@@ -447,7 +471,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[D
         drop(edges)
         if open_.isEmpty():
             break
-        forests *= 8
+        wanted = 8 * max(wanted, 1)
     for df in (nodes, open_, sets):
         if df is not None:
             drop(df)
