@@ -150,9 +150,9 @@ def parse_rankings(lines: DataFrame, special: DataFrame, overrides: DataFrame, c
     f = F.split(F.col(text), "\t")
     field = lambda i: F.trim(F.get(f, F.lit(i)))
     rows = lines.where(F.size(f) >= 4).select(line_no, field(0).try_cast("int").alias("rank"), field(2).alias("code"), field(3).try_cast("int").alias("points")).where("rank is not null and points is not null")
-    rows = rows.join(F.broadcast(special.select("code", F.col("name").alias("special name"))), "code", "left").join(F.broadcast(overrides.select("code", F.col("iso2").alias("other"))), "code", "left")
+    rows = rows.join(special.select("code", F.col("name").alias("special name")), "code", "left").join(overrides.select("code", F.col("iso2").alias("other")), "code", "left")
     rows = rows.withColumn("iso2", F.when(F.col("special name").isNull(), F.coalesce("other", F.lower("code"))))
-    rows = rows.join(F.broadcast(codes.select("iso2", "id", F.col("name").alias("own name"))), "iso2", "left").join(F.broadcast(members.select("iso2", F.lit(True).alias("is member"))), "iso2", "left")
+    rows = rows.join(codes.select("iso2", "id", F.col("name").alias("own name")), "iso2", "left").join(members.select("iso2", F.lit(True).alias("is member")), "iso2", "left")
     first = Window.partitionBy(F.coalesce(F.concat(F.lit("id "), F.col("id").cast("string")), F.concat(F.lit("code "), F.col("code")))).orderBy(line_no)
     out = rows.withColumn("n", F.row_number().over(first)).where("n = 1")
     return out.select("rank", "id", "iso2", F.coalesce("special name", "own name", "code").alias("name"), "points", F.coalesce("is member", F.lit(False)).alias("member"), F.col("id").isNull().alias("flagged"), line_no)

@@ -229,6 +229,20 @@ def lookup(rows: DataFrame, values: DataFrame, keys: Sequence[str], columns: Seq
     return rows.join(first, list(keys), "left").select(*rows.columns, *(F.col(f"found here.{c}").alias(c) for c in columns))
 
 
+def bridge(rows: DataFrame, start: str, steps: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+    """`rows` with the ids that lead from `start` through several tables: each step is (table, key, out), looks up what the step
+    before gave (the first, `start`) in the table's key, and adds `out`; of several rows of a key the least `out` counts. Where a
+    step finds nothing, it and those after it are null; `reached` tells how many steps found something."""
+    found, at, done = rows.drop("reached"), start, F.lit(0)
+    for table_, key, out in steps:
+        name, = fresh(found, "bridge key")
+        one = table_.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(name)).agg(F.min(out).alias(f"{name} out"))
+        kept = [c for c in found.columns if c != out]
+        found = found.join(one, F.col(at) == F.col(name), "left").select(*kept, F.col(f"{name} out").alias(out))
+        at, done = out, done + F.col(out).isNotNull().cast("int")
+    return found.withColumn("reached", done)
+
+
 def resolve_places(rows: DataFrame, name: str, city: str, country: str, former: Mapping[str, str], invalid: Sequence[str], corrections: DataFrame, coarse: str, cities: DataFrame, clear: Sequence[str] = ()) -> DataFrame:
     """Cities and countries as they are today, with `unresolved`, which a gate must find nowhere true.
 
@@ -241,7 +255,7 @@ def resolve_places(rows: DataFrame, name: str, city: str, country: str, former:
     fixed = corrections.select(F.col("name").alias(name), F.col("city").alias("right city"), F.col("country").alias("right country"), F.lit(True).alias("is right"))
     parts = cities.select(F.col("city").alias("part city"), F.col("country").alias("part country")).dropDuplicates(["part city"])
     joined = rows.withColumn("now", F.when(now.isin(*invalid), "").otherwise(now)).join(F.broadcast(fixed), name, "left")  # by hand, so small
-    joined = joined.join(F.broadcast(parts), F.col(city) == F.col("part city"), "left")
+    joined = joined.join(parts, F.col(city) == F.col("part city"), "left")
     right, is_coarse = F.coalesce("is right", F.lit(False)), F.col("now") == coarse
     out = {city: F.when(right, F.col("right city")).otherwise(F.col(city)), country: F.when(right, F.col("right country")).when(is_coarse & F.col("part country").isNotNull(), F.col("part country")).otherwise(F.col("now"))}
     out |= {c: F.when(~right, F.col(c)) for c in clear}

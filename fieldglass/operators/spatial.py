@@ -14,7 +14,7 @@ from fieldglass.functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, gaussian_de
 from fieldglass.staging import stage
 
 #: Points up to this many are broadcast to look for the nearest; the result is the same beyond.
-MAX_BROADCAST_POINTS = 200_000
+MAX_BROADCAST_POINTS = 4_000
 
 
 def cell_lat(i: Column, step: float) -> Column:

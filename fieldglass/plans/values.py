@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldglass.functions import numbers, text
 from fieldglass.operators import bracket, gates, names, reports
 from fieldglass.operators import relational as R
+from fieldglass.plans.identity import LIKENESS_SQL
 from fieldglass.plans.tournament import FIXTURES_SQL, fixtures
 from fieldglass.session import table
 
@@ -219,10 +220,59 @@ def role_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.orphans(claims, ["role", "pid"], people, ["role", "pid"], "role unknown")
 
 
+def part_likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How like each part's name is to that of the next part."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("a"))
+    after = part.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("a").alias("b"))
+    return part.join(after, "p_partkey").select("p_partkey", F.round(text.similarity(F.col("a"), F.col("b")), 12).alias("ratio"))
+
+
+def part_sounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phonetic code of each word of the parts' names."""
+    words = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("place", "word"))
+    return words.select("p_partkey", "place", F.soundex("word").alias("soundex"))
+
+
+def text_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as names are compared: without accents, with letters only, and as parts."""
+    rows, c = table(spark, sf_dir, "documents"), F.coalesce("text", F.lit(""))
+    digest = lambda x: F.md5(x.cast("binary"))
+    return rows.select("doc_id", digest(text.fold_accents(c)).alias("folded"), digest(text.latin_letters(c)).alias("letters"), digest(text.normal_name(c)).alias("normal"), F.size(text.name_tokens(c)).alias("n_tokens"))
+
+
+def address_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages' addresses as titles: their links, and the titles out of these."""
+    rows, c = table(spark, sf_dir, "pages"), F.col("url")
+    link = text.link_of_title(c)
+    back = text.title_of_link(F.concat(F.lit("https://en.example.org/wiki/"), link, F.lit("?a=1#b")))
+    return rows.select("page_id", link.alias("link"), back.alias("title"), text.page_address(F.lit("fr"), c).alias("address"))
+
+
+def people_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One list of people out of documents of regions: of those born there who play for others, and of its own."""
+    k = F.col("c_custkey")
+    person = F.struct(k.alias("ident"), F.col("c_name").alias("name"), (k % 100).alias("caps"))
+    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    listed = lambda own: F.array_sort(F.collect_list(F.when((k % 3 == 0) == own, person)))
+    documents = rows.groupBy(F.col("n_name").alias("nation")).agg(listed(F.lit(False)).alias("players"), listed(F.lit(True)).alias("natives"))
+    return reports.flatten_people(documents, "nation", ["players", "natives"])
+
+
+def id_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' regions and their regions' suppliers, through ids of three tables; some names lead nowhere."""
+    nation, region, supplier = (table(spark, sf_dir, t) for t in ("nation", "region", "supplier"))
+    k = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(k, F.when(k % 9 != 0, F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string"))).otherwise("Nowhere").alias("written"))
+    counts = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").agg(F.count("*").alias("suppliers"))
+    steps = [(nation.select("n_name", "n_regionkey"), "n_name", "n_regionkey"), (region.where("r_regionkey <> 2").select("r_regionkey", "r_name"), "r_regionkey", "r_name")]
+    found = R.bridge(rows, "written", steps)
+    return R.bridge(found, "n_regionkey", [(counts, "n_regionkey", "suppliers")]).select("c_custkey", "n_regionkey", "r_name", "suppliers", "reached")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
-        name_forms, person_forms, title_links, sound_keys, likeness, match_kinds, match_results, code_forms, population_millions, blank_values, event_statistics, structural_diff,
+        name_forms, person_forms, title_links, sound_keys, likeness, part_likeness, part_sounds, text_forms, address_links, people_list, id_bridge, match_kinds, match_results, code_forms, population_millions, blank_values, event_statistics, structural_diff,
         first_events, distinct_counts, latest_years, player_order, standings, title_lookup, change_message, joined_sources, birth_places, coarse_places, bracket_issues, role_orphans,
     )
 }
@@ -264,6 +314,29 @@ ORACLE_SQL = {
     "population_millions": "SELECT c_nationkey, round(sum(floor(c_acctbal * 1000)::BIGINT) / 1e6, 2)::DOUBLE AS millions FROM customer WHERE c_nationkey % 6 <> 0 GROUP BY ALL",
     "blank_values": "SELECT p_partkey, p_brand AS brand, nullif(p_size % 3, 0) AS size FROM part WHERE p_partkey % 4 <> 0",
     "event_statistics": "SELECT event_id, coalesce((props->>'k')::INTEGER, 0) AS fouls, CASE WHEN event_id % 3 = 0 THEN 2 ELSE 0 END AS cards, 0 AS other FROM events",
+    "part_likeness": f"""
+        WITH RECURSIVE n AS (SELECT a.p_partkey, a.p_name AS a, b.p_name AS b FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 1),
+        pairs AS (SELECT row_number() OVER () AS e, a, b FROM (SELECT DISTINCT a, b FROM n)),{LIKENESS_SQL}
+        SELECT p_partkey, round(likeness, 12) AS ratio FROM n JOIN pairs USING (a, b) JOIN likeness USING (e)""",
+    "part_sounds": """
+        WITH w AS (SELECT p_partkey, unnest(range(len(string_split(p_name, ' '))))::INTEGER AS place, upper(unnest(string_split(p_name, ' '))) AS w FROM part),
+        c AS (SELECT *, string_split(w[1] || translate(w[2:], 'HW', ''), '') AS letters FROM w),
+        d AS (SELECT *, list_transform(letters, lambda x: translate(x, 'BFPVCGJKQSXZDTLMNRAEIOUYHW', '11112222222233455600000000')) AS codes FROM c)
+        SELECT p_partkey, place, rpad(w[1] || array_to_string(list_filter(codes, lambda x, i: i > 1 AND x <> '0' AND x <> codes[i - 1]), ''), 20, '0')[:4] AS soundex FROM d""",
+    "text_forms": r"""
+        WITH t AS (SELECT doc_id, strip_accents(lower(coalesce(text, ''))) AS raw FROM documents),
+        f AS (SELECT doc_id, trim(raw, ' ') AS folded FROM t),
+        n AS (SELECT *, trim(regexp_replace(replace(regexp_replace(replace(replace(folded, 'ß', 'ss'), '-', ' '), '\.(\S)', ' \1', 'g'), '.', ''), '\s+', ' ', 'g'), ' ') AS normal FROM f)
+        SELECT doc_id, md5(folded) AS folded, md5(trim(regexp_replace(folded, '[^a-z ]', '', 'g'), ' ')) AS letters, md5(normal) AS normal, len(list_filter(string_split(normal, ' '), lambda x: x <> ''))::INTEGER AS n_tokens FROM n""",
+    "address_links": """
+        SELECT page_id, replace(replace(url, '?', '%3F'), '#', '%23') AS link, replace(url, '_', ' ') AS title, 'https://fr.wikipedia.org/wiki/' || replace(replace(url, '?', '%3F'), '#', '%23') AS address FROM pages""",
+    "people_list": """
+        SELECT n_name AS country, CASE WHEN c_custkey % 3 = 0 THEN 'natives' ELSE 'players' END AS "group", (row_number() OVER (PARTITION BY n_name, c_custkey % 3 = 0 ORDER BY c_custkey) - 1)::INTEGER AS place,
+               c_custkey AS ident, c_name AS name, c_custkey % 100 AS caps FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "id_bridge": """
+        WITH s AS (SELECT n_regionkey, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)
+        SELECT c_custkey, n.n_regionkey, r_name, suppliers, CASE WHEN suppliers IS NULL THEN 0 ELSE 1 END AS reached
+        FROM customer LEFT JOIN nation n ON c_custkey % 9 <> 0 AND c_nationkey = n_nationkey LEFT JOIN region ON r_regionkey = n.n_regionkey AND r_regionkey <> 2 LEFT JOIN s ON s.n_regionkey = n.n_regionkey""",
     "structural_diff": """
         SELECT event_id, path, old, new FROM events, (VALUES ('$.list[1].a', '"x"', '"é"'), ('$.list[2]', NULL, '2')) v(path, old, new) WHERE event_id % 3 = 0""",
     "first_events": "SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id FROM events GROUP BY ALL",

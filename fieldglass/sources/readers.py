@@ -7,17 +7,20 @@ import json
 import re
 import time
 import zipfile
+from array import array
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import islice
 from urllib.request import urlopen
 from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from fieldglass.functions.numbers import parse_number
-from fieldglass.staging import carry, running_total, stage
+from fieldglass.staging import carry, running_total, shuffle_partitions, stage
 
 
 def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -256,11 +259,12 @@ BLOCKS = frozenset(("p", "div", "li", "dd", "dt", "td", "th", "tr", "table", "ul
 
 
 class _Rows(HTMLParser):
-    """Table rows with the heading above them, and links with their text, place, first image's text and the text before them in
-    their block."""
+    """Table rows with the heading above them, and links with their text, place, first image's text and, with `context`, the text
+    before them in their block."""
 
-    def __init__(self) -> None:
+    def __init__(self, context: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self._context = context
         self.rows: list[tuple[str, int, int, list[str], list[str], list[str | None]]] = []
         self.links: list[tuple[str, str, str, int, str | None, str]] = []
         self.section, self.table = "", -1
@@ -292,7 +296,7 @@ class _Rows(HTMLParser):
             self._cell = True
         elif tag == "a":
             href = dict(attrs).get("href") or ""
-            self._link, self._image = (href, [], " ".join("".join(self._block).split())), None
+            self._link, self._image = (href, [], " ".join("".join(self._block).split()) if self._context else ""), None
             if self._cell:
                 self._hrefs.append(href)
                 if self._firsts[-1] is None:
@@ -316,7 +320,8 @@ class _Rows(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self._quiet:
             return
-        self._block.append(data)
+        if self._context:
+            self._block.append(data)
         if self._heading is not None:
             self._heading.append(data)
         if self._cell and self._cells:
@@ -346,10 +351,10 @@ class HtmlRows:
 @F.udtf(returnType="section string, anchor string, href string, place int, image string, before string", useArrow=True)
 class HtmlLinks:
     """The links of a page, with the heading above them, their text, their number on the page, the text of their first image and
-    the text before them in their block."""
+    the text before them in their block, if wanted."""
 
-    def eval(self, html: str):
-        parser = _Rows()
+    def eval(self, html: str, context: bool):
+        parser = _Rows(context)
         parser.feed(html or "")
         parser.close()
         yield from parser.links
@@ -362,7 +367,7 @@ def html_rows(pages: DataFrame, key: str, html: str, links: bool = False) -> Dat
 
 def html_links(pages: DataFrame, key: str, html: str, context: bool = False) -> DataFrame:
     """All links; with `context`, also place, image and before."""
-    return pages.lateralJoin(HtmlLinks(F.col(html).outer())).select(key, "section", "anchor", "href", *(["place", "image", "before"] if context else []))
+    return pages.lateralJoin(HtmlLinks(F.col(html).outer(), F.lit(context))).select(key, "section", "anchor", "href", *(["place", "image", "before"] if context else []))
 
 
 def last_link(links: DataFrame, key: str, pattern: str) -> DataFrame:
@@ -382,37 +387,89 @@ def _column(ref: str) -> int:
     return out - 1
 
 
-@F.udtf(returnType="sheet string, row_no int, col_no int, value string", useArrow=True)
-class XlsxCells:
-    """The cells that hold something of each sheet of a workbook, counted from 0."""
+class _Strings:
+    """The shared strings of a workbook, laid end to end: as little memory as the text itself takes."""
 
-    def eval(self, content: bytes):
-        if not content:
-            return
-        book = zipfile.ZipFile(io.BytesIO(bytes(content)))
-        tree = lambda name: ElementTree.fromstring(book.read(name))
-        shared = []
+    def __init__(self, book: zipfile.ZipFile):
+        self._ends, parts = array("q", [0]), bytearray()
         if "xl/sharedStrings.xml" in book.namelist():
-            shared = ["".join(t.text or "" for t in si.iter(f"{_MAIN}t")) for si in tree("xl/sharedStrings.xml").iter(f"{_MAIN}si")]
-        targets = {r.get("Id"): r.get("Target") for r in tree("xl/_rels/workbook.xml.rels")}
-        for sheet in tree("xl/workbook.xml").iter(f"{_MAIN}sheet"):
-            target = targets[sheet.get(f"{_REL}id")].lstrip("/")
-            root = tree(target if target.startswith("xl/") else f"xl/{target}")
-            for r, row in enumerate(root.iter(f"{_MAIN}row")):
-                row_no = int(row.get("r") or r + 1) - 1
-                for c, cell in enumerate(row.iter(f"{_MAIN}c")):
-                    kind, value = cell.get("t"), cell.find(f"{_MAIN}v")
-                    text = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t")) if kind == "inlineStr" else value.text if value is not None else None
-                    if kind == "s" and text is not None:
-                        text = shared[int(text)]
-                    if text not in (None, ""):
-                        yield sheet.get("name"), row_no, _column(cell.get("r")) if cell.get("r") else c, text
+            with book.open("xl/sharedStrings.xml") as stream:
+                for _, element in _closed(stream, f"{_MAIN}si"):
+                    parts += "".join(t.text or "" for t in element.iter(f"{_MAIN}t")).encode("utf-8")
+                    self._ends.append(len(parts))
+        self._text = bytes(parts)
+
+    def __getitem__(self, i: int) -> str:
+        return self._text[self._ends[i] : self._ends[i + 1]].decode("utf-8")
+
+
+def _closed(stream, tag: str) -> Iterator[tuple[int, ElementTree.Element]]:
+    """The elements of a tag, numbered, as they end; each is gone from memory, with all before it, when the next comes."""
+    open_, n = [], 0
+    for event, element in ElementTree.iterparse(stream, ("start", "end")):
+        if event == "start":
+            open_.append(element)
+            continue
+        open_.pop()
+        if element.tag == tag:
+            yield n, element
+            n += 1
+            for above in open_:
+                above.clear()
+
+
+def _sheets(book: zipfile.ZipFile) -> list[tuple[str, str]]:
+    """Names of a workbook's sheets, and where they are in it."""
+    tree = lambda name: ElementTree.fromstring(book.read(name))  # noqa: E731  # lists of sheets
+    targets = {r.get("Id"): r.get("Target").lstrip("/") for r in tree("xl/_rels/workbook.xml.rels")}
+    found = [(sheet.get("name"), targets[sheet.get(f"{_REL}id")]) for sheet in tree("xl/workbook.xml").iter(f"{_MAIN}sheet")]
+    return [(name, t if t.startswith("xl/") else f"xl/{t}") for name, t in found]
+
+
+def sheet_cells(book: zipfile.ZipFile, target: str, shared: _Strings) -> Iterator[tuple[int, int, str]]:
+    """(row, column, text) of the cells of a sheet that hold something, counted from 0, as the sheet is read."""
+    with book.open(target) as stream:
+        for r, row in _closed(stream, f"{_MAIN}row"):
+            row_no = int(row.get("r") or r + 1) - 1
+            for c, cell in enumerate(row.iter(f"{_MAIN}c")):
+                kind, value = cell.get("t"), cell.find(f"{_MAIN}v")
+                text = "".join(t.text or "" for t in cell.iter(f"{_MAIN}t")) if kind == "inlineStr" else value.text if value is not None else None
+                if kind == "s" and text is not None:
+                    text = shared[int(text)]
+                if text not in (None, ""):
+                    yield row_no, _column(cell.get("r")) if cell.get("r") else c, text
+
+
+#: Cells that are handed on at a time.
+CELLS_AT_ONCE = 10_000
 
 
 def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
-    """(path, sheet, row_no, col_no, value) of the workbooks in `path`."""
+    """(path, sheet, row_no, col_no, value) of the cells that hold something in the workbooks in `path`, counted from 0.
+
+    Each sheet is a row of its own, dealt to the tasks with its workbook (packed, as the file is), and read as a stream: a task
+    holds a workbook, its shared strings, a row and CELLS_AT_ONCE cells, however many rows a sheet has. An empty file has no
+    sheets.
+    """
+
+    @F.udf("array<struct<sheet: string, target: string>>")
+    def sheets(content: bytes):
+        return _sheets(zipfile.ZipFile(io.BytesIO(bytes(content)))) if content else []
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                file, sheet, target, content = (batch.column(j)[i].as_py() for j in range(4))
+                book = zipfile.ZipFile(io.BytesIO(content))
+                cells = sheet_cells(book, target, _Strings(book))
+                while some := list(islice(cells, CELLS_AT_ONCE)):
+                    rows, columns, values = zip(*some, strict=True)
+                    n = len(some)
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * n), pa.array([sheet] * n), pa.array(rows, pa.int32()), pa.array(columns, pa.int32()), pa.array(values)], ["path", "sheet", "row_no", "col_no", "value"])
+
     files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.lateralJoin(XlsxCells(F.col("content").outer())).select("path", "sheet", "row_no", "col_no", "value")
+    each = files.select("path", "content", F.explode(sheets("content")).alias("s")).select("path", "s.sheet", "s.target", "content")
+    return each.repartition(shuffle_partitions(spark), "path", "sheet").mapInArrow(task, "path string, sheet string, row_no int, col_no int, value string")
 
 
 def sheet_years(cells: DataFrame, least_years: int = 10, first: int = 1990, last: int = 2030) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Callable, Sequence
 from contextvars import ContextVar
@@ -13,13 +14,17 @@ from pyspark.sql import functions as F
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which all executors reach. Where that is unset, one of our own: in the warehouse, or, if
-    there is one machine only, among its temporary files."""
+    there is one machine only, among its temporary files. On a cluster whose warehouse is a local folder there is none, and the
+    call fails: each executor would write to its own disk."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if spark.sparkContext.master.startswith("local"):
+        if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             folder = tempfile.mkdtemp(prefix="fieldglass-")
         else:
-            folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/fieldglass-staged"
+            warehouse = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"))
+            if warehouse.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors reach: the warehouse is a local one")
+            folder = f"{warehouse.toString().rstrip('/')}/fieldglass-staged"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 

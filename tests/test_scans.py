@@ -1,7 +1,10 @@
 """Scans over one order, ranks with ties, lineages of ratings and one-to-one matching, each against a loop."""
 
 import difflib
+import io
 import random
+import tracemalloc
+import zipfile
 from collections import Counter
 
 import pytest
@@ -162,3 +165,80 @@ def test_roster(spark):
     got = [(r["section"], r["number"], r["name"], str(r["born"]), r["height"], r["caps"], r["goals"]) for r in players.orderBy("line_no").collect()]
     assert got == [("Côte d'Ivoire", 1, "Aka O'Neil-Diomande Van", "1999-03-05", 188, 12, 0), ("Côte d'Ivoire", 23, "Jo Roe", "None", None, None, 3), ("Spain", 7, "Ana Pol", "None", 170, 5, 1)]
     assert [(r["section"], r["name"], r["nationality"]) for r in coaches.collect()] == [("Côte d'Ivoire", "Emerse Faé", "Côte d'Ivoire")]
+
+
+def large_workbook(rows):
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        book.writestr("xl/workbook.xml", f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="Big" r:id="a"/><sheet name="Small" r:id="b"/></sheets></workbook>')
+        book.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="a" Target="worksheets/sheet1.xml"/><Relationship Id="b" Target="/xl/worksheets/sheet2.xml"/></Relationships>')
+        book.writestr("xl/sharedStrings.xml", f'<sst xmlns="{main}">' + "".join(f"<si><t>text é {i}</t><r><t>!</t></r></si>" for i in range(1000)) + "</sst>")
+        with book.open("xl/worksheets/sheet1.xml", "w") as sheet:
+            sheet.write(f'<worksheet xmlns="{main}"><sheetData>'.encode())
+            for i in range(rows):
+                sheet.write(f'<row r="{i + 1}"><c r="A{i + 1}" t="s"><v>{i % 1000}</v></c><c r="C{i + 1}"><v>{i}</v></c><c r="AA{i + 1}" t="inlineStr"><is><t>in</t></is></c><c r="AB{i + 1}"/></row>'.encode())
+            sheet.write(b"</sheetData></worksheet>")
+        book.writestr("xl/worksheets/sheet2.xml", f'<worksheet xmlns="{main}"><sheetData><row><c><v>7</v></c></row></sheetData></worksheet>')
+    return out.getvalue()
+
+
+def test_a_large_workbook_is_a_stream(spark, tmp_path):
+    """Memory doesn't grow with a sheet's rows; sheets are tasks of their own."""
+    peaks = []
+    for rows in (5_000, 50_000):
+        content = large_workbook(rows)
+        book = zipfile.ZipFile(io.BytesIO(content))
+        tracemalloc.start()
+        assert sum(1 for _ in readers.sheet_cells(book, "xl/worksheets/sheet1.xml", readers._Strings(book))) == 3 * rows
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+    assert peaks[1] < 1.2 * peaks[0] + 500_000
+    (tmp_path / "books").mkdir()
+    (tmp_path / "books" / "a.xlsx").write_bytes(large_workbook(25_000))
+    cells = readers.read_xlsx(spark, str(tmp_path / "books"))
+    got = {r["sheet"]: (r["n"], r["last"]) for r in cells.groupBy("sheet").agg(F.count("*").alias("n"), F.max("row_no").alias("last")).collect()}
+    assert got == {"Big": (75_000, 24_999), "Small": (1, 0)}
+    some = cells.where("sheet = 'Big' and row_no = 12345").orderBy("col_no").collect()
+    assert [(r["col_no"], r["value"]) for r in some] == [(0, "text é 345!"), (2, "12345"), (26, "in")]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.xlsx").write_bytes(b"")
+    assert readers.read_xlsx(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_links_of_a_page_take_time_in_proportion(spark):
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        page = "<p>" + "".join(f"some words <a href='/{i}'>x{i}</a> " for i in range(n)) + "</p>"
+        parser = readers._Rows()
+        began = time.time()
+        parser.feed(page)
+        took.append(time.time() - began)
+        assert len(parser.links) == n
+    assert took[1] < 12 * took[0] + 0.5
+
+
+def test_bridge(spark):
+    make = spark.createDataFrame
+    rows, ids, codes = make([("a",), ("b",), ("c",), (None,)], "name string"), make([("a", 1), ("a", 3), ("b", 2), (None, 9)], "n string, i int"), make([(1, "x")], "i int, iso string")
+    got = R.bridge(rows, "name", [(ids, "n", "i"), (codes, "i", "iso")])
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("a", 1, "x", 2), ("b", 2, None, 1), ("c", None, None, 0), (None, None, None, 0)], key=str)
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    """Without a folder for checkpoints, a cluster's warehouse must be one that all executors reach."""
+    from types import SimpleNamespace
+
+    from fieldglass import staging
+
+    kept = {"spark.sql.warehouse.dir": "file:/tmp/warehouse"}
+    conf = SimpleNamespace(get=lambda key, *none: kept.get(key, *none), set=kept.__setitem__)
+    session = lambda master: SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master), _jvm=spark._jvm, _jsc=spark._jsc)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            staging.shared_folder(session(master))
+    assert staging.shared_folder(session("local[4]")).startswith("/") and "spark.checkpoint.dir" in kept
+    kept["spark.checkpoint.dir"] = "file:///shared/folder/"
+    assert staging.shared_folder(session("yarn")) == "file:///shared/folder"
