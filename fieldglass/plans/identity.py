@@ -312,7 +312,17 @@ _NAME_MATCH = f"""
               JOIN (SELECT c_nationkey AS nation, n, e, left_name, id FROM ordered) o ON t.c_nationkey = o.nation AND o.n = t.before + 1) o)
     SELECT * FROM equal UNION ALL SELECT c_nationkey, id, left_name, right_name, m.kind FROM edges WHERE e IN (SELECT e FROM taken)"""
 
+#: Headings and links in the order in which they stand, without comments and what is not shown; a link is under the last heading.
+_ANCHORS = r"""
+    WITH p AS (SELECT page_id, regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->', '', 'g'), '(?is)<(script|style|sup)\b[^>]*>.*?</(script|style|sup)\s*>', '', 'g') AS html FROM pages),
+    t AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<h[1-6]\b[^>]*>.*?</h[1-6]\s*>|<a\b[^>]*>.*?</a\s*>')) AS part, generate_subscripts(regexp_extract_all(html, '(?is)<h[1-6]\b[^>]*>.*?</h[1-6]\s*>|<a\b[^>]*>.*?</a\s*>'), 1) AS i FROM p),
+    w AS (SELECT page_id, i, lower(part[2]) = 'a' AS link, regexp_extract(part, '(?is)^<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>]+))', 1) AS href,
+            trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(part, '(?s)<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&nbsp;', ' '), '&amp;', '&'), '[\s ]+', ' ', 'g'), ' ') AS words FROM t),
+    s AS (SELECT *, last_value(CASE WHEN NOT link THEN words END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS section FROM w)
+    SELECT page_id, coalesce(section, '') AS section, words AS anchor, href FROM s WHERE link"""
+
 ORACLE_SQL = {
+    "html_anchors": _ANCHORS,
     "name_match": _NAME_MATCH,
     "nested_titles": """
         SELECT -1 AS region, '[' || string_agg(coalesce('"' || n_name || '"', 'null'), ',' ORDER BY k.range) || ']' AS document
