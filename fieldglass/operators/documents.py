@@ -95,9 +95,10 @@ def export_status(t: Tables) -> DataFrame:
 
 
 def export_discipline(t: Tables) -> DataFrame:
-    """Each team's totals after its last stage so far, or none, its stage, whether it is out, and its totals after each stage."""
+    """Each team's totals after its last stage so far (by ord, then name), or none, its stage, whether it is out, and its totals after each
+    stage."""
     entry = F.struct(*(F.col(c).alias(f) for c, (f, _) in MEASURES.items()))
-    staged = t["discipline"].groupBy("iso2").agg(F.array_sort(F.collect_list(F.struct("ord", "stage", entry.alias("entry"))), lambda a, b: _before(a, b, ["ord"])).alias("stages"))
+    staged = t["discipline"].groupBy("iso2").agg(F.array_sort(F.collect_list(F.struct("ord", "stage", entry.alias("entry"))), lambda a, b: _before(a, b, ["ord", "stage"])).alias("stages"))
     rows = t["team_stage"].join(staged, "iso2", "left")
     last = F.element_at("stages", -1)["entry"]
     fields = [F.coalesce(last[f], F.lit(none)).alias(f) if none is not None else last[f].alias(f) for f, none in MEASURES.values()]

@@ -406,11 +406,11 @@ def _standings_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def service_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Games out of a service's answers, with the groups of its tables."""
-    return service.with_groups(service.games(_games_answers(spark, sf_dir)), service.standings(_standings_answer(spark, sf_dir)))
+    return service.with_groups(service.games(_games_answers(spark, sf_dir)), service.standings(_standings_answer(spark, sf_dir))).withColumnRenamed("group", "letter")
 
 
 def service_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return service.standings(_standings_answer(spark, sf_dir))
+    return service.standings(_standings_answer(spark, sf_dir)).withColumnRenamed("group", "letter")
 
 
 def service_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -459,7 +459,7 @@ def _model(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(k % 50 == 0, "coach").otherwise("player").alias("role"), (F.floor(F.abs("c_acctbal")) % 100).alias("caps"), F.col("c_nationkey").cast("int").alias("nation"), ((F.col("c_nationkey") + F.when(k % 3 == 0, k % 5).otherwise(0)) % 25).cast("int").alias("birth"),
     )
     measures = [F.count("*").alias("matches_played"), F.sum(k % 7).alias("fouls_committed"), F.sum(k % 5).alias("fouls_suffered"), (F.floor(F.avg(k % 7)) + 0.5).alias("avg_fouls_committed"), (F.floor(F.avg(k % 5)) + 0.5).alias("avg_fouls_suffered"), F.count_if(k % 9 == 0).alias("yellow_cards"), F.count_if(k % 90 == 0).alias("red_cards")]
-    discipline = customer.where("c_nationkey % 6 <> 5").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("iso2"), F.col("c_mktsegment").alias("stage"), F.length("c_mktsegment").alias("ord")).agg(*measures)
+    discipline = customer.where("c_nationkey % 6 <> 5").groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("iso2"), F.col("c_mktsegment").alias("stage"), F.ascii("c_mktsegment").alias("ord")).agg(*measures)
     return {
         "person": person,
         "country": nation.select(F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name"), code.alias("iso2"), F.when(F.col("n_nationkey") % 4 != 0, F.col("n_nationkey") * 1_000_000 + 250_000).alias("population")),
@@ -591,7 +591,7 @@ _MODEL = """
             SELECT base, name, nation_name, caps, coach, surname, shirt, position, pid, abroad FROM placed UNION ALL SELECT '$.data[' || i || '].top[' || j || ']', name, nation_name, caps, coach, surname, shirt, position, NULL, abroad FROM placed WHERE j < 5)),
     pairs AS (SELECT i, nation_name, c, row_number() OVER (PARTITION BY i ORDER BY c DESC, nation_name) - 1 AS j FROM (SELECT i, nation_name, count(*) AS c FROM placed WHERE abroad GROUP BY ALL)),
     d AS (
-        SELECT n_nationkey AS key, c_mktsegment AS stage, length(c_mktsegment) AS ord, count(*) AS mp, sum(c_custkey % 7)::BIGINT AS fc, sum(c_custkey % 5)::BIGINT AS fs, floor(avg(c_custkey % 7)) + 0.5 AS afc, floor(avg(c_custkey % 5)) + 0.5 AS afs,
+        SELECT n_nationkey AS key, c_mktsegment AS stage, ascii(c_mktsegment) AS ord, count(*) AS mp, sum(c_custkey % 7)::BIGINT AS fc, sum(c_custkey % 5)::BIGINT AS fs, floor(avg(c_custkey % 7)) + 0.5 AS afc, floor(avg(c_custkey % 5)) + 0.5 AS afs,
                count(*) FILTER (c_custkey % 9 = 0) AS yc, count(*) FILTER (c_custkey % 90 = 0) AS rc FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_nationkey % 6 <> 5 GROUP BY ALL),
     measures AS (
         SELECT base, unnest([{'f': 'matchesPlayed', 'v': m.mp::VARCHAR}, {'f': 'foulsCommitted', 'v': m.fc::VARCHAR}, {'f': 'foulsSuffered', 'v': m.fs::VARCHAR}, {'f': 'avgFoulsCommitted', 'v': m.afc::VARCHAR}, {'f': 'avgFoulsSuffered', 'v': m.afs::VARCHAR},
@@ -683,10 +683,10 @@ ORACLE_SQL = {
         WITH g AS (SELECT *, o_custkey % 25 AS h, (o_custkey + 1 + o_orderkey % 7) % 25 AS a, o_orderkey AS k FROM orders)
         SELECT k AS id, strftime(o_orderdate, '%Y-%m-%d') AS date, CASE WHEN k % 3 = 0 THEN 'Group Stage - 1' ELSE 'Final' END AS round, o_orderstatus AS status, 'NATION_' || h AS home, 'NATION_' || a AS away,
                (k % 4)::INTEGER AS home_goals, (k % 6)::INTEGER AS away_goals, CASE WHEN k % 5 <> 0 THEN CASE WHEN k % 2 = 0 THEN 'home' ELSE 'away' END END AS winner,
-               CASE WHEN k % 11 = 0 THEN 4 END AS home_penalty, CASE WHEN k % 11 = 0 THEN 3 END AS away_penalty, CASE WHEN k % 3 = 0 AND x.n_regionkey = y.n_regionkey THEN chr((65 + x.n_regionkey)::INTEGER) END AS "group"
+               CASE WHEN k % 11 = 0 THEN 4 END AS home_penalty, CASE WHEN k % 11 = 0 THEN 3 END AS away_penalty, CASE WHEN k % 3 = 0 AND x.n_regionkey = y.n_regionkey THEN chr((65 + x.n_regionkey)::INTEGER) END AS letter
         FROM g LEFT JOIN nation x ON x.n_name = 'NATION_' || h LEFT JOIN nation y ON y.n_name = 'NATION_' || a""",
     "service_standings": _N + """
-        SELECT chr((65 + region)::INTEGER) AS "group", key::INTEGER AS rank, name AS team, n::INTEGER AS points, (key % 3 + 2)::INTEGER AS played, (key % 3)::INTEGER AS win, 1 AS draw, 1 AS lose, (key % 9)::INTEGER AS goals_for,
+        SELECT chr((65 + region)::INTEGER) AS letter, key::INTEGER AS rank, name AS team, n::INTEGER AS points, (key % 3 + 2)::INTEGER AS played, (key % 3)::INTEGER AS win, 1 AS draw, 1 AS lose, (key % 9)::INTEGER AS goals_for,
                (key % 4)::INTEGER AS goals_against, (key % 9 - key % 4)::INTEGER AS goals_diff FROM n""",
     "service_statistics": """
         WITH l AS (SELECT l_orderkey AS game, sum(l_quantity::BIGINT)::INTEGER AS q, count(*)::INTEGER AS n FROM lineitem GROUP BY ALL)

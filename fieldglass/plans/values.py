@@ -255,7 +255,7 @@ def people_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     listed = lambda own: F.array_sort(F.collect_list(F.when((k % 3 == 0) == own, person)))
     documents = rows.groupBy(F.col("n_name").alias("nation")).agg(listed(F.lit(False)).alias("players"), listed(F.lit(True)).alias("natives"))
-    return reports.flatten_people(documents, "nation", ["players", "natives"])
+    return reports.flatten_people(documents, "nation", ["players", "natives"]).withColumnRenamed("group", "list")
 
 
 def id_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,7 +331,7 @@ ORACLE_SQL = {
     "address_links": """
         SELECT page_id, replace(replace(url, '?', '%3F'), '#', '%23') AS link, replace(url, '_', ' ') AS title, 'https://fr.wikipedia.org/wiki/' || replace(replace(url, '?', '%3F'), '#', '%23') AS address FROM pages""",
     "people_list": """
-        SELECT n_name AS country, CASE WHEN c_custkey % 3 = 0 THEN 'natives' ELSE 'players' END AS "group", (row_number() OVER (PARTITION BY n_name, c_custkey % 3 = 0 ORDER BY c_custkey) - 1)::INTEGER AS place,
+        SELECT n_name AS country, CASE WHEN c_custkey % 3 = 0 THEN 'natives' ELSE 'players' END AS list, (row_number() OVER (PARTITION BY n_name, c_custkey % 3 = 0 ORDER BY c_custkey) - 1)::INTEGER AS place,
                c_custkey AS ident, c_name AS name, c_custkey % 100 AS caps FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "id_bridge": """
         WITH s AS (SELECT n_regionkey, count(*) AS suppliers FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL)
