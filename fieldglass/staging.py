@@ -21,10 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
         if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             folder = tempfile.mkdtemp(prefix="fieldglass-")
         else:
-            warehouse = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"))
-            if warehouse.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file":
+            warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+            scheme = re.match("[A-Za-z][A-Za-z0-9+.-]*(?=:)", warehouse)
+            if (scheme[0] if scheme else _file_system(spark, warehouse)[0].getScheme()) == "file":
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors reach: the warehouse is a local one")
-            folder = f"{warehouse.toString().rstrip('/')}/fieldglass-staged"
+            folder = f"{warehouse}/fieldglass-staged"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
