@@ -213,3 +213,29 @@ def test_nearest_tree_keeps_what_pairs_link():
                     tops.append(x)
                 groups.append(Counter(frozenset(i for i, t in enumerate(tops) if t == x) for x in set(tops)))
             assert groups[0] == groups[1]
+
+
+def test_nearest_pairs_against_all_pairs():
+    """Each fingerprint's nearest of another root within the bound, those that failed left out; with enough of them, all such pairs."""
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2**63, (40, similar.WIDE), dtype=np.uint64)
+    prints = base[rng.integers(0, 40, 300)]
+    for i in range(300):
+        for _ in range(rng.integers(0, 260)):
+            prints[i, rng.integers(similar.WIDE)] ^= np.uint64(1) << np.uint64(rng.integers(64))
+    sizes, root, table = rng.integers(60, 500, 300), rng.integers(0, 250, 300), similar.most_bits(0.8)
+    failed = np.array([[1, 2, 5, 9], [2, 1, 9, 5]])
+    differ = np.bitwise_count(prints[:, None] ^ prints[None]).sum(axis=2).astype(int)
+    may = (differ <= similar.allowed_bits(table, *np.broadcast_arrays(sizes[:, None], sizes[None]))) & (root[:, None] != root[None])
+    may[failed[0], failed[1]] = False
+    for k in (1, 3, 300, 1000):
+        one, other, bits = similar.nearest_pairs(prints, sizes, root, failed, table, k)
+        got = {(min(a, b), max(a, b)) for a, b in zip(one.tolist(), other.tolist(), strict=True)}
+        assert len(got) == len(one) and all(may[a, b] and differ[a, b] == c for a, b, c in zip(one, other, bits, strict=True))
+        for i in range(300):
+            near = np.flatnonzero(may[i])
+            if len(near):
+                limit = np.sort(differ[i][near])[min(k, len(near)) - 1]
+                assert all((min(i, j), max(i, j)) in got for j in near.tolist() if differ[i, j] < limit)
+                assert sum(i in pair for pair in got) >= min(k, len(near))
+    assert similar.nearest_pairs(prints[:0], sizes[:0], root[:0], np.zeros((2, 0), np.int64), table, 3)[0].tolist() == []
