@@ -18,6 +18,8 @@ from .common import components, fresh, give_back, join_hot, shuffle_partitions,
 BITS = 64
 #: An odd multiplier that spreads wide keys; those that meet by chance fail the check of the links.
 MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Differing bits up to which fingerprints are candidates where sets decide; parts of the sets find those that differ in more.
+NEAR = 4
 
 
 def fingerprint(text: str | None, shingle: int = 4) -> int:
@@ -165,7 +167,7 @@ def _classes(docs: DataFrame, distance: int | None, shingle: int | None, similar
     each node, best: the struct (no_id, doc_id, text_hash, row) that is the least of its class."""
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     if distance is None:
-        rows, roots = similar.similar_classes(docs, shingle or 5, similarity)
+        rows, roots = similar.similar_classes(docs, shingle or 5, similarity, lambda prints: candidate_links(prints, NEAR))
     else:
         rows = stage(with_fingerprint(docs, "fp", "text", shingle or 4).drop("text").withColumn("node", F.col("fp")))
         roots = components(candidate_links(rows.select("fp").distinct(), distance))
@@ -207,7 +209,7 @@ def drop_near_duplicates(
     of equal rows; a class without an id keeps one row too.
     """
     row, = fresh(docs, "dedup_row")
-    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()))
+    docs = stage(docs.withColumn(row, F.monotonically_increasing_id()), compression="zstd")
     narrow = docs.select(F.col(row).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     _, classes = _classes(narrow, distance, shingle, similarity)
     kept = classes.select(F.col("best.row").alias(row)).distinct()

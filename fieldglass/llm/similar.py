@@ -7,12 +7,12 @@ parts. Two sets that differ in few shingles differ in few parts, so some part is
 a part are candidates. Short texts, of which very many may share most of what they have, are filed by their rarest shingles
 instead: of a set of n, all but the ceil(0.8 n) - 1 most frequent ones, of which two similar sets share one in any case. A wide
 fingerprint tells nearly always whether candidates can be similar enough, by the distribution for sets of their sizes, and
-the sets themselves decide.
+the sets themselves decide. Copies that differ little are found by pigeonring over the first 64 bits as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, drop, give_back, join_hot, join_salted, shuffle_partitions, stage
+from .common import components, drop, give_back, join_hot, shuffle_partitions, stage
 
 #: Words of a fingerprint, of 64 bits each: the more, the fewer candidates that fail.
 WIDE = 16
@@ -42,6 +42,12 @@ HASH_BITS = 64 - 9
 KEPT_WORDS = 500_000
 #: Pairs of fingerprints that are compared at a time.
 CELLS = 2_000_000
+#: Nodes of a key up to which their fingerprints are compared in its task.
+RUN = 512
+#: Sets of a block, and shingles of them, about: two blocks are compared in one task.
+BLOCK, BLOCK_SHINGLES = 4096, 4_000_000
+#: Numbers of 64 bits that hold the sets of a task, at most; of more different shingles they stay lists.
+WORDS_OF_SETS = 4_000_000
 EMPTY = 0
 
 
@@ -363,146 +369,166 @@ def shared_keys(nodes: DataFrame, similarity: float) -> DataFrame:
     return stage(_by_key(filed).mapInArrow(shared, "key long, node long"))
 
 
-def candidates(filed: DataFrame, similarity: float, nearest: int) -> DataFrame:
-    """Edges (key, a, b, bits) between the nodes of each key whose fingerprints differ in as many bits at most as those of similar
-    sets of their sizes may, and whose roots are not the same; staged. `filed` has rows (key, node, print, root, other) without
-    nulls, where other is the set's size; with an empty print, node and other are a pair that is no candidate. For each key, those
-    of a shortest spanning forest or, if `nearest` isn't 0, each node's so many nearest."""
-
-    def one_key(node: np.ndarray, prints: np.ndarray, root: np.ndarray, sizes: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, ...]:
-        if not nearest:
-            return nearest_tree(prints, most_bits(similarity), root, sizes=sizes)
-        order = np.argsort(node)
-        at = order[np.searchsorted(node[order], pairs)] if len(pairs) else np.zeros((0, 2), np.int64)
-        return nearest_pairs(prints, sizes, root, np.concatenate([at, at[:, ::-1]]).T, most_bits(similarity), nearest)
+def forests(filed: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) that keep together all nodes of a key whose fingerprints differ in as many bits at most as those of similar sets
+    of their sizes may: for each key a spanning forest of such pairs, and each task's edges without those that its others make
+    needless. In a key of more than RUN nodes all are kept together: who is alike there is for `linked` to tell, in many tasks.
+    `filed` has rows (key, node, print, size) without nulls."""
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, prints, root, other in _runs(batches, 5):
-            is_node = np.array([len(p) > 0 for p in prints], bool)
-            all_keys, pairs, pair_key = key, np.stack([node, other], axis=1)[~is_node], key[~is_node]
-            key, node, root, shingles = all_keys[is_node], node[is_node], root[is_node], other[is_node]
-            prints = np.frombuffer(b"".join(prints[is_node]), np.uint64).reshape(len(key), WIDE) if len(key) else np.zeros((0, WIDE), np.uint64)
-            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]) if len(key) else np.zeros(1, np.int64)
-            sizes, found = np.diff(edges), []
-            single = sizes == 2  # most runs
-            if not len(pairs):
-                pair = edges[:-1][single]
-                bits = np.bitwise_count(prints[pair] ^ prints[pair + 1]).sum(axis=1, dtype=np.int64)
-                ok = (bits <= allowed_bits(most_bits(similarity), shingles[pair], shingles[pair + 1])) & (root[pair] != root[pair + 1])
-                found.append((pair[ok], pair[ok] + 1, bits[ok]))
-            for i in np.flatnonzero((sizes > 2) | ((sizes == 2) & (len(pairs) > 0))).tolist():
-                own = slice(edges[i], edges[i + 1])
-                barred = pairs[np.searchsorted(pair_key, key[edges[i]]) : np.searchsorted(pair_key, key[edges[i]], side="right")]
-                one, two, far = one_key(node[own], prints[own], root[own], shingles[own], barred)
-                found.append((one + edges[i], two + edges[i], far))
-            if not found:
-                continue
-            one, two, far = (np.concatenate([f[i] for f in found]) for i in range(3))
-            yield pa.RecordBatch.from_arrays([pa.array(key[one]), pa.array(np.minimum(node[one], node[two])), pa.array(np.maximum(node[one], node[two])), pa.array(far)], ["key", "a", "b", "bits"])
-
-    return stage(_by_key(filed).mapInArrow(trees, "key long, a long, b long, bits long"))
-
-
-def verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of `edges` (a, b; staged) whose sets (node, shingles: sorted, binary) are as similar as `similarity` or more."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
-                    both = len(x) + len(y) - len(np.union1d(x, y))
-                    ok[i] = both >= similarity * (len(x) + len(y) - both) - 1e-9
-            kept = pa.array(np.flatnonzero(ok))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
-
-    side = lambda name, other: sets.select(F.col("node").alias(name), F.col("shingles").alias(other))
-    one = stage(join_salted(edges.select("a", "b"), side("a", "x"), "a", "b"))
-    both = join_salted(one, side("b", "y"), "b", "a").select("a", "b", "x", "y")
-    out = stage(both.mapInArrow(check, "a long, b long"))
-    drop(one)
-    return out
-
-
-def similar_classes(rows: DataFrame, shingle: int, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """For rows (row, text, and others; staged): the others, row, node and fp, rows of one shingle set sharing a node, and
-    (node, root) of those nodes that others are linked to. Nodes whose sets are as similar as `similarity` or more are linked.
+        table, up = most_bits(similarity), {}
+
+        def top(x: int) -> int:
+            while (over := up.get(x, x)) != x:
+                up[x] = x = up.get(over, over)
+            return x
+
+        for key, node, prints, shingles in _runs(batches, 4):
+            prints = np.frombuffer(b"".join(prints), np.uint64).reshape(len(key), WIDE)
+            edges = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+            sizes = np.diff(edges)
+            pair = edges[:-1][sizes == 2]  # most runs
+            bits = np.bitwise_count(prints[pair] ^ prints[pair + 1]).sum(axis=1, dtype=np.int64)
+            pair = pair[bits <= allowed_bits(table, shingles[pair], shingles[pair + 1])]
+            found = [(pair, pair + 1)]
+            for i in np.flatnonzero(sizes > 2).tolist():
+                first, n = edges[i], sizes[i]
+                if n > RUN:
+                    found.append((np.full(n - 1, first), np.arange(first + 1, first + n)))
+                else:
+                    one, two, _ = nearest_tree(prints[first : first + n], table, sizes=shingles[first : first + n])
+                    found.append((one + first, two + first))
+            kept = []
+            for a, b in zip(*(node[np.concatenate([f[i] for f in found])].tolist() for i in range(2)), strict=True):
+                x, y = top(a), top(b)
+                if x != y:
+                    up[max(x, y)] = min(x, y)
+                    kept.append((a, b))
+            if kept:
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in kept], pa.int64()), pa.array([b for _, b in kept], pa.int64())], ["a", "b"])
+
+    return _by_key(filed).mapInArrow(trees, "a long, b long")
+
+
+def links_among(prints: np.ndarray, shingles: list[np.ndarray], side: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between sets as similar as `similarity` or more, whose fingerprints are pruned first: (one,
+    other). If both sides are there, of links between the sides only.
+
+    Goes breadth first; each set is compared with those not yet reached, so that sets that are all alike cost one comparison
+    each, and memory stays in proportion to the sets."""
+    sizes, table, sides = np.array([len(s) for s in shingles], np.int64), most_bits(similarity), bool(np.any(side != side[:1]))
+    _, ids = np.unique(np.concatenate(shingles), return_inverse=True)
+    several = np.bincount(ids)[ids] > 1 if len(ids) else np.zeros(0, bool)  # others are in no intersection
+    owner, ids = np.repeat(np.arange(len(sizes)), sizes)[several], np.unique(ids[several], return_inverse=True)[1]
+    starts = np.searchsorted(owner, np.arange(len(sizes) + 1))
+    width = int(ids.max(initial=0)) // 64 + 1
+    member = None
+    if len(sizes) * width <= WORDS_OF_SETS:
+        member = np.zeros((len(sizes), width), np.uint64)
+        np.bitwise_or.at(member, (owner, ids >> 6), np.uint64(1) << (ids & 63).astype(np.uint64))
+    else:
+        mark = np.zeros(64 * width, bool)
+
+    def common(at: int, others: np.ndarray) -> np.ndarray:
+        if member is not None:
+            return np.bitwise_count(member[others] & member[at]).sum(axis=1, dtype=np.int64)
+        own = ids[starts[at] : starts[at + 1]]
+        mark[own] = True
+        length = starts[others + 1] - starts[others]
+        place = np.arange(int(length.sum())) + np.repeat(starts[others] - np.cumsum(length) + length, length)
+        out = np.bincount(np.repeat(np.arange(len(others)), length), mark[ids[place]], minlength=len(others)).astype(np.int64)
+        mark[own] = False
+        return out
 
-    In rounds: among the nodes of each key, a shortest spanning forest gives candidates, and the sets decide on them. Keys with
-    candidates that failed go on with each node's nearest of those not yet together with it, without the pairs that failed: eight,
-    and eight times as many in each further round, until no candidate is left. Of the first round's candidates each node's
-    nearest are checked before those that they leave apart.
-    """
-    filed = stage(with_prints(rows, shingle, similarity))
-    nodes = stage(filed.groupBy("node").agg(F.min("row").alias("row"), F.first("print").alias("print"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("few").alias("few")))
-    open_, wanted = shared_keys(nodes, similarity), 0
-    nothing = rows.sparkSession.createDataFrame([], "a long, b long")
-    roots, failed, barred, sets = nothing.toDF("node", "root"), nothing, rows.sparkSession.createDataFrame([], "key long, a long, b long"), None
-
-    def apart(edges: DataFrame) -> DataFrame:
-        """Different pairs whose ends aren't together."""
-        root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name} root"))
-        both = edges.select("a", "b").distinct().join(root("a"), "a", "left").join(root("b"), "b", "left")
-        return both.where(F.coalesce("a root", "a") != F.coalesce("b root", "b")).select("a", "b")
-
-    while True:
-        known = open_.join(nodes.select("node", "print", "size"), "node").join(roots, "node", "left")
-        known = known.select("key", "node", "print", F.coalesce("root", "node").alias("root"), F.col("size").alias("other"))
-        no_pairs = barred.select("key", F.col("a").alias("node"), F.unhex(F.lit("")).alias("print"), F.lit(0).cast("long").alias("root"), F.col("b").alias("other"))
-        edges = candidates(known.unionByName(no_pairs), similarity, wanted)
-        if edges.isEmpty():
-            break
-        sets = _more_sets(sets, edges, rows, nodes, shingle)
-        for nearest in (False,) if wanted else (True, False):
-            tried = _best(edges) if nearest else apart(edges.select("a", "b")).join(failed, ["a", "b"], "left_anti")
-            tried = stage(tried)
-            found = verified(tried, sets, similarity)
-            failed = stage(failed.unionByName(tried.join(found, ["a", "b"], "left_anti")))
-            if not found.isEmpty():
-                roots = stage(components(found.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))))
-            drop(tried)
-        lost = edges.select("key", "a", "b").join(failed, ["a", "b"])
-        barred = stage(barred.unionByName(lost.select("key", "a", "b")).distinct())
-        going_on = lost.join(apart(lost), ["a", "b"]).select("key").distinct()
-        before, open_ = open_, stage(open_.join(going_on, "key", "left_semi"))
-        barred = stage(barred.join(going_on, "key", "left_semi"))
-        drop(before)
-        drop(edges)
-        if open_.isEmpty():
-            break
-        wanted = 8 * max(wanted, 1)
-    for df in (nodes, open_, sets):
-        if df is not None:
-            drop(df)
-    return filed.drop("print", "size", "keys", "few"), roots
-
-
-def _best(edges: DataFrame) -> DataFrame:
-    """For each node its nearest candidate, as different pairs (a, b)."""
-    both = edges.select("bits", F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e"))
-    best = both.groupBy("e.node").agg(F.min(F.struct("bits", "e.other")).alias("m"))
-    return best.select(F.least("node", "m.other").alias("a"), F.greatest("node", "m.other").alias("b")).distinct()
-
-
-def _more_sets(sets: DataFrame | None, edges: DataFrame, rows: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """The sets (node, shingles; staged) at hand and those of the ends of `edges` that lack, made from the texts again: few
-    documents have a candidate."""
+    left, open_, queue, one, other = np.arange(len(sizes)), np.ones(len(sizes), bool), [], [], []
+    while queue or len(left) > 1:
+        if queue:
+            at = queue.pop()
+        else:
+            at, left = int(left[0]), left[1:]
+        near = left[side[left] != side[at]] if sides else left
+        for some in np.array_split(near, len(near) * width // WORDS_OF_SETS + 1):
+            if not len(some):
+                continue
+            bits = np.bitwise_count(prints[some] ^ prints[at]).sum(axis=1, dtype=np.int64)
+            some = some[bits <= allowed_bits(table, sizes[some], np.broadcast_to(sizes[at], len(some)))]
+            if not len(some):
+                continue
+            both = common(at, some)
+            found = some[both >= similarity * (sizes[some] + sizes[at] - both) - 1e-9]
+            open_[found] = False
+            one += [at] * len(found)
+            other += found.tolist()
+            queue += found.tolist()
+        left = left[open_[left]]
+    return np.array(one, np.int64), np.array(other, np.int64)
+
+
+def linked(together: DataFrame, nodes: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Links (a, b), enough to keep all linked nodes connected, among nodes that candidates connect: `together` (node, root;
+    staged). The sets are made from the texts again: few documents have a candidate.
+
+    All sets of one root are compared, each once. Where they are more than a task is to hold they are cut into blocks, and each two
+    blocks meet in a task of their own: a set goes to as many tasks as its root has blocks."""
+    sized = together.join(nodes.select("node", "row", "print", "size"), "node")
+    blocks = sized.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    large = blocks.where("blocks > 1")
+    placed = stage(join_hot(together, large, "root", "left").join(nodes.select("node", "row", "print"), "node").select("row", "node", "root", "print", F.coalesce("blocks", F.lit(1)).alias("blocks")))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in give_back(batches):
-            for first, texts in _batches(batch.column(1)):
+            for first, texts in _batches(batch.column(4)):
                 shingles, counts = shingle_sets(texts, shingle, known)
                 cuts = np.cumsum(counts)
                 data = [shingles[b - n : b].tobytes() for n, b in zip(counts.tolist(), cuts.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(texts)), pa.array(data, pa.binary())], ["node", "shingles"])
-
-    ends = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    if sets is not None:
-        ends = stage(ends.join(sets, "node", "left_anti"))
-        if ends.isEmpty():
-            return sets
-    texts = rows.join(ends.join(nodes.select("node", "row"), "node"), "row").select("node", "text")
-    made = texts.mapInArrow(sets_of, "node long, shingles binary")
-    return stage(made if sets is None else sets.unionByName(made))
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, len(texts)).columns[:-1], pa.array(data, pa.binary())], ["node", "root", "blocks", "print", "shingles"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for team, node, side, prints, shingles in _runs(give_back(batches), 5):
+            edges = np.flatnonzero(np.r_[True, team[1:] != team[:-1], True])
+            a, b = [], []
+            for first, end in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                if end - first > 1:
+                    own = np.frombuffer(b"".join(prints[first:end]), np.uint64).reshape(end - first, WIDE)
+                    one, other = links_among(own, [np.frombuffer(s, np.uint64) for s in shingles[first:end]], side[first:end], similarity)
+                    a.append(node[first + one])
+                    b.append(node[first + other])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+    sets = rows.select("row", "text").join(placed, "row").select("node", "root", "blocks", "print", "text").mapInArrow(sets_of, "node long, root long, blocks int, print binary, shingles binary")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = sets.withColumn("own", own).withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    team = F.xxhash64("root", F.least("own", "met"), F.greatest("own", "met"))
+    dealt = dealt.select(team.alias("key"), "node", (F.col("own") > F.col("met")).cast("int").alias("side"), "print", "shingles")
+    return stage(_by_key(dealt).mapInArrow(compare, "a long, b long"))
+
+
+def similar_classes(rows: DataFrame, shingle: int, similarity: float, near_prints: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """For rows (row, text, and others; staged): the others, row, node and fp, rows of one shingle set sharing a node, and
+    (node, root) of those nodes that others are linked to. Nodes whose sets are as similar as `similarity` or more are linked.
+
+    Candidates are the pairs (a, b) of fingerprints that `near_prints` finds among different ones (fp), by pigeonring, and for those
+    that are similar although more of 64 bits differ, the nodes of each key whose wide fingerprints are near enough. They are never
+    listed: spanning forests tell which nodes they connect, and among those the sets decide.
+    """
+    filed = stage(with_prints(rows, shingle, similarity))
+    firsts = ("fp", "print", "size", "keys", "few")
+    nodes = stage(filed.groupBy("node").agg(F.min("row").alias("row"), *(F.first(c).alias(c) for c in firsts)))
+    shared = shared_keys(nodes, similarity)
+    by_key = stage(forests(shared.join(nodes.select("node", "print", "size"), "node").select("key", "node", "print", "size"), similarity))
+    drop(shared)
+    prints = stage(nodes.select("fp", "node"))
+    of_print = prints.groupBy("fp").agg(F.min("node").alias("least"), F.count("*").alias("n"))
+    same = join_hot(prints, of_print.where("n > 1"), "fp").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    end = lambda name: of_print.select(F.col("fp").alias(name), F.col("least").alias(f"{name} node"))
+    near = stage(near_prints(of_print.select("fp")).distinct())
+    near = join_hot(near, end("a"), "a")
+    near = stage(near.select(F.col("a node").alias("x"), "b"))
+    near = join_hot(near, end("b"), "b").select(F.col("x").alias("a"), F.col("b node").alias("b"))
+    together = stage(components(by_key.unionByName(same).unionByName(near)))
+    links = linked(together, nodes, rows, shingle, similarity)
+    for df in (nodes, by_key, prints, together):
+        drop(df)
+    return filed.drop("print", "size", "keys", "few"), stage(components(links))

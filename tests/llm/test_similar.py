@@ -239,3 +239,53 @@ def test_nearest_pairs_against_all_pairs():
                 assert all((min(i, j), max(i, j)) in got for j in near.tolist() if differ[i, j] < limit)
                 assert sum(i in pair for pair in got) >= min(k, len(near))
     assert similar.nearest_pairs(prints[:0], sizes[:0], root[:0], np.zeros((2, 0), np.int64), table, 3)[0].tolist() == []
+
+
+def near_08(rng, n):
+    """Texts of 150 words with some of them changed, so that of many pairs the similarity is a little above or below 0.8."""
+    base = [f"b{i}" for i in range(150)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(rng.randint(2, 5)):
+            words[rng.randrange(150)] = f"x{i}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_links_among_sets_are_those_of_all_pairs(monkeypatch):
+    rng = random.Random(6)
+    texts = near_08(rng, 80) + [t for _, t in made(rng, 6)]
+    sets = [slow_set(t) for t in texts]
+    for limit in (similar.WORDS_OF_SETS, 50):  # sets as bits, and as lists
+        monkeypatch.setattr(similar, "WORDS_OF_SETS", limit)
+        shingles, counts = similar.shingle_sets(texts, 5, similar.WordHashes())
+        prints, lists = similar.wide_prints(shingles, counts), np.split(shingles, np.cumsum(counts)[:-1])
+        for side in (np.zeros(len(texts), int), np.arange(len(texts)) % 2):
+            one, other = similar.links_among(prints, lists, side, 0.8)
+            groups = []
+            for links in (zip(one.tolist(), other.tolist(), strict=True), [(a, b) for a in range(len(texts)) for b in range(a) if (side[a] != side[b] or not side.any()) and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9]):
+                name = list(range(len(texts)))
+                for a, b in links:
+                    assert alike(sets[a], sets[b])
+                    name = [name[a] if x == name[b] else x for x in name]
+                groups.append(Counter(frozenset(i for i, x in enumerate(name) if x == y) for y in set(name)))
+            assert groups[0] == groups[1]
+
+
+def test_classes_in_blocks(spark, monkeypatch):
+    """A group larger than a block: each two blocks meet."""
+    monkeypatch.setattr(similar, "BLOCK", 16)
+    check(spark, frame(spark, list(enumerate(near_08(random.Random(8), 120)))).repartition(3))
+
+
+def test_no_more_jobs_for_pairs_that_fail(spark):
+    """Near copies of which most pairs are not quite similar enough take no rounds of their own."""
+    rng, jobs = random.Random(9), []
+    for rows in ([(i, " ".join(f"r{rng.random()}" for _ in range(150))) for i in range(60)], list(enumerate(near_08(rng, 400)))):
+        spark.sparkContext.setJobGroup(f"similar {len(rows)}", "")
+        simhash.drop_near_duplicates(frame(spark, rows)).count()
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"similar {len(rows)}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    print(jobs)
+    assert jobs[1] <= 150
