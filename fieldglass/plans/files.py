@@ -198,7 +198,7 @@ def anchor_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[link_of_title(F.col("s_name"))] + [F.col("s_name")] * 3 + [link_of_title(F.col("s_name")), F.col("s_name")],
     )
     pages = _page(_suppliers(spark, sf_dir), ["key", "name"], "s_suppkey", row, "", "")
-    return tables.anchor_titles(readers.html_links(pages, "key", "html", context=True), "key").select("key", strip_code(F.col("section")).alias("section"), "anchor", "title")
+    return tables.anchor_titles(readers.html_links(pages, "key", "html", place=True), "key").select("key", strip_code(F.col("section")).alias("section"), "anchor", "title")
 
 
 def coach_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

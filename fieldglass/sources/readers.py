@@ -365,9 +365,11 @@ def html_rows(pages: DataFrame, key: str, html: str, links: bool = False) -> Dat
     return pages.lateralJoin(HtmlRows(F.col(html).outer())).select(key, "section", "table_no", "row_no", "cells", "hrefs", *(["links"] if links else []))
 
 
-def html_links(pages: DataFrame, key: str, html: str, context: bool = False) -> DataFrame:
-    """All links; with `context`, also place, image and before."""
-    return pages.lateralJoin(HtmlLinks(F.col(html).outer(), F.lit(context))).select(key, "section", "anchor", "href", *(["place", "image", "before"] if context else []))
+def html_links(pages: DataFrame, key: str, html: str, context: bool = False, place: bool = False) -> DataFrame:
+    """All links; with `place`, also their number on the page; with `context`, also place, image and before. Each link of a block
+    holds all of the block's text before it there, which grows with the square of a block; the others grow with the page."""
+    more = ["place", "image", "before"] if context else ["place"] if place else []
+    return pages.lateralJoin(HtmlLinks(F.col(html).outer(), F.lit(context))).select(key, "section", "anchor", "href", *more)
 
 
 def last_link(links: DataFrame, key: str, pattern: str) -> DataFrame:

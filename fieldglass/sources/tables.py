@@ -71,7 +71,7 @@ def infobox_place(rows: DataFrame, page: str, label: str = r"(?i)^(?:place of bi
 
 
 def anchor_titles(links: DataFrame, page: str) -> DataFrame:
-    """(page, section, anchor, title) of links with context to pages of the plain kind, whose title has no colon: of several links
+    """(page, section, anchor, title) of links with their place to pages of the plain kind, whose title has no colon: of several links
     of a section with one text the last counts. Links without a text are left out."""
     titled = links.withColumn("title", title_of_link(F.col("href"))).where(~F.contains("title", F.lit(":")) & (F.col("title") != "") & (F.col("anchor") != ""))
     return titled.groupBy(page, "section", "anchor").agg(F.max_by("title", "place").alias("title"))

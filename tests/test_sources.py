@@ -1,11 +1,13 @@
 import io
 import json
+import re
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
-from fieldglass.sources import readers, sinks
+from fieldglass.plans import files
+from fieldglass.sources import readers, sinks, tables
 
 
 def put(path, text, encoding="utf-8"):
@@ -163,3 +165,12 @@ def test_streaming(spark, tmp_path, small):
         q.awaitTermination(120)
     assert spark.sql("SELECT sum(n) FROM totals").first()[0] == events.count()
     assert spark.sql("SELECT count(*) FROM sessions").first()[0] > 0
+
+
+def test_titles_of_a_page_of_one_block(spark, small):
+    """Links of a long block don't each carry the text before them, which only lines of coaches need."""
+    html = "<h2>S</h2>" + "".join(f"<a href='/wiki/T_{i}'>text {i % 3000}</a> and more, " for i in range(4000))
+    found = tables.anchor_titles(readers.html_links(spark.createDataFrame([(1, html)], "id long, html string"), "id", "html", place=True), "id")
+    assert {(r["anchor"], r["title"]) for r in found.collect()} == {(f"text {i}", f"T {i + 3000 if i < 1000 else i}") for i in range(3000)}
+    plan = files.anchor_titles(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"HtmlLinks\(.*?, false\)", plan) and not re.search(r"HtmlLinks\(.*?, true\)", plan)
