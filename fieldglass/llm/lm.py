@@ -5,13 +5,12 @@ from __future__ import annotations
 import heapq
 import math
 import pickle
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -68,27 +67,40 @@ class Vocabulary:
         return out, math.log10(rest), math.log10(self.total + self.distinct + 1)
 
 
-def words_of(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "replace").lower().split() if text else []
+def words_of(texts: pa.Array, most: int = 8_000_000) -> Iterator[tuple[int, np.ndarray, pa.Array]]:
+    """Part by part, of about `most` bytes or one longer text: the number of the part's first text, where the words of each of its
+    texts begin (and the last one's end), and the words, in lower case; each text has an end after them, as the empty word."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at, empty, space = 0, pa.scalar("", texts.type), pa.scalar(" ", texts.type)
+    while at < len(texts):
+        first, before = at, int(sizes[at - 1]) if at else 0
+        at = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
+        part = pc.ascii_trim_whitespace(pc.fill_null(texts.slice(first, at - first), empty))
+        #: What is cut off after a last space is the empty word; an empty text is one already.
+        part = pc.if_else(pc.equal(part, empty), empty, pc.binary_join_element_wise(part, empty, space))
+        words = pc.ascii_split_whitespace(pc.ascii_lower(part))  # ascii_lower gives zeros for an array that begins within its data
+        yield first, words.offsets.to_numpy(), words.values.cast(pa.binary())
 
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(word, n) over all rows of `texts` (text); an end for each text counts as the empty word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
+        held: list[pa.Table] = []
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "n"])
+        def out() -> Iterator[pa.RecordBatch]:
+            if held:
+                sums = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+                yield from sums.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches()
+                held.clear()
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                found.update(words_of(text))
-                found[END] += 1
-            if len(found) > 500_000:  # a task's memory is bounded; the sum comes after
-                yield out()
-                found.clear()
-        yield out()
+            for _, _, words in words_of(batch.column(0)):
+                found = pc.value_counts(words)
+                held.append(pa.table({"word": found.field(0), "n": found.field(1)}))
+                if sum(map(len, held)) > 500_000:  # a task's memory is bounded; the sum comes after
+                    yield from out()
+        yield from out()
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -122,81 +134,83 @@ class Network:
     def log_chance(self, h: np.ndarray, y: np.ndarray, grad: dict | None = None, bounded: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log of the chance of symbols `y` after states `h`; with `grad`, adds the gradient of their negative sum
         to it and returns that for `h` too. `bounded`: logits need not be shifted."""
-        own, inner = y // WIDTH, y % WIDTH
-        ones, wide, deep = np.ones(len(y), h.dtype), np.ones(WIDTH, h.dtype), np.ones(CLASSES, h.dtype)
-        logits = h @ self.w["wc"]
-        logits += self.w["bc"]
-        if not bounded:
-            logits -= logits.max(axis=1, keepdims=True)
-        chosen = np.arange(len(y)) * CLASSES + own
-        out = logits.ravel()[chosen]
-        e = np.exp(logits, out=logits)
-        s = e @ deep
-        out -= np.log(s)
-        back = None
-        if grad is not None:
-            e /= s[:, None]
-            e.ravel()[chosen] -= 1
-            grad["wc"] += h.T @ e
-            grad["bc"] += ones @ e
-            back = e @ self.w["wc"].T
+        own, inner = np.divmod(y, WIDTH)
         order = np.argsort(own.astype(np.uint8), kind="stable")
-        counts = np.bincount(own, minlength=CLASSES)
-        first = np.cumsum(counts) - counts
-        sorted_h, sorted_y, more = h.take(order, 0), inner.take(order), np.empty(len(y), h.dtype)
-        sorted_back = None if grad is None else np.empty_like(sorted_h)
-        #: Classes of like numbers of rows, up to twice as many, go together, filled up with rows that don't count.
-        for size in np.unique(np.frexp(counts[counts > 0])[1]).tolist():
-            classes = np.flatnonzero((counts >= 1 << (size - 1)) & (counts < 1 << size))
-            n, wo = counts[classes], self.w["wo"][classes]
-            step = np.arange(n.max())
-            real = step < n[:, None]
-            at, kept = np.minimum(first[classes][:, None] + step, len(y) - 1), np.flatnonzero(real)
-            places, hc = at.ravel().take(kept), sorted_h.take(at, 0)
-            logits = hc @ wo
-            logits += self.w["bo"][classes][:, None]
+        ends = np.cumsum(np.bincount(own, minlength=CLASSES)).tolist()
+        parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends, strict=False)) if a < b]  # the rows of each class lie together
+        one = np.empty((len(y), HIDDEN + 1), h.dtype)  # states, and a one for the biases
+        one[:, :HIDDEN], one[:, HIDDEN] = h.take(order, 0), 1
+        wc, wo = np.concatenate([self.w["wc"], self.w["bc"][None]]), np.concatenate([self.w["wo"], self.w["bo"][:, None]], axis=1)
+
+        def softmax(logits: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """The log chance of the chosen ones; in place of the logits, chances times a sum, and those sums."""
+            chosen = chosen.take(order) + np.arange(0, logits.size, logits.shape[1])
             if not bounded:
-                logits -= logits.max(axis=2, keepdims=True)
-            chosen = np.arange(at.size) * WIDTH + sorted_y.take(at.ravel())
-            found = logits.ravel().take(chosen)
+                logits -= logits.max(axis=1, keepdims=True)
+            out = logits.ravel().take(chosen)
             e = np.exp(logits, out=logits)
-            sums = e @ wide
-            found -= np.log(sums.ravel())
-            more[places] = found.take(kept)
+            sums = e @ np.ones(e.shape[1], e.dtype)
+            out -= np.log(sums)
             if grad is not None:
-                e *= np.divide(real, sums, dtype=e.dtype)[:, :, None]
-                e.ravel()[chosen] -= real.ravel()
-                grad["wo"][classes] += hc.transpose(0, 2, 1) @ e
-                grad["bo"][classes] += ones[: len(step)] @ e
-                sorted_back[places] = (e @ wo.transpose(0, 2, 1)).reshape(-1, h.shape[1]).take(kept, 0)
-        out[order] += more
+                e.ravel()[chosen] -= sums
+            return out, e, sums[:, None]
+
+        logits = one @ wc
+        found, e, sums = softmax(logits, own)
+        back = None
         if grad is not None:
-            back[order] += sorted_back
-        return out, back
+            both = (one / sums).T @ e
+            grad["wc"] += both[:HIDDEN]
+            grad["bc"] += both[HIDDEN]
+            back = e @ self.w["wc"].T
+            back /= sums
+        for c, part in parts:
+            np.matmul(one[part], wo[c], out=logits[part])
+        more, e, sums = softmax(logits, inner)
+        found += more
+        if grad is not None:
+            one /= sums
+            inner_back = np.empty_like(back)
+            for c, part in parts:
+                both = one[part].T @ e[part]
+                grad["wo"][c] += both[:HIDDEN]
+                grad["bo"][c] += both[HIDDEN]
+                np.matmul(e[part], self.w["wo"][c].T, out=inner_back[part])
+            inner_back /= sums
+            back += inner_back
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        return found.take(place), None if back is None else back.take(place, 0)
 
 
 class Cell:
-    """The gated unit, its weights laid out gate by gate (those of the inputs for some `rows` only); reset and update halved, as
-    the sigmoid of a is half of 1 plus the tanh of a / 2."""
+    """The gated unit, its weights laid out gate by gate (those of the inputs for some `rows` only); those of reset and update
+    times -1 and of the new state times -2, as the sigmoid of a is 1 / (1 + exp(-a)) and its tanh 2 / (1 + exp(-2 a)) - 1."""
 
     def __init__(self, w: dict[str, np.ndarray], rows: np.ndarray | slice = slice(None)):
         n = HIDDEN
-        x, u, b = ([np.ascontiguousarray(v[..., i * n : (i + 1) * n]) for i in range(3)] for v in (w["x"][rows], w["u"], w["b"]))
-        self.x, self.u, self.inner = [(x[0] + b[0]) / 2, (x[1] + b[1]) / 2, x[2]], [u[0] / 2, u[1] / 2, u[2]], b[2]
+        x, u, b = ([v[..., i * n : (i + 1) * n] * v.dtype.type(by) for i, by in enumerate((-1, -1, -2))] for v in (w["x"][rows], w["u"], w["b"]))
+        self.x, self.u, self.inner = [x[0] + b[0], x[1] + b[1], x[2]], u, b[2][None]
 
     def step(self, x: np.ndarray, h: np.ndarray, r: np.ndarray, z: np.ndarray, new: np.ndarray, inner: np.ndarray) -> None:
-        """One token on: `h` becomes the new state; the others get what the way back needs."""
+        """One token on: `h` becomes the new state; the others get what the way back needs (`inner` times -2). Where exp
+        overflows, a gate is 0, as it should: callers ignore that."""
+        if len(self.inner) < len(h):
+            self.inner = np.repeat(self.inner[:1], len(h), axis=0)
         for i, gate in enumerate((r, z)):
             np.matmul(h, self.u[i], out=gate)
             gate += self.x[i].take(x, 0, mode="clip")
-            np.tanh(gate, out=gate)
-            gate *= 0.5
-            gate += 0.5
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
         np.matmul(h, self.u[2], out=inner)
-        inner += self.inner
+        inner += self.inner[: len(h)]
         np.multiply(r, inner, out=new)
         new += self.x[2].take(x, 0, mode="clip")
-        np.tanh(new, out=new)
+        np.exp(new, out=new)
+        new += 1
+        np.divide(2, new, out=new)
+        new -= 1
         h -= new
         h *= z
         h += new
@@ -254,10 +268,13 @@ def score_texts(net: Network, texts: list[np.ndarray], end: int, slots: int = 51
     for x, y, starts, number in Slots(texts, end, slots, window):
         k = x.shape[1]
         h, room, states = h[:k], np.empty((4, k, HIDDEN), np.float32), np.empty((*y.shape, HIDDEN), np.float32)
-        for t in range(len(x)):
-            h[starts[t]] = 0
-            cell.step(x[t], h, *room)
-            states[t] = h
+        begins = starts.any(axis=1).tolist()
+        with np.errstate(over="ignore"):
+            for t in range(len(x)):
+                if begins[t]:
+                    h[starts[t]] = 0
+                cell.step(x[t], h, *room)
+                states[t] = h
         own = number >= 0
         chance, _ = net.log_chance(states[own], y[own], bounded=bounded)
         out += np.bincount(number[own], chance.astype(np.float64), minlength=len(texts))
@@ -274,50 +291,51 @@ def gradient(net: Network, x: np.ndarray, y: np.ndarray, starts: np.ndarray, own
     first = np.flatnonzero(new_row)
     rows, local = x.ravel()[order[first]], np.empty(x.size, np.int64)
     local[order] = np.cumsum(new_row) - 1
-    cell, local = Cell(net.w, rows), local.reshape(x.shape)
+    cell, local, begins = Cell(net.w, rows), local.reshape(x.shape), starts.any(axis=1).tolist()
     old, r, z, new, inner, states = (np.empty((steps, k, HIDDEN), kind) for _ in range(6))
-    for t in range(steps):
-        h[starts[t]] = 0
-        old[t] = h
-        cell.step(local[t], h, r[t], z[t], new[t], inner[t])
-        states[t] = h
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            if begins[t]:
+                h[starts[t]] = 0
+            old[t] = h
+            cell.step(local[t], h, r[t], z[t], new[t], inner[t])
+            states[t] = h
     grad = {key: np.zeros_like(v) for key, v in net.w.items() if key != "x"}
     if own.all():
         to_states = net.log_chance(states.reshape(-1, HIDDEN), y.ravel(), grad, net.bounded())[1].reshape(states.shape)
     else:
         to_states = np.zeros_like(states)
         to_states[own] = net.log_chance(states[own], y[own], grad, net.bounded())[1]
-    to_gates, d_inner = np.empty((steps, k, 3 * HIDDEN), kind), np.empty((steps, k, HIDDEN), kind)
-    d_r, d_z, d_new = (to_gates[:, :, i * HIDDEN : (i + 1) * HIDDEN] for i in range(3))
-    dh, room = np.zeros((k, HIDDEN), kind), np.empty((k, HIDDEN), kind)
-    u_back = [np.ascontiguousarray(net.w["u"][:, i * HIDDEN : (i + 1) * HIDDEN].T) for i in range(3)]
+    #: By what a state's gradient goes on to the new state before its tanh, and to the gates: reset, update, inner.
+    to_gates, to_new = np.empty((3, steps, k, HIDDEN), kind), 1 - z
+    np.subtract(old, new, out=to_gates[1])
+    to_gates[1] *= z
+    to_gates[1] *= to_new
+    new *= new
+    to_new *= np.subtract(1, new, out=new)
+    np.multiply(to_new, r, out=to_gates[2])
+    np.multiply(to_gates[2], inner, out=to_gates[0])
+    np.subtract(1, r, out=r)
+    r *= -0.5
+    to_gates[0] *= r
+    dh, room = np.zeros((k, HIDDEN), kind), np.empty((3, k, HIDDEN), kind)
+    u_back = np.ascontiguousarray(net.w["u"].reshape(HIDDEN, 3, HIDDEN).transpose(1, 2, 0))
     for t in range(steps - 1, -1, -1):
-        dh += to_states[t]
-        back = dh * (1 - z[t])
-        back *= 1 - new[t] * new[t]
-        d_new[t] = back
-        np.multiply(back, r[t], out=d_inner[t])
-        back *= inner[t]
-        back *= r[t]
-        back *= 1 - r[t]
-        d_r[t] = back
-        np.matmul(back, u_back[0], out=room)
-        np.subtract(old[t], new[t], out=back)
-        back *= dh
-        back *= z[t]
-        back *= 1 - z[t]
-        d_z[t] = back
-        dh *= z[t]
-        dh += room
-        dh += np.matmul(back, u_back[1], out=room)
-        dh += np.matmul(d_inner[t], u_back[2], out=room)
-        dh[starts[t]] = 0
-    flat, flat_old, ones = to_gates.reshape(-1, 3 * HIDDEN), old.reshape(-1, HIDDEN).T, np.ones(steps * k, kind)
-    both = slice(0, 2 * HIDDEN), slice(2 * HIDDEN, None)
-    for at, part in zip(both, (flat[:, both[0]], d_inner.reshape(-1, HIDDEN)), strict=True):
-        grad["u"][:, at] += flat_old @ part
-        grad["b"][at] += ones @ part
-    grad["x"] = np.add.reduceat(flat.take(order, 0), first, axis=0)
+        now, gates = to_states[t], to_gates[:, t]
+        now += dh
+        gates *= now
+        np.matmul(gates, u_back, out=room)
+        np.multiply(now, z[t], out=dh)
+        for part in room:
+            dh += part
+        if begins[t]:
+            dh[starts[t]] = 0
+    flat = to_gates.reshape(3, -1, HIDDEN)
+    grad["u"] += np.concatenate(old.reshape(-1, HIDDEN).T @ flat, axis=1)
+    grad["b"] += (np.ones(steps * k, kind) @ flat).ravel()
+    to_new *= to_states
+    by_row = [np.add.reduceat(part.reshape(-1, HIDDEN).take(order, 0), first, axis=0) for part in (flat[0], flat[1], to_new)]
+    grad["x"] = np.concatenate(by_row, axis=1)
     return grad, rows
 
 
@@ -378,31 +396,29 @@ def encode(rows: DataFrame, vocabulary: Vocabulary, rounds: int = 2) -> DataFram
     chances within the symbols), each over the table's words, words and times of the other words, round, and symbols as
     unsigned 16-bit numbers."""
     symbol, (static, _, _) = vocabulary.symbol_of_rank().astype("<u2"), vocabulary.static()
-    sent = rows.sparkSession.sparkContext.broadcast((vocabulary.rank, symbol, np.append(static, 0), np.append(np.log10(vocabulary.counts + 1), 0)))  # TABLE_WORDS words at most
+    table = pa.array(sorted(vocabulary.rank, key=vocabulary.rank.get), pa.binary())
+    sent = rows.sparkSession.sparkContext.broadcast((table, symbol, np.append(static, 0), np.append(np.log10(vocabulary.counts + 1), 0)))  # TABLE_WORDS words at most
     others = [c for c in rows.columns if c != "text"]
     names = [*others, "n_tokens", "n_known", "logs", "inner", "words", "times", "round", "symbols"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank, symbol, within, log_count = sent.value
+        table, symbol, within, log_count = sent.value
         for batch in batches:
-            texts, at = batch.column(len(others)).to_pylist(), 0
-            while at < len(texts):
-                first, size, numbers, unlisted, times, part = at, 0, [], [], [], []
-                while at < len(texts) and size < 4_000_000:
-                    words = words_of(texts[at])
-                    words.append(END)
-                    found = np.fromiter(map(rank.get, words, repeat(-1)), np.int32, len(words))
-                    other = Counter(words[i] for i in np.flatnonzero(found < 0).tolist())
-                    unlisted.append(list(other))
-                    times.append(np.array(list(other.values()), np.int32))
-                    numbers.append((len(found), int((found >= 0).sum()), float(log_count[found].sum()), float(within[found].sum()), round_of(texts[at], rounds)))
-                    part.append(symbol[found].tobytes())
-                    size += len(found)
-                    at += 1
-                n, known, logs, inner, round_ = zip(*numbers, strict=True)
-                head = batch.slice(first, at - first)
-                data = [pa.array(n, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(inner), pa.array(unlisted, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int32())), pa.array(round_, pa.int32()), pa.array(part, pa.binary())]
-                yield pa.RecordBatch.from_arrays([*head.columns[:-1], *data], names)
+            texts = batch.column(len(others))
+            for first, begins, words in words_of(texts):
+                head, starts = batch.slice(first, len(begins) - 1), begins[:-1]
+                found = pc.fill_null(pc.index_in(words, value_set=table), -1).to_numpy()
+                sums = [pa.array(np.add.reduceat(v, starts)) for v in ((found >= 0).astype(np.int64), log_count[found], within[found])]
+                #: Each text's unlisted words, once each, with their times.
+                unlisted = np.flatnonzero(found < 0)
+                different = words.take(pa.array(unlisted)).dictionary_encode()
+                text, n = np.searchsorted(begins, unlisted, side="right") - 1, max(len(different.dictionary), 1)
+                key, times = np.unique(text * n + different.indices.to_numpy(), return_counts=True)
+                cuts = pa.array(np.searchsorted(key, np.arange(len(begins)) * n), pa.int32())
+                listed = [pa.ListArray.from_arrays(cuts, v) for v in (different.dictionary.take(pa.array(key % n)), pa.array(times, pa.int32()))]
+                round_ = pa.array([round_of(t, rounds) for t in head.column(len(others)).to_pylist()], pa.int32())
+                part = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((begins * 2).astype(np.int32)), pa.py_buffer(symbol[found])])
+                yield pa.RecordBatch.from_arrays([*head.columns[:-1], pa.array(np.diff(begins), pa.int64()), *sums, *listed, round_, part], names)
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in others)
     schema = f"{kinds}{', ' if kinds else ''}n_tokens long, n_known long, logs double, inner double, words array<binary>, times array<int>, round int, symbols binary"

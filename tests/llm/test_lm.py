@@ -242,3 +242,56 @@ def test_a_long_text_beside_short_ones_takes_little_room():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 100_000_000
+
+
+def test_words_are_those_of_bytes():
+    """Cut and lower-cased by Arrow as bytes.lower().split() does, with an end after each text, whatever the parts."""
+    import pyarrow as pa
+
+    odd = "\x1c \x85 \u00a0 \u2028 \u3000 \x00 É İ \u212a ß AbC"
+    texts = [None, "", " ", "\t\n\v\f\r ", "a", " a", "a ", "A  b\x0bC\x0cd\re\nf\tg", odd, f"  {odd}\n", odd.replace(" ", ""), "x" * 300, None, "", "B a"]
+    want = [[*(t or "").encode().lower().split(), lm.END] for t in texts]
+    column, large = (pa.array(["no", *texts], kind).slice(1) for kind in (pa.string(), pa.large_string()))
+    for given in (column, large, large.cast(pa.string())):
+        for most in (1, 20, 400, 8_000_000):
+            got = []
+            for first, begins, words in lm.words_of(given, most):
+                assert first == len(got)
+                got += [words[a:b].to_pylist() for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
+            assert got == want
+    assert list(lm.words_of(pa.array([], pa.string()))) == []
+
+
+def test_chances_take_no_more_work_than_their_rows(monkeypatch):
+    """A class's logits once a row, and those within the class once a row, however rows are spread over the classes."""
+    net, n, taken, exp = small_network(), 3000, [], np.exp
+    y = np.random.default_rng(6).zipf(1.3, n) % (lm.CLASSES * lm.WIDTH)
+    h = np.zeros((n, lm.HIDDEN), np.float32)
+    monkeypatch.setattr(np, "exp", lambda a, **more: (taken.append(a.size), exp(a, **more))[1])
+    net.log_chance(h, y, {k: np.zeros_like(v) for k, v in net.w.items()}, True)
+    assert sum(taken) == n * (lm.CLASSES + lm.WIDTH)
+
+
+def test_a_token_takes_few_calls(monkeypatch):
+    """The way back goes by one product a token for all gates, not by one for each."""
+    net, rng, products, matmul = small_network(), np.random.default_rng(7), [], np.matmul
+    x, y = (rng.integers(0, 90, (50, 4)).astype(np.int32) for _ in range(2))
+    monkeypatch.setattr(np, "matmul", lambda *of, **more: (products.append(1), matmul(*of, **more))[1])
+    monkeypatch.setattr(net, "log_chance", lambda h, *_: (None, np.zeros_like(h)))
+    lm.gradient(net, x, y, np.zeros(x.shape, bool), np.ones(x.shape, bool), np.zeros((4, lm.HIDDEN), np.float32))
+    assert len(products) <= 50 * (3 + 1)
+
+
+def test_saturated_gates():
+    """Where exp overflows, gates are 0 or 1 and states stay finite, without a warning."""
+    import warnings
+
+    net, texts = small_network(), texts_of(np.random.default_rng(8), 6, 5)
+    net.w["x"] *= 1000
+    with np.errstate(over="ignore"):
+        want = [slow_score(net, t.tolist(), 5) for t in texts]
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert lm.score_texts(net, texts, 5) == pytest.approx(want, rel=1e-4)
+        lm.train_texts(net, texts, 5)
+    assert all(np.isfinite(v).all() for v in net.w.values())
